@@ -1,60 +1,489 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame
-over the whole input tables; :func:`oracle` gives its DuckDB twin."""
+over the whole input tables; :func:`oracle` gives its DuckDB twin.
+
+Parameters are fixed here and shared by both sides: seed 42, 5 hash tables,
+10 neighbours, 5 recommendations, distance thresholds 0.6 (events, parts) and
+0.2 (documents).
+"""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lshark.functions.minhash import fit
-from lshark.operators import lsh, prep, recommend
+from lshark.operators import features, lsh, prep, recommend, text
 from lshark.plans import oracle as O
-from lshark.sources.tables import load
+from lshark.session import checkpoint_dir
+from lshark.sources import tables
 
 SEED = 42
 TABLES = 5
 K_NEIGHBORS = 10
 N_ITEMS = 5
+K_ITEMS = 5
+EVENT_THRESHOLD = 0.6
+PART_THRESHOLD = 0.6
+DOC_THRESHOLD = 0.2
+TWO_THRESHOLD = 0.8
+SUBSET_FRACTION = 0.25
 EVENT_TYPES = ("view", "click", "purchase")
 MODEL = fit(TABLES, SEED)
 
-# --------------------------------------------------------------- inputs
+# ------------------------------------------------------------------ inputs
+
 
-def event_interactions(spark: SparkSession, base: str, all_types: bool = False) -> DataFrame:
-    ev = load(spark, base, "events")
-    where = None if all_types else F.col("event_type").isin(*EVENT_TYPES)
+def event_interactions(spark: SparkSession, base: str, types=EVENT_TYPES) -> DataFrame:
+    ev = tables.load(spark, base, "events")
+    where = None if types is None else F.col("event_type").isin(*types)
     return prep.interactions(ev, "user_id", prep.event_item(), where)
 
 
-_TYPES_SQL = ", ".join(f"'{t}'" for t in EVENT_TYPES)
-SQL_EVENTS_UP = (f"up AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS u, "
-                 f"CAST(json_extract_string(props, '$.k') AS BIGINT) AS i FROM events "
-                 f"WHERE event_type IN ({_TYPES_SQL}) AND user_id IS NOT NULL "
-                 f"AND json_extract_string(props, '$.k') IS NOT NULL)")
+def _events_sql(name: str, types=EVENT_TYPES) -> str:
+    cond = "" if types is None else "event_type IN (" + ", ".join(f"'{t}'" for t in types) + ") AND "
+    return (f"{name} AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS u, "
+            f"CAST(json_extract_string(props, '$.k') AS BIGINT) AS i FROM events "
+            f"WHERE {cond}user_id IS NOT NULL AND json_extract_string(props, '$.k') IS NOT NULL)")
 
 
-# ------------------------------------------------------------- flagship
+UP = _events_sql("up")
+UPA = _events_sql("upa", None)
 
-def user_recommendations(spark: SparkSession, base: str) -> DataFrame:
-    """Top-5 unseen items per user from the 10 nearest LSH neighbours."""
+
+def purchases(spark: SparkSession, base: str, user: str, item: str) -> DataFrame:
+    li = tables.load(spark, base, "lineitem").select("l_orderkey", "l_partkey")
+    od = tables.load(spark, base, "orders").select("o_orderkey", "o_custkey")
+    joined = li.join(od, li.l_orderkey == od.o_orderkey)
+    return prep.interactions(joined, user, item)
+
+
+def _purchases_sql(name: str, user: str, item: str) -> str:
+    return (f"{name} AS (SELECT DISTINCT CAST({user} AS BIGINT) AS u, CAST({item} AS BIGINT) AS i "
+            f"FROM lineitem JOIN orders ON o_orderkey = l_orderkey "
+            f"WHERE {user} IS NOT NULL AND {item} IS NOT NULL)")
+
+
+def _sig_cols(sig: DataFrame, n: int = TABLES) -> DataFrame:
+    return sig.select("u", "n", *[F.col("hashes")[t].alias(f"h{t}") for t in range(n)])
+
+
+# ---------------------------------------------------------------- B1, B2
+
+def q_interactions(spark, base):
+    return event_interactions(spark, base)
+
+
+def q_interactions_sql():
+    return f"WITH {UP} SELECT u, i FROM up"
+
+
+def q_entity_sets(spark, base):
+    sets = prep.entity_sets(purchases(spark, base, "o_custkey", "l_partkey"))
+    return sets.select("u", "n", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
+def q_entity_sets_sql():
+    return (f"WITH {_purchases_sql('cp', 'o_custkey', 'l_partkey')} "
+            f"SELECT u, CAST(count(*) AS BIGINT) AS n, array_to_string(list_sort(list(i)), ',') AS items "
+            f"FROM cp GROUP BY u")
+
+
+# ---------------------------------------------------------------- D1-D4
+
+def q_minhash_signature(spark, base):
+    return _sig_cols(lsh.signatures(event_interactions(spark, base), MODEL))
+
+
+def q_minhash_signature_sql():
+    return f"WITH {UP} {O.sig_wide(MODEL, 'up')}"
+
+
+def q_lsh_buckets(spark, base):
+    return lsh.buckets(lsh.signatures(event_interactions(spark, base), MODEL))
+
+
+def q_lsh_buckets_sql():
+    return (f"WITH {UP}, sz AS (SELECT u, CAST(count(*) AS BIGINT) AS n FROM up GROUP BY u) "
+            f"SELECT s.u, z.n, s.tb, s.hv FROM ({O.sig_long(MODEL, 'up')}) s JOIN sz z ON z.u = s.u")
+
+
+def q_lsh_candidates(spark, base):
+    return lsh.candidates(lsh.buckets(lsh.signatures(event_interactions(spark, base), MODEL)))
+
+
+def q_lsh_candidates_sql():
+    return f"WITH {UP},{O.lsh_cte(MODEL, 'up')} SELECT a, b FROM cand"
+
+
+# ---------------------------------------------------------------- D5, D8, D9
+
+def q_similarity_join(spark, base):
+    return lsh.similarity_join(event_interactions(spark, base, None), MODEL, EVENT_THRESHOLD)
+
+
+def q_similarity_join_sql():
+    return f"WITH {UPA},{O.lsh_cte(MODEL, 'upa', EVENT_THRESHOLD)} SELECT * FROM sim"
+
+
+def q_similarity_join_two(spark, base):
+    left = event_interactions(spark, base, ("view",))
+    right = event_interactions(spark, base, ("purchase",))
+    return lsh.similarity_join_two(left, right, MODEL, TWO_THRESHOLD)
+
+
+def q_similarity_join_two_sql():
+    return (f"WITH {_events_sql('lv', ('view',))}, {_events_sql('rp', ('purchase',))},"
+            f"{O.lsh_cte(MODEL, 'lv', TWO_THRESHOLD, src_b='rp')} SELECT * FROM sim")
+
+
+def q_exact_jaccard(spark, base):
+    return lsh.exact_jaccard(event_interactions(spark, base, None), EVENT_THRESHOLD)
+
+
+def q_exact_jaccard_sql():
+    return f"WITH {UPA},{O.exact_cte('upa', EVENT_THRESHOLD)} SELECT * FROM exact"
+
+
+def q_lsh_report(spark, base):
+    inter = event_interactions(spark, base, None)
+    approx = lsh.similarity_join(inter, MODEL, EVENT_THRESHOLD)
+    exact = lsh.exact_jaccard(inter, EVENT_THRESHOLD)
+    cands = lsh.candidates(lsh.buckets(lsh.signatures(inter, MODEL)))
+    n = inter.agg(F.countDistinct("u").alias("n"))
+    return lsh.lsh_report(approx, exact, cands, n)
+
+
+def q_lsh_report_sql():
+    return (f"WITH {UPA},{O.exact_cte('upa', EVENT_THRESHOLD)},"
+            f"sig AS ({O.sig_long(MODEL, 'upa')}),"
+            f"candall AS (SELECT DISTINCT x.u AS a, y.u AS b FROM sig x JOIN sig y "
+            f"ON x.tb = y.tb AND x.hv = y.hv AND x.u < y.u),"
+            f"found AS (SELECT e.a, e.b FROM exact e JOIN candall c ON c.a = e.a AND c.b = e.b),"
+            f"ne AS (SELECT count(DISTINCT u) AS n FROM upa),"
+            f"c AS (SELECT (SELECT count(*) FROM exact) AS exact_pairs, "
+            f"(SELECT count(*) FROM found) AS found_pairs, (SELECT count(*) FROM candall) AS candidate_pairs, "
+            f"(SELECT CAST(n * (n - 1) / 2 AS BIGINT) FROM ne) AS all_pairs) "
+            f"SELECT exact_pairs, found_pairs, found_pairs AS true_pairs, "
+            f"round(CASE WHEN exact_pairs > 0 THEN found_pairs / exact_pairs END, 6) AS recall, "
+            f"round(CASE WHEN found_pairs > 0 THEN 1.0 END, 6) AS precision, candidate_pairs, all_pairs, "
+            f"round(candidate_pairs / all_pairs, 6) AS candidate_ratio FROM c")
+
+
+# ---------------------------------------------------------------- D6, D7
+
+def q_neighbors(spark, base):
     inter = event_interactions(spark, base)
-    pairs = lsh.similarity_join(inter, MODEL, threshold=None, strategy="buckets")
+    key = inter.agg(F.min("u")).first()[0]          # one scalar: the probe key
+    return lsh.neighbors(inter, MODEL, key, K_NEIGHBORS)
+
+
+def q_neighbors_sql():
+    return (f"WITH {UP}, sz AS (SELECT u, count(*) AS n FROM up GROUP BY u), "
+            f"sig AS ({O.sig_long(MODEL, 'up')}), key AS (SELECT min(u) AS k FROM up), "
+            f"kb AS (SELECT s.tb, s.hv FROM sig s JOIN key ON s.u = key.k), "
+            f"cand AS (SELECT DISTINCT s.u FROM sig s JOIN kb ON s.tb = kb.tb AND s.hv = kb.hv), "
+            f"ov AS (SELECT p.u, count(*) AS inter FROM up p JOIN up q ON q.i = p.i "
+            f"JOIN key ON q.u = key.k GROUP BY p.u), "
+            f"r AS (SELECT key.k AS u, c.u AS v, CAST(ov.inter AS DOUBLE) / CAST(z.n + zk.n - ov.inter AS DOUBLE) "
+            f"AS sim FROM cand c JOIN ov ON ov.u = c.u JOIN sz z ON z.u = c.u CROSS JOIN key "
+            f"JOIN sz zk ON zk.u = key.k) "
+            f"SELECT * FROM (SELECT u, v, sim, CAST(row_number() OVER (ORDER BY sim DESC, v) AS BIGINT) "
+            f"AS rank FROM r) WHERE rank <= {K_NEIGHBORS}")
+
+
+def _flagship_pairs(spark, base):
+    inter = event_interactions(spark, base)
+    return inter, lsh.similarity_join(inter, MODEL, None, strategy="buckets")
+
+
+def q_all_neighbors(spark, base):
+    _, pairs = _flagship_pairs(spark, base)
+    return lsh.all_neighbors(pairs, K_NEIGHBORS)
+
+
+def _flag_cte():
+    return f"WITH {UP},{O.lsh_cte(MODEL, 'up')},{O.neighbors_cte(K_NEIGHBORS)}"
+
+
+def q_all_neighbors_sql():
+    return f"{_flag_cte()} SELECT u, v, sim, CAST(rank AS BIGINT) AS rank FROM nb"
+
+
+# ---------------------------------------------------------------- E1-E4
+
+def _scores(spark, base):
+    inter, pairs = _flagship_pairs(spark, base)
+    return inter, recommend.cf_scores(lsh.all_neighbors(pairs, K_NEIGHBORS), inter)
+
+
+def q_cf_scores(spark, base):
+    return _scores(spark, base)[1]
+
+
+def q_cf_scores_sql():
+    return f"{_flag_cte()},{O.scores_cte('up')} SELECT u, i, score FROM sc"
+
+
+def q_exclude_seen(spark, base):
+    inter, sc = _scores(spark, base)
+    return recommend.exclude_seen(sc, inter)
+
+
+def q_exclude_seen_sql():
+    return f"{_flag_cte()},{O.scores_cte('up')} SELECT u, i, score FROM unseen"
+
+
+def q_top_n(spark, base):
+    return recommend.top_n(_scores(spark, base)[1], N_ITEMS)
+
+
+def q_top_n_sql():
+    return (f"{_flag_cte()},{O.scores_cte('up')} SELECT u, i, score, CAST(rank AS BIGINT) AS rank FROM "
+            f"(SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, i) AS rank FROM sc) "
+            f"WHERE rank <= {N_ITEMS}")
+
+
+def user_recommendations(spark: SparkSession, base: str) -> DataFrame:
+    """Flagship: top-5 unseen items per user from the 10 nearest LSH neighbours."""
+    inter, pairs = _flagship_pairs(spark, base)
     return recommend.recommend(pairs, inter, K_NEIGHBORS, N_ITEMS)
 
 
 def user_recommendations_sql() -> str:
-    return (f"WITH {SQL_EVENTS_UP},{O.lsh_cte(MODEL, 'up')},{O.neighbors_cte(K_NEIGHBORS)},"
-            f"{O.scores_cte('up')}\n"
-            f"SELECT u, i, score, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY u ORDER BY score DESC, i) AS rank FROM unseen) WHERE rank <= {N_ITEMS}")
+    return (f"{_flag_cte()},{O.scores_cte('up')} SELECT u, i, score, CAST(rank AS BIGINT) AS rank FROM "
+            f"(SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, i) AS rank FROM unseen) "
+            f"WHERE rank <= {N_ITEMS}")
+
+
+PART_ATTRS = ("p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+def q_similar_items(spark, base):
+    inter = purchases(spark, base, "l_partkey", "o_custkey")
+    pairs = lsh.similarity_join(inter, MODEL, None, strategy="buckets")
+    attrs = tables.load(spark, base, "part").select("p_partkey", *PART_ATTRS)
+    return recommend.similar_items(pairs, attrs, K_ITEMS, "p_partkey")
+
+
+def q_similar_items_sql():
+    cols = ", ".join(f"p.{c}" for c in PART_ATTRS)
+    return (f"WITH {_purchases_sql('pu', 'l_partkey', 'o_custkey')},{O.lsh_cte(MODEL, 'pu')},"
+            f"{O.neighbors_cte(K_ITEMS)} SELECT nb.u, nb.v, nb.sim, CAST(nb.rank AS BIGINT) AS rank, {cols} "
+            f"FROM nb JOIN part p ON p.p_partkey = nb.v")
+
+
+# ---------------------------------------------------------------- C1-C3
+
+def q_element_index(spark, base):
+    docs = tables.load(spark, base, "documents").select("text")
+    toks = docs.select(F.explode(text.tokens(F.col("text"))).alias("token"))
+    idx = features.dense_index(toks, "token")
+    return idx.select(F.col("value").alias("token"), "idx",
+                      features.hashed_index(F.col("value")).alias("hidx"))
+
+
+def q_element_index_sql():
+    return ("WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS token "
+            "FROM documents) SELECT token, CAST(dense_rank() OVER (ORDER BY token) - 1 AS BIGINT) AS idx, "
+            "CAST('0x' || substr(md5(token), 1, 7) AS BIGINT) AS hidx FROM t")
+
+
+PART_CATEGORICAL = ("p_brand", "p_type", "p_size")
+
+
+def _part_vec(spark, base, numeric=("p_retailprice",)):
+    part = tables.load(spark, base, "part")
+    vec, dim = features.assemble(part, "p_partkey", list(PART_CATEGORICAL), list(numeric))
+    return part, vec, dim
+
+
+def _part_vec_sql(numeric: bool = True) -> str:
+    ctes, parts, offs = [], [], []
+    for n, c in enumerate(PART_CATEGORICAL):
+        ctes.append(f"c{n} AS (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS r FROM "
+                    f"(SELECT DISTINCT {c} AS v FROM part WHERE {c} IS NOT NULL)), "
+                    f"k{n} AS (SELECT count(*) AS c FROM c{n})")
+        off = " + ".join(["0"] + [f"(SELECT c FROM k{m})" for m in range(n)])
+        parts.append(f"SELECT p.p_partkey AS id, CAST(c{n}.r + {off} AS BIGINT) AS idx, 1.0 AS val "
+                     f"FROM part p JOIN c{n} ON c{n}.v = p.{c}")
+        offs.append(f"(SELECT c FROM k{n})")
+    if numeric:
+        parts.append(f"SELECT p_partkey AS id, CAST({' + '.join(offs)} AS BIGINT) AS idx, p_retailprice AS val "
+                     f"FROM part WHERE p_retailprice IS NOT NULL AND p_retailprice <> 0")
+    return ", ".join(ctes) + ", vec AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def q_assembled_features(spark, base):
+    return _part_vec(spark, base)[1]
+
+
+def q_assembled_features_sql():
+    return f"WITH {_part_vec_sql()} SELECT id, idx, val FROM vec"
+
+
+def _scaled_sql(numeric: bool = True) -> str:
+    return (f"WITH {_part_vec_sql(numeric)}, nrows AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM part), "
+            f"st AS (SELECT idx, sum(val) AS s, sum(val * val) AS ss FROM vec GROUP BY idx), "
+            f"sd AS (SELECT idx, CASE WHEN n > 1 THEN sqrt(greatest(0.0, (ss - s * s / n) / (n - 1))) "
+            f"ELSE 0.0 END AS sd FROM st CROSS JOIN nrows), "
+            f"scaled AS (SELECT v.id, v.idx, round(CASE WHEN sd.sd <> 0 THEN v.val / sd.sd ELSE 0.0 END, 6) "
+            f"AS val FROM vec v JOIN sd ON sd.idx = v.idx) ")
+
+
+def q_scaled_features(spark, base):
+    part, vec, dim = _part_vec(spark, base)
+    return features.scale(vec, part.count(), dim, "std")
+
+
+def q_scaled_features_sql():
+    return _scaled_sql() + "SELECT id, idx, val FROM scaled WHERE val <> 0"
+
+
+def q_feature_neighbors(spark, base):
+    part, vec, dim = _part_vec(spark, base, numeric=())
+    sets = features.nonzero_sets(features.scale(vec, part.count(), dim, "std"))
+    return lsh.similarity_join(sets, MODEL, PART_THRESHOLD)
+
+
+def q_feature_neighbors_sql():
+    return (_scaled_sql(False) + ", pf AS (SELECT DISTINCT id AS u, idx AS i FROM scaled WHERE val <> 0), "
+            + O.lsh_cte(MODEL, "pf", PART_THRESHOLD) + " SELECT * FROM sim")
+
+
+# ---------------------------------------------------------------- C4-C6
+
+_TOK_SQL = "regexp_extract_all(lower(text), '\\p{L}+')"
+
+
+def q_document_tokens(spark, base):
+    docs = text.tokenize(tables.load(spark, base, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                       F.size(F.array_distinct("tokens")).cast("bigint").alias("n_distinct"),
+                       F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+
+
+def q_document_tokens_sql():
+    return (f"SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(list_distinct(t)) AS BIGINT) "
+            f"AS n_distinct, md5(array_to_string(t, ' ')) AS tokens_md5 FROM "
+            f"(SELECT doc_id, {_TOK_SQL} AS t FROM documents)")
+
+
+def q_document_stopwords(spark, base):
+    docs = tables.load(spark, base, "documents").select("doc_id", "text")
+    kept = docs.select("doc_id", text.remove_stopwords(text.tokens(F.col("text"))).alias("t"))
+    return kept.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"),
+                       F.md5(F.array_join("t", " ")).alias("tokens_md5"))
+
+
+def q_document_stopwords_sql():
+    words = O.sql_list(sorted(set(text.STOPWORDS)))
+    return (f"SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 "
+            f"FROM (SELECT doc_id, list_filter({_TOK_SQL}, lambda x: NOT list_contains({words}, x)) AS t "
+            f"FROM documents)")
+
+
+def document_sets(spark, base):
+    docs = text.tokenize(tables.load(spark, base, "documents").select("doc_id", "text"))
+    return text.token_sets(docs, "doc_id")
+
+
+def q_document_near_copies(spark, base):
+    return lsh.similarity_join(document_sets(spark, base), MODEL, DOC_THRESHOLD)
+
+
+def q_document_near_copies_sql():
+    return (f"WITH dt AS (SELECT DISTINCT doc_id AS u, CAST('0x' || substr(md5(tok), 1, 7) AS BIGINT) AS i "
+            f"FROM (SELECT doc_id, unnest({_TOK_SQL}) AS tok FROM documents)),"
+            f"{O.lsh_cte(MODEL, 'dt', DOC_THRESHOLD)} SELECT * FROM sim")
+
+
+# ---------------------------------------------------------------- A2-A4
+
+def q_subset(spark, base):
+    return prep.subset(tables.load(spark, base, "part"), "p_partkey", SUBSET_FRACTION)
+
+
+def q_subset_sql():
+    bound = format(int(round(SUBSET_FRACTION * 256)), "02x")
+    return f"SELECT * FROM part WHERE substr(md5(CAST(p_partkey AS VARCHAR)), 1, 2) < '{bound}'"
+
+
+def _scratch(spark, what: str) -> str:
+    return os.path.join(checkpoint_dir(spark), f"{what}-{uuid.uuid4().hex}")
+
+
+def q_preprocessed_roundtrip(spark, base):
+    path = tables.write_preprocessed(event_interactions(spark, base), _scratch(spark, "preprocessed"))
+    return tables.read_preprocessed(spark, path)
+
+
+def q_model_roundtrip(spark, base):
+    path = tables.save_model(spark, MODEL, _scratch(spark, "model"))
+    model = tables.load_model(spark, path)
+    return _sig_cols(lsh.signatures(event_interactions(spark, base), model), model.num_tables)
+
 
+# ---------------------------------------------------------------- registry
 
 QUERIES = {
     "user_recommendations": user_recommendations,
+    "interactions": q_interactions,
+    "entity_sets": q_entity_sets,
+    "minhash_signature": q_minhash_signature,
+    "lsh_buckets": q_lsh_buckets,
+    "lsh_candidates": q_lsh_candidates,
+    "similarity_join": q_similarity_join,
+    "similarity_join_two": q_similarity_join_two,
+    "exact_jaccard": q_exact_jaccard,
+    "lsh_report": q_lsh_report,
+    "neighbors": q_neighbors,
+    "all_neighbors": q_all_neighbors,
+    "cf_scores": q_cf_scores,
+    "exclude_seen": q_exclude_seen,
+    "top_n": q_top_n,
+    "similar_items": q_similar_items,
+    "element_index": q_element_index,
+    "assembled_features": q_assembled_features,
+    "scaled_features": q_scaled_features,
+    "feature_neighbors": q_feature_neighbors,
+    "document_tokens": q_document_tokens,
+    "document_stopwords": q_document_stopwords,
+    "document_near_copies": q_document_near_copies,
+    "subset": q_subset,
+    "preprocessed_roundtrip": q_preprocessed_roundtrip,
+    "model_roundtrip": q_model_roundtrip,
 }
 
 ORACLE = {
     "user_recommendations": user_recommendations_sql,
+    "interactions": q_interactions_sql,
+    "entity_sets": q_entity_sets_sql,
+    "minhash_signature": q_minhash_signature_sql,
+    "lsh_buckets": q_lsh_buckets_sql,
+    "lsh_candidates": q_lsh_candidates_sql,
+    "similarity_join": q_similarity_join_sql,
+    "similarity_join_two": q_similarity_join_two_sql,
+    "exact_jaccard": q_exact_jaccard_sql,
+    "lsh_report": q_lsh_report_sql,
+    "neighbors": q_neighbors_sql,
+    "all_neighbors": q_all_neighbors_sql,
+    "cf_scores": q_cf_scores_sql,
+    "exclude_seen": q_exclude_seen_sql,
+    "top_n": q_top_n_sql,
+    "similar_items": q_similar_items_sql,
+    "element_index": q_element_index_sql,
+    "assembled_features": q_assembled_features_sql,
+    "scaled_features": q_scaled_features_sql,
+    "feature_neighbors": q_feature_neighbors_sql,
+    "document_tokens": q_document_tokens_sql,
+    "document_stopwords": q_document_stopwords_sql,
+    "document_near_copies": q_document_near_copies_sql,
+    "subset": q_subset_sql,
+    "preprocessed_roundtrip": q_interactions_sql,
+    "model_roundtrip": q_minhash_signature_sql,
 }
 
 
