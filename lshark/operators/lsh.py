@@ -31,6 +31,7 @@ from lshark.functions.minhash import MinHashModel
 from lshark.session import cut_lineage
 
 DEFAULT_BLOCK = 2048           # members per block when a group is split
+PREFIX_ALWAYS = 0.5            # distance thresholds up to this use prefix filtering
 BROADCAST_ROWS = 2_000_000     # hot-group rows we allow to broadcast (3 longs each)
 _EPS = 1e-9
 
@@ -82,57 +83,73 @@ def _size_bound(n_l: Column, n_r: Column, threshold: float | None) -> Column | N
     return F.least(n_l, n_r).cast("double") >= F.lit(1.0 - threshold - _EPS) * F.greatest(n_l, n_r)
 
 
-def _hot_table(rows: DataFrame, keys: list[str], block_size: int) -> DataFrame | None:
-    """Groups with more than ``block_size`` members and their block count, or
-    ``None`` when there are none.  Broadcast only below ``BROADCAST_ROWS``."""
+def group_stats(rows: DataFrame, keys: list[str], block_size: int = DEFAULT_BLOCK) -> tuple[int, int]:
+    """``(pairs, hot)``: sum of ``m(m-1)/2`` over groups (the pair work a
+    group join would do) and the number of groups above ``block_size``.
+    One aggregation; both numbers are scalars."""
+    g = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+    r = g.agg(F.sum(F.col("_m") * (F.col("_m") - 1) / 2).alias("p"),
+              F.count(F.when(F.col("_m") > block_size, 1)).alias("h")).first()
+    return int(r["p"] or 0), int(r["h"] or 0)
+
+
+def _hot_table(rows: DataFrame, keys: list[str], block_size: int, n_hot: int) -> DataFrame:
     hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
                .where(F.col("_m") > block_size)
                .select(*keys, F.ceil(F.col("_m") / F.lit(block_size)).cast("int").alias("_S")))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return None
     return F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
 
 
-def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None = None,
-                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """Distinct ``(a, b)``, ``a < b``, of members sharing a group (self join).
+def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block_size: int,
+                carry: list[str], n_hot: int | None = None) -> DataFrame:
+    """Self join of ``rows`` on ``keys``; every unordered pair of distinct
+    members meets once per shared group.  Output ``a < b`` plus
+    ``<c>_a`` / ``<c>_b`` for each carried column (``n`` always carried).
 
-    ``rows`` has ``keys`` + ``u`` (member) + ``n`` (set size).  Groups above
-    ``block_size`` are cut into ``S`` hash blocks; member of block ``p`` is
-    sent to block pairs ``(p, q>=p)`` on the left and ``(q<=p, p)`` on the
-    right, so every unordered pair meets in exactly one task.
+    Groups above ``block_size`` members are cut into ``S`` hash blocks; a
+    member of block ``p`` goes to block pairs ``(p, q>=p)`` on the left and
+    ``(q<=p, p)`` on the right, so no task squares a whole hot group.
     """
-    rows = rows.select(*keys, "u", "n")
-    hot = _hot_table(rows, keys, block_size)
-    if hot is None:
+    cols = list(dict.fromkeys(["n"] + carry))
+    rows = rows.select(*keys, "u", *cols)
+    if n_hot is None:
+        n_hot = group_stats(rows, keys, block_size)[1]
+    if n_hot == 0:
         l, r = rows.alias("l"), rows.alias("r")
         cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [F.col("l.u") < F.col("r.u")]
-        bound = _size_bound(F.col("l.n"), F.col("r.n"), threshold)
-        if bound is not None:
-            cond.append(bound)
-        pairs = l.join(r, reduce(lambda x, y: x & y, cond)).select(
-            F.col("l.u").alias("a"), F.col("r.u").alias("b"))
-        return pairs.distinct()
-
-    blocked = (rows.join(hot, keys, "left")
-                   .withColumn("_S", F.coalesce(F.col("_S"), F.lit(1)))
-                   .withColumn("_blk", F.pmod(F.xxhash64("u"), F.col("_S")).cast("int")))
-    left = blocked.select(*keys, "u", "n", F.col("_blk").alias("_p"),
-                          F.explode(F.sequence(F.col("_blk"), F.col("_S") - 1)).alias("_q"))
-    right = blocked.select(*keys, "u", "n",
-                           F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_p"),
-                           F.col("_blk").alias("_q"))
-    l, r = left.alias("l"), right.alias("r")
-    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys + ["_p", "_q"]]
-    cond.append((F.col("l._p") < F.col("l._q")) | (F.col("l.u") < F.col("r.u")))
-    cond.append(F.col("l.u") != F.col("r.u"))
+    else:
+        hot = _hot_table(rows, keys, block_size, n_hot)
+        blocked = (rows.join(hot, keys, "left")
+                       .withColumn("_S", F.coalesce(F.col("_S"), F.lit(1)))
+                       .withColumn("_blk", F.pmod(F.xxhash64("u"), F.col("_S")).cast("int")))
+        left = blocked.select(*keys, "u", *cols, F.col("_blk").alias("_p"),
+                              F.explode(F.sequence(F.col("_blk"), F.col("_S") - 1)).alias("_q"))
+        right = blocked.select(*keys, "u", *cols,
+                               F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_p"),
+                               F.col("_blk").alias("_q"))
+        l, r = left.alias("l"), right.alias("r")
+        cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys + ["_p", "_q"]]
+        cond.append(((F.col("l._p") < F.col("l._q")) & (F.col("l.u") != F.col("r.u")))
+                    | (F.col("l.u") < F.col("r.u")))
     bound = _size_bound(F.col("l.n"), F.col("r.n"), threshold)
     if bound is not None:
         cond.append(bound)
-    pairs = l.join(r, reduce(lambda x, y: x & y, cond)).select(
-        F.least("l.u", "r.u").alias("a"), F.greatest("l.u", "r.u").alias("b"))
-    return pairs.distinct()
+    lo = F.col("l.u") < F.col("r.u")
+    out = [F.least("l.u", "r.u").alias("a"), F.greatest("l.u", "r.u").alias("b")]
+    for c in cols:
+        out.append(F.when(lo, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")).alias(f"{c}_a"))
+        out.append(F.when(lo, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(f"{c}_b"))
+    return l.join(r, reduce(lambda x, y: x & y, cond)).select(*out)
+
+
+def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None = None,
+                    block_size: int = DEFAULT_BLOCK, n_hot: int | None = None) -> DataFrame:
+    """Distinct ``(a, b)``, ``a < b``, of members sharing a group (self join).
+
+    ``rows`` has ``keys`` + ``u`` (member) + ``n`` (set size); with a
+    threshold the size bound is part of the join condition.
+    """
+    return _group_join(rows, keys, threshold, block_size, [], n_hot).select("a", "b").distinct()
 
 
 def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
@@ -212,6 +229,17 @@ def _shared_bucket(ha: Column, hb: Column, num_tables: int) -> Column:
     return reduce(lambda x, y: x | y, [ha[t] == hb[t] for t in range(num_tables)])
 
 
+def _scored(df: DataFrame, threshold: float | None) -> DataFrame:
+    out = df.select(
+        "a", "b", F.size(F.array_intersect("items_a", "items_b")).cast("bigint").alias("inter"),
+        F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
+    out = out.withColumn("sim", F.col("inter").cast("double")
+                         / (F.col("n_a") + F.col("n_b") - F.col("inter")).cast("double"))
+    if threshold is not None:
+        out = out.where(F.lit(1.0) - F.col("sim") < F.lit(threshold))
+    return out.where(F.col("inter") > 0)
+
+
 def verify(pairs: DataFrame, prof: DataFrame, threshold: float | None = None,
            num_tables: int | None = None, prof_b: DataFrame | None = None) -> DataFrame:
     """``(a, b, inter, n_a, n_b, sim)`` for candidate pairs.
@@ -220,49 +248,86 @@ def verify(pairs: DataFrame, prof: DataFrame, threshold: float | None = None,
     ``1 - sim < threshold`` (strict, as Spark ML's distance test).  With
     ``num_tables`` the pair must also agree on at least one signature entry.
     """
-    pa = prof.select(F.col("u").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("_ia"),
-                     *([F.col("hashes").alias("_ha")] if num_tables else []))
-    pb = (prof if prof_b is None else prof_b).select(F.col("u").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("_ib"),
-                     *([F.col("hashes").alias("_hb")] if num_tables else []))
+    pa = prof.select(F.col("u").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"),
+                     *([F.col("hashes").alias("hashes_a")] if num_tables else []))
+    pb = (prof if prof_b is None else prof_b).select(
+        F.col("u").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"),
+        *([F.col("hashes").alias("hashes_b")] if num_tables else []))
     joined = pairs.join(pa, "a").join(pb, "b")
     if num_tables:
-        joined = joined.where(_shared_bucket(F.col("_ha"), F.col("_hb"), num_tables))
-    out = joined.select(
-        "a", "b", F.size(F.array_intersect("_ia", "_ib")).cast("bigint").alias("inter"),
-        F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
-    out = out.withColumn("sim", F.col("inter").cast("double")
-                         / (F.col("n_a") + F.col("n_b") - F.col("inter")).cast("double"))
-    if threshold is not None:
-        out = out.where(F.lit(1.0) - F.col("sim") < F.lit(threshold))
-    return out.where(F.col("inter") > 0)
+        joined = joined.where(_shared_bucket(F.col("hashes_a"), F.col("hashes_b"), num_tables))
+    return _scored(joined, threshold)
+
+
+def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
+                block_size: int = DEFAULT_BLOCK) -> dict:
+    """Pick the candidate route from exact group-size statistics.
+
+    ``buckets``: groups are (table, hash); ``prefix``: groups are prefix
+    tokens.  Work is estimated as the pairs each would form; the smaller wins
+    (only buckets without a threshold).  Sets are carried through the pair
+    join (``inline``) when they are short, else fetched per surviving pair.
+    """
+    plan = {"strategy": "buckets"}
+    if threshold is not None and threshold <= PREFIX_ALWAYS:
+        # J >= 1 - threshold >= 0.5: prefixes are at most half of each set and
+        # skip the common tokens, while single-hash buckets still pair up a
+        # fixed share of all dissimilar sets; no need to measure.
+        pre = cut_lineage(prefix_tokens(inter, threshold))
+        plan.update(strategy="prefix", prefix_rows=pre)
+        plan["prefix_pairs"], plan["prefix_hot"] = group_stats(pre, ["tok"], block_size)
+        plan["inline"] = False
+        return plan
+    bkt = cut_lineage(buckets(signatures(inter, model)))
+    plan["bucket_rows"] = bkt
+    plan["bucket_pairs"], plan["bucket_hot"] = group_stats(bkt, ["tb", "hv"], block_size)
+    if threshold is not None and threshold < 1.0:
+        pre = cut_lineage(prefix_tokens(inter, threshold))
+        plan["prefix_rows"] = pre
+        plan["prefix_pairs"], plan["prefix_hot"] = group_stats(pre, ["tok"], block_size)
+        if plan["prefix_pairs"] < plan["bucket_pairs"]:
+            plan["strategy"] = "prefix"
+    plan["inline"] = False
+    return plan
 
 
 def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | None = None,
                     strategy: str = "auto", block_size: int = DEFAULT_BLOCK,
-                    materialize: bool = True) -> DataFrame:
+                    materialize: bool = True, inline: bool | None = None) -> DataFrame:
     """Approximate similarity self-join (D5): pairs sharing a bucket in any
     table, verified, distance strictly below ``threshold`` (all candidate
-    pairs when ``threshold`` is None).
+    pairs when ``threshold`` is None).  Output ``(a, b, inter, n_a, n_b, sim)``.
 
     ``strategy``: ``'buckets'`` joins on (table, hash); ``'prefix'`` finds
     the exact pairs by prefix filtering and keeps those whose signatures agree
-    somewhere — the same pair set, with far fewer candidates when the
-    threshold is tight.  ``'auto'`` takes prefix for thresholds up to 0.5.
+    somewhere — the same pair set.  ``'auto'`` picks by :func:`choose_plan`.
     """
     if materialize:
         inter = cut_lineage(inter)
-    if strategy == "auto":
-        strategy = "prefix" if threshold is not None and threshold <= 0.5 else "buckets"
+    plan = choose_plan(inter, model, threshold, block_size)
+    if strategy != "auto":
+        plan["strategy"] = strategy
+    if inline is not None:
+        plan["inline"] = inline
+    if plan["strategy"] == "prefix" and threshold is None:
+        raise ValueError("prefix strategy needs a threshold")
     prof = profiles(inter, model)
-    if strategy == "prefix":
-        if threshold is None:
-            raise ValueError("prefix strategy needs a threshold")
-        pairs = prefix_candidates(inter, threshold, block_size)
-        return verify(pairs, prof, threshold, num_tables=model.num_tables)
-    if strategy != "buckets":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    pairs = candidates(buckets(signatures(inter, model)), threshold, block_size)
-    return verify(pairs, prof, threshold)
+    if plan["strategy"] == "prefix":
+        rows, keys, hot, check = plan["prefix_rows"], ["tok"], plan["prefix_hot"], True
+    elif plan["strategy"] == "buckets":
+        rows, keys, hot, check = plan["bucket_rows"], ["tb", "hv"], plan["bucket_hot"], False
+    else:
+        raise ValueError(f"unknown strategy {plan['strategy']!r}")
+    if not plan["inline"]:
+        pairs = pairs_in_groups(rows, keys, threshold, block_size, hot)
+        return verify(pairs, prof, threshold, num_tables=model.num_tables if check else None)
+    # inline: the short sets ride along with the group rows; pairs are scored
+    # inside the join and only those passing the threshold are deduplicated
+    rows = rows.join(prof.select("u", "items", "hashes"), "u")
+    joined = _group_join(rows, keys, threshold, block_size, ["items", "hashes"], hot)
+    if check:
+        joined = joined.where(_shared_bucket(F.col("hashes_a"), F.col("hashes_b"), model.num_tables))
+    return _scored(joined, threshold).distinct()
 
 
 def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
@@ -276,13 +341,13 @@ def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
 
 
 def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_BLOCK,
-                  materialize: bool = False) -> DataFrame:
+                  materialize: bool = True) -> DataFrame:
     """All pairs with Jaccard distance strictly below ``threshold`` (D8), no
     hashing: prefix-filtered candidates, then exact verification."""
     if materialize:
         inter = cut_lineage(inter)
-    pairs = prefix_candidates(inter, threshold, block_size)
-    return verify(pairs, profiles(inter), threshold)
+    pre = prefix_tokens(inter, threshold)
+    return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), profiles(inter), threshold)
 
 
 # ------------------------------------------------------ nearest neighbours
@@ -314,8 +379,10 @@ def neighbors(inter: DataFrame, model: MinHashModel, key: int, k: int) -> DataFr
 
 def symmetric(pairs: DataFrame) -> DataFrame:
     """``(u, v, sim)`` in both directions from ``(a, b, sim)`` pairs."""
-    return (pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), "sim")
-                 .unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"), "sim")))
+    both = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
+                   F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    # one pass over the pairs (a union would plan the whole pair job twice)
+    return pairs.select(F.explode(both).alias("_d"), "sim").select("_d.u", "_d.v", "sim")
 
 
 def top_k_per(df: DataFrame, part: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -277,8 +277,12 @@ def q_similar_items_sql():
 
 # ---------------------------------------------------------------- C1-C3
 
+def load_documents(spark, base, *cols):
+    return tables.spread(tables.load(spark, base, "documents").select(*cols))
+
+
 def q_element_index(spark, base):
-    docs = tables.load(spark, base, "documents").select("text")
+    docs = load_documents(spark, base, "text")
     toks = docs.select(F.explode(text.tokens(F.col("text"))).alias("token"))
     idx = features.dense_index(toks, "token")
     return idx.select(F.col("value").alias("token"), "idx",
@@ -359,7 +363,7 @@ _TOK_SQL = "regexp_extract_all(lower(text), '\\p{L}+')"
 
 
 def q_document_tokens(spark, base):
-    docs = text.tokenize(tables.load(spark, base, "documents").select("doc_id", "text"))
+    docs = text.tokenize(load_documents(spark, base, "doc_id", "text"))
     return docs.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
                        F.size(F.array_distinct("tokens")).cast("bigint").alias("n_distinct"),
                        F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
@@ -372,7 +376,7 @@ def q_document_tokens_sql():
 
 
 def q_document_stopwords(spark, base):
-    docs = tables.load(spark, base, "documents").select("doc_id", "text")
+    docs = load_documents(spark, base, "doc_id", "text")
     kept = docs.select("doc_id", text.remove_stopwords(text.tokens(F.col("text"))).alias("t"))
     return kept.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"),
                        F.md5(F.array_join("t", " ")).alias("tokens_md5"))
@@ -386,7 +390,7 @@ def q_document_stopwords_sql():
 
 
 def document_sets(spark, base):
-    docs = text.tokenize(tables.load(spark, base, "documents").select("doc_id", "text"))
+    docs = text.tokenize(load_documents(spark, base, "doc_id", "text"))
     return text.token_sets(docs, "doc_id")
 
 

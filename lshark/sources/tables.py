@@ -66,6 +66,17 @@ def load(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
                                    os.path.join(base, name))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan has fewer partitions
+    than the default parallelism (e.g. one large row group).  Used before
+    CPU-heavy per-row work such as tokenising; on a many-file scan it is a
+    no-op, so it never adds a shuffle where the input is already split."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def write_preprocessed(df: DataFrame, path: str, partition_by: list[str] | None = None,
                        mode: str = "overwrite") -> str:
     """Write a preprocessed table as parquet (A3)."""
