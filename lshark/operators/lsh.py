@@ -304,18 +304,23 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     """
     if materialize:
         inter = cut_lineage(inter)
-    plan = choose_plan(inter, model, threshold, block_size)
-    if strategy != "auto":
-        plan["strategy"] = strategy
+    if strategy == "auto":
+        plan = choose_plan(inter, model, threshold, block_size)
+    else:
+        plan = {"strategy": strategy, "inline": False}
     if inline is not None:
         plan["inline"] = inline
     if plan["strategy"] == "prefix" and threshold is None:
         raise ValueError("prefix strategy needs a threshold")
     prof = profiles(inter, model)
     if plan["strategy"] == "prefix":
-        rows, keys, hot, check = plan["prefix_rows"], ["tok"], plan["prefix_hot"], True
+        rows = plan.get("prefix_rows")
+        rows = prefix_tokens(inter, threshold) if rows is None else rows
+        keys, hot, check = ["tok"], plan.get("prefix_hot"), True
     elif plan["strategy"] == "buckets":
-        rows, keys, hot, check = plan["bucket_rows"], ["tb", "hv"], plan["bucket_hot"], False
+        rows = plan.get("bucket_rows")
+        rows = buckets(signatures(inter, model)) if rows is None else rows
+        keys, hot, check = ["tb", "hv"], plan.get("bucket_hot"), False
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
     if not plan["inline"]:
