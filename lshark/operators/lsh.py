@@ -32,6 +32,7 @@ from lshark.session import cut_lineage
 
 DEFAULT_BLOCK = 2048           # members per block when a group is split
 PREFIX_ALWAYS = 0.5            # distance thresholds up to this use prefix filtering
+BIG_SET = 50_000               # sets larger than this are never gathered into one row
 BROADCAST_ROWS = 2_000_000     # hot-group rows we allow to broadcast (3 longs each)
 _EPS = 1e-9
 
@@ -198,24 +199,46 @@ def candidates(bkt: DataFrame, threshold: float | None = None,
 
 # ------------------------------------------------------- prefix filtering
 
-def prefix_tokens(inter: DataFrame, threshold: float) -> DataFrame:
+def big_entities(inter: DataFrame, big_set: int = BIG_SET) -> DataFrame:
+    """Entities with more than ``big_set`` elements, ``(u, n)``.
+
+    Their number is at most ``rows / big_set``; it is counted before the
+    list is broadcast, and a shuffle join is used beyond ``BROADCAST_ROWS``.
+    """
+    return (inter.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+                 .where(F.col("n") > big_set))
+
+
+def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, int]:
+    n = df.count()
+    return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
+
+
+def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET) -> DataFrame:
     """Prefix of each set under the global rare-first order: ``(tok, u, n)``.
 
     Two sets with Jaccard ``>= t`` share a token among their first
     ``n - ceil(t * n) + 1`` rarest tokens (prefix filtering); with
     ``t = 1 - threshold`` this keeps every pair with distance below the
     threshold.  Token frequencies are one grouped count; the rank inside a
-    set is a window over that set's own rows.
+    set is a window over that set's rows, used only for sets of at most
+    ``big_set`` elements.  Bigger sets index all their tokens: a longer
+    prefix is still exact (it only adds candidates) and needs no ranking.
     """
     t = max(0.0, 1.0 - threshold - _EPS)
-    freq = inter.groupBy("i").agg(F.count(F.lit(1)).alias("_df"))
-    ranked = inter.join(freq, "i")
+    big, n_big = _bounded_broadcast(big_entities(inter, big_set))
+    small = inter.join(big.select("u"), "u", "left_anti") if n_big else inter
+    freq = small.groupBy("i").agg(F.count(F.lit(1)).alias("_df"))
+    ranked = small.join(freq, "i")
     w_ord = Window.partitionBy("u").orderBy("_df", "i")
     w_all = Window.partitionBy("u")
     ranked = (ranked.withColumn("_pos", F.row_number().over(w_ord))
                     .withColumn("n", F.count(F.lit(1)).over(w_all)))
     plen = F.col("n") - F.ceil(F.col("n") * F.lit(t)) + 1
-    return ranked.where(F.col("_pos") <= plen).select(F.col("i").alias("tok"), "u", "n")
+    out = ranked.where(F.col("_pos") <= plen).select(F.col("i").alias("tok"), "u", "n")
+    if n_big:
+        out = out.unionByName(inter.join(big, "u").select(F.col("i").alias("tok"), "u", "n"))
+    return out
 
 
 def prefix_candidates(inter: DataFrame, threshold: float, block_size: int = DEFAULT_BLOCK) -> DataFrame:
@@ -230,37 +253,91 @@ def _shared_bucket(ha: Column, hb: Column, num_tables: int) -> Column:
 
 
 def _scored(df: DataFrame, threshold: float | None) -> DataFrame:
-    out = df.select(
-        "a", "b", F.size(F.array_intersect("items_a", "items_b")).cast("bigint").alias("inter"),
-        F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
-    out = out.withColumn("sim", F.col("inter").cast("double")
-                         / (F.col("n_a") + F.col("n_b") - F.col("inter")).cast("double"))
+    out = df.withColumn("sim", F.col("inter").cast("double")
+                        / (F.col("n_a") + F.col("n_b") - F.col("inter")).cast("double"))
     if threshold is not None:
         out = out.where(F.lit(1.0) - F.col("sim") < F.lit(threshold))
     return out.where(F.col("inter") > 0)
 
 
-def verify(pairs: DataFrame, prof: DataFrame, threshold: float | None = None,
-           num_tables: int | None = None, prof_b: DataFrame | None = None) -> DataFrame:
-    """``(a, b, inter, n_a, n_b, sim)`` for candidate pairs.
-
-    ``sim = inter / (n_a + n_b - inter)``; a threshold keeps
-    ``1 - sim < threshold`` (strict, as Spark ML's distance test).  With
-    ``num_tables`` the pair must also agree on at least one signature entry.
-    """
+def _verify_arrays(pairs: DataFrame, prof: DataFrame, prof_b: DataFrame | None,
+                   num_tables: int | None) -> DataFrame:
     pa = prof.select(F.col("u").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"),
                      *([F.col("hashes").alias("hashes_a")] if num_tables else []))
     pb = (prof if prof_b is None else prof_b).select(
         F.col("u").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"),
         *([F.col("hashes").alias("hashes_b")] if num_tables else []))
-    joined = pairs.join(pa, "a").join(pb, "b")
+    joined = pairs.select("a", "b").join(pa, "a").join(pb, "b")
     if num_tables:
         joined = joined.where(_shared_bucket(F.col("hashes_a"), F.col("hashes_b"), num_tables))
-    return _scored(joined, threshold)
+    return joined.select(
+        "a", "b", F.size(F.array_intersect("items_a", "items_b")).cast("bigint").alias("inter"),
+        F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
+
+
+def _verify_long(pairs: DataFrame, inter_a: DataFrame, inter_b: DataFrame,
+                 sig_a: DataFrame, sig_b: DataFrame, num_tables: int | None) -> DataFrame:
+    """Intersections without gathering sets: expand each pair by the
+    elements of its smaller side, keep those the other side holds, count.
+    Work per pair is ``min(n_a, n_b)`` rows; no row ever holds a whole set."""
+    sa = sig_a.select(F.col("u").alias("a"), F.col("n").alias("n_a"),
+                      *([F.col("hashes").alias("hashes_a")] if num_tables else []))
+    sb = sig_b.select(F.col("u").alias("b"), F.col("n").alias("n_b"),
+                      *([F.col("hashes").alias("hashes_b")] if num_tables else []))
+    p = pairs.select("a", "b").join(sa, "a").join(sb, "b")
+    if num_tables:
+        p = p.where(_shared_bucket(F.col("hashes_a"), F.col("hashes_b"), num_tables))
+    p = p.select("a", "b", "n_a", "n_b", (F.col("n_a") <= F.col("n_b")).alias("_left"))
+    from_a = (p.where("_left").join(inter_a.select(F.col("u").alias("a"), "i"), "a")
+               .join(inter_b.select(F.col("u").alias("b"), "i"), ["b", "i"], "left_semi"))
+    from_b = (p.where(~F.col("_left")).join(inter_b.select(F.col("u").alias("b"), "i"), "b")
+               .join(inter_a.select(F.col("u").alias("a"), "i"), ["a", "i"], "left_semi"))
+    hits = from_a.unionByName(from_b)
+    return (hits.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).cast("bigint").alias("inter"))
+                .select("a", "b", "inter", F.col("n_a").cast("bigint").alias("n_a"),
+                        F.col("n_b").cast("bigint").alias("n_b")))
+
+
+def verify(pairs: DataFrame, inter: DataFrame, threshold: float | None = None,
+           model: MinHashModel | None = None, inter_b: DataFrame | None = None,
+           check_buckets: bool = False, big_set: int = BIG_SET) -> DataFrame:
+    """``(a, b, inter, n_a, n_b, sim)`` for candidate pairs over long-form sets.
+
+    ``sim = inter / (n_a + n_b - inter)``; a threshold keeps
+    ``1 - sim < threshold`` (strict, as Spark ML's distance test).  With
+    ``check_buckets`` the pair must also agree on at least one signature
+    entry of ``model``.  Sets up to ``big_set`` elements are gathered into
+    sorted arrays (one row per entity) and intersected per pair; pairs with a
+    bigger set are counted in long form instead.
+    """
+    inter_b = inter if inter_b is None else inter_b
+    tables = model.num_tables if check_buckets else None
+    big_a, n_big_a = _bounded_broadcast(big_entities(inter, big_set))
+    big_b, n_big_b = (big_a, n_big_a) if inter_b is inter else _bounded_broadcast(big_entities(inter_b, big_set))
+    small_a = inter.join(big_a.select("u"), "u", "left_anti") if n_big_a else inter
+    small_b = inter_b.join(big_b.select("u"), "u", "left_anti") if n_big_b else inter_b
+    prof_a = profiles(small_a, model if check_buckets else None)
+    prof_b = prof_a if inter_b is inter else profiles(small_b, model if check_buckets else None)
+    out = _verify_arrays(pairs, prof_a, None if inter_b is inter else prof_b, tables)
+    if n_big_a or n_big_b:
+        is_big = F.lit(False)
+        p = pairs.select("a", "b")
+        if n_big_a:
+            p = p.join(big_a.select(F.col("u").alias("a"), F.lit(True).alias("_ba")), "a", "left")
+            is_big = is_big | F.col("_ba").isNotNull()
+        if n_big_b:
+            p = p.join(big_b.select(F.col("u").alias("b"), F.lit(True).alias("_bb")), "b", "left")
+            is_big = is_big | F.col("_bb").isNotNull()
+        big_pairs = p.where(is_big).select("a", "b")
+        sig_a = signatures(inter, model) if check_buckets else inter.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        sig_b = sig_a if inter_b is inter else (
+            signatures(inter_b, model) if check_buckets else inter_b.groupBy("u").agg(F.count(F.lit(1)).alias("n")))
+        out = out.unionByName(_verify_long(big_pairs, inter, inter_b, sig_a, sig_b, tables))
+    return _scored(out, threshold)
 
 
 def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
-                block_size: int = DEFAULT_BLOCK) -> dict:
+                block_size: int = DEFAULT_BLOCK, big_set: int = BIG_SET) -> dict:
     """Pick the candidate route from exact group-size statistics.
 
     ``buckets``: groups are (table, hash); ``prefix``: groups are prefix
@@ -276,7 +353,7 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
         # J >= 1 - threshold >= 0.5: prefixes are at most half of each set and
         # skip the common tokens, while single-hash buckets still pair up a
         # fixed share of all dissimilar sets; no need to measure.
-        pre = cut_lineage(prefix_tokens(inter, threshold))
+        pre = cut_lineage(prefix_tokens(inter, threshold, big_set))
         plan.update(strategy="prefix", prefix_rows=pre)
         plan["prefix_pairs"], plan["prefix_hot"] = group_stats(pre, ["tok"], block_size)
         return plan
@@ -284,7 +361,7 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
     plan["bucket_rows"] = bkt
     plan["bucket_pairs"], plan["bucket_hot"] = group_stats(bkt, ["tb", "hv"], block_size)
     if threshold is not None and threshold < 1.0:
-        pre = cut_lineage(prefix_tokens(inter, threshold))
+        pre = cut_lineage(prefix_tokens(inter, threshold, big_set))
         plan["prefix_rows"] = pre
         plan["prefix_pairs"], plan["prefix_hot"] = group_stats(pre, ["tok"], block_size)
         if plan["prefix_pairs"] < plan["bucket_pairs"]:
@@ -294,7 +371,7 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
 
 def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | None = None,
                     strategy: str = "auto", block_size: int = DEFAULT_BLOCK,
-                    materialize: bool = True) -> DataFrame:
+                    materialize: bool = True, big_set: int = BIG_SET) -> DataFrame:
     """Approximate similarity self-join (D5): pairs sharing a bucket in any
     table, verified, distance strictly below ``threshold`` (all candidate
     pairs when ``threshold`` is None).  Output ``(a, b, inter, n_a, n_b, sim)``.
@@ -306,15 +383,14 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     if materialize:
         inter = cut_lineage(inter)
     if strategy == "auto":
-        plan = choose_plan(inter, model, threshold, block_size)
+        plan = choose_plan(inter, model, threshold, block_size, big_set)
     else:
         plan = {"strategy": strategy}
     if plan["strategy"] == "prefix" and threshold is None:
         raise ValueError("prefix strategy needs a threshold")
-    prof = profiles(inter, model)
     if plan["strategy"] == "prefix":
         rows = plan.get("prefix_rows")
-        rows = prefix_tokens(inter, threshold) if rows is None else rows
+        rows = prefix_tokens(inter, threshold, big_set) if rows is None else rows
         keys, hot, check = ["tok"], plan.get("prefix_hot"), True
     elif plan["strategy"] == "buckets":
         rows = plan.get("bucket_rows")
@@ -323,27 +399,28 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
     pairs = pairs_in_groups(rows, keys, threshold, block_size, hot)
-    return verify(pairs, prof, threshold, num_tables=model.num_tables if check else None)
+    return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set)
 
 
 def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
-                        threshold: float | None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                        threshold: float | None, block_size: int = DEFAULT_BLOCK,
+                        big_set: int = BIG_SET) -> DataFrame:
     """Similarity join between two tables of sets (D5, A x B): ``a`` from
     ``left``, ``b`` from ``right``, both long form ``(u, i)``."""
     bl = buckets(signatures(left, model))
     br = buckets(signatures(right, model))
     pairs = pairs_across_groups(bl, br, ["tb", "hv"], threshold, block_size)
-    return verify(pairs, profiles(left), threshold, prof_b=profiles(right))
+    return verify(pairs, left, threshold, model, inter_b=right, big_set=big_set)
 
 
 def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_BLOCK,
-                  materialize: bool = True) -> DataFrame:
+                  materialize: bool = True, big_set: int = BIG_SET) -> DataFrame:
     """All pairs with Jaccard distance strictly below ``threshold`` (D8), no
     hashing: prefix-filtered candidates, then exact verification."""
     if materialize:
         inter = cut_lineage(inter)
-    pre = prefix_tokens(inter, threshold)
-    return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), profiles(inter), threshold)
+    pre = prefix_tokens(inter, threshold, big_set)
+    return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), inter, threshold, big_set=big_set)
 
 
 # ------------------------------------------------------ nearest neighbours

@@ -99,6 +99,22 @@ def test_hot_groups_split_into_blocks(make_inter):
     assert p_plain == p_split
 
 
+def test_big_sets_verified_in_long_form(make_inter):
+    # sets above big_set are never gathered into arrays; results must not change
+    sets = {u: set(range(u % 5, u % 5 + 3 + u % 9)) | {100 + u % 3} for u in range(1, 30)}
+    inter = make_inter(sets)
+    for thr in (0.5, 0.8):
+        want = lsh_pairs(sets, M, thr)
+        for strategy in ("buckets", "prefix"):
+            got = _pairs(lsh.similarity_join(inter, M, thr, strategy=strategy, big_set=5))
+            assert got == pytest.approx(want), (thr, strategy)
+        assert set(_pairs(lsh.exact_jaccard(inter, thr, big_set=4))) == set(exact_pairs(sets, thr))
+    left = {1: {1, 2, 3, 4, 5, 6}, 2: {10, 11}}
+    right = {1: {1, 2, 3, 4, 5}, 5: {10, 11, 12}}
+    a = _pairs(lsh.similarity_join_two(make_inter(left), make_inter(right), M, 0.5, big_set=2))
+    assert a == pytest.approx({(1, 1): 5 / 6, (2, 5): 2 / 3})
+
+
 def test_blocked_candidates_equal(make_inter):
     sets = {u: {0, 1, u} for u in range(2, 40)}
     bkt = lsh.buckets(lsh.signatures(make_inter(sets), M))
