@@ -1,0 +1,7 @@
+"""Streaming use of the batch operators.
+
+The reference has no streaming operator, so nothing new is defined here: this
+package only shows that signatures (D2) need no batch-only step.  A MinHash
+entry is a ``min`` aggregate, so partial signatures of micro-batches can be
+appended and reduced again with ``min`` — exact and idempotent.
+"""

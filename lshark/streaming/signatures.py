@@ -1,0 +1,52 @@
+"""MinHash signatures maintained from a stream of interactions.
+
+Each micro-batch appends ``(u, hashes)`` partial signatures (min over that
+batch) to a parquet folder; :func:`read_signatures` reduces all partials with
+``min`` per table.  Because ``min`` is idempotent, a replayed micro-batch
+(e.g. after an executor or driver restart) cannot change the result, so the
+plain append sink is enough for exact answers.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from lshark.functions.minhash import MinHashModel
+from lshark.session import checkpoint_dir
+
+
+def partial_signatures(inter: DataFrame, model: MinHashModel) -> DataFrame:
+    """``(u, h0..h{T-1})`` minima over whatever rows ``inter`` holds; works on
+    batch and streaming DataFrames alike (no distinct needed for ``min``)."""
+    return inter.groupBy("u").agg(*[F.min(model.hash_col(F.col("i"), t)).alias(f"h{t}")
+                                    for t in range(model.num_tables)])
+
+
+def start_signature_stream(inter_stream: DataFrame, model: MinHashModel, out_path: str,
+                           name: str = "signatures", trigger: dict | None = None) -> StreamingQuery:
+    """Append each micro-batch's partial signatures to ``out_path``.
+
+    The query's checkpoint lives in the session's shared checkpoint folder.
+    """
+    spark = inter_stream.sparkSession
+    ckpt = os.path.join(checkpoint_dir(spark), f"stream-{name}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partial_signatures(batch, model).withColumn("batch_id", F.lit(batch_id)) \
+            .write.mode("append").parquet(out_path)
+
+    writer = inter_stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
+def read_signatures(spark: SparkSession, path: str, model: MinHashModel) -> DataFrame:
+    """Current signatures ``(u, hashes)``: min over all appended partials."""
+    df = spark.read.parquet(path)
+    agg = df.groupBy("u").agg(*[F.min(f"h{t}").alias(f"h{t}") for t in range(model.num_tables)])
+    return agg.select("u", F.array(*[F.col(f"h{t}") for t in range(model.num_tables)]).alias("hashes"))

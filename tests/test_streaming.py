@@ -1,0 +1,33 @@
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from lshark.functions.minhash import fit
+from lshark.operators import lsh, prep
+from lshark.sources import tables
+from lshark.streaming.signatures import read_signatures, start_signature_stream
+
+
+def test_stream_signatures_equal_batch(spark):
+    m = fit(5, 42)
+    ev = tables.load(spark, SF_SMALL, "events")
+    src = tempfile.mkdtemp(prefix="lshark-stream-src-")
+    out = tempfile.mkdtemp(prefix="lshark-stream-out-")
+    # two files arrive: the stream must end with the same signatures as one batch
+    ev.where("event_id % 2 = 0").write.mode("append").parquet(src)
+    stream = (spark.readStream.schema(tables.SCHEMAS["events"]).parquet(src)
+              .select(F.col("user_id").alias("u"), prep.event_item().alias("i"))
+              .where("u IS NOT NULL AND i IS NOT NULL"))
+    q = start_signature_stream(stream, m, os.path.join(out, "sig"), name=os.path.basename(out))
+    try:
+        q.processAllAvailable()
+        ev.where("event_id % 2 = 1").write.mode("append").parquet(src)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.u: list(r.hashes) for r in read_signatures(spark, os.path.join(out, "sig"), m).collect()}
+    batch = lsh.signatures(prep.interactions(ev, "user_id", prep.event_item()), m)
+    want = {r.u: list(r.hashes) for r in batch.collect()}
+    assert got == want
