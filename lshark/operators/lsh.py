@@ -33,6 +33,8 @@ from lshark.session import cut_lineage
 DEFAULT_BLOCK = 2048           # members per block when a group is split
 PREFIX_ALWAYS = 0.5            # distance thresholds up to this use prefix filtering
 BIG_SET = 50_000               # sets larger than this are never gathered into one row
+PAIRS_PER_PARTITION = 1_000_000  # target pair work per task in pair joins
+MAX_PAIR_PARTITIONS = 200_000
 BROADCAST_ROWS = 2_000_000     # hot-group rows we allow to broadcast (3 longs each)
 _EPS = 1e-9
 
@@ -94,6 +96,19 @@ def group_stats(rows: DataFrame, keys: list[str], block_size: int = DEFAULT_BLOC
     return int(r["p"] or 0), int(r["h"] or 0)
 
 
+def pair_partitions(spark, est_pairs: int) -> int:
+    """Partitions for a pair-producing stage, from its pair estimate.
+
+    AQE sizes shuffle partitions by their *input* bytes; a group join's
+    output is quadratic in its input, so a few MB of bucket rows can carry
+    millions of pairs and would be coalesced into one task.  The explicit
+    count (never coalesced) keeps about ``PAIRS_PER_PARTITION`` pairs per
+    task, and never fewer partitions than the session default.
+    """
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, min(MAX_PAIR_PARTITIONS, -(-int(est_pairs) // PAIRS_PER_PARTITION)))
+
+
 def _hot_table(rows: DataFrame, keys: list[str], block_size: int, n_hot: int) -> DataFrame:
     hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
                .where(F.col("_m") > block_size)
@@ -102,7 +117,7 @@ def _hot_table(rows: DataFrame, keys: list[str], block_size: int, n_hot: int) ->
 
 
 def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block_size: int,
-                carry: list[str], n_hot: int | None = None) -> DataFrame:
+                carry: list[str], stats: tuple[int, int] | None = None) -> DataFrame:
     """Self join of ``rows`` on ``keys``; every unordered pair of distinct
     members meets once per shared group.  Output ``a < b`` plus
     ``<c>_a`` / ``<c>_b`` for each carried column (``n`` always carried).
@@ -110,12 +125,14 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
     Groups above ``block_size`` members are cut into ``S`` hash blocks; a
     member of block ``p`` goes to block pairs ``(p, q>=p)`` on the left and
     ``(q<=p, p)`` on the right, so no task squares a whole hot group.
+    ``stats`` is ``group_stats(rows, keys, block_size)`` when already known.
     """
     cols = list(dict.fromkeys(["n"] + carry))
     rows = rows.select(*keys, "u", *cols)
-    if n_hot is None:
-        n_hot = group_stats(rows, keys, block_size)[1]
+    est, n_hot = stats if stats is not None else group_stats(rows, keys, block_size)
+    nparts = pair_partitions(rows.sparkSession, est)
     if n_hot == 0:
+        rows = rows.repartition(nparts, *keys)
         l, r = rows.alias("l"), rows.alias("r")
         cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [F.col("l.u") < F.col("r.u")]
     else:
@@ -128,7 +145,8 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
         right = blocked.select(*keys, "u", *cols,
                                F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_p"),
                                F.col("_blk").alias("_q"))
-        l, r = left.alias("l"), right.alias("r")
+        l = left.repartition(nparts, *keys, "_p", "_q").alias("l")
+        r = right.repartition(nparts, *keys, "_p", "_q").alias("r")
         cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys + ["_p", "_q"]]
         cond.append(((F.col("l._p") < F.col("l._q")) & (F.col("l.u") != F.col("r.u")))
                     | (F.col("l.u") < F.col("r.u")))
@@ -144,13 +162,19 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
 
 
 def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None = None,
-                    block_size: int = DEFAULT_BLOCK, n_hot: int | None = None) -> DataFrame:
+                    block_size: int = DEFAULT_BLOCK, stats: tuple[int, int] | None = None) -> DataFrame:
     """Distinct ``(a, b)``, ``a < b``, of members sharing a group (self join).
 
     ``rows`` has ``keys`` + ``u`` (member) + ``n`` (set size); with a
-    threshold the size bound is part of the join condition.
+    threshold the size bound is part of the join condition.  The result is
+    hash-partitioned on ``a`` into as many partitions as the pair estimate
+    asks for, ready for the verification join on ``a``.
     """
-    return _group_join(rows, keys, threshold, block_size, [], n_hot).select("a", "b").distinct()
+    rows = rows.select(*keys, "u", "n")
+    stats = stats if stats is not None else group_stats(rows, keys, block_size)
+    nparts = pair_partitions(rows.sparkSession, stats[0])
+    return (_group_join(rows, keys, threshold, block_size, [], stats)
+            .select("a", "b").distinct().repartition(nparts, "a"))
 
 
 def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
@@ -160,18 +184,22 @@ def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
     is cut into blocks; each left block meets each right block in one task."""
     lrows = lrows.select(*keys, "u", "n")
     rrows = rrows.select(*keys, "u", "n")
-    cnt = (lrows.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-           .unionByName(rrows.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
-           .groupBy(*keys).agg(F.sum("_l").alias("_ml"), F.sum("_r").alias("_mr"))
-           .where((F.col("_ml") > block_size) | (F.col("_mr") > block_size))
-           .select(*keys, F.ceil(F.col("_ml") / F.lit(block_size)).cast("int").alias("_SL"),
-                   F.ceil(F.col("_mr") / F.lit(block_size)).cast("int").alias("_SR")))
-    n_hot = cnt.count()
+    per_group = (lrows.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+                 .unionByName(rrows.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+                 .groupBy(*keys).agg(F.sum("_l").alias("_ml"), F.sum("_r").alias("_mr")))
+    is_hot = (F.col("_ml") > block_size) | (F.col("_mr") > block_size)
+    st = per_group.agg(F.sum(F.col("_ml") * F.col("_mr")).alias("p"),
+                       F.count(F.when(is_hot, 1)).alias("h")).first()
+    n_hot, nparts = int(st["h"] or 0), pair_partitions(lrows.sparkSession, int(st["p"] or 0))
     cond_extra = _size_bound(F.col("l.n"), F.col("r.n"), threshold)
     if n_hot == 0:
-        l, r = lrows.alias("l"), rrows.alias("r")
+        l = lrows.repartition(nparts, *keys).alias("l")
+        r = rrows.repartition(nparts, *keys).alias("r")
         cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     else:
+        cnt = per_group.where(is_hot).select(
+            *keys, F.ceil(F.col("_ml") / F.lit(block_size)).cast("int").alias("_SL"),
+            F.ceil(F.col("_mr") / F.lit(block_size)).cast("int").alias("_SR"))
         hot = F.broadcast(cnt) if n_hot <= BROADCAST_ROWS else cnt
 
         def blocked(rows):
@@ -180,15 +208,16 @@ def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
                         .withColumn("_SR", F.greatest(F.coalesce("_SR", F.lit(1)), F.lit(1))))
         lb = blocked(lrows).withColumn("_p", F.pmod(F.xxhash64("u"), F.col("_SL")).cast("int"))
         rb = blocked(rrows).withColumn("_q", F.pmod(F.xxhash64("u"), F.col("_SR")).cast("int"))
-        l = lb.select(*keys, "u", "n", "_p",
-                      F.explode(F.sequence(F.lit(0), F.col("_SR") - 1)).alias("_q")).alias("l")
-        r = rb.select(*keys, "u", "n", "_q",
-                      F.explode(F.sequence(F.lit(0), F.col("_SL") - 1)).alias("_p")).alias("r")
+        l = (lb.select(*keys, "u", "n", "_p", F.explode(F.sequence(F.lit(0), F.col("_SR") - 1)).alias("_q"))
+               .repartition(nparts, *keys, "_p", "_q").alias("l"))
+        r = (rb.select(*keys, "u", "n", "_q", F.explode(F.sequence(F.lit(0), F.col("_SL") - 1)).alias("_p"))
+               .repartition(nparts, *keys, "_p", "_q").alias("r"))
         cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys + ["_p", "_q"]]
     if cond_extra is not None:
         cond.append(cond_extra)
     return (l.join(r, reduce(lambda x, y: x & y, cond))
-             .select(F.col("l.u").alias("a"), F.col("r.u").alias("b")).distinct())
+             .select(F.col("l.u").alias("a"), F.col("r.u").alias("b")).distinct()
+             .repartition(nparts, "a"))
 
 
 def candidates(bkt: DataFrame, threshold: float | None = None,
@@ -253,11 +282,11 @@ def _shared_bucket(ha: Column, hb: Column, num_tables: int) -> Column:
 
 
 def _scored(df: DataFrame, threshold: float | None) -> DataFrame:
-    out = df.withColumn("sim", F.col("inter").cast("double")
-                        / (F.col("n_a") + F.col("n_b") - F.col("inter")).cast("double"))
+    out = df.where(F.col("inter") > 0).withColumn(
+        "sim", F.col("inter").cast("double") / (F.col("n_a") + F.col("n_b") - F.col("inter")).cast("double"))
     if threshold is not None:
         out = out.where(F.lit(1.0) - F.col("sim") < F.lit(threshold))
-    return out.where(F.col("inter") > 0)
+    return out
 
 
 def _verify_arrays(pairs: DataFrame, prof: DataFrame, prof_b: DataFrame | None,
@@ -268,11 +297,15 @@ def _verify_arrays(pairs: DataFrame, prof: DataFrame, prof_b: DataFrame | None,
         F.col("u").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"),
         *([F.col("hashes").alias("hashes_b")] if num_tables else []))
     joined = pairs.select("a", "b").join(pa, "a").join(pb, "b")
+    inter = F.size(F.array_intersect("items_a", "items_b")).cast("bigint")
     if num_tables:
-        joined = joined.where(_shared_bucket(F.col("hashes_a"), F.col("hashes_b"), num_tables))
-    return joined.select(
-        "a", "b", F.size(F.array_intersect("items_a", "items_b")).cast("bigint").alias("inter"),
-        F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
+        # the 5-long signature test gates the array work: the threshold test
+        # is pushed into the join condition with ``inter`` substituted, so a
+        # pair without a shared bucket must not reach array_intersect at all
+        inter = F.when(_shared_bucket(F.col("hashes_a"), F.col("hashes_b"), num_tables), inter) \
+                 .otherwise(F.lit(0).cast("bigint"))
+    return joined.select("a", "b", inter.alias("inter"),
+                         F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
 
 
 def _verify_long(pairs: DataFrame, inter_a: DataFrame, inter_b: DataFrame,
@@ -391,14 +424,16 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     if plan["strategy"] == "prefix":
         rows = plan.get("prefix_rows")
         rows = prefix_tokens(inter, threshold, big_set) if rows is None else rows
-        keys, hot, check = ["tok"], plan.get("prefix_hot"), True
+        keys, check = ["tok"], True
+        stats = (plan["prefix_pairs"], plan["prefix_hot"]) if "prefix_hot" in plan else None
     elif plan["strategy"] == "buckets":
         rows = plan.get("bucket_rows")
         rows = buckets(signatures(inter, model)) if rows is None else rows
-        keys, hot, check = ["tb", "hv"], plan.get("bucket_hot"), False
+        keys, check = ["tb", "hv"], False
+        stats = (plan["bucket_pairs"], plan["bucket_hot"]) if "bucket_hot" in plan else None
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
-    pairs = pairs_in_groups(rows, keys, threshold, block_size, hot)
+    pairs = pairs_in_groups(rows, keys, threshold, block_size, stats)
     return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set)
 
 
