@@ -86,6 +86,23 @@ def _size_bound(n_l: Column, n_r: Column, threshold: float | None) -> Column | N
     return F.least(n_l, n_r).cast("double") >= F.lit(1.0 - threshold - _EPS) * F.greatest(n_l, n_r)
 
 
+def _positional_bound(threshold: float | None) -> Column | None:
+    """PPJoin's positional filter for a pair meeting on a prefix token.
+
+    At the pair's first common token (positions ``i``, ``j``, 1-based) the
+    overlap is at most ``1 + min(n_a - i, n_b - j)``; Jaccard ``>= t`` needs
+    overlap ``>= t / (1 + t) * (n_a + n_b)``.  Later common tokens may fail
+    the bound, but the first one never does for a qualifying pair, so rows
+    failing it can be dropped inside the join without losing a pair.
+    """
+    if threshold is None or threshold >= 1.0:
+        return None
+    t = max(0.0, 1.0 - threshold - _EPS)
+    need = F.ceil(F.lit(t / (1.0 + t)) * (F.col("l.n") + F.col("r.n")).cast("double") - F.lit(1e-6))
+    have = F.lit(1) + F.least(F.col("l.n") - F.col("l.pos"), F.col("r.n") - F.col("r.pos"))
+    return have >= need
+
+
 def group_stats(rows: DataFrame, keys: list[str], block_size: int = DEFAULT_BLOCK) -> tuple[int, int]:
     """``(pairs, hot)``: sum of ``m(m-1)/2`` over groups (the pair work a
     group join would do) and the number of groups above ``block_size``.
@@ -153,6 +170,10 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
     bound = _size_bound(F.col("l.n"), F.col("r.n"), threshold)
     if bound is not None:
         cond.append(bound)
+    if "pos" in cols:
+        pos_bound = _positional_bound(threshold)
+        if pos_bound is not None:
+            cond.append(pos_bound)
     lo = F.col("l.u") < F.col("r.u")
     out = [F.least("l.u", "r.u").alias("a"), F.greatest("l.u", "r.u").alias("b")]
     for c in cols:
@@ -165,15 +186,17 @@ def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None =
                     block_size: int = DEFAULT_BLOCK, stats: tuple[int, int] | None = None) -> DataFrame:
     """Distinct ``(a, b)``, ``a < b``, of members sharing a group (self join).
 
-    ``rows`` has ``keys`` + ``u`` (member) + ``n`` (set size); with a
-    threshold the size bound is part of the join condition.  The result is
+    ``rows`` has ``keys`` + ``u`` (member) + ``n`` (set size) and, for prefix
+    tokens, ``pos``; with a threshold the size bound (and the positional
+    bound when ``pos`` is given) is part of the join condition.  The result is
     hash-partitioned on ``a`` into as many partitions as the pair estimate
     asks for, ready for the verification join on ``a``.
     """
-    rows = rows.select(*keys, "u", "n")
+    carry = ["pos"] if "pos" in rows.columns else []
+    rows = rows.select(*keys, "u", "n", *carry)
     stats = stats if stats is not None else group_stats(rows, keys, block_size)
     nparts = pair_partitions(rows.sparkSession, stats[0])
-    return (_group_join(rows, keys, threshold, block_size, [], stats)
+    return (_group_join(rows, keys, threshold, block_size, carry, stats)
             .select("a", "b").distinct().repartition(nparts, "a"))
 
 
@@ -252,7 +275,8 @@ def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET) ->
     threshold.  Token frequencies are one grouped count; the rank inside a
     set is a window over that set's rows, used only for sets of at most
     ``big_set`` elements.  Bigger sets index all their tokens: a longer
-    prefix is still exact (it only adds candidates) and needs no ranking.
+    prefix is still exact (it only adds candidates) and needs no ranking;
+    their ``pos`` is 1, which switches the positional filter off for them.
     """
     t = max(0.0, 1.0 - threshold - _EPS)
     big, n_big = _bounded_broadcast(big_entities(inter, big_set))
@@ -264,9 +288,11 @@ def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET) ->
     ranked = (ranked.withColumn("_pos", F.row_number().over(w_ord))
                     .withColumn("n", F.count(F.lit(1)).over(w_all)))
     plen = F.col("n") - F.ceil(F.col("n") * F.lit(t)) + 1
-    out = ranked.where(F.col("_pos") <= plen).select(F.col("i").alias("tok"), "u", "n")
+    out = ranked.where(F.col("_pos") <= plen).select(
+        F.col("i").alias("tok"), "u", "n", F.col("_pos").cast("int").alias("pos"))
     if n_big:
-        out = out.unionByName(inter.join(big, "u").select(F.col("i").alias("tok"), "u", "n"))
+        out = out.unionByName(inter.join(big, "u").select(
+            F.col("i").alias("tok"), "u", "n", F.lit(1).alias("pos")))
     return out
 
 

@@ -186,3 +186,16 @@ def test_prefix_len():
     assert lsh.prefix_len(10, 0.2) == 3
     assert lsh.prefix_len(3, 0.6) == 2
     assert lsh.prefix_len(5, 1.0) == 6
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.sets(st.integers(0, 12), min_size=1, max_size=10), min_size=2, max_size=30),
+       st.sampled_from([0.1, 0.2, 0.35, 0.5]))
+def test_exact_join_tight_thresholds(make_inter, sets, threshold):
+    # near-duplicates of similar size: where prefix, size and positional bounds all prune
+    sets = _random_sets(sets)
+    if len(sets) < 2:
+        return
+    got = _pairs(lsh.exact_jaccard(make_inter(sets), threshold, materialize=False))
+    want = exact_pairs(sets, threshold)
+    assert set(got) == set(want)
