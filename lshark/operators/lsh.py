@@ -73,9 +73,14 @@ def profiles(inter: DataFrame, model: MinHashModel | None = None) -> DataFrame:
     return out.select(*cols)
 
 
-def buckets(sig: DataFrame) -> DataFrame:
-    """One row per (entity, table): ``(u, n, tb, hv)`` (D3)."""
-    return sig.select("u", "n", F.posexplode("hashes").alias("tb", "hv"))
+def buckets(sig: DataFrame, with_hashes: bool = False) -> DataFrame:
+    """One row per (entity, table): ``(u, n, tb, hv)`` (D3).
+
+    ``with_hashes`` keeps the whole signature on each row, which lets the
+    candidate join emit a pair only at its first shared table (no dedupe).
+    """
+    extra = ["hashes"] if with_hashes else []
+    return sig.select("u", "n", *extra, F.posexplode("hashes").alias("tb", "hv"))
 
 
 # ------------------------------------------------- pairs inside equal groups
@@ -133,8 +138,17 @@ def _hot_table(rows: DataFrame, keys: list[str], block_size: int, n_hot: int) ->
     return F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
 
 
+def _first_shared_table(num_tables: int) -> Column:
+    """True when the row's table ``tb`` is the first table on which the two
+    signatures agree, so each candidate pair is emitted exactly once."""
+    return reduce(lambda x, y: x & y, [
+        (F.lit(t) >= F.col("l.tb")) | (F.col("l.hashes")[t] != F.col("r.hashes")[t])
+        for t in range(num_tables)])
+
+
 def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block_size: int,
-                carry: list[str], stats: tuple[int, int] | None = None) -> DataFrame:
+                carry: list[str], stats: tuple[int, int] | None = None,
+                num_tables: int = 0) -> DataFrame:
     """Self join of ``rows`` on ``keys``; every unordered pair of distinct
     members meets once per shared group.  Output ``a < b`` plus
     ``<c>_a`` / ``<c>_b`` for each carried column (``n`` always carried).
@@ -174,6 +188,8 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
         pos_bound = _positional_bound(threshold)
         if pos_bound is not None:
             cond.append(pos_bound)
+    if "hashes" in cols and keys == ["tb", "hv"]:
+        cond.append(_first_shared_table(num_tables))
     lo = F.col("l.u") < F.col("r.u")
     out = [F.least("l.u", "r.u").alias("a"), F.greatest("l.u", "r.u").alias("b")]
     for c in cols:
@@ -183,21 +199,30 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
 
 
 def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None = None,
-                    block_size: int = DEFAULT_BLOCK, stats: tuple[int, int] | None = None) -> DataFrame:
+                    block_size: int = DEFAULT_BLOCK, stats: tuple[int, int] | None = None,
+                    num_tables: int | None = None) -> DataFrame:
     """Distinct ``(a, b)``, ``a < b``, of members sharing a group (self join).
 
     ``rows`` has ``keys`` + ``u`` (member) + ``n`` (set size) and, for prefix
     tokens, ``pos``; with a threshold the size bound (and the positional
-    bound when ``pos`` is given) is part of the join condition.  The result is
+    bound when ``pos`` is given) is part of the join condition.  Bucket rows
+    carrying ``hashes`` emit each pair only at its first shared table, so no
+    dedupe shuffle is needed; other pairs are deduplicated.  The result is
     hash-partitioned on ``a`` into as many partitions as the pair estimate
     asks for, ready for the verification join on ``a``.
     """
-    carry = ["pos"] if "pos" in rows.columns else []
+    carry = [c for c in ("pos", "hashes") if c in rows.columns]
+    first_only = "hashes" in carry and keys == ["tb", "hv"]
+    tables = num_tables or 0
+    if first_only and not tables:
+        tables = rows.select(F.max(F.size("hashes"))).first()[0] or 0
     rows = rows.select(*keys, "u", "n", *carry)
     stats = stats if stats is not None else group_stats(rows, keys, block_size)
     nparts = pair_partitions(rows.sparkSession, stats[0])
-    return (_group_join(rows, keys, threshold, block_size, carry, stats)
-            .select("a", "b").distinct().repartition(nparts, "a"))
+    pairs = _group_join(rows, keys, threshold, block_size, carry, stats, tables).select("a", "b")
+    if not first_only:
+        pairs = pairs.distinct()
+    return pairs.repartition(nparts, "a")
 
 
 def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
@@ -416,7 +441,7 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
         plan.update(strategy="prefix", prefix_rows=pre)
         plan["prefix_pairs"], plan["prefix_hot"] = group_stats(pre, ["tok"], block_size)
         return plan
-    bkt = cut_lineage(buckets(signatures(inter, model)))
+    bkt = cut_lineage(buckets(signatures(inter, model), with_hashes=True))
     plan["bucket_rows"] = bkt
     plan["bucket_pairs"], plan["bucket_hot"] = group_stats(bkt, ["tb", "hv"], block_size)
     if threshold is not None and threshold < 1.0:
@@ -454,12 +479,12 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
         stats = (plan["prefix_pairs"], plan["prefix_hot"]) if "prefix_hot" in plan else None
     elif plan["strategy"] == "buckets":
         rows = plan.get("bucket_rows")
-        rows = buckets(signatures(inter, model)) if rows is None else rows
+        rows = buckets(signatures(inter, model), with_hashes=True) if rows is None else rows
         keys, check = ["tb", "hv"], False
         stats = (plan["bucket_pairs"], plan["bucket_hot"]) if "bucket_hot" in plan else None
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
-    pairs = pairs_in_groups(rows, keys, threshold, block_size, stats)
+    pairs = pairs_in_groups(rows, keys, threshold, block_size, stats, model.num_tables)
     return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set)
 
 

@@ -121,6 +121,11 @@ def test_blocked_candidates_equal(make_inter):
     a = {tuple(r) for r in lsh.candidates(bkt, block_size=5).collect()}
     b = {tuple(r) for r in lsh.candidates(bkt).collect()}
     assert a == b and all(x < y for x, y in a)
+    # first-shared-table emission: no duplicates and no dedupe step
+    wh = lsh.buckets(lsh.signatures(make_inter(sets), M), with_hashes=True)
+    for block in (5, 10_000):
+        rows = lsh.pairs_in_groups(wh, ["tb", "hv"], block_size=block, num_tables=5).collect()
+        assert len(rows) == len(set(map(tuple, rows))) and set(map(tuple, rows)) == b
 
 
 def test_two_table_join(make_inter):
