@@ -6,7 +6,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lshark.functions.minhash import MinHashModel
@@ -123,13 +122,20 @@ def load_model(spark: SparkSession, path: str) -> MinHashModel:
 
 def to_ml_model(spark: SparkSession, model: MinHashModel, input_col: str = "features",
                 output_col: str = "hashes"):
-    """The equivalent ``pyspark.ml`` model (parity checks, ML pipelines)."""
+    """The equivalent ``pyspark.ml`` model (parity checks, ML pipelines).
+
+    The ML estimator draws the same coefficients from the same seed; fitting
+    needs one vector only to learn the input dimension, so a one-row frame is
+    enough (no pass over any table).
+    """
     from pyspark.ml.feature import MinHashLSH
-    return (MinHashLSH(inputCol=input_col, outputCol=output_col,
-                       numHashTables=model.num_tables, seed=model.seed)
-            .fit(spark.createDataFrame([], T.StructType([
-                T.StructField(input_col, __import__("pyspark.ml.linalg", fromlist=["VectorUDT"]).VectorUDT())]))))
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    one = spark.createDataFrame([(Vectors.sparse(1, [0], [1.0]),)],
+                                T.StructType([T.StructField(input_col, VectorUDT())]))
+    return MinHashLSH(inputCol=input_col, outputCol=output_col,
+                      numHashTables=model.num_tables, seed=model.seed).fit(one)
 
 
-__all__ = ["SCHEMAS", "load", "write_preprocessed", "read_preprocessed", "save_model",
-           "load_model", "to_ml_model", "F"]
+__all__ = ["SCHEMAS", "load", "spread", "write_preprocessed", "read_preprocessed", "save_model",
+           "load_model", "to_ml_model"]

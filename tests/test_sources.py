@@ -53,3 +53,13 @@ def test_spread_only_when_needed(spark):
     assert tables.spread(df, 4).rdd.getNumPartitions() == 4
     many = spark.range(0, 100, numPartitions=6)
     assert tables.spread(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_to_ml_model_hashes_like_ours(spark, make_inter):
+    from pyspark.ml.linalg import Vectors
+    m = fit(5, 42)
+    ml = tables.to_ml_model(spark, m)
+    vec = spark.createDataFrame([(1, Vectors.sparse(10, [0, 3, 7], [1.0, 2.0, 5.0]))], ["u", "features"])
+    got = [int(v[0]) for v in ml.transform(vec).first().hashes]
+    ours = list(lsh.signatures(make_inter({1: {0, 3, 7}}), m).first().hashes)
+    assert got == ours
