@@ -168,7 +168,7 @@ def q_lsh_report_sql():
             f"(SELECT CAST(n * (n - 1) / 2 AS BIGINT) FROM ne) AS all_pairs) "
             f"SELECT exact_pairs, found_pairs, found_pairs AS true_pairs, "
             f"round(CASE WHEN exact_pairs > 0 THEN found_pairs / exact_pairs END, 6) AS recall, "
-            f"round(CASE WHEN found_pairs > 0 THEN 1.0 END, 6) AS precision, candidate_pairs, all_pairs, "
+            f"round(CASE WHEN found_pairs > 0 THEN CAST(1.0 AS DOUBLE) END, 6) AS precision, candidate_pairs, all_pairs, "
             f"round(candidate_pairs / all_pairs, 6) AS candidate_ratio FROM c")
 
 
