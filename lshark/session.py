@@ -66,4 +66,25 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _STAGES.append(path)
     return spark.read.parquet(path)
+
+
+_STAGES: list[str] = []
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete the stage tables written by :func:`cut_lineage` in this process.
+
+    Call once the DataFrames built on them have been consumed; deletion goes
+    through the Hadoop FileSystem of the checkpoint folder (HDFS, object
+    stores or local alike).  Returns the number of tables removed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _STAGES:
+        p = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            removed += 1
+    return removed

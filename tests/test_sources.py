@@ -4,7 +4,7 @@ import os
 from conftest import SF_SMALL
 from lshark.functions.minhash import fit
 from lshark.operators import lsh, prep
-from lshark.session import checkpoint_dir, cut_lineage
+from lshark.session import checkpoint_dir, clear_stages, cut_lineage
 from lshark.sources import tables
 
 
@@ -46,6 +46,8 @@ def test_subset_is_deterministic_md5_filter(spark):
 def test_cut_lineage_same_rows(spark, make_inter):
     inter = make_inter({1: {1, 2}, 2: {3}})
     assert sorted(map(tuple, cut_lineage(inter).collect())) == sorted(map(tuple, inter.collect()))
+    assert clear_stages(spark) >= 1
+    assert clear_stages(spark) == 0
 
 
 def test_spread_only_when_needed(spark):
