@@ -204,3 +204,21 @@ def test_exact_join_tight_thresholds(make_inter, sets, threshold):
     got = _pairs(lsh.exact_jaccard(make_inter(sets), threshold, materialize=False))
     want = exact_pairs(sets, threshold)
     assert set(got) == set(want)
+
+
+def test_more_tables_never_lose_a_pair(make_inter):
+    sets = {u: {(u * 7 + j * 3) % 40 for j in range(3 + u % 6)} for u in range(1, 45)}
+    inter = make_inter(sets)
+    few = set(_pairs(lsh.similarity_join(inter, fit(3, 9), 0.7, strategy="buckets")))
+    many = set(_pairs(lsh.similarity_join(inter, fit(8, 9), 0.7, strategy="buckets")))
+    assert few <= many
+
+
+def test_shuffled_input_same_output(spark, make_inter):
+    sets = {u: {(u * 5 + j) % 25 for j in range(2 + u % 7)} for u in range(1, 40)}
+    inter = make_inter(sets)
+    shuffled = inter.repartition(7).orderBy(F.rand(3))
+    for thr in (None, 0.6):
+        a = _pairs(lsh.similarity_join(inter, M, thr))
+        b = _pairs(lsh.similarity_join(shuffled, M, thr))
+        assert a == b
