@@ -222,3 +222,16 @@ def test_shuffled_input_same_output(spark, make_inter):
         a = _pairs(lsh.similarity_join(inter, M, thr))
         b = _pairs(lsh.similarity_join(shuffled, M, thr))
         assert a == b
+
+
+def test_recall_follows_or_of_tables(spark):
+    # each exact pair is found with probability 1 - (1 - J)^5; the observed
+    # recall over all pairs of the sf0.01 events must sit close to the mean
+    from lshark.plans import catalog
+    inter = catalog.event_interactions(spark, "/root/testdata/sf0.01", None)
+    exact = lsh.exact_jaccard(inter, 0.6)
+    found = lsh.similarity_join(inter, M, 0.6)
+    expected = exact.agg(F.avg(1 - F.pow(1 - F.col("sim"), 5))).first()[0]
+    recall = found.count() / exact.count()
+    assert abs(recall - expected) < 0.03
+    assert set(map(tuple, found.select("a", "b").collect())) <= set(map(tuple, exact.select("a", "b").collect()))
