@@ -291,7 +291,8 @@ def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, int]:
     return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
 
 
-def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET) -> DataFrame:
+def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET,
+                  big: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Prefix of each set under the global rare-first order: ``(tok, u, n)``.
 
     Two sets with Jaccard ``>= t`` share a token among their first
@@ -304,7 +305,7 @@ def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET) ->
     their ``pos`` is 1, which switches the positional filter off for them.
     """
     t = max(0.0, 1.0 - threshold - _EPS)
-    big, n_big = _bounded_broadcast(big_entities(inter, big_set))
+    big, n_big = big if big is not None else _bounded_broadcast(big_entities(inter, big_set))
     small = inter.join(big.select("u"), "u", "left_anti") if n_big else inter
     freq = small.groupBy("i").agg(F.count(F.lit(1)).alias("_df"))
     ranked = small.join(freq, "i")
@@ -384,7 +385,8 @@ def _verify_long(pairs: DataFrame, inter_a: DataFrame, inter_b: DataFrame,
 
 def verify(pairs: DataFrame, inter: DataFrame, threshold: float | None = None,
            model: MinHashModel | None = None, inter_b: DataFrame | None = None,
-           check_buckets: bool = False, big_set: int = BIG_SET) -> DataFrame:
+           check_buckets: bool = False, big_set: int = BIG_SET,
+           big: tuple[DataFrame, int] | None = None) -> DataFrame:
     """``(a, b, inter, n_a, n_b, sim)`` for candidate pairs over long-form sets.
 
     ``sim = inter / (n_a + n_b - inter)``; a threshold keeps
@@ -396,7 +398,7 @@ def verify(pairs: DataFrame, inter: DataFrame, threshold: float | None = None,
     """
     inter_b = inter if inter_b is None else inter_b
     tables = model.num_tables if check_buckets else None
-    big_a, n_big_a = _bounded_broadcast(big_entities(inter, big_set))
+    big_a, n_big_a = big if big is not None else _bounded_broadcast(big_entities(inter, big_set))
     big_b, n_big_b = (big_a, n_big_a) if inter_b is inter else _bounded_broadcast(big_entities(inter_b, big_set))
     small_a = inter.join(big_a.select("u"), "u", "left_anti") if n_big_a else inter
     small_b = inter_b.join(big_b.select("u"), "u", "left_anti") if n_big_b else inter_b
@@ -439,7 +441,8 @@ def _prefix_pairs_lower_bound(inter: DataFrame, bkt: DataFrame, threshold: float
 
 
 def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
-                block_size: int = DEFAULT_BLOCK, big_set: int = BIG_SET) -> dict:
+                block_size: int = DEFAULT_BLOCK, big_set: int = BIG_SET,
+                big: tuple[DataFrame, int] | None = None) -> dict:
     """Pick the candidate route from exact group-size statistics.
 
     ``buckets``: groups are (table, hash); ``prefix``: groups are prefix
@@ -457,7 +460,7 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
         # J >= 1 - threshold >= 0.5: prefixes are at most half of each set and
         # skip the common tokens, while single-hash buckets still pair up a
         # fixed share of all dissimilar sets; no need to measure.
-        pre = cut_lineage(prefix_tokens(inter, threshold, big_set))
+        pre = cut_lineage(prefix_tokens(inter, threshold, big_set, big))
         plan.update(strategy="prefix", prefix_rows=pre)
         plan["prefix_pairs"], plan["prefix_hot"] = group_stats(pre, ["tok"], block_size)
         return plan
@@ -468,7 +471,7 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
         plan["prefix_lower"] = _prefix_pairs_lower_bound(inter, bkt, threshold)
         if plan["prefix_lower"] >= plan["bucket_pairs"]:
             return plan                     # buckets win without ranking any set
-        pre = cut_lineage(prefix_tokens(inter, threshold, big_set))
+        pre = cut_lineage(prefix_tokens(inter, threshold, big_set, big))
         plan["prefix_rows"] = pre
         plan["prefix_pairs"], plan["prefix_hot"] = group_stats(pre, ["tok"], block_size)
         if plan["prefix_pairs"] < plan["bucket_pairs"]:
@@ -489,15 +492,16 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     """
     if materialize:
         inter = cut_lineage(inter)
+    big = _bounded_broadcast(big_entities(inter, big_set))      # computed once per join
     if strategy == "auto":
-        plan = choose_plan(inter, model, threshold, block_size, big_set)
+        plan = choose_plan(inter, model, threshold, block_size, big_set, big)
     else:
         plan = {"strategy": strategy}
     if plan["strategy"] == "prefix" and threshold is None:
         raise ValueError("prefix strategy needs a threshold")
     if plan["strategy"] == "prefix":
         rows = plan.get("prefix_rows")
-        rows = prefix_tokens(inter, threshold, big_set) if rows is None else rows
+        rows = prefix_tokens(inter, threshold, big_set, big) if rows is None else rows
         keys, check = ["tok"], True
         stats = (plan["prefix_pairs"], plan["prefix_hot"]) if "prefix_hot" in plan else None
     elif plan["strategy"] == "buckets":
@@ -508,7 +512,7 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
     pairs = pairs_in_groups(rows, keys, threshold, block_size, stats, model.num_tables)
-    return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set)
+    return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set, big=big)
 
 
 def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
@@ -528,8 +532,10 @@ def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_
     hashing: prefix-filtered candidates, then exact verification."""
     if materialize:
         inter = cut_lineage(inter)
-    pre = prefix_tokens(inter, threshold, big_set)
-    return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), inter, threshold, big_set=big_set)
+    big = _bounded_broadcast(big_entities(inter, big_set))
+    pre = prefix_tokens(inter, threshold, big_set, big)
+    return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), inter, threshold,
+                  big_set=big_set, big=big)
 
 
 # ------------------------------------------------------ nearest neighbours
