@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lshark.functions.minhash import fit
 from lshark.operators import features, lsh, prep, recommend, text
 from lshark.plans import oracle as O
-from lshark.session import checkpoint_dir
+from lshark.session import checkpoint_dir, cut_lineage
 from lshark.sources import tables
 
 SEED = 42
@@ -148,9 +148,9 @@ def q_exact_jaccard_sql():
 
 
 def q_lsh_report(spark, base):
-    inter = event_interactions(spark, base, None)
-    approx = lsh.similarity_join(inter, MODEL, EVENT_THRESHOLD)
-    exact = lsh.exact_jaccard(inter, EVENT_THRESHOLD)
+    inter = cut_lineage(event_interactions(spark, base, None), "interactions")
+    approx = lsh.similarity_join(inter, MODEL, EVENT_THRESHOLD, materialize=False)
+    exact = lsh.exact_jaccard(inter, EVENT_THRESHOLD, materialize=False)
     cands = lsh.candidates(lsh.buckets(lsh.signatures(inter, MODEL)))
     n = inter.agg(F.countDistinct("u").alias("n"))
     return lsh.lsh_report(approx, exact, cands, n)
@@ -175,7 +175,7 @@ def q_lsh_report_sql():
 # ---------------------------------------------------------------- D6, D7
 
 def q_neighbors(spark, base):
-    inter = event_interactions(spark, base)
+    inter = cut_lineage(event_interactions(spark, base), "interactions")
     key = inter.agg(F.min("u")).first()[0]          # one scalar: the probe key
     return lsh.neighbors(inter, MODEL, key, K_NEIGHBORS)
 
@@ -195,8 +195,10 @@ def q_neighbors_sql():
 
 
 def _flagship_pairs(spark, base):
-    inter = event_interactions(spark, base)
-    return inter, lsh.similarity_join(inter, MODEL, None, strategy="buckets")
+    # one written copy of the interactions feeds signatures, sets, CF scores
+    # and the seen-item filter
+    inter = cut_lineage(event_interactions(spark, base), "interactions")
+    return inter, lsh.similarity_join(inter, MODEL, None, strategy="buckets", materialize=False)
 
 
 def q_all_neighbors(spark, base):
