@@ -35,6 +35,7 @@ PREFIX_ALWAYS = 0.5            # distance thresholds up to this use prefix filte
 BIG_SET = 50_000               # sets larger than this are never gathered into one row
 PAIRS_PER_PARTITION = 1_000_000  # target pair work per task in pair joins
 MAX_PAIR_PARTITIONS = 200_000
+SMALL_SET = 16                 # sets this short are checked inside the pair join
 BROADCAST_ROWS = 2_000_000     # hot-group rows we allow to broadcast (3 longs each)
 _EPS = 1e-9
 
@@ -148,7 +149,7 @@ def _first_shared_table(num_tables: int) -> Column:
 
 def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block_size: int,
                 carry: list[str], stats: tuple[int, int] | None = None,
-                num_tables: int = 0) -> DataFrame:
+                num_tables: int = 0, out_cols: list[str] | None = None) -> DataFrame:
     """Self join of ``rows`` on ``keys``; every unordered pair of distinct
     members meets once per shared group.  Output ``a < b`` plus
     ``<c>_a`` / ``<c>_b`` for each carried column (``n`` always carried).
@@ -190,9 +191,15 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
             cond.append(pos_bound)
     if "hashes" in cols and keys == ["tb", "hv"]:
         cond.append(_first_shared_table(num_tables))
+    if "items" in cols and threshold is not None and threshold < 1.0:
+        # short sets ride along: the exact overlap test drops false candidates
+        # inside the join, before any pair is shuffled
+        t = max(0.0, 1.0 - threshold - _EPS)
+        need = F.ceil(F.lit(t / (1.0 + t)) * (F.col("l.n") + F.col("r.n")).cast("double") - F.lit(1e-6))
+        cond.append(F.size(F.array_intersect(F.col("l.items"), F.col("r.items"))) >= need)
     lo = F.col("l.u") < F.col("r.u")
     out = [F.least("l.u", "r.u").alias("a"), F.greatest("l.u", "r.u").alias("b")]
-    for c in cols:
+    for c in (cols if out_cols is None else out_cols):
         out.append(F.when(lo, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")).alias(f"{c}_a"))
         out.append(F.when(lo, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(f"{c}_b"))
     return l.join(r, reduce(lambda x, y: x & y, cond)).select(*out)
@@ -211,7 +218,7 @@ def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None =
     hash-partitioned on ``a`` into as many partitions as the pair estimate
     asks for, ready for the verification join on ``a``.
     """
-    carry = [c for c in ("pos", "hashes") if c in rows.columns]
+    carry = [c for c in ("pos", "hashes", "items") if c in rows.columns]
     first_only = "hashes" in carry and keys == ["tb", "hv"]
     tables = num_tables or 0
     if first_only and not tables:
@@ -219,7 +226,8 @@ def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None =
     rows = rows.select(*keys, "u", "n", *carry)
     stats = stats if stats is not None else group_stats(rows, keys, block_size)
     nparts = pair_partitions(rows.sparkSession, stats[0])
-    pairs = _group_join(rows, keys, threshold, block_size, carry, stats, tables).select("a", "b")
+    pairs = _group_join(rows, keys, threshold, block_size, carry, stats, tables,
+                        out_cols=["n"]).select("a", "b")
     if not first_only:
         pairs = pairs.distinct()
     return pairs.repartition(nparts, "a")
@@ -456,6 +464,7 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
     copies arrays into every emitted row).
     """
     plan = {"strategy": "buckets"}
+    plan["max_set"] = inter.groupBy("u").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if threshold is not None and threshold <= PREFIX_ALWAYS:
         # J >= 1 - threshold >= 0.5: prefixes are at most half of each set and
         # skip the common tokens, while single-hash buckets still pair up a
@@ -511,6 +520,8 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
         stats = (plan["bucket_pairs"], plan["bucket_hot"]) if "bucket_hot" in plan else None
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
+    if threshold is not None and plan.get("max_set", SMALL_SET + 1) <= SMALL_SET:
+        rows = rows.join(inter.groupBy("u").agg(F.array_sort(F.collect_list("i")).alias("items")), "u")
     pairs = pairs_in_groups(rows, keys, threshold, block_size, stats, model.num_tables)
     return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set, big=big)
 
