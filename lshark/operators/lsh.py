@@ -294,6 +294,16 @@ def big_entities(inter: DataFrame, big_set: int = BIG_SET) -> DataFrame:
                  .where(F.col("n") > big_set))
 
 
+def entity_stats(inter: DataFrame, big_set: int = BIG_SET) -> tuple[tuple[DataFrame, int], int]:
+    """``((big, n_big), max_set)`` from one aggregation of set sizes: the big
+    entities (broadcast when their count allows) and the largest set."""
+    sizes = inter.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    r = sizes.agg(F.max("n").alias("mx"), F.count(F.when(F.col("n") > big_set, 1)).alias("nb")).first()
+    n_big = int(r["nb"] or 0)
+    big = sizes.where(F.col("n") > big_set)
+    return ((F.broadcast(big) if n_big <= BROADCAST_ROWS else big), n_big), int(r["mx"] or 0)
+
+
 def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, int]:
     n = df.count()
     return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
@@ -464,7 +474,6 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
     copies arrays into every emitted row).
     """
     plan = {"strategy": "buckets"}
-    plan["max_set"] = inter.groupBy("u").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if threshold is not None and threshold <= PREFIX_ALWAYS:
         # J >= 1 - threshold >= 0.5: prefixes are at most half of each set and
         # skip the common tokens, while single-hash buckets still pair up a
@@ -501,11 +510,12 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     """
     if materialize:
         inter = cut_lineage(inter)
-    big = _bounded_broadcast(big_entities(inter, big_set))      # computed once per join
+    big, max_set = entity_stats(inter, big_set)                # once per join
     if strategy == "auto":
         plan = choose_plan(inter, model, threshold, block_size, big_set, big)
     else:
         plan = {"strategy": strategy}
+    plan["max_set"] = max_set
     if plan["strategy"] == "prefix" and threshold is None:
         raise ValueError("prefix strategy needs a threshold")
     if plan["strategy"] == "prefix":
