@@ -235,3 +235,20 @@ def test_recall_follows_or_of_tables(spark):
     recall = found.count() / exact.count()
     assert abs(recall - expected) < 0.03
     assert set(map(tuple, found.select("a", "b").collect())) <= set(map(tuple, exact.select("a", "b").collect()))
+
+
+def test_prefix_lower_bound_is_a_lower_bound(make_inter):
+    sets = {u: {(u * 3 + j * 7) % 23 for j in range(2 + u % 9)} for u in range(1, 60)}
+    inter = make_inter(sets)
+    bkt = lsh.buckets(lsh.signatures(inter, M), with_hashes=True)
+    for thr in (0.3, 0.6, 0.8):
+        lower = lsh._prefix_pairs_lower_bound(inter, bkt, thr)
+        actual, _ = lsh.group_stats(lsh.prefix_tokens(inter, thr), ["tok"])
+        assert lower <= actual
+
+
+def test_pair_partitions_follow_estimate(spark):
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert lsh.pair_partitions(spark, 0) == base
+    assert lsh.pair_partitions(spark, 50 * lsh.PAIRS_PER_PARTITION) == max(base, 50)
+    assert lsh.pair_partitions(spark, 10 ** 15) == lsh.MAX_PAIR_PARTITIONS
