@@ -553,8 +553,10 @@ def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_
     hashing: prefix-filtered candidates, then exact verification."""
     if materialize:
         inter = cut_lineage(inter)
-    big = _bounded_broadcast(big_entities(inter, big_set))
+    big, max_set = entity_stats(inter, big_set)
     pre = prefix_tokens(inter, threshold, big_set, big)
+    if max_set <= SMALL_SET:
+        pre = pre.join(inter.groupBy("u").agg(F.array_sort(F.collect_list("i")).alias("items")), "u")
     return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), inter, threshold,
                   big_set=big_set, big=big)
 
