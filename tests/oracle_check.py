@@ -40,3 +40,29 @@ def compare(spark_df, sql: str, sf_dir: str, con=None) -> tuple[bool, str]:
         diff = a.compare(b)
         return False, f"values differ in {len(diff)} rows:\n{diff.head(10)}"
     return True, f"{len(got)} rows equal"
+
+
+def main(argv: list[str]) -> int:
+    """``python tests/oracle_check.py SF_DIR [query ...]``: every (or the named)
+    registered query against its DuckDB twin, one line each."""
+    import os
+    import sys
+    import time
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    import __spark_entry__ as entry_mod
+    from lshark.session import get_session
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    spark = get_session("local[8]", 8)
+    queries, sql, con = entry_mod.queries(), entry_mod.oracle_sql(), duck(sf_dir)
+    failed = 0
+    for name in (argv[1:] or list(queries)):
+        t0 = time.time()
+        ok, msg = compare(queries[name](spark, sf_dir), sql[name], sf_dir, con)
+        failed += not ok
+        print(f"{name}: {'OK' if ok else 'FAIL'} {msg} ({time.time() - t0:.1f}s)", flush=True)
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    import sys
+    raise SystemExit(main(sys.argv[1:]))
