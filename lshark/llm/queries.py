@@ -4,15 +4,32 @@ returns the digest columns."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lshark.llm import substring, suffix
+from lshark.llm import bagminhash, bytebpe, packing, substring, suffix
+
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark, base):
+    return packing.pack_documents(table(spark, base, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op3_byte_bpe(spark, base):
+    return bytebpe.round_trip(table(spark, base, "documents"), public_tokenizers.path(BYTE_BPE),
+                              public_tokenizers.PATTERN)
+
+
+def op4_minhash_dedup(spark, base):
+    return bagminhash.near_duplicates(table(spark, base, "documents"))
+
+
 def op8_substring_dedup(spark, base):
     return substring.digest(substring.remove_repeats(table(spark, base, "documents")))
 
@@ -22,6 +39,9 @@ def op10_suffix_dedup(spark, base):
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_minhash_dedup": op4_minhash_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
