@@ -6,8 +6,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lshark.llm import bagminhash, bytebpe, packing, substring, suffix
+from lshark.llm import bagminhash, bytebpe, langid, packing, quality, substring, suffix
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -17,6 +18,18 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+#: Score from which a document counts as good, as the contract of operator 1 sets it.
+GOOD = 0.3
+
+
+def op1_quality_classifier(spark, base):
+    docs = table(spark, base, "documents")
+    model = quality.fit(docs, table(spark, base, "labels"))
+    scored = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+                         quality.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 def op2_best_fit_packing(spark, base):
     return packing.pack_documents(table(spark, base, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -30,6 +43,14 @@ def op4_minhash_dedup(spark, base):
     return bagminhash.near_duplicates(table(spark, base, "documents"))
 
 
+def op6_language_id(spark, base):
+    docs = table(spark, base, "documents")
+    model = langid.fit(docs)
+    found = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"),
+                        langid.identify(model, F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def op8_substring_dedup(spark, base):
     return substring.digest(substring.remove_repeats(table(spark, base, "documents")))
 
@@ -39,9 +60,11 @@ def op10_suffix_dedup(spark, base):
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op6_language_id": op6_language_id,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
