@@ -49,15 +49,17 @@ def id_back(col: Column) -> Column:
     return F.when(col != F.lit(NULL_ID), col)
 
 
-def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(d, f, text)``: id key, content fingerprint and text (null text: empty).
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``(d, f, text)``: id key, content fingerprint and text (null text: empty);
+    with ``carry`` also ``row``, the input row as a struct.
 
     ``(d, f)`` tells rows apart that share an id but not a text; rows equal in
     both get equal results, so they may share a key.  Other columns of the
     input are not carried, so their names cannot clash.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(id_key(F.col(id_col)).alias("d"), F.xxhash64(text).alias("f"), text.alias("text"))
+    return docs.select(id_key(F.col(id_col)).alias("d"), F.xxhash64(text).alias("f"), text.alias("text"),
+                       *([F.struct("*").alias("row")] if carry else []))
 
 
 def text_bytes(arr) -> tuple[np.ndarray, np.ndarray]:

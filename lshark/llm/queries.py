@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lshark.llm import bagminhash, bytebpe, langid, packing, quality, substring, suffix
+from lshark.llm import bagminhash, bytebpe, langid, mtree, packing, pigeonhole, quality, substring, suffix, warc
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -43,6 +43,10 @@ def op4_minhash_dedup(spark, base):
     return bagminhash.near_duplicates(table(spark, base, "documents"))
 
 
+def op5_topk_search(spark, base):
+    return mtree.top_k(table(spark, base, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_language_id(spark, base):
     docs = table(spark, base, "documents")
     model = langid.fit(docs)
@@ -51,10 +55,18 @@ def op6_language_id(spark, base):
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 
+def op7_warc(spark, base):
+    return warc.archive_pages(table(spark, base, "pages"))
+
+
 def op8_substring_dedup(spark, base):
     return substring.digest(substring.remove_repeats(table(spark, base, "documents")))
 
 
+def op9_embedding_dedup(spark, base):
+    return pigeonhole.near_duplicates(table(spark, base, "embeddings"))
+
+
 def op10_suffix_dedup(spark, base):
     return suffix.digest(suffix.remove_repeats(table(spark, base, "documents")))
 
@@ -64,8 +76,11 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_topk_search": op5_topk_search,
     "op6_language_id": op6_language_id,
+    "op7_warc": op7_warc,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

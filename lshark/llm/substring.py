@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lshark.llm import hashing, sketch
 from lshark.llm.common import batch, id_back, ints, keyed_texts, ship, stage, text_bytes
@@ -101,8 +102,9 @@ def _covered(n: int, spans) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = LENGTH, q: int = ANCHOR) -> DataFrame:
-    """Kept words of every text: ``(id, f, n_words, n_removed, kept)``.
+                   length: int = LENGTH, q: int = ANCHOR, carry: bool = False) -> DataFrame:
+    """Kept words of every text: ``(id, n_words, n_removed, kept)``; with
+    ``carry`` also ``row``, the input row as a struct.
 
     ``kept`` joins the kept words by one space.  Null texts have no words; a
     text shorter than ``length`` words loses none.  Null ids come before all
@@ -110,33 +112,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     earlier than the other.  An empty table gives an empty result.
     """
     ship(docs.sparkSession)
-    texts = keyed_texts(docs, id_col, text_col)
-    spans = (removal_spans(texts, length, q).groupBy("d", "f")
+    spans = (removal_spans(keyed_texts(docs, id_col, text_col), length, q).groupBy("d", "f")
              .agg(F.collect_list(F.struct("s", "e")).alias("spans")))       # at most one per word of a text
 
     def apply(batches):
         for b in batches:
-            texts, found = b.column("text"), b.column("spans").to_pylist()
-            buf, off = text_bytes(texts)
+            found = b.column("spans").to_pylist()
+            buf, off = text_bytes(b.column("text"))
             n_words, removed, kept = [], [], []
             for i, spans in enumerate(found):
                 ws = buf[off[i]:off[i + 1]].tobytes().split()
-                gone = 0
+                n_words.append(len(ws))
+                removed.append(0)
                 if spans:
                     mask = _covered(len(ws), [(x["s"], x["e"]) for x in spans])
-                    gone = int(mask.sum())
-                    ws_kept = compress(ws, (~mask).tolist())
-                else:
-                    ws_kept = ws
-                n_words.append(len(ws))
-                removed.append(gone)
-                kept.append(b" ".join(ws_kept).decode())
-            yield batch(["d", "f", "n_words", "n_removed", "kept"],
-                        [b.column("d"), b.column("f"), pa.array(n_words, pa.int64()),
-                         pa.array(removed, pa.int64()), pa.array(kept, pa.string())])
-
-    joined = texts.join(spans, ["d", "f"], "left").select("d", "f", "text", "spans")
-    out = joined.mapInArrow(apply, "d long, f long, n_words long, n_removed long, kept string")
+                    removed[-1] = int(mask.sum())
+                    ws = compress(ws, (~mask).tolist())
+                kept.append(b" ".join(ws).decode())
+            more = [b.column("row")] if carry else []
+            yield batch(["d", "n_words", "n_removed", "kept", "row"][:4 + carry],
+                        [b.column("d"), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
+                         pa.array(kept, pa.string()), *more])
+
+    rows = keyed_texts(docs, id_col, text_col, carry)
+    joined = rows.join(spans, ["d", "f"], "left").drop("f")
+    schema = T.StructType([T.StructField("d", T.LongType()), T.StructField("n_words", T.LongType()),
+                           T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+    if carry:
+        schema.add("row", rows.schema["row"].dataType)
+    out = joined.mapInArrow(apply, schema)
     return out.withColumn("d", id_back(F.col("d"))).withColumnRenamed("d", id_col)
 
 
