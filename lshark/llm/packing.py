@@ -187,7 +187,7 @@ PACKED = "d long, piece int, start long, length long, ids_crc32 long, sequence_i
 
 
 def _packer(capacity: int, turn: int):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         order = np.lexsort((table["start"].to_numpy(), table["d"].to_numpy(), -table["length"].to_numpy()))
         table = table.take(pa.array(order))
         size = table["length"].to_pylist()
