@@ -75,9 +75,12 @@ class Model:
         return np.concatenate(out) if out else np.zeros((0, len(self.langs)))
 
     def predict(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best language (an index) and its probability per text; -1 and 0 without bytes."""
+        """Best language (an index) and its probability per text; -1 and 0 without
+        bytes or without learned languages."""
         n = len(off) - 1
         total, best, score = np.zeros((n, len(self.langs))), np.full(n, -1), np.zeros(n)
+        if not self.langs:
+            return best, score
         i = 0
         while i < n:
             j = max(int(np.searchsorted(off, off[i] + CHUNK * WINDOW, "right")) - 1, i + 1)
@@ -87,7 +90,7 @@ class Model:
                 total[i:j, c] = np.bincount(text, lp[:, c], j - i)
             i = j
         size = np.diff(off)
-        known = (size > 0) & (len(self.langs) > 0)
+        known = size > 0
         if known.any():
             z = total[known] / size[known][:, None]
             p = np.exp(z - z.max(axis=1, keepdims=True))
