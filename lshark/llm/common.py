@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from lshark.session import cut_lineage
 
 NULL_ID = -(1 << 63)
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per Spark context, so Python
-    tasks can import it wherever they run."""
+    tasks can import it wherever they run; and keep Arrow batches small where
+    the session leaves their size at Spark's default, as whole texts are long."""
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "2000")
     if getattr(sc, "_lshark_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -14,8 +14,8 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 POS_BITS = 24
 POS_MASK = U((1 << POS_BITS) - 1)
-SEGMENT = 1 << 21            # units hashed at once; below 2**POS_BITS
-PIECE = 1 << 22              # bytes of one text parsed into words at once
+SEGMENT = 1 << 19            # units hashed at once; below 2**POS_BITS
+PIECE = 1 << 20              # bytes of one text parsed into words at once
 
 _tables: dict[str, np.ndarray] = {}
 
@@ -161,13 +161,14 @@ def anchor_runs(units: np.ndarray, off: np.ndarray, length: int, q: int):
     The anchor of a window is its ``q``-gram with the smallest hash (the first
     of equals), so it depends on the window's content alone: equal windows
     have equal anchors at the same place.  Returns ``(text, start, windows,
-    anchor hash, content hash)`` per run, the content being all units that the
-    run's windows cover, and the :class:`Prefix`.
+    anchor hash, content hash, anchor place from the start)`` per run, the
+    content being all units that the run's windows cover, and the
+    :class:`Prefix`.
     """
     n, p = len(units), Prefix(units)
     if n < length:
         e = np.empty(0, np.int64)
-        return e, e, e, np.empty(0, U), np.empty(0, U), p
+        return e, e, e, np.empty(0, U), np.empty(0, U), e, p
     g = p.grams(q)
     key = (g & ~POS_MASK) | np.arange(len(g), dtype=U)
     low = sliding_min(key, length - q + 1)
@@ -175,11 +176,11 @@ def anchor_runs(units: np.ndarray, off: np.ndarray, length: int, q: int):
     s = np.flatnonzero(np.arange(length, length + len(low)) <= limit)
     if not len(s):
         e = np.empty(0, np.int64)
-        return e, e, e, np.empty(0, U), np.empty(0, U), p
+        return e, e, e, np.empty(0, U), np.empty(0, U), e, p
     a = (low[s] & POS_MASK).astype(np.int64)
     new = np.ones(len(s), bool)
     new[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1] + 1)
     at = np.flatnonzero(new)
     first, count = s[at], np.diff(np.append(at, len(s)))
     text = np.searchsorted(off, first, "right") - 1
-    return text, first, count, g[a[at]], p.ranges(first, first + count - 1 + length), p
+    return text, first, count, g[a[at]], p.ranges(first, first + count - 1 + length), a[at] - first, p

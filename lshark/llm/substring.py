@@ -39,7 +39,7 @@ def _runs(b: pa.RecordBatch, length: int, q: int):
     units, off = hashing.word_hashes(*text_bytes(b.column("text")))
     for i, j, s, e in hashing.segments(off, length):
         local = np.clip(off[i:j + 1] - s, 0, e - s)
-        text, first, n, h, c, p = hashing.anchor_runs(units[s:e], local, length, q)
+        text, first, n, h, c, _, p = hashing.anchor_runs(units[s:e], local, length, q)
         if len(first):
             yield text + i, first + s - off[text + i], n, h, c, p, first
 
@@ -86,7 +86,9 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR) -> Da
                .select("d", "f", "pos", "h", F.posexplode("w").alias("i", "w"))
                .select("d", "f", (F.col("pos") + F.col("i")).alias("pos"), "h", "w"))
     windows = stage(windows, "windows")
-    firsts = stage(windows.groupBy("h", "w").agg(first).where(F.col("first").isNotNull()), "firsts")
+    place = F.struct("d", "pos")
+    firsts = stage(windows.groupBy("h", "w").agg(first, F.max(place).alias("last"))
+                   .where("first < last").select("h", "w", "first"), "firsts")
     covered = (windows.join(firsts, ["h", "w"]).where(F.struct("d", "pos") > F.col("first"))
                .select("d", "f", F.col("pos").alias("s"), (F.col("pos") + length).alias("e")))
     return later.unionByName(covered)

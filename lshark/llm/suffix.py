@@ -7,11 +7,14 @@ is removed.
    can hold repeated strings; a repeated string always has a repeated anchor.
 2. Stretches of equal content are grouped by Spark.  One that occurs twice is
    repeated as a whole.
-3. Different stretches with one anchor are sorted: :func:`refine` builds the
-   suffix order of their bytes up to ``length`` by bucket-pointer refinement.
-   All stretches of an anchor are sorted in one task, up to ``BUCKET`` of
-   them; an anchor with more is refined across the cluster instead, by
-   grouping its windows on their whole-length identifier with partial counts.
+3. Different stretches with one anchor form a bucket and are sorted:
+   :func:`refine` builds the suffix order of their bytes up to ``length`` by
+   bucket-pointer refinement.  A bucket of more than ``BUCKET`` stretches is
+   first refined across the cluster: each stretch is cut in two where the
+   anchor's place in the window passes the middle, and each half goes to the
+   bucket of all bytes that its windows have in common.  Halves of equal
+   content are grouped again.  This is repeated until all buckets fit a task;
+   a half of a single window has nothing left to differ in.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ from lshark.llm.common import batch, id_back, ints, keyed_texts, ship, stage, te
 
 LENGTH = 200
 ANCHOR = 40
-BUCKET = 256                 # stretches of one anchor sorted in one task
-CHUNK = 1 << 21              # bytes sorted at once (whole anchors, so a little more)
+BUCKET = 2048                # stretches of one bucket sorted in one task
+CHUNK = 1 << 20              # bytes sorted at once (whole buckets, so a little more)
 
 
 def refine(data: np.ndarray, length: int, q: int = 8) -> np.ndarray:
@@ -46,7 +49,7 @@ def refine(data: np.ndarray, length: int, q: int = 8) -> np.ndarray:
     padded = np.concatenate((data, np.zeros(q, np.uint8)))
     for k in range(q):
         gram = (gram << np.uint64(8)) | padded[k:k + n]
-    order = np.argsort(gram, kind="stable")
+    order = np.argsort(gram)
     sorted_gram = gram[order]
     new = np.ones(n, bool)
     new[1:] = sorted_gram[1:] != sorted_gram[:-1]
@@ -59,7 +62,7 @@ def refine(data: np.ndarray, length: int, q: int = 8) -> np.ndarray:
     while depth < length and len(active):
         step = min(depth, length - depth)
         base, key = pointer[active], pointer[active + step]
-        by = np.lexsort((key, base))
+        by = np.argsort(base * (n + 2) + key)
         active, base, key = active[by], base[by], key[by]
         first = np.ones(len(active), bool)
         first[1:] = base[1:] != base[:-1]
@@ -94,9 +97,9 @@ def _runs(b: pa.RecordBatch, length: int, q: int):
     for i, j, s, e in hashing.segments(off, length):
         if e - s < length:
             continue
-        text, first, n, h, c, _ = hashing.anchor_runs(table[buf[s:e]], np.clip(off[i:j + 1] - s, 0, e - s), length, q)
+        text, first, n, h, c, o, _ = hashing.anchor_runs(table[buf[s:e]], np.clip(off[i:j + 1] - s, 0, e - s), length, q)
         if len(first):
-            yield text + i, first + s - off[text + i], n, h, c
+            yield text + i, first + s - off[text + i], n, h, c, o
 
 
 def repeated_runs(texts: DataFrame, length: int, q: int) -> DataFrame:
@@ -109,13 +112,22 @@ def repeated_runs(texts: DataFrame, length: int, q: int) -> DataFrame:
     def emit(batches):
         for b in batches:
             d, f = ints(b.column("d")), ints(b.column("f"))
-            for row, pos, n, h, c in _runs(b, length, q):
+            for row, pos, n, h, c, o in _runs(b, length, q):
                 k = np.flatnonzero(sketch.seen_twice(bits.value, h))
                 if len(k):
-                    yield batch(["d", "f", "pos", "n", "h", "c"],
-                                [d[row[k]], f[row[k]], pos[k], n[k], h[k].view(np.int64), c[k].view(np.int64)])
+                    yield batch(["d", "f", "pos", "n", "h", "c", "o"],
+                                [d[row[k]], f[row[k]], pos[k], n[k], h[k].view(np.int64), c[k].view(np.int64), o[k]])
 
-    return texts.mapInArrow(emit, "d long, f long, pos long, n long, h long, c long")
+    return texts.mapInArrow(emit, "d long, f long, pos long, n long, h long, c long, o long")
+
+
+PIECE = "d long, f long, pos long, h long, c long, n long, o long, bytes binary"
+_PIECE = ["d", "f", "pos", "h", "c", "n", "o"]
+
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    *numbers, raw = zip(*rows, strict=True)
+    return batch([*_PIECE, "bytes"], [*(pa.array(x, pa.int64()) for x in numbers), pa.array(raw, pa.binary())])
 
 
 def _cut(length: int):
@@ -123,20 +135,48 @@ def _cut(length: int):
     def cut(batches):
         for b in batches:
             buf, off = text_bytes(b.column("text"))
-            keep = {k: [] for k in ("d", "f", "pos", "h", "c", "n", "bytes")}
+            rows = []
             for i, (d, f, wanted) in enumerate(zip(b.column("d").to_pylist(), b.column("f").to_pylist(),
                                                    b.column("wanted").to_pylist(), strict=True)):
                 raw = buf[off[i]:off[i + 1]]
-                for x in wanted:
-                    for k, v in (("d", d), ("f", f), ("pos", x["pos"]), ("h", x["h"]), ("c", x["c"]), ("n", x["n"]),
-                                 ("bytes", raw[x["pos"]:x["pos"] + x["n"] - 1 + length].tobytes())):
-                        keep[k].append(v)
-            if keep["d"]:
-                yield batch(list(keep), [pa.array(v, pa.binary() if k == "bytes" else pa.int64())
-                                         for k, v in keep.items()])
+                rows += [(d, f, x["pos"], x["h"], x["c"], x["n"], x["o"],
+                          raw[x["pos"]:x["pos"] + x["n"] - 1 + length].tobytes()) for x in wanted]
+                if len(rows) > 2000:
+                    yield _pieces(rows)
+                    rows = []
+            if rows:
+                yield _pieces(rows)
     return cut
 
 
+def _halve(low: int, high: int, length: int, q: int):
+    """Cut stretches whose windows have their anchor at places ``low`` to
+    ``high`` into those of the upper and of the lower half of these places."""
+    middle = (low + high + 1) // 2
+
+    def run(batches):
+        table = hashing.byte_table()
+        for b in batches:
+            rows = []
+            numbers = zip(*(b.column(k).to_pylist() for k in _PIECE), strict=True)
+            for (d, f, pos, h, _, n, o), raw in zip(numbers, b.column("bytes").to_pylist(), strict=True):
+                p = hashing.Prefix(table[np.frombuffer(raw, np.uint8)])
+                # the window that starts at i has its anchor at place o - i
+                for lo, hi in ((middle, high), (low, middle - 1)):
+                    s, e = max(0, o - hi), min(n - 1, o - lo)
+                    if s > e:
+                        continue
+                    core = p.ranges(np.array([o - lo, s]), np.array([o - hi + length, e + length])).view(np.int64)
+                    bucket = hashing.mix(np.array([h ^ (lo << 8) ^ int(core[0])], np.int64).view(np.uint64))
+                    rows.append((d, f, pos + s, int(bucket.view(np.int64)[0]), int(core[1]), e - s + 1, o - s, lo,
+                                 raw[s:e + length]))
+            if rows:
+                *cols, lo, raw = zip(*rows, strict=True)
+                yield batch([*_PIECE, "low", "bytes"], [*(pa.array(x, pa.int64()) for x in (*cols, lo)),
+                                                        pa.array(raw, pa.binary())])
+    return run
+
+
 def _sort_chunk(rows: list[tuple], length: int) -> list[tuple[int, int, int, int]]:
     """Spans of the windows that repeat among the rows ``(h, c, d, f, pos, n, bytes)``."""
     seen, unique = set(), []
@@ -152,7 +192,7 @@ def _sort_chunk(rows: list[tuple], length: int) -> list[tuple[int, int, int, int
     total = np.cumsum(n)
     windows = np.arange(total[-1]) + np.repeat(starts - (total - n), n)
     at = pointer[windows]
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at)
     twice = np.zeros(len(at), bool)
     twice[order] = _shared(at[order])
     out = []
@@ -163,6 +203,7 @@ def _sort_chunk(rows: list[tuple], length: int) -> list[tuple[int, int, int, int
 
 
 SPAN = "d long, f long, s long, e long"
+HALF = "d long, f long, pos long, h long, c long, n long, o long, low long, bytes binary"
 
 
 def _spans(found) -> pa.RecordBatch:
@@ -187,45 +228,64 @@ def _sorter(length: int):
     return run
 
 
-def _window_ids(length: int):
-    """Identifier of every window of a stretch, for anchors too large for one task."""
-    def run(batches):
-        for b in batches:
-            buf, off = text_bytes(b.column("bytes"))
-            n = ints(b.column("n"))
-            for i in range(len(n)):
-                w = hashing.Prefix(hashing.byte_table()[buf[off[i]:off[i + 1]]]).grams(length)[:n[i]].view(np.int64)
-                same = [np.full(len(w), ints(b.column(k))[i]) for k in ("h", "d", "f", "pos")]
-                same[3] = same[3] + np.arange(len(w))
-                yield batch(["h", "d", "f", "pos", "w"], [*same, w])
-    return run
+def _grouped(runs: DataFrame, copied, name: str) -> DataFrame:
+    """One row per distinct content: whether it is copied, its first occurrence
+    (``first``), windows and anchor place."""
+    place = F.struct("d", "f", "pos")
+    return stage(runs.groupBy("h", "c").agg(copied.alias("copied"), F.min(place).alias("first"),
+                                            F.min("n").alias("n"), F.min("o").alias("o")), name)
+
+
+def _whole(runs: DataFrame, groups: DataFrame, length: int) -> DataFrame:
+    """Spans of the runs whose content occurs more than once."""
+    return (runs.join(groups.where("copied").select("h", "c"), ["h", "c"])
+            .select("d", "f", F.col("pos").alias("s"), (F.col("pos") + F.col("n") - 1 + length).alias("e")))
+
+
+def _mixed(groups: DataFrame, name: str) -> DataFrame:
+    """Buckets of several contents, with their number."""
+    return stage(groups.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), name)
+
+
+def _sorted(pieces: DataFrame, length: int) -> DataFrame:
+    """Spans from the suffix sort of the pieces, whole buckets in a task."""
+    return (pieces.repartition("h").sortWithinPartitions("h")
+            .select("h", "c", "d", "f", "pos", "n", "bytes").mapInArrow(_sorter(length), SPAN))
 
 
 def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR, bucket: int = BUCKET) -> DataFrame:
     """``(d, f, s, e)``: byte ranges to remove (they may overlap)."""
     runs = stage(repeated_runs(texts, length, q), "byte-runs")
-    groups = stage(runs.groupBy("h", "c").agg(F.count("*").alias("copies"), F.min("n").alias("n"),
-                                              F.min(F.struct("d", "f", "pos")).alias("first")), "byte-groups")
-    copied = groups.where("copies > 1").select("h", "c")
-    whole = (runs.join(copied, ["h", "c"])
-             .select("d", "f", F.col("pos").alias("s"), (F.col("pos") + F.col("n") - 1 + length).alias("e")))
-    anchors = stage(groups.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "byte-anchors")
-    mixed = groups.join(anchors, "h").select("h", "c", "n", "k", "first.*")
-    wanted = mixed.groupBy("d", "f").agg(F.collect_list(F.struct("h", "c", "n", "pos")).alias("wanted"))
-    pieces = texts.join(wanted, ["d", "f"]).select("d", "f", "text", "wanted").mapInArrow(
-        _cut(length), "d long, f long, pos long, h long, c long, n long, bytes binary")
-    pieces = stage(pieces, "byte-pieces")
-    big = stage(anchors.where(F.col("k") > bucket).select("h"), "byte-big")
-    small = pieces.join(big, "h", "left_anti")
-    sorted_spans = (small.repartition("h").sortWithinPartitions("h")
-                    .select("h", "c", "d", "f", "pos", "n", "bytes").mapInArrow(_sorter(length), SPAN))
-    windows = pieces.join(big, "h", "left_semi").mapInArrow(_window_ids(length),
-                                                             "h long, d long, f long, pos long, w long")
-    windows = stage(windows.distinct(), "byte-windows")
-    twice = stage(windows.groupBy("h", "w").agg(F.count("*").alias("k")).where("k > 1").select("h", "w"), "byte-twice")
-    refined = (windows.join(twice, ["h", "w"])
-               .select("d", "f", F.col("pos").alias("s"), (F.col("pos") + length).alias("e")))
-    return whole.unionByName(sorted_spans).unionByName(refined)
+    groups = _grouped(runs, F.count("*") > 1, "byte-groups")
+    spans = _whole(runs, groups, length)
+    sizes = _mixed(groups, "byte-buckets")
+    wanted = (groups.join(sizes, "h").select("h", "c", "n", "o", "first.*")
+              .groupBy("d", "f").agg(F.collect_list(F.struct("h", "c", "n", "pos", "o")).alias("wanted")))
+    pieces = texts.join(wanted, ["d", "f"]).select("d", "f", "text", "wanted").mapInArrow(_cut(length), PIECE)
+    pieces = stage(pieces, "byte-pieces")              # rows that repeat a document give equal pieces
+    ranges, depth = [(0, length - q)], 0
+    while True:
+        big = stage(sizes.where(F.col("k") > bucket).select("h"), "byte-big")
+        if big.isEmpty():
+            return spans.unionByName(_sorted(pieces.join(sizes.select("h"), "h", "left_semi"), length))
+        fit = sizes.where(F.col("k") <= bucket).select("h")
+        spans = spans.unionByName(_sorted(pieces.join(fit, "h", "left_semi"), length))
+        large, halves = pieces.join(big, "h", "left_semi"), None
+        for lo, hi in ranges:
+            own = large if depth == 0 else large.where(F.col("low") == lo)
+            if lo < hi:
+                half = own.select(*_PIECE, "bytes").mapInArrow(_halve(lo, hi, length, q), HALF)
+                halves = half if halves is None else halves.unionByName(half)
+        halves = stage(halves, "byte-halves")
+        place = F.struct("d", "f", "pos")
+        groups = _grouped(halves, F.min(place) < F.max(place), "byte-half-groups")
+        spans = spans.unionByName(_whole(halves, groups, length))
+        sizes = _mixed(groups, "byte-half-buckets")
+        heads = groups.join(sizes, "h").select("h", "c", "first.*")
+        pieces = stage(halves.join(heads, ["h", "c", "d", "f", "pos"]).select(*_PIECE, "low", "bytes"), "byte-half-pieces")
+        ranges = [x for lo, hi in ranges if lo < hi
+                  for m in [(lo + hi + 1) // 2] for x in ((m, hi), (lo, m - 1))]
+        depth += 1
 
 
 def _merge(spans, n: int) -> list[tuple[int, int]]:
