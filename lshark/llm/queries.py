@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lshark.llm import bagminhash, bytebpe, langid, mtree, packing, pigeonhole, quality, substring, suffix, warc
+from lshark.llm.oracle import ORACLE
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -90,4 +91,5 @@ def queries():
 
 
 def oracle():
-    return {}
+    """DuckDB twins of the queries that SQL can express."""
+    return {k: f() for k, f in ORACLE.items()}
