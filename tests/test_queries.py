@@ -7,9 +7,10 @@ from conftest import SF_SMALL
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry_mod
+from lshark.plans import catalog
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
