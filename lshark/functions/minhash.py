@@ -67,19 +67,16 @@ class MinHashModel:
     coeffs: tuple[tuple[int, int], ...] = field(default=())
 
     def hash_col(self, item: Column, t: int) -> Column:
-        """Table ``t`` hash of one element (bigint, in [0, P))."""
-        a, b = self.coeffs[t]
-        return F.pmod((item.cast("bigint") + F.lit(1)) * F.lit(a) + F.lit(b), F.lit(HASH_PRIME))
-
-    def array_hash_col(self, items: Column, t: int) -> Column:
-        """Table ``t`` signature entry of an array of element indices."""
-        a, b = self.coeffs[t]
-        return F.array_min(F.transform(
-            items, lambda x: F.pmod((x.cast("bigint") + 1) * F.lit(a) + F.lit(b), F.lit(HASH_PRIME))))
+        """Table ``t`` hash of one element (bigint, in [0, P)).
 
-    def sql_hash(self, item_sql: str, t: int) -> str:
+        The element is reduced modulo P first, so any bigint is accepted and
+        the product stays below 2**62; for ids below P this is Spark ML's
+        value.  Ids that differ by a multiple of P hash alike in every table:
+        they can add candidates but no result, as pairs are verified on ids.
+        """
         a, b = self.coeffs[t]
-        return f"((1 + CAST({item_sql} AS BIGINT)) * {a} + {b}) % {HASH_PRIME}"
+        p = F.lit(HASH_PRIME)
+        return F.pmod(F.pmod(F.pmod(item.cast("bigint"), p) + F.lit(1), p) * F.lit(a) + F.lit(b), p)
 
 
 def fit(num_tables: int = 5, seed: int = 42) -> MinHashModel:

@@ -21,7 +21,6 @@ Design notes (scale):
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,8 +33,7 @@ DEFAULT_BLOCK = 2048           # members per block when a group is split
 PREFIX_ALWAYS = 0.5            # distance thresholds up to this use prefix filtering
 BIG_SET = 50_000               # sets larger than this are never gathered into one row
 PAIRS_PER_PARTITION = 1_000_000  # target pair work per task in pair joins
-MAX_PAIR_PARTITIONS = 200_000
-SMALL_SET = 16                 # sets this short are checked inside the pair join
+SMALL_SET = 16                 # pairs of sets this short are checked inside the pair join
 BROADCAST_ROWS = 2_000_000     # hot-group rows we allow to broadcast (3 longs each)
 _EPS = 1e-9
 
@@ -54,14 +52,6 @@ def signatures(inter: DataFrame, model: MinHashModel) -> DataFrame:
                  .select("u", "n", F.array(*[F.col(f"_h{t}") for t in range(model.num_tables)]).alias("hashes")))
 
 
-def signatures_of_sets(sets: DataFrame, model: MinHashModel, items: str = "items") -> DataFrame:
-    """Signature of array-valued sets ``(u, items)`` without exploding them."""
-    return (sets.where(F.size(items) > 0)
-                .select("u", F.size(items).cast("bigint").alias("n"),
-                        F.array(*[model.array_hash_col(F.col(items), t)
-                                  for t in range(model.num_tables)]).alias("hashes")))
-
-
 def profiles(inter: DataFrame, model: MinHashModel | None = None) -> DataFrame:
     """``(u, n, items[, hashes])`` in one aggregation: what verification needs."""
     aggs = [F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("i")).alias("items")]
@@ -129,7 +119,7 @@ def pair_partitions(spark, est_pairs: int) -> int:
     task, and never fewer partitions than the session default.
     """
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(base, min(MAX_PAIR_PARTITIONS, -(-int(est_pairs) // PAIRS_PER_PARTITION)))
+    return max(base, -(-int(est_pairs) // PAIRS_PER_PARTITION))
 
 
 def _hot_table(rows: DataFrame, keys: list[str], block_size: int, n_hot: int) -> DataFrame:
@@ -192,11 +182,12 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
     if "hashes" in cols and keys == ["tb", "hv"]:
         cond.append(_first_shared_table(num_tables))
     if "items" in cols and threshold is not None and threshold < 1.0:
-        # short sets ride along: the exact overlap test drops false candidates
-        # inside the join, before any pair is shuffled
+        # short sets ride along: where both are there, the exact overlap test
+        # drops false candidates inside the join, before any pair is shuffled
         t = max(0.0, 1.0 - threshold - _EPS)
         need = F.ceil(F.lit(t / (1.0 + t)) * (F.col("l.n") + F.col("r.n")).cast("double") - F.lit(1e-6))
-        cond.append(F.size(F.array_intersect(F.col("l.items"), F.col("r.items"))) >= need)
+        cond.append(F.col("l.items").isNull() | F.col("r.items").isNull()
+                    | (F.size(F.array_intersect(F.col("l.items"), F.col("r.items"))) >= need))
     lo = F.col("l.u") < F.col("r.u")
     out = [F.least("l.u", "r.u").alias("a"), F.greatest("l.u", "r.u").alias("b")]
     for c in (cols if out_cols is None else out_cols):
@@ -214,9 +205,7 @@ def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None =
     tokens, ``pos``; with a threshold the size bound (and the positional
     bound when ``pos`` is given) is part of the join condition.  Bucket rows
     carrying ``hashes`` emit each pair only at its first shared table, so no
-    dedupe shuffle is needed; other pairs are deduplicated.  The result is
-    hash-partitioned on ``a`` into as many partitions as the pair estimate
-    asks for, ready for the verification join on ``a``.
+    dedupe shuffle is needed; other pairs are deduplicated.
     """
     carry = [c for c in ("pos", "hashes", "items") if c in rows.columns]
     first_only = "hashes" in carry and keys == ["tb", "hv"]
@@ -225,21 +214,22 @@ def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None =
         tables = rows.select(F.max(F.size("hashes"))).first()[0] or 0
     rows = rows.select(*keys, "u", "n", *carry)
     stats = stats if stats is not None else group_stats(rows, keys, block_size)
-    nparts = pair_partitions(rows.sparkSession, stats[0])
     pairs = _group_join(rows, keys, threshold, block_size, carry, stats, tables,
                         out_cols=["n"]).select("a", "b")
-    if not first_only:
-        pairs = pairs.distinct()
-    return pairs.repartition(nparts, "a")
+    return pairs if first_only else pairs.distinct()
 
 
 def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
-                        threshold: float | None = None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                        threshold: float | None = None, block_size: int = DEFAULT_BLOCK,
+                        num_tables: int = 0) -> DataFrame:
     """Distinct ``(a, b)`` with ``a`` from ``lrows`` and ``b`` from ``rrows``
-    sharing a group.  A side with more than ``block_size`` members in a group
+    sharing a group; bucket rows with ``hashes`` meet at their first shared
+    table only, others are deduplicated.  A side with more than ``block_size`` members in a group
     is cut into blocks; each left block meets each right block in one task."""
-    lrows = lrows.select(*keys, "u", "n")
-    rrows = rrows.select(*keys, "u", "n")
+    first_only = bool(num_tables) and "hashes" in lrows.columns
+    carry = ["hashes"] if first_only else []
+    lrows = lrows.select(*keys, "u", "n", *carry)
+    rrows = rrows.select(*keys, "u", "n", *carry)
     per_group = (lrows.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
                  .unionByName(rrows.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
                  .groupBy(*keys).agg(F.sum("_l").alias("_ml"), F.sum("_r").alias("_mr")))
@@ -264,16 +254,17 @@ def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
                         .withColumn("_SR", F.greatest(F.coalesce("_SR", F.lit(1)), F.lit(1))))
         lb = blocked(lrows).withColumn("_p", F.pmod(F.xxhash64("u"), F.col("_SL")).cast("int"))
         rb = blocked(rrows).withColumn("_q", F.pmod(F.xxhash64("u"), F.col("_SR")).cast("int"))
-        l = (lb.select(*keys, "u", "n", "_p", F.explode(F.sequence(F.lit(0), F.col("_SR") - 1)).alias("_q"))
+        l = (lb.select(*keys, "u", "n", *carry, "_p", F.explode(F.sequence(F.lit(0), F.col("_SR") - 1)).alias("_q"))
                .repartition(nparts, *keys, "_p", "_q").alias("l"))
-        r = (rb.select(*keys, "u", "n", "_q", F.explode(F.sequence(F.lit(0), F.col("_SL") - 1)).alias("_p"))
+        r = (rb.select(*keys, "u", "n", *carry, "_q", F.explode(F.sequence(F.lit(0), F.col("_SL") - 1)).alias("_p"))
                .repartition(nparts, *keys, "_p", "_q").alias("r"))
         cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys + ["_p", "_q"]]
     if cond_extra is not None:
         cond.append(cond_extra)
-    return (l.join(r, reduce(lambda x, y: x & y, cond))
-             .select(F.col("l.u").alias("a"), F.col("r.u").alias("b")).distinct()
-             .repartition(nparts, "a"))
+    if first_only:
+        cond.append(_first_shared_table(num_tables))
+    out = l.join(r, reduce(lambda x, y: x & y, cond)).select(F.col("l.u").alias("a"), F.col("r.u").alias("b"))
+    return out if first_only else out.distinct()
 
 
 def candidates(bkt: DataFrame, threshold: float | None = None,
@@ -295,13 +286,25 @@ def big_entities(inter: DataFrame, big_set: int = BIG_SET) -> DataFrame:
 
 
 def entity_stats(inter: DataFrame, big_set: int = BIG_SET) -> tuple[tuple[DataFrame, int], int]:
-    """``((big, n_big), max_set)`` from one aggregation of set sizes: the big
-    entities (broadcast when their count allows) and the largest set."""
+    """``((big, n_big), smallest)`` from one aggregation of set sizes: the big
+    entities (broadcast when their count allows) and the smallest set's size."""
     sizes = inter.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    r = sizes.agg(F.max("n").alias("mx"), F.count(F.when(F.col("n") > big_set, 1)).alias("nb")).first()
+    r = sizes.agg(F.min("n").alias("mn"), F.count(F.when(F.col("n") > big_set, 1)).alias("nb")).first()
     n_big = int(r["nb"] or 0)
     big = sizes.where(F.col("n") > big_set)
-    return ((F.broadcast(big) if n_big <= BROADCAST_ROWS else big), n_big), int(r["mx"] or 0)
+    return ((F.broadcast(big) if n_big <= BROADCAST_ROWS else big), n_big), int(r["mn"] or 0)
+
+
+def _with_short_sets(rows: DataFrame, inter: DataFrame, smallest: int) -> DataFrame:
+    """Group rows with the elements (``items``) of every set of at most
+    ``SMALL_SET``; longer sets have null.  Whether a pair is checked early
+    depends on its own two sets alone."""
+    if smallest > SMALL_SET:
+        return rows                                            # no set is short
+    short = rows.where(F.col("n") <= SMALL_SET).select("u").distinct()
+    items = (inter.join(short, "u", "left_semi").groupBy("u")
+             .agg(F.array_sort(F.collect_list("i")).alias("items")))
+    return rows.join(items, "u", "left")
 
 
 def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, int]:
@@ -325,7 +328,9 @@ def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET,
     t = max(0.0, 1.0 - threshold - _EPS)
     big, n_big = big if big is not None else _bounded_broadcast(big_entities(inter, big_set))
     small = inter.join(big.select("u"), "u", "left_anti") if n_big else inter
-    freq = small.groupBy("i").agg(F.count(F.lit(1)).alias("_df"))
+    # written first: both sides of the join are then plain shuffles, and Spark
+    # can split the partition of a token that most sets hold
+    freq = cut_lineage(small.groupBy("i").agg(F.count(F.lit(1)).alias("_df")), "frequencies")
     ranked = small.join(freq, "i")
     w_ord = Window.partitionBy("u").orderBy("_df", "i")
     w_all = Window.partitionBy("u")
@@ -340,11 +345,6 @@ def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET,
     return out
 
 
-def prefix_candidates(inter: DataFrame, threshold: float, block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """Pairs that can reach distance ``< threshold`` (exact superset)."""
-    return pairs_in_groups(prefix_tokens(inter, threshold), ["tok"], threshold, block_size)
-
-
 # ------------------------------------------------------------ verification
 
 def _shared_bucket(ha: Column, hb: Column, num_tables: int) -> Column:
@@ -374,7 +374,9 @@ def _verify_arrays(pairs: DataFrame, prof: DataFrame, prof_b: DataFrame | None,
         # pair without a shared bucket must not reach array_intersect at all
         inter = F.when(_shared_bucket(F.col("hashes_a"), F.col("hashes_b"), num_tables), inter) \
                  .otherwise(F.lit(0).cast("bigint"))
-    return joined.select("a", "b", inter.alias("inter"),
+    # exploding the one count keeps filters on it out of the join condition,
+    # where it would be computed a second time
+    return joined.select("a", "b", F.explode(F.array(inter)).alias("inter"),
                          F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
 
 
@@ -414,14 +416,18 @@ def verify(pairs: DataFrame, inter: DataFrame, threshold: float | None = None,
     sorted arrays (one row per entity) and intersected per pair; pairs with a
     bigger set are counted in long form instead.
     """
+    two = inter_b is not None
     inter_b = inter if inter_b is None else inter_b
+    # written pairs and profiles: joins on ``a`` and ``b`` are then plain
+    # shuffles, and Spark can split an entity that is in very many pairs
+    pairs = cut_lineage(pairs.select("a", "b"), "pairs")
     tables = model.num_tables if check_buckets else None
     big_a, n_big_a = big if big is not None else _bounded_broadcast(big_entities(inter, big_set))
     big_b, n_big_b = (big_a, n_big_a) if inter_b is inter else _bounded_broadcast(big_entities(inter_b, big_set))
     small_a = inter.join(big_a.select("u"), "u", "left_anti") if n_big_a else inter
     small_b = inter_b.join(big_b.select("u"), "u", "left_anti") if n_big_b else inter_b
-    prof_a = profiles(small_a, model if check_buckets else None)
-    prof_b = prof_a if inter_b is inter else profiles(small_b, model if check_buckets else None)
+    prof_a = cut_lineage(profiles(small_a, model if check_buckets else None), "profiles")
+    prof_b = cut_lineage(profiles(small_b, model if check_buckets else None), "profiles") if two else prof_a
     out = _verify_arrays(pairs, prof_a, None if inter_b is inter else prof_b, tables)
     if n_big_a or n_big_b:
         is_big = F.lit(False)
@@ -510,12 +516,11 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     """
     if materialize:
         inter = cut_lineage(inter)
-    big, max_set = entity_stats(inter, big_set)                # once per join
+    big, smallest = entity_stats(inter, big_set)               # once per join
     if strategy == "auto":
         plan = choose_plan(inter, model, threshold, block_size, big_set, big)
     else:
         plan = {"strategy": strategy}
-    plan["max_set"] = max_set
     if plan["strategy"] == "prefix" and threshold is None:
         raise ValueError("prefix strategy needs a threshold")
     if plan["strategy"] == "prefix":
@@ -530,8 +535,8 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
         stats = (plan["bucket_pairs"], plan["bucket_hot"]) if "bucket_hot" in plan else None
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
-    if threshold is not None and plan.get("max_set", SMALL_SET + 1) <= SMALL_SET:
-        rows = rows.join(inter.groupBy("u").agg(F.array_sort(F.collect_list("i")).alias("items")), "u")
+    if threshold is not None:
+        rows = _with_short_sets(rows, inter, smallest)
     pairs = pairs_in_groups(rows, keys, threshold, block_size, stats, model.num_tables)
     return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set, big=big)
 
@@ -541,9 +546,10 @@ def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
                         big_set: int = BIG_SET) -> DataFrame:
     """Similarity join between two tables of sets (D5, A x B): ``a`` from
     ``left``, ``b`` from ``right``, both long form ``(u, i)``."""
-    bl = buckets(signatures(left, model))
-    br = buckets(signatures(right, model))
-    pairs = pairs_across_groups(bl, br, ["tb", "hv"], threshold, block_size)
+    left, right = cut_lineage(left, "left"), cut_lineage(right, "right")
+    bl = cut_lineage(buckets(signatures(left, model), with_hashes=True), "left-buckets")
+    br = cut_lineage(buckets(signatures(right, model), with_hashes=True), "right-buckets")
+    pairs = pairs_across_groups(bl, br, ["tb", "hv"], threshold, block_size, model.num_tables)
     return verify(pairs, left, threshold, model, inter_b=right, big_set=big_set)
 
 
@@ -553,10 +559,9 @@ def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_
     hashing: prefix-filtered candidates, then exact verification."""
     if materialize:
         inter = cut_lineage(inter)
-    big, max_set = entity_stats(inter, big_set)
+    big, smallest = entity_stats(inter, big_set)
     pre = prefix_tokens(inter, threshold, big_set, big)
-    if max_set <= SMALL_SET:
-        pre = pre.join(inter.groupBy("u").agg(F.array_sort(F.collect_list("i")).alias("items")), "u")
+    pre = _with_short_sets(pre, inter, smallest)
     return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), inter, threshold,
                   big_set=big_set, big=big)
 
@@ -570,18 +575,18 @@ def neighbors(inter: DataFrame, model: MinHashModel, key: int, k: int) -> DataFr
     key, ranked by Jaccard distance (ties by id), the key itself included at
     distance 0; fewer than ``k`` rows when fewer candidates exist.
     """
-    sig = signatures(inter, model)
-    bkt = buckets(sig)
-    key_bkt = bkt.where(F.col("u") == F.lit(key)).select("tb", "hv")      # <= num_tables rows
-    cand = bkt.join(F.broadcast(key_bkt), ["tb", "hv"], "left_semi").select("u").distinct()
-    key_items = inter.where(F.col("u") == F.lit(key)).select("i")
-    overlap = inter.join(key_items, "i").groupBy("u").agg(F.count(F.lit(1)).alias("inter"))
-    key_row = sig.where(F.col("u") == F.lit(key)).select("n").take(1)   # one scalar
-    if not key_row:
+    sig = cut_lineage(signatures(inter, model), "signatures")
+    probe = sig.where(F.col("u") == F.lit(key)).select("n", "hashes").take(1)   # the key's own row
+    if not probe:
         return (sig.limit(0).select(F.col("u"), F.col("u").alias("v"), F.lit(0.0).alias("sim"),
                                     F.lit(0).cast("bigint").alias("rank")))
-    key_n = int(key_row[0]["n"])
-    res = (cand.join(overlap, "u").join(sig.select("u", "n"), "u")
+    key_n, key_hashes = int(probe[0]["n"]), probe[0]["hashes"]
+    shares = reduce(lambda x, y: x | y, [F.col("hashes")[t] == F.lit(h) for t, h in enumerate(key_hashes)])
+    cand = sig.where(shares).select("u", "n")                 # a filter: no bucket join
+    items = inter.where(F.col("u") == F.lit(key)).select("i")
+    items = F.broadcast(items) if key_n <= BROADCAST_ROWS else items
+    overlap = inter.join(items, "i").groupBy("u").agg(F.count(F.lit(1)).alias("inter"))
+    res = (cand.join(overlap, "u")
                .select(F.lit(key).cast("bigint").alias("u"), F.col("u").alias("v"),
                        (F.col("inter") / (F.col("n") + F.lit(key_n) - F.col("inter"))).alias("sim")))
     top = res.orderBy(F.desc("sim"), "v").limit(k)
@@ -611,6 +616,33 @@ def all_neighbors(pairs: DataFrame, k: int) -> DataFrame:
     return top_k_per(symmetric(pairs), "u", [F.desc("sim"), F.col("v")], k)
 
 
+def equal_sets(inter: DataFrame) -> DataFrame:
+    """``(u, rep)``: the smallest entity with the same set, told by set size and
+    128 bits of an order-free fingerprint."""
+    mark = inter.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("i")).alias("x"),
+                                  F.bit_xor(F.xxhash64("i", F.lit(1))).alias("y"))
+    mark = cut_lineage(mark, "set-marks")
+    first = cut_lineage(mark.groupBy("n", "x", "y").agg(F.min("u").alias("rep")), "set-groups")
+    return mark.join(first, ["n", "x", "y"]).select("u", "rep")
+
+
+def grouped_neighbors(inter: DataFrame, model: MinHashModel, threshold: float, k: int) -> DataFrame:
+    """Top ``k`` neighbours of every entity (D7) where many entities have equal
+    sets: distinct sets are joined once, and a group passes on no more than its
+    ``k + 1`` smallest members, so the output is linear in the entities."""
+    inter = cut_lineage(inter, "sets")
+    members = cut_lineage(equal_sets(inter), "members")
+    heads = members.where("u = rep").select("u")
+    pairs = similarity_join(inter.join(heads, "u", "left_semi"), model, threshold)
+    own = heads.select(F.col("u").alias("u"), F.col("u").alias("v"), F.lit(1.0).alias("sim"))
+    near = symmetric(pairs).unionByName(own).withColumnRenamed("v", "rep")
+    shown = cut_lineage(top_k_per(members, "rep", [F.col("u")], k + 1).select("rep", F.col("u").alias("v")), "shown")
+    best = top_k_per(near.join(shown, "rep"), "u", [F.desc("sim"), F.col("v")], k + 1)
+    best = cut_lineage(best.select(F.col("u").alias("rep"), "v", "sim"), "group-neighbours")
+    each = members.join(best, "rep").where("u != v").select("u", "v", "sim")
+    return top_k_per(each, "u", [F.desc("sim"), F.col("v")], k)
+
+
 # ------------------------------------------------------------------ report
 
 def lsh_report(approx: DataFrame, exact: DataFrame, cands: DataFrame, n_entities: DataFrame) -> DataFrame:
@@ -641,9 +673,3 @@ def lsh_report(approx: DataFrame, exact: DataFrame, cands: DataFrame, n_entities
         F.round(F.when(F.col("found_pairs") > 0, F.col("true_pairs") / F.col("found_pairs")), 6).alias("precision"),
         "candidate_pairs", "all_pairs",
         F.round(F.col("candidate_pairs") / F.col("all_pairs"), 6).alias("candidate_ratio"))
-
-
-def prefix_len(n: int, threshold: float) -> int:
-    """Prefix length used by :func:`prefix_tokens` (for tests and docs)."""
-    t = max(0.0, 1.0 - threshold - _EPS)
-    return n - math.ceil(n * t) + 1

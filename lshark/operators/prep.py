@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,14 +47,14 @@ def subset(df: DataFrame, key: str, fraction: float) -> DataFrame:
     """Deterministic subset: keep rows whose ``md5(key)`` falls below ``fraction``
     of the hash range (A2).
 
-    Uses the first two hex digits (256 buckets), so ``fraction`` is rounded to
-    a multiple of 1/256.  Unlike ``sample`` it is the same on every engine and
-    every run, and it is a plain filter, so it needs no shuffle.
+    All 128 bits are compared, so any fraction is met up to sampling noise.
+    Rows with a null key are never in the subset.  Unlike ``sample`` it is the
+    same on every engine and every run, and it is a plain filter, so it needs
+    no shuffle.
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    cut = int(round(fraction * 256))
-    if cut >= 256:
-        return df
-    bound = format(cut, "02x")
-    return df.where(F.substring(F.md5(F.col(key).cast("string")), 1, 2) < F.lit(bound))
+    cut = int(Fraction(fraction) * (1 << 128))
+    if cut >> 128:
+        return df.where(F.col(key).isNotNull())
+    return df.where(F.md5(F.col(key).cast("string")) < F.lit(format(cut, "032x")))

@@ -36,13 +36,14 @@ MODEL = fit(TABLES, SEED)
 # ------------------------------------------------------------------ inputs
 
 
-def event_interactions(spark: SparkSession, base: str, types=EVENT_TYPES) -> DataFrame:
+def event_interactions(spark: SparkSession, base: str, types=None) -> DataFrame:
+    """Interactions of all events; the flagship takes :data:`EVENT_TYPES` only."""
     ev = tables.load(spark, base, "events")
     where = None if types is None else F.col("event_type").isin(*types)
     return prep.interactions(ev, "user_id", prep.event_item(), where)
 
 
-def _events_sql(name: str, types=EVENT_TYPES) -> str:
+def _events_sql(name: str, types=None) -> str:
     cond = "" if types is None else "event_type IN (" + ", ".join(f"'{t}'" for t in types) + ") AND "
     return (f"{name} AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS u, "
             f"CAST(json_extract_string(props, '$.k') AS BIGINT) AS i FROM events "
@@ -50,7 +51,7 @@ def _events_sql(name: str, types=EVENT_TYPES) -> str:
 
 
 UP = _events_sql("up")
-UPA = _events_sql("upa", None)
+UPF = _events_sql("up", EVENT_TYPES)
 
 
 def purchases(spark: SparkSession, base: str, user: str, item: str) -> DataFrame:
@@ -110,8 +111,12 @@ def q_lsh_buckets_sql():
             f"SELECT s.u, z.n, s.tb, s.hv FROM ({O.sig_long(MODEL, 'up')}) s JOIN sz z ON z.u = s.u")
 
 
+def _buckets(inter):
+    return cut_lineage(lsh.buckets(lsh.signatures(inter, MODEL), with_hashes=True), "buckets")
+
+
 def q_lsh_candidates(spark, base):
-    return lsh.candidates(lsh.buckets(lsh.signatures(event_interactions(spark, base), MODEL)))
+    return lsh.candidates(_buckets(event_interactions(spark, base)))
 
 
 def q_lsh_candidates_sql():
@@ -121,11 +126,11 @@ def q_lsh_candidates_sql():
 # ---------------------------------------------------------------- D5, D8, D9
 
 def q_similarity_join(spark, base):
-    return lsh.similarity_join(event_interactions(spark, base, None), MODEL, EVENT_THRESHOLD)
+    return lsh.similarity_join(event_interactions(spark, base), MODEL, EVENT_THRESHOLD)
 
 
 def q_similarity_join_sql():
-    return f"WITH {UPA},{O.lsh_cte(MODEL, 'upa', EVENT_THRESHOLD)} SELECT * FROM sim"
+    return f"WITH {UP},{O.lsh_cte(MODEL, 'up', EVENT_THRESHOLD)} SELECT * FROM sim"
 
 
 def q_similarity_join_two(spark, base):
@@ -140,35 +145,34 @@ def q_similarity_join_two_sql():
 
 
 def q_exact_jaccard(spark, base):
-    return lsh.exact_jaccard(event_interactions(spark, base, None), EVENT_THRESHOLD)
+    return lsh.exact_jaccard(event_interactions(spark, base), EVENT_THRESHOLD)
 
 
 def q_exact_jaccard_sql():
-    return f"WITH {UPA},{O.exact_cte('upa', EVENT_THRESHOLD)} SELECT * FROM exact"
+    return f"WITH {UP},{O.exact_cte('up', EVENT_THRESHOLD)} SELECT * FROM exact"
 
 
 def q_lsh_report(spark, base):
-    inter = cut_lineage(event_interactions(spark, base, None), "interactions")
+    inter = cut_lineage(event_interactions(spark, base), "interactions")
     approx = lsh.similarity_join(inter, MODEL, EVENT_THRESHOLD, materialize=False)
     exact = lsh.exact_jaccard(inter, EVENT_THRESHOLD, materialize=False)
-    cands = lsh.candidates(lsh.buckets(lsh.signatures(inter, MODEL)))
+    cands = lsh.candidates(_buckets(inter))
     n = inter.agg(F.countDistinct("u").alias("n"))
     return lsh.lsh_report(approx, exact, cands, n)
 
 
 def q_lsh_report_sql():
-    return (f"WITH {UPA},{O.exact_cte('upa', EVENT_THRESHOLD)},"
-            f"sig AS ({O.sig_long(MODEL, 'upa')}),"
-            f"candall AS (SELECT DISTINCT x.u AS a, y.u AS b FROM sig x JOIN sig y "
-            f"ON x.tb = y.tb AND x.hv = y.hv AND x.u < y.u),"
-            f"found AS (SELECT e.a, e.b FROM exact e JOIN candall c ON c.a = e.a AND c.b = e.b),"
-            f"ne AS (SELECT count(DISTINCT u) AS n FROM upa),"
-            f"c AS (SELECT (SELECT count(*) FROM exact) AS exact_pairs, "
-            f"(SELECT count(*) FROM found) AS found_pairs, (SELECT count(*) FROM candall) AS candidate_pairs, "
-            f"(SELECT CAST(n * (n - 1) / 2 AS BIGINT) FROM ne) AS all_pairs) "
-            f"SELECT exact_pairs, found_pairs, found_pairs AS true_pairs, "
-            f"round(CASE WHEN exact_pairs > 0 THEN found_pairs / exact_pairs END, 6) AS recall, "
-            f"round(CASE WHEN found_pairs > 0 THEN CAST(1.0 AS DOUBLE) END, 6) AS precision, candidate_pairs, all_pairs, "
+    return (f"WITH {UP},{O.lsh_cte(MODEL, 'up', EVENT_THRESHOLD)},"
+            f"true_ov AS (SELECT x.u AS a, y.u AS b, count(*) AS m FROM up x JOIN up y ON x.i = y.i AND x.u < y.u GROUP BY ALL),"
+            f"exact AS (SELECT a, b FROM true_ov JOIN sz p ON p.u = a JOIN sz q ON q.u = b "
+            f"WHERE 1.0 - m / (p.n + q.n - m) < {EVENT_THRESHOLD!r}),"
+            f"c AS (SELECT (SELECT count(*) FROM exact) AS exact_pairs, (SELECT count(*) FROM sim) AS found_pairs, "
+            f"(SELECT count(*) FROM exact SEMI JOIN sim USING (a, b)) AS true_pairs, "
+            f"(SELECT count(*) FROM cand) AS candidate_pairs, "
+            f"(SELECT CAST(n * (n - 1) / 2 AS BIGINT) FROM (SELECT count(DISTINCT u) AS n FROM up)) AS all_pairs) "
+            f"SELECT exact_pairs, found_pairs, true_pairs, "
+            f"round(CASE WHEN exact_pairs > 0 THEN true_pairs / exact_pairs END, 6) AS recall, "
+            f"round(CASE WHEN found_pairs > 0 THEN true_pairs / found_pairs END, 6) AS precision, candidate_pairs, all_pairs, "
             f"round(candidate_pairs / all_pairs, 6) AS candidate_ratio FROM c")
 
 
@@ -194,20 +198,20 @@ def q_neighbors_sql():
             f"AS rank FROM r) WHERE rank <= {K_NEIGHBORS}")
 
 
-def _flagship_pairs(spark, base):
+def _neighbour_pairs(spark, base, types=None):
     # one written copy of the interactions feeds signatures, sets, CF scores
     # and the seen-item filter
-    inter = cut_lineage(event_interactions(spark, base), "interactions")
+    inter = cut_lineage(event_interactions(spark, base, types), "interactions")
     return inter, lsh.similarity_join(inter, MODEL, None, strategy="buckets", materialize=False)
 
 
 def q_all_neighbors(spark, base):
-    _, pairs = _flagship_pairs(spark, base)
+    _, pairs = _neighbour_pairs(spark, base)
     return lsh.all_neighbors(pairs, K_NEIGHBORS)
 
 
-def _flag_cte():
-    return f"WITH {UP},{O.lsh_cte(MODEL, 'up')},{O.neighbors_cte(K_NEIGHBORS)}"
+def _flag_cte(events=UP):
+    return f"WITH {events},{O.lsh_cte(MODEL, 'up')},{O.neighbors_cte(K_NEIGHBORS)}"
 
 
 def q_all_neighbors_sql():
@@ -217,7 +221,7 @@ def q_all_neighbors_sql():
 # ---------------------------------------------------------------- E1-E4
 
 def _scores(spark, base):
-    inter, pairs = _flagship_pairs(spark, base)
+    inter, pairs = _neighbour_pairs(spark, base)
     return inter, recommend.cf_scores(lsh.all_neighbors(pairs, K_NEIGHBORS), inter)
 
 
@@ -250,12 +254,12 @@ def q_top_n_sql():
 
 def user_recommendations(spark: SparkSession, base: str) -> DataFrame:
     """Flagship: top-5 unseen items per user from the 10 nearest LSH neighbours."""
-    inter, pairs = _flagship_pairs(spark, base)
+    inter, pairs = _neighbour_pairs(spark, base, EVENT_TYPES)
     return recommend.recommend(pairs, inter, K_NEIGHBORS, N_ITEMS)
 
 
 def user_recommendations_sql() -> str:
-    return (f"{_flag_cte()},{O.scores_cte('up')} SELECT u, i, score, CAST(rank AS BIGINT) AS rank FROM "
+    return (f"{_flag_cte(UPF)},{O.scores_cte('up')} SELECT u, i, score, CAST(rank AS BIGINT) AS rank FROM "
             f"(SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, i) AS rank FROM unseen) "
             f"WHERE rank <= {N_ITEMS}")
 
@@ -294,7 +298,7 @@ def q_element_index(spark, base):
 def q_element_index_sql():
     return ("WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS token "
             "FROM documents) SELECT token, CAST(dense_rank() OVER (ORDER BY token) - 1 AS BIGINT) AS idx, "
-            "CAST('0x' || substr(md5(token), 1, 7) AS BIGINT) AS hidx FROM t")
+            "CAST('0x' || substr(md5(token), 1, 15) AS BIGINT) AS hidx FROM t")
 
 
 PART_CATEGORICAL = ("p_brand", "p_type", "p_size")
@@ -330,33 +334,67 @@ def q_assembled_features_sql():
     return f"WITH {_part_vec_sql()} SELECT id, idx, val FROM vec"
 
 
-def _scaled_sql(numeric: bool = True) -> str:
-    return (f"WITH {_part_vec_sql(numeric)}, nrows AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM part), "
-            f"st AS (SELECT idx, sum(val) AS s, sum(val * val) AS ss FROM vec GROUP BY idx), "
-            f"sd AS (SELECT idx, CASE WHEN n > 1 THEN sqrt(greatest(0.0, (ss - s * s / n) / (n - 1))) "
-            f"ELSE 0.0 END AS sd FROM st CROSS JOIN nrows), "
-            f"scaled AS (SELECT v.id, v.idx, round(CASE WHEN sd.sd <> 0 THEN v.val / sd.sd ELSE 0.0 END, 6) "
-            f"AS val FROM vec v JOIN sd ON sd.idx = v.idx) ")
+def _scaled_sql(formula: str, numeric: bool = True) -> str:
+    """Scaled cells over the dense table; ``formula`` uses the column's statistics."""
+    return (f"WITH {_part_vec_sql(numeric)}, cells AS (SELECT p.p_partkey AS id, f.idx, coalesce(v.val, 0.0) AS val "
+            f"FROM part p CROSS JOIN (SELECT DISTINCT idx FROM vec) f LEFT JOIN vec v ON v.id = p.p_partkey AND v.idx = f.idx), "
+            f"st AS (SELECT idx, avg(val) AS mean, coalesce(stddev_samp(val), 0.0) AS sd, min(val) AS mn, max(val) AS mx, "
+            f"max(abs(val)) AS ma FROM cells GROUP BY idx), "
+            f"scaled AS (SELECT c.id, c.idx, round({formula}, 6) AS val FROM cells c JOIN st ON st.idx = c.idx) ")
 
 
-def q_scaled_features(spark, base):
+_STD = "CASE WHEN sd <> 0 THEN val / sd ELSE 0.0 END"
+_SCALED = "SELECT id, idx, val FROM scaled WHERE val <> 0"
+
+
+def _scaled(spark, base, method):
     part, vec, dim = _part_vec(spark, base)
-    return features.scale(vec, part.count(), dim, "std")
+    ids = part.select(F.col("p_partkey").alias("id"))
+    return features.scale(vec, part.count(), dim, method, for_minhash=False, ids=ids)
+
+
+def q_scaled_features(spark, base):
+    return _scaled(spark, base, "std")
 
 
 def q_scaled_features_sql():
-    return _scaled_sql() + "SELECT id, idx, val FROM scaled WHERE val <> 0"
+    return _scaled_sql(_STD) + _SCALED
+
+
+def q_scaled_maxabs(spark, base):
+    return _scaled(spark, base, "maxabs")
+
+
+def q_scaled_maxabs_sql():
+    return _scaled_sql("CASE WHEN ma <> 0 THEN val / ma ELSE 0.0 END") + _SCALED
+
+
+def q_scaled_minmax(spark, base):
+    return _scaled(spark, base, "minmax")
+
+
+def q_scaled_minmax_sql():
+    return _scaled_sql("CASE WHEN mx <> mn THEN (val - mn) / (mx - mn) ELSE 0.5 END") + _SCALED
+
+
+def q_scaled_std_mean(spark, base):
+    return _scaled(spark, base, "std_mean")
+
+
+def q_scaled_std_mean_sql():
+    return _scaled_sql("CASE WHEN sd <> 0 THEN (val - mean) / sd ELSE 0.0 END") + _SCALED
 
 
 def q_feature_neighbors(spark, base):
     part, vec, dim = _part_vec(spark, base, numeric=())
     sets = features.nonzero_sets(features.scale(vec, part.count(), dim, "std"))
-    return lsh.similarity_join(sets, MODEL, PART_THRESHOLD)
+    return lsh.grouped_neighbors(sets, MODEL, PART_THRESHOLD, K_NEIGHBORS)
 
 
 def q_feature_neighbors_sql():
-    return (_scaled_sql(False) + ", pf AS (SELECT DISTINCT id AS u, idx AS i FROM scaled WHERE val <> 0), "
-            + O.lsh_cte(MODEL, "pf", PART_THRESHOLD) + " SELECT * FROM sim")
+    return (_scaled_sql(_STD, False) + ", pf AS (SELECT DISTINCT id AS u, idx AS i FROM scaled WHERE val <> 0), "
+            + O.lsh_cte(MODEL, "pf", PART_THRESHOLD) + "," + O.neighbors_cte(K_NEIGHBORS)
+            + " SELECT u, v, sim, CAST(rank AS BIGINT) AS rank FROM nb")
 
 
 # ---------------------------------------------------------------- C4-C6
@@ -401,9 +439,14 @@ def q_document_near_copies(spark, base):
 
 
 def q_document_near_copies_sql():
-    return (f"WITH dt AS (SELECT DISTINCT doc_id AS u, CAST('0x' || substr(md5(tok), 1, 7) AS BIGINT) AS i "
-            f"FROM (SELECT doc_id, unnest({_TOK_SQL}) AS tok FROM documents)),"
-            f"{O.lsh_cte(MODEL, 'dt', DOC_THRESHOLD)} SELECT * FROM sim")
+    # overlaps are counted on the words themselves; only signatures use their index
+    words = f"(SELECT DISTINCT doc_id AS u, unnest({_TOK_SQL}) AS i FROM documents)"
+    return (f"WITH dw AS {words}, di AS (SELECT u, CAST('0x' || substr(md5(i), 1, 15) AS BIGINT) AS i FROM dw),"
+            f"{O.lsh_cte(MODEL, 'di', DOC_THRESHOLD)}, wn AS (SELECT u, count(*) AS n FROM dw GROUP BY u), "
+            f"wo AS (SELECT c.a, c.b, count(*) AS m FROM cand c JOIN dw x ON x.u = c.a JOIN dw y ON y.u = c.b AND y.i = x.i "
+            f"GROUP BY ALL) SELECT a, b, CAST(m AS BIGINT) AS inter, CAST(p.n AS BIGINT) AS n_a, CAST(q.n AS BIGINT) AS n_b, "
+            f"CAST(m AS DOUBLE) / CAST(p.n + q.n - m AS DOUBLE) AS sim FROM wo JOIN wn p ON p.u = a JOIN wn q ON q.u = b "
+            f"WHERE 1.0 - CAST(m AS DOUBLE) / CAST(p.n + q.n - m AS DOUBLE) < {DOC_THRESHOLD!r}")
 
 
 # ---------------------------------------------------------------- A2-A4
@@ -413,8 +456,8 @@ def q_subset(spark, base):
 
 
 def q_subset_sql():
-    bound = format(int(round(SUBSET_FRACTION * 256)), "02x")
-    return f"SELECT * FROM part WHERE substr(md5(CAST(p_partkey AS VARCHAR)), 1, 2) < '{bound}'"
+    return (f"SELECT * FROM part WHERE CAST('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 15) AS BIGINT) "
+            f"< {int(SUBSET_FRACTION * 2 ** 60)}")
 
 
 def _scratch(spark, what: str) -> str:
@@ -454,6 +497,9 @@ QUERIES = {
     "element_index": q_element_index,
     "assembled_features": q_assembled_features,
     "scaled_features": q_scaled_features,
+    "scaled_maxabs": q_scaled_maxabs,
+    "scaled_minmax": q_scaled_minmax,
+    "scaled_std_mean": q_scaled_std_mean,
     "feature_neighbors": q_feature_neighbors,
     "document_tokens": q_document_tokens,
     "document_stopwords": q_document_stopwords,
@@ -483,6 +529,9 @@ ORACLE = {
     "element_index": q_element_index_sql,
     "assembled_features": q_assembled_features_sql,
     "scaled_features": q_scaled_features_sql,
+    "scaled_maxabs": q_scaled_maxabs_sql,
+    "scaled_minmax": q_scaled_minmax_sql,
+    "scaled_std_mean": q_scaled_std_mean_sql,
     "feature_neighbors": q_feature_neighbors_sql,
     "document_tokens": q_document_tokens_sql,
     "document_stopwords": q_document_stopwords_sql,

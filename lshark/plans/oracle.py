@@ -8,7 +8,8 @@ from lshark.functions.minhash import HASH_PRIME, MinHashModel
 
 def hash_sql(model: MinHashModel, t: int, item: str = "i") -> str:
     a, b = model.coeffs[t]
-    return f"((1 + {item}) * {a} + {b}) % {HASH_PRIME}"
+    m = f"(({item} % {HASH_PRIME}) + {HASH_PRIME}) % {HASH_PRIME}"
+    return f"(((1 + {m}) % {HASH_PRIME}) * {a} + {b}) % {HASH_PRIME}"
 
 
 def sig_long(model: MinHashModel, src: str) -> str:
@@ -23,18 +24,12 @@ def sig_wide(model: MinHashModel, src: str) -> str:
     return f"SELECT u, CAST(count(*) AS BIGINT) AS n, {hs} FROM {src} GROUP BY u"
 
 
-def _bound(threshold: float | None) -> str:
-    if threshold is None or threshold >= 1.0:
-        return ""
-    return f" AND CAST(least(x.n, y.n) AS DOUBLE) >= {1.0 - threshold - 1e-9!r} * greatest(x.n, y.n)"
-
-
 def lsh_cte(model: MinHashModel, src: str, threshold: float | None = None,
-            src_b: str | None = None, bound: bool = True) -> str:
+            src_b: str | None = None) -> str:
     """CTEs ``sz``/``sig`` (and ``szb``/``sigb``), ``cand``, ``ov``, ``sim0``,
-    ``sim`` over distinct ``(u, i)`` relations.  Self join unless ``src_b``."""
+    ``sim`` over distinct ``(u, i)`` relations.  Self join unless ``src_b``.
+    No size bound or other filter of the Spark side is repeated here."""
     other = src_b or src
-    bnd = _bound(threshold) if bound else ""
     order = "" if src_b else " AND x.u < y.u"
     where = "" if threshold is None else f" WHERE 1.0 - sim < {threshold!r}"
     two = ""
@@ -46,7 +41,7 @@ sigb AS (SELECT s.u, s.tb, s.hv, z.n FROM ({sig_long(model, src_b)}) s JOIN szb
 sz AS (SELECT u, count(*) AS n FROM {src} GROUP BY u),
 sig AS (SELECT s.u, s.tb, s.hv, z.n FROM ({sig_long(model, src)}) s JOIN sz z ON z.u = s.u){two},
 cand AS (SELECT DISTINCT x.u AS a, y.u AS b FROM sig x JOIN {'sigb' if src_b else 'sig'} y
-         ON x.tb = y.tb AND x.hv = y.hv{order}{bnd}),
+         ON x.tb = y.tb AND x.hv = y.hv{order}),
 ov AS (SELECT c.a, c.b, count(*) AS inter FROM cand c
        JOIN {src} pa ON pa.u = c.a JOIN {other} pb ON pb.u = c.b AND pb.i = pa.i
        GROUP BY c.a, c.b),

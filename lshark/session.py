@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +44,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by whoever runs the job and must be a shared
-    file system; it is only filled in here when unset (local runs and tests).
+    file system.  Only a session whose executors are threads of the driver
+    (master ``local`` or ``local[...]``) gets a temporary folder when it is
+    unset; elsewhere that folder would be on one machine, so this raises.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
@@ -49,11 +54,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="lshark-ckpt-")
+        path = _local_folder(sc.master)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def _local_folder(master: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="lshark-ckpt-")
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and
     read it back.
@@ -66,25 +77,35 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    _STAGES.append(path)
+    _SCOPES.get()[-1].append(path)
     return spark.read.parquet(path)
 
 
-_STAGES: list[str] = []
+#: Paths of stage tables, one list per open scope of this thread of control.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("lshark_stages", default=([],))
 
 
-def clear_stages(spark: SparkSession) -> int:
-    """Delete the stage tables written by :func:`cut_lineage` in this process.
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving, the stage tables written inside: wrap a query *and*
+    the action that consumes it.  Tables of other scopes stay."""
+    token = _SCOPES.set((*_SCOPES.get(), []))
+    try:
+        yield
+    finally:
+        clear_stages(spark)
+        _SCOPES.reset(token)
 
-    Call once the DataFrames built on them have been consumed; deletion goes
-    through the Hadoop FileSystem of the checkpoint folder (HDFS, object
-    stores or local alike).  Returns the number of tables removed.
-    """
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete the stage tables of the innermost open scope and return their
+    number.  Call once the DataFrames built on them have been consumed;
+    deletion goes through the Hadoop file system of the checkpoint folder."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    while _STAGES:
-        p = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+    stages, removed = _SCOPES.get()[-1], 0
+    while stages:
+        p = jvm.org.apache.hadoop.fs.Path(stages.pop())
         if p.getFileSystem(conf).delete(p, True):
             removed += 1
     return removed

@@ -3,8 +3,6 @@ table (A3) and the fitted model (A4)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -45,9 +43,13 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-def table_path(base: str, name: str) -> str:
-    single = os.path.join(base, f"{name}.parquet")
-    return single if (os.path.exists(single) or "://" in base) else os.path.join(base, name)
+def table_path(spark: SparkSession, base: str, name: str) -> str:
+    """``<base>/<name>.parquet`` if it is there, else ``<base>/<name>``; looked
+    up through Spark's file systems, as executors will read it."""
+    single = f"{base.rstrip('/')}/{name}.parquet"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(single)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return single if there else f"{base.rstrip('/')}/{name}"
 
 
 def load(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
@@ -61,8 +63,8 @@ def load(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
     reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.format(fmt).load(table_path(base, name) if fmt == "parquet" else
-                                   os.path.join(base, name))
+    return reader.format(fmt).load(table_path(spark, base, name) if fmt == "parquet" else
+                                   f"{base.rstrip('/')}/{name}")
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

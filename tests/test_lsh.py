@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -180,19 +182,13 @@ def test_report_counts(make_inter):
     inter = make_inter(sets)
     approx = lsh.similarity_join(inter, M, 0.5)
     exact = lsh.exact_jaccard(inter, 0.5)
-    cands = lsh.candidates(lsh.buckets(lsh.signatures(inter, M)))
+    cands = lsh.candidates(lsh.buckets(lsh.signatures(inter, M), with_hashes=True))
     n = inter.agg(F.countDistinct("u").alias("n"))
     r = lsh.lsh_report(approx, exact, cands, n).first()
     assert (r.exact_pairs, r.found_pairs, r.true_pairs, r.all_pairs) == (1, 1, 1, 3)
     assert r.recall == 1.0 and r.precision == 1.0
 
 
-def test_prefix_len():
-    assert lsh.prefix_len(10, 0.2) == 3
-    assert lsh.prefix_len(3, 0.6) == 2
-    assert lsh.prefix_len(5, 1.0) == 6
-
-
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.sets(st.integers(0, 12), min_size=1, max_size=10), min_size=2, max_size=30),
        st.sampled_from([0.1, 0.2, 0.35, 0.5]))
@@ -251,4 +247,62 @@ def test_pair_partitions_follow_estimate(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert lsh.pair_partitions(spark, 0) == base
     assert lsh.pair_partitions(spark, 50 * lsh.PAIRS_PER_PARTITION) == max(base, 50)
-    assert lsh.pair_partitions(spark, 10 ** 15) == lsh.MAX_PAIR_PARTITIONS
+
+
+def test_one_long_set_changes_nothing_for_short_ones(make_inter):
+    """The early overlap check looks at a pair's own sets only."""
+    rnd = random.Random(4)
+    sets = {u: rnd.sample(range(40), rnd.randrange(2, 12)) for u in range(60)}
+    short = {tuple(r)[:3] for r in lsh.similarity_join(make_inter(sets), M, 0.6).collect()}
+    long = lsh.similarity_join(make_inter(sets | {999: range(30)}), M, 0.6).collect()
+    assert short == {tuple(r)[:3] for r in long if 999 not in (r.a, r.b)}
+
+
+def test_grouped_neighbors_equal_plain_ones(make_inter):
+    rnd = random.Random(5)
+    kinds = [rnd.sample(range(30), rnd.randrange(3, 9)) for _ in range(14)]
+    inter = make_inter({u: kinds[u % 14 if u % 3 else 0] for u in range(90)})
+    for k in (1, 4):
+        plain = lsh.all_neighbors(lsh.similarity_join(inter, M, 0.7), k)
+        grouped = lsh.grouped_neighbors(inter, M, 0.7, k)
+        assert {tuple(r) for r in plain.select("u", "v", "sim", "rank").collect()} \
+            == {tuple(r) for r in grouped.select("u", "v", "sim", "rank").collect()}
+
+
+def test_hot_token_and_hot_entity(spark, make_inter):
+    """One element in every set, one entity near every other: same pairs as by hand."""
+    sets = {0: list(range(20))} | {u: [x for x in range(20) if x != u % 20] + [100 + u] for u in range(1, 200)}
+    got = {(r.a, r.b) for r in lsh.exact_jaccard(make_inter(sets), 0.2, block_size=16).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b
+            and len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b])) > 0.8}
+    assert got == want and sum(0 in p for p in got) == 199
+
+
+def test_hot_sides_of_pair_joins_can_be_split(spark, make_inter):
+    """Joins on the token and on a pair's entity are plain shuffles, which
+    Spark's skew handling splits; nothing fixes their partitioning."""
+    sets = {u: [1, 2, 3, 10 + u % 7, 50 + u] for u in range(120)}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.adaptive.autoBroadcastJoinThreshold")
+              if spark.conf.get(k, None) is not None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = lsh.exact_jaccard(make_inter(sets), 0.6)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    final = plan.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in final and "REPARTITION_BY" not in final
+
+
+def test_signatures_of_64_bit_ids(make_inter):
+    big = {1: [10 ** 18, 3], 2: [3, 10 ** 18], 3: [2038074743 + 5], 4: [5], 5: [-1], 6: [(1 << 63) - 1]}
+    got = {r.u: list(r.hashes) for r in lsh.signatures(make_inter(big), M).collect()}
+    for u, items in big.items():
+        want = [min(((1 + i % 2038074743) % 2038074743 * a + b) % 2038074743 for i in items) for a, b in M.coeffs]
+        assert got[u] == want
+    pairs = {(r.a, r.b) for r in lsh.similarity_join(make_inter(big), M, 0.5).collect()}
+    assert pairs == {(1, 2)}                       # 3 and 4 hash alike but share no element

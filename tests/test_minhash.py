@@ -41,13 +41,6 @@ def test_signature_native_equals_python(make_inter):
         assert got[u] == (len(set(s)), signature(s, m))
 
 
-def test_array_signature_equals_long_form(spark):
-    m = fit(3, 11)
-    df = spark.createDataFrame([(1, [0, 5, 9]), (2, [4])], "u bigint, items array<bigint>")
-    got = {r.u: list(r.hashes) for r in lsh.signatures_of_sets(df, m).collect()}
-    assert got == {1: signature([0, 5, 9], m), 2: signature([4], m)}
-
-
 def test_parity_with_spark_ml(spark, make_inter):
     for seed, tables in [(42, 5), (0, 1), (-7, 3), (123456789, 8)]:
         m = fit(tables, seed)

@@ -1,10 +1,14 @@
 import hashlib
 import os
 
+import pytest
+
 from conftest import SF_SMALL
+from lshark import session
 from lshark.functions.minhash import fit
 from lshark.operators import lsh, prep
 from lshark.session import checkpoint_dir, clear_stages, cut_lineage
+from lshark.plans import catalog
 from lshark.sources import tables
 
 
@@ -65,3 +69,31 @@ def test_to_ml_model_hashes_like_ours(spark, make_inter):
     got = [int(v[0]) for v in ml.transform(vec).first().hashes]
     ours = list(lsh.signatures(make_inter({1: {0, 3, 7}}), m).first().hashes)
     assert got == ours
+
+
+def test_subset_meets_small_fractions(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "k").unionByName(spark.createDataFrame([(None,)], "k bigint"))
+    for fraction in (0.0, 0.001, 0.0019, 0.01, 0.3, 1.0):
+        n = prep.subset(df, "k", fraction).count()
+        assert abs(n - 200_000 * fraction) <= 5 * (200_000 * fraction * (1 - fraction)) ** 0.5
+    small = {r.k for r in prep.subset(df, "k", 0.001).collect()}
+    assert small <= {r.k for r in prep.subset(df, "k", 0.01).collect()}
+
+
+def test_checkpoint_folder_is_never_local_on_a_cluster():
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session._local_folder(master)
+    assert session._local_folder("local[2]")
+
+
+def test_a_scope_leaves_no_stage_table(spark):
+    kept = cut_lineage(spark.range(3), "outer")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session.checkpoint_dir(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = {str(f.getPath()) for f in files.listStatus(folder)}
+    with session.stage_scope(spark):
+        rows = catalog.queries()["document_near_copies"](spark, SF_SMALL).count()
+        assert {str(f.getPath()) for f in files.listStatus(folder)} > before
+    assert {str(f.getPath()) for f in files.listStatus(folder)} == before
+    assert rows > 0 and kept.count() == 3
