@@ -15,10 +15,13 @@ again with twice the horizon.
 
 *Candidates.*  Texts with equal shingle sequences are one class, and only a
 class's representative goes on.  Signatures are cut into bands.  Every member
-of a bucket is compared with the bucket's smallest, links join components, and
-then members of a bucket that are still in different components are compared
-with each other, so that every link between components is found without
-forming all pairs of a bucket.
+of a bucket is compared with the bucket's best connected one, and links join
+components.  What is left are buckets whose members are still in different
+components: strays there are compared with all members of other components,
+pair by pair in buckets of up to ``PAIRED`` members, and in larger ones within
+tasks that hold a chunk of members as an inverted index and let strays pass.
+So every link between components is found, no bucket is squared and none has
+to fit a task.
 
 *Verification* counts both texts' shingles exactly (64-bit shingle hashes).
 """
@@ -42,7 +45,10 @@ THRESHOLD = 0.8
 #: One-bit signatures of texts at the threshold differ in 6.4 of 64 bits (standard
 #: deviation 2.4); more than 20 has a probability below one in a million.
 MAX_BITS = 20
-PART = 1 << 19              # words signed at once
+PAIRED = 64                  # members of a bucket up to which pairs are formed
+CHUNK = 256                  # members of a larger bucket held at once
+PART = 1 << 18              # words signed at once
+PAIRS = 64                  # pairs verified at once
 
 
 def shingles(units: np.ndarray, off: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -165,33 +171,105 @@ def signed_texts(texts: DataFrame, k: int = SHINGLE, bands: int = BANDS, m: int
     return texts.mapInArrow(run, "d long, f long, g1 long, g2 long, size long, bits long, bands array<long>")
 
 
+def tokens(h: np.ndarray, text: np.ndarray, n_texts: int) -> list[np.ndarray]:
+    """Each text's multiset of shingles as a sorted set: repeats get marks of their own."""
+    h, text, w = weights(h, text)
+    again = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+    t = mix(np.repeat(h, w) + again.astype(U) * U(0xC2B2AE3D27D4EB4F))
+    text = np.repeat(text, w)
+    t = t[np.lexsort((t, text))]
+    return np.split(t, np.cumsum(np.bincount(text, minlength=n_texts))[:-1])
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two multisets of hashes."""
-    (x, n), (y, m) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    both = np.minimum(n[i], m[j]).sum()
+    """Weighted Jaccard similarity from the tokens of two texts."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
     total = len(a) + len(b) - both
     return both / total if total else 0.0
 
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` of representatives whose texts overlap enough.
-    ``texts`` is ``(r, text)``; each text is read once per pair it is in."""
+def _blobs(column) -> list[np.ndarray]:
+    buf, off = text_bytes(column)
+    raw = buf.tobytes()
+    return [np.frombuffer(raw[s:e], U) for s, e in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+
+
+def token_table(texts: DataFrame, k: int) -> DataFrame:
+    """``(r, tokens)`` of ``(r, text)``."""
     def run(batches):
-        for b in batches:
-            sides = []
-            for name in ("text_a", "text_b"):
-                units, off = hashing.word_hashes(*text_bytes(b.column(name)))
-                h, text = shingles(units, off, k)
-                order = np.argsort(text, kind="stable")
-                sides.append((h[order], np.searchsorted(text[order], np.arange(len(off)))))
-            (ha, ca), (hb, cb) = sides
-            good = [overlap(ha[ca[i]:ca[i + 1]], hb[cb[i]:cb[i + 1]]) >= threshold for i in range(b.num_rows)]
-            yield batch(["a", "b"], [b.column("a"), b.column("b")]).filter(pa.array(good, pa.bool_()))
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAIRS):
+                b = whole.slice(at, PAIRS)
+                units, off = hashing.word_hashes(*text_bytes(b.column("text")))
+                found = tokens(*shingles(units, off, k), b.num_rows)
+                yield batch(["r", "tokens"], [b.column("r"), pa.array([t.tobytes() for t in found], pa.binary())])
 
-    one = pairs.join(texts.select(F.col("r").alias("a"), F.col("text").alias("text_a")), "a")
-    two = one.join(texts.select(F.col("r").alias("b"), F.col("text").alias("text_b")), "b")
-    return two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return texts.select("r", "text").mapInArrow(run, "r long, tokens binary")
+
+
+def verified(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``(a, b)`` of representatives whose tokens overlap enough."""
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAIRS):
+                b = whole.slice(at, PAIRS)
+                good = [overlap(x, y) >= threshold for x, y in
+                        zip(_blobs(b.column("x")), _blobs(b.column("y")), strict=True)]
+                yield batch(["a", "b"], [b.column("a"), b.column("b")]).filter(pa.array(good, pa.bool_()))
+
+    one = pairs.join(known.select(F.col("r").alias("a"), F.col("tokens").alias("x")), "a")
+    two = one.join(known.select(F.col("r").alias("b"), F.col("tokens").alias("y")), "b")
+    return two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+class _Members:
+    """A chunk of a bucket's members as an inverted index of their tokens."""
+
+    def __init__(self, rows: list[tuple]):
+        self.r, self.component = (np.array([x[k] for x in rows], np.int64) for k in (0, 1))
+        self.size = np.array([len(x[2]) for x in rows])
+        t, owner = np.concatenate([x[2] for x in rows]), np.repeat(np.arange(len(rows)), self.size)
+        order = np.argsort(t)
+        self.t, self.owner = t[order], owner[order]
+
+    def links(self, component: int, found: np.ndarray, threshold: float) -> np.ndarray:
+        """One member of each other component that the tokens overlap enough with."""
+        lo, hi = np.searchsorted(self.t, found, "left"), np.searchsorted(self.t, found, "right")
+        n = hi - lo
+        at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+        both = np.bincount(self.owner[at], minlength=len(self.r))
+        near = np.flatnonzero((both >= threshold * (self.size + len(found) - both)) & (self.component != component))
+        return self.r[near[np.unique(self.component[near], return_index=True)[1]]]
+
+
+def large_bucket_links(members: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between components inside large buckets, from rows
+    ``(band, v, r, component, main)``."""
+    def run(batches):
+        key, rows, held = None, [], None
+        for b in batches:
+            cols = [b.column(c).to_pylist() for c in ("band", "v", "chunk", "role", "r", "component")]
+            out = []
+            for band, v, chunk, role, r, component, t in zip(*cols, _blobs(b.column("tokens")), strict=True):
+                if (band, v, chunk) != key:
+                    key, rows, held = (band, v, chunk), [], None
+                if role == 0:
+                    rows.append((r, component, t))
+                elif rows:
+                    held = held or _Members(rows)
+                    out += [(r, int(x)) for x in held.links(component, t, threshold)]
+            if out:
+                yield batch(["a", "b"], [pa.array(x, pa.int64()) for x in zip(*out, strict=True)])
+
+    sizes = stage(members.groupBy("band", "v").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "chunks")
+    rows = members.join(sizes, ["band", "v"])
+    held = rows.withColumn("chunk", F.pmod(F.xxhash64("r"), F.col("chunks")).cast("int")).withColumn("role", F.lit(0))
+    pass_by = (rows.where("component != main").withColumn("role", F.lit(1))
+               .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
+    cols = ["band", "v", "chunk", "role", "r", "component"]
+    both = held.select(*cols).unionByName(pass_by.select(*cols)).join(known, "r")
+    return (both.repartition("band", "v", "chunk").sortWithinPartitions("band", "v", "chunk", "role")
+            .select(*cols, "tokens").mapInArrow(run, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -225,36 +303,40 @@ def classes(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, thres
             .dropDuplicates(["d", "f"]).select(F.xxhash64("d", "f").alias("r"), "d", "f", "size", "bits", "bands"))
     reps = stage(reps, "reps")
     rows = reps.select("r", "size", "bits", F.posexplode("bands").alias("band", "v")).drop("d")
-    groups = stage(rows.groupBy("band", "v")
-                   .agg(F.count("*").alias("n"), F.min(F.struct("r", "size", "bits")).alias("y"))
-                   .where("n > 1").select("band", "v", "y"), "buckets")
-    rows = stage(rows.join(groups, ["band", "v"]), "bucket-rows")
-    named = texts.join(reps.select("d", "f", "r"), ["d", "f"]).select("r", "text")
-    used = rows.select("r").distinct()
-    named = stage(named.join(used, "r", "left_semi").dropDuplicates(["r"]), "bucket-texts")
+    counts = stage(rows.groupBy("band", "v").agg(F.count("*").alias("n")).where("n > 1"), "bucket-counts")
+    rows = stage(rows.join(counts, ["band", "v"]), "bucket-rows")
+    # a bucket's centre is its member with the most bucket neighbours: copies of
+    # one original meet it more often than each other
+    degree = stage(rows.groupBy("r").agg(F.sum("n").alias("degree")), "degrees")
+    ranked = rows.join(degree, "r")
+    centres = stage(ranked.groupBy("band", "v").agg(F.max(F.struct("degree", "r", "size", "bits")).alias("y")), "centres")
+    known = texts.join(reps.select("d", "f", "r"), ["d", "f"]).dropDuplicates(["d", "f"])
+    known = stage(token_table(known.join(degree, "r", "left_semi"), k), "bucket-tokens")
 
     close = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= MAX_BITS
     sized = F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size")
-    star = stage(rows.alias("x").where((F.col("x.r") != F.col("y.r")) & close & sized)
+    star = stage(rows.alias("x").join(centres, ["band", "v"]).where((F.col("x.r") != F.col("y.r")) & close & sized)
                  .select(F.col("y.r").alias("a"), F.col("x.r").alias("b")).distinct(), "star-pairs")
-    links = stage(verified(star, named, k, threshold), "links")
+    links = stage(verified(star, known, threshold), "links")
     found = components(links)
 
     # members of one bucket that are still apart
     placed = rows.join(found.withColumnRenamed("node", "r"), "r", "left").withColumn(
-        "component", F.coalesce("component", "r")).drop("y")
+        "component", F.coalesce("component", "r"))
     placed = stage(placed, "placed")
-    sizes = stage(placed.groupBy("band", "v", "component").agg(F.count("*").alias("n")), "bucket-sizes")
-    main = (sizes.groupBy("band", "v").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("k"))
-            .where("k > 1").select("band", "v", F.col("top.component").alias("main")))
+    sizes = stage(placed.groupBy("band", "v", "component").agg(F.count("*").alias("k")), "bucket-sizes")
+    main = (sizes.groupBy("band", "v").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts"))
+            .where("parts > 1").select("band", "v", F.col("top.component").alias("main")))
     apart = stage(placed.join(stage(main, "bucket-main"), ["band", "v"]), "apart")
-    x, y = apart.where("component != main").alias("x"), apart.alias("y")
+    few = apart.where(F.col("n") <= PAIRED)
+    x, y = few.where("component != main").alias("x"), few.alias("y")
     # strays against the largest component, and strays of different components once
     differ = (F.col("x.component") != F.col("y.component")) & (
         (F.col("y.component") == F.col("y.main")) | (F.col("x.component") < F.col("y.component")))
-    rest = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.v") == F.col("y.v")) & differ & close & sized)
-            .select(F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b")).distinct())
-    more = stage(verified(rest, named, k, threshold), "more-links")
+    rest = stage(x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.v") == F.col("y.v")) & differ & close & sized)
+                 .select(F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b")).distinct(), "stray-pairs")
+    many = large_bucket_links(apart.where(F.col("n") > PAIRED).select("band", "v", "r", "component", "main"), known, threshold)
+    more = stage(verified(rest, known, threshold).unionByName(many), "more-links")
     joined = components(links.unionByName(more)) if not more.isEmpty() else found
 
     # back to documents: a component's class is its smallest member

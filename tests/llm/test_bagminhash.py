@@ -69,6 +69,19 @@ def test_classes_match_brute_force(make_docs, seed):
     assert {r.class_id for r in kept} == set(want) and all(r.doc_id == r.class_id for r in kept)
 
 
+def test_large_buckets_are_compared_within_tasks(make_docs, monkeypatch):
+    """Variants of one text whose pairwise similarities lie on both sides of the threshold."""
+    monkeypatch.setattr(bagminhash, "PAIRED", 3)
+    monkeypatch.setattr(bagminhash, "CHUNK", 5)
+    rnd = random.Random(9)
+    base = ["w%d" % rnd.randrange(900) for _ in range(200)]
+    rows = [(i, " ".join(edited(rnd, base, 0.012 + 0.0006 * i))) for i in range(60)]
+    got = bagminhash.near_duplicates(make_docs(rows)).collect()
+    want = brute(rows)
+    assert 3 < len(set(want)) < 50
+    assert sorted((r.doc_id, r.class_id) for r in got) == [(r[0], c) for r, c in zip(rows, want)]
+
+
 def test_keep_one_keeps_columns_and_one_row_per_class(make_docs):
     rows = corpus(3)
     docs = make_docs(rows)
