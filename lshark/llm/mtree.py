@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from lshark.llm.common import batch, ints, ship, stage, text_bytes
 
 TOP = 5
-PAGE = 64
-PART_ROWS = (1024, 1 << 15)  # least and most rows of a part
+PAGE = 256
+PART_ROWS = (2048, 1 << 15)  # least and most rows of a part
 QUERY_ROWS = 1 << 16         # queries streamed through one build of a part's tree
 SCALE, LIMIT = 256, 1 << 26
 
@@ -75,6 +75,7 @@ class Tree:
         x = vectors.astype(float)
         norm = (x * x).sum(axis=1)
         self.top = float(norm.max()) if len(norm) else 0.0
+        self.largest = float(np.abs(x).max(initial=0))
         self.x = np.column_stack((x, np.sqrt(np.maximum(self.top - norm, 0))))
         self.root = build(self.x, np.arange(len(ids)), page=page)
 
@@ -82,6 +83,8 @@ class Tree:
         """The ``k`` best ``(score, id)`` other than the query's own id."""
         p = np.append(q.astype(float), 0.0)
         own = float((p * p).sum())
+        real = p[:-1]
+        exact = self.largest * float(np.abs(real).max(initial=0)) * len(real) < 1 << 53   # sums are then exact as doubles
         margin = 1e-7 * (1 + np.sqrt(own + self.top)) ** 2    # on squared distances
         best: list[tuple[int, int]] = []                      # heap of (score, -id)
         limit = np.inf                                        # distance of the k-th best so far
@@ -90,24 +93,26 @@ class Tree:
             low, _, node, to_parent = heappop(heap)
             if low > limit:
                 break
-            points, cover = node.points, 0.0 if node.radius is None else node.radius
+            points, rows, keep = node.points, node.rows, None
             if to_parent is not None and limit < np.inf:      # |d(q, parent) - d(parent, entry)| - radius
-                keep = np.flatnonzero(np.abs(to_parent - node.to_parent) - cover <= limit)
-                points = points[keep]
-            else:
-                keep = np.arange(len(points))
-            if not len(keep):
-                continue
+                far = np.abs(to_parent - node.to_parent)
+                ok = (far if node.radius is None else far - node.radius) <= limit
+                if not ok.all():
+                    keep = np.flatnonzero(ok)
+                    if not len(keep):
+                        continue
+                    points = points[keep]
             if node.radius is None:
-                rows = node.rows[keep]
-                score = self.exact[rows] @ q
+                rows = rows if keep is None else rows[keep]
+                score = points[:, :-1] @ real if exact else self.exact[rows] @ q
                 if len(best) == k:
                     worth = np.flatnonzero(score >= best[0][0])
-                    rows, score = rows[worth], score[worth]
-                order = np.argsort(-score, kind="stable")[:k + 64] if len(rows) > 4 * k else np.arange(len(rows))
-                if len(rows) > 4 * k:                         # all ties of the k-th must be seen
-                    order = np.flatnonzero(score >= score[order[k]])
-                for s, i in zip(score[order].tolist(), self.ids[rows[order]].tolist(), strict=True):
+                elif len(score) > 4 * k:                      # with all ties of the k-th
+                    worth = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1])
+                else:
+                    worth = np.arange(len(score))
+                for s, i in zip(score[worth].tolist(), self.ids[rows[worth]].tolist(), strict=True):
+                    s = int(s)
                     if i == query_id:
                         continue
                     if len(best) < k:
@@ -119,6 +124,7 @@ class Tree:
                     limit = np.sqrt(max(own + self.top - 2 * best[0][0], 0.0) + margin)
             else:
                 d = _distance(points, p)
+                keep = np.arange(len(points)) if keep is None else keep
                 floor = np.maximum(d - node.radius[keep], 0) - np.sqrt(margin) * 1e-3
                 for n in np.flatnonzero(floor <= limit).tolist():
                     heappush(heap, (float(floor[n]), count, node.children[keep[n]], float(d[n])))
