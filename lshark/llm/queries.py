@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from lshark.llm import bagminhash, bytebpe, langid, mtree, packing, pigeonhole, quality, substring, suffix, warc
 from lshark.llm.oracle import ORACLE
+from lshark.sources.tables import spread
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{name}.parquet")
+    """A whole table; dealt out if it comes in fewer pieces than there are cores."""
+    return spread(spark.read.parquet(f"{base}/{name}.parquet"))
 
 
 #: Score from which a document counts as good, as the contract of operator 1 sets it.

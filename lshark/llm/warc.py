@@ -29,6 +29,7 @@ from lshark.session import checkpoint_dir
 LEVEL = 6
 READ = 1 << 18
 FILE_BYTES = 64 << 20        # payload after which a writer starts the next file
+MOST_TASKS = 20_000
 LEAST_REVISIT = 100          # payloads shorter than this are always written in full
 GZIP = 31                    # zlib's window bits for gzip framing
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -213,6 +214,12 @@ def write_archives(records: DataFrame, folder: str, level: int = LEVEL, file_byt
     return records.select("p", "url", "digest", "size", "refers", "html").mapInArrow(run, "file string, records long")
 
 
+def _dealt(files: DataFrame) -> DataFrame:
+    """A task per file (a few files from ``MOST_TASKS`` on).  The rows are tiny, so
+    without a fixed number Spark would put them all into one task."""
+    return files.repartition(max(1, min(files.count(), MOST_TASKS)), "file")
+
+
 def normalise_archives(files: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
     """Normalise every listed file; returns ``(file, index, records)``."""
     def run(batches):
@@ -223,7 +230,7 @@ def normalise_archives(files: DataFrame, folder: str, level: int = LEVEL) -> Dat
                 yield batch(["file", "index", "records"],
                             [pa.array([f"{name}.warc.gz"]), pa.array([f"{name}.index"]), pa.array([n], pa.int64())])
 
-    return files.select("file").repartition("file").mapInArrow(run, "file string, index string, records long")
+    return _dealt(files.select("file")).mapInArrow(run, "file string, index string, records long")
 
 
 def read_archives(files: DataFrame) -> DataFrame:
@@ -264,7 +271,7 @@ def read_archives(files: DataFrame) -> DataFrame:
         return batch(["p", "payload_bytes", "payload_digest", "record_type", "refers"],
                      [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)])
 
-    return files.select("file", "index").repartition("file").mapInArrow(
+    return _dealt(files.select("file", "index")).mapInArrow(
         run, "p long, payload_bytes long, payload_digest string, record_type string, refers long")
 
 
