@@ -7,6 +7,10 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lshark.session import cut_lineage
+
+MOST_ITEMS = 50_000            # elements of a set gathered into one row
+
 
 def interactions(df: DataFrame, user: str | Column, item: str | Column,
                  where: Column | None = None) -> DataFrame:
@@ -29,18 +33,21 @@ def event_item(props: str = "props") -> Column:
     return F.get_json_object(F.col(props), "$.k").cast("bigint")
 
 
-def entity_sets(inter: DataFrame, by: str = "u", other: str | None = None) -> DataFrame:
+def entity_sets(inter: DataFrame, by: str = "u", other: str | None = None, most: int = MOST_ITEMS) -> DataFrame:
     """One sorted, distinct, non-empty set per entity (B2).
 
-    Output ``(u, n, items)``.  ``by='i'`` turns the table around (item sets of
-    users).  This materialises each entity's set as one array; the LSH path
-    itself works on the long form and only builds arrays for verified pairs.
+    Output ``(u, n, part, items)``.  ``by='i'`` turns the table around (item
+    sets of users).  A set of more than ``most`` elements comes in several
+    rows, ``part`` 0, 1, ..., each with about ``most`` of them, so that no row
+    has to hold an unbounded set; all others have ``part`` 0 only.
     """
     other = other or ("i" if by == "u" else "u")
-    return (inter.where(F.col(by).isNotNull() & F.col(other).isNotNull())
-                 .groupBy(F.col(by).alias("u"))
-                 .agg(F.array_sort(F.collect_set(F.col(other))).alias("items"))
-                 .select("u", F.size("items").cast("bigint").alias("n"), "items"))
+    rows = (inter.select(F.col(by).alias("u"), F.col(other).alias("x"))
+            .where(F.col("u").isNotNull() & F.col("x").isNotNull()).distinct())
+    sizes = cut_lineage(rows.groupBy("u").agg(F.count(F.lit(1)).alias("n")), "set-sizes")
+    part = F.pmod(F.xxhash64("x"), F.ceil(F.col("n") / F.lit(most))).cast("int")
+    return (rows.join(sizes, "u").withColumn("part", part).groupBy("u", "n", "part")
+            .agg(F.array_sort(F.collect_list("x")).alias("items")))
 
 
 def subset(df: DataFrame, key: str, fraction: float) -> DataFrame:

@@ -83,12 +83,12 @@ def q_interactions_sql():
 
 def q_entity_sets(spark, base):
     sets = prep.entity_sets(purchases(spark, base, "o_custkey", "l_partkey"))
-    return sets.select("u", "n", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+    return sets.select("u", "n", "part", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
 
 
 def q_entity_sets_sql():
     return (f"WITH {_purchases_sql('cp', 'o_custkey', 'l_partkey')} "
-            f"SELECT u, CAST(count(*) AS BIGINT) AS n, array_to_string(list_sort(list(i)), ',') AS items "
+            f"SELECT u, CAST(count(*) AS BIGINT) AS n, 0 AS part, array_to_string(list_sort(list(i)), ',') AS items "
             f"FROM cp GROUP BY u")
 
 
@@ -429,6 +429,16 @@ def q_document_stopwords_sql():
             f"FROM documents)")
 
 
+def q_document_dense_sets(spark, base):
+    docs = text.tokenize(load_documents(spark, base, "doc_id", "text"))
+    return text.dense_token_sets(docs, "doc_id")
+
+
+def q_document_dense_sets_sql():
+    return (f"WITH t AS (SELECT DISTINCT doc_id AS u, unnest({_TOK_SQL}) AS w FROM documents) "
+            f"SELECT u, CAST(dense_rank() OVER (ORDER BY w) - 1 AS BIGINT) AS i FROM t")
+
+
 def document_sets(spark, base):
     docs = text.tokenize(load_documents(spark, base, "doc_id", "text"))
     return text.token_sets(docs, "doc_id")
@@ -464,6 +474,17 @@ def _scratch(spark, what: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{what}-{uuid.uuid4().hex}")
 
 
+def q_csv_read(spark, base):
+    """The same table by the csv route: declared schema, nothing inferred."""
+    folder = _scratch(spark, "csv")
+    tables.load(spark, base, "part").write.option("header", True).csv(f"{folder}/part")
+    return tables.load(spark, folder, "part", fmt="csv", header=True)
+
+
+def q_csv_read_sql():
+    return "SELECT * FROM part"
+
+
 def q_preprocessed_roundtrip(spark, base):
     path = tables.write_preprocessed(event_interactions(spark, base), _scratch(spark, "preprocessed"))
     return tables.read_preprocessed(spark, path)
@@ -504,7 +525,9 @@ QUERIES = {
     "document_tokens": q_document_tokens,
     "document_stopwords": q_document_stopwords,
     "document_near_copies": q_document_near_copies,
+    "document_dense_sets": q_document_dense_sets,
     "subset": q_subset,
+    "csv_read": q_csv_read,
     "preprocessed_roundtrip": q_preprocessed_roundtrip,
     "model_roundtrip": q_model_roundtrip,
 }
@@ -536,7 +559,9 @@ ORACLE = {
     "document_tokens": q_document_tokens_sql,
     "document_stopwords": q_document_stopwords_sql,
     "document_near_copies": q_document_near_copies_sql,
+    "document_dense_sets": q_document_dense_sets_sql,
     "subset": q_subset_sql,
+    "csv_read": q_csv_read_sql,
     "preprocessed_roundtrip": q_interactions_sql,
     "model_roundtrip": q_minhash_signature_sql,
 }

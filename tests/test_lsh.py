@@ -306,3 +306,11 @@ def test_signatures_of_64_bit_ids(make_inter):
         assert got[u] == want
     pairs = {(r.a, r.b) for r in lsh.similarity_join(make_inter(big), M, 0.5).collect()}
     assert pairs == {(1, 2)}                       # 3 and 4 hash alike but share no element
+
+
+def test_long_entity_sets_come_in_bounded_rows(make_inter):
+    inter = make_inter({1: range(100), 2: range(5)})
+    got = prep.entity_sets(inter, most=10).collect()
+    assert all(len(r.items) < 40 and list(r.items) == sorted(r.items) for r in got)
+    assert sorted(i for r in got if r.u == 1 for i in r.items) == list(range(100))
+    assert [(r.n, r.part, list(r.items)) for r in got if r.u == 2] == [(5, 0, [0, 1, 2, 3, 4])]
