@@ -12,7 +12,9 @@ with the number of groups.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -26,52 +28,78 @@ CAPACITY = 4096
 END_ID = 1
 GROUP = 2000                 # pieces packed together by one task
 UNDERFULL = 64               # free tokens from which a bin is packed again
-CACHE = 400_000              # words with remembered ids, per Python worker
+WORDS, PARTS = 1_000_000, 800_000     # remembered at most by a Python worker
 LONGEST_CACHED = 48          # bytes
 
-_tokenizers: dict[str, tuple] = {}
+#: Words of these characters fall apart into letters and marks that the
+#: vocabulary's splitting pattern also keeps apart, and lower-casing them is
+#: one character at a time.  Apostrophes and digits are left to the tokenizer.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ!-&(-/:-@\[-`{-~]+")
+_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+")
 
 
-def _tokenizer(path: str):
-    """The tokenizer and its word cache, once per Python worker."""
-    if path not in _tokenizers:
+class WordTokenizer:
+    """Ids of texts word by word.  The vocabulary's pre-tokens never cross ASCII
+    white space, which it drops, so a text's ids are those of its words in
+    order; words and their parts are encoded by the tokenizer once while they
+    are remembered."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        _tokenizers[path] = (t, {})
-    return _tokenizers[path]
-
-
-def _ids_of(words: list[bytes], tokenizer) -> list[bytes]:
-    coded = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-    return [np.array(x.ids, "<u4").tobytes() for x in coded]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not remembered."""
+        parts, known, new = {}, self.parts, set()
+        for w in words:
+            text = w.decode()
+            parts[w] = found = _PARTS.findall(text.lower()) if _PLAIN.fullmatch(text) else [text]
+            for p in found:
+                if p not in known:
+                    new.add(p)
+        fresh = {}
+        if new:
+            new = list(new)
+            coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            fresh = dict(zip(new, [array("I", x.ids).tobytes() for x in coded], strict=True))
+        ids_of = lambda p: fresh[p] if p in fresh else known[p]
+        out = {w: ids_of(found[0]) if len(found) == 1 else b"".join([ids_of(p) for p in found])
+               for w, found in parts.items()}
+        if len(known) < PARTS:
+            known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST_CACHED)
+        if len(self.words) < WORDS:
+            self.words.update((w, ids) for w, ids in out.items() if len(w) <= LONGEST_CACHED)
+        return out
+
+    def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
+        """Ids of each text and ``end_id``, as unsigned 32-bit bytes."""
+        get, end = self.words.get, array("I", [end_id]).tobytes()
+        split = [t.split() for t in texts]
+        found = [list(map(get, ws)) for ws in split]
+        lacking = [None in got for got in found]
+        unknown = {w for ws, got, bad in zip(split, found, lacking, strict=True) if bad
+                   for w, g in zip(ws, got, strict=True) if g is None}
+        if len(self.words) >= WORDS and 2 * len(unknown) > sum(map(len, split)):
+            self.words.clear()                     # the texts have become others: start afresh
+            self.parts.clear()
+        local = self._learn(unknown)
+        return [b"".join([local[w] if g is None else g for w, g in zip(ws, got, strict=True)] if bad else got) + end
+                for ws, got, bad in zip(split, found, lacking, strict=True)]
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
 
 
 def token_ids(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
-    """Ids of each text and ``end_id``, as little-endian unsigned 32-bit bytes.
-
-    The vocabulary's pre-tokens never cross ASCII white space, which it drops,
-    so the ids of a text are those of its words in order and each distinct
-    word is encoded once per cache.
-    """
-    tokenizer, cache = _tokenizer(path)
-    split = [t.split() for t in texts]
-    new = list(set().union(*split).difference(cache)) if split else []
-    if len(cache) + len(new) > CACHE:
-        cache.clear()
-        new = list(set().union(*split))
-    local = dict(zip(new, _ids_of(new, tokenizer), strict=True)) if new else {}
-    cache.update((w, v) for w, v in local.items() if len(w) <= LONGEST_CACHED)
-    end = np.array([end_id], "<u4").tobytes()
-    out = []
-    for ws in split:
-        try:
-            out.append(b"".join([cache[w] for w in ws]) + end)
-        except KeyError:
-            out.append(b"".join([cache[w] if w in cache else local[w] for w in ws]) + end)
-    return out
+    """Ids of each text and ``end_id``; the tokenizer lives as long as the Python worker."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path].encode(texts, end_id)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
