@@ -73,12 +73,13 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR) -> Da
 def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR) -> DataFrame:
     """``(d, f, s, e)``: word ranges to remove (they may overlap)."""
     runs = stage(repeated_runs(texts, length, q), "runs")
-    first = F.min(F.struct("d", "pos")).alias("first")
-    groups = stage(runs.groupBy("h", "c").agg(first), "groups")
+    place = F.struct("d", "pos")
+    ends = F.min(place).alias("first"), F.max(place).alias("last")
+    groups = stage(runs.groupBy("h", "c").agg(*ends), "groups")
     span = [F.col("pos").alias("s"), (F.col("pos") + F.col("n") - 1 + length).alias("e")]
     # a run whose content also starts earlier goes as a whole
-    later = (runs.drop("w").join(groups, ["h", "c"])
-             .where(F.struct("d", "pos") > F.col("first")).select("d", "f", *span))
+    later = (runs.drop("w").join(groups.where("first < last"), ["h", "c"])
+             .where(place > F.col("first")).select("d", "f", *span))
     # anchors with several contents: compare the windows of each content's first run
     mixed = stage(groups.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "mixed")
     heads = (groups.join(mixed, "h").select("h", "c", F.col("first.d").alias("d"), F.col("first.pos").alias("pos")))
@@ -86,10 +87,8 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR) -> Da
                .select("d", "f", "pos", "h", F.posexplode("w").alias("i", "w"))
                .select("d", "f", (F.col("pos") + F.col("i")).alias("pos"), "h", "w"))
     windows = stage(windows, "windows")
-    place = F.struct("d", "pos")
-    firsts = stage(windows.groupBy("h", "w").agg(first, F.max(place).alias("last"))
-                   .where("first < last").select("h", "w", "first"), "firsts")
-    covered = (windows.join(firsts, ["h", "w"]).where(F.struct("d", "pos") > F.col("first"))
+    firsts = stage(windows.groupBy("h", "w").agg(*ends).where("first < last").select("h", "w", "first"), "firsts")
+    covered = (windows.join(firsts, ["h", "w"]).where(place > F.col("first"))
                .select("d", "f", F.col("pos").alias("s"), (F.col("pos") + length).alias("e")))
     return later.unionByName(covered)
 
