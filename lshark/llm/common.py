@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -87,3 +89,40 @@ def ints(arr) -> np.ndarray:
 
 def batch(names: list[str], cols: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array,)) else pa.array(c) for c in cols], names=names)
+
+
+# ------------------------------------------------------------ memory of Python workers
+
+_held: dict = {}
+
+
+def remembered(key, make: Callable):
+    """An object that stays in the Python worker for its later tasks, until a
+    task of another operator starts there."""
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
+def start_task(keep) -> None:
+    for key in [k for k in _held if k != keep]:
+        del _held[key]
+
+
+def end_task() -> None:
+    """Give unused memory back to the system: workers live long, and share an
+    executor's memory with its JVM."""
+    pa.default_memory_pool().release_unused()
+    if os.name == "posix" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def in_task(run: Callable, keep=None) -> Callable:
+    """``run`` over a task's record batches, with memory tidied around it;
+    ``keep`` names the remembered object that it uses."""
+    def guarded(batches):
+        start_task(keep)
+        yield from run(batches)
+        end_task()
+
+    return guarded

@@ -26,7 +26,7 @@ def codec():
 
 
 def ids_of(codec, text):
-    return [int(x) for got in codec.encode(text) for x in got[1].split(",") if x]
+    return [int(x) for got in codec.encode([text])[0] for x in got[1].split(",") if x]
 
 
 def test_any_text_as_the_library_encodes_it(codec, library):
@@ -35,7 +35,7 @@ def test_any_text_as_the_library_encodes_it(codec, library):
     for _ in range(4000):
         s = "".join(rnd.choice(alphabet) for _ in range(rnd.randrange(40)))
         assert ids_of(codec, s) == library.encode_ordinary(s), repr(s)
-        assert b"".join(x[2] for x in codec.encode(s)) == s.encode()
+        assert b"".join(x[2] for x in codec.encode([s])[0]) == s.encode()
 
 
 def test_ties_and_long_pre_tokens(codec, library):
@@ -47,16 +47,23 @@ def test_ties_and_long_pre_tokens(codec, library):
     assert time.time() - begin < 20
 
 
-def test_rank_queue_pops_lowest_rank_then_first_position():
-    rnd, q, want = random.Random(3), bytebpe.RankQueue(50000), []
+def test_rank_queue_gives_lowest_rank_with_positions_in_order():
+    rnd, q, want = random.Random(3), bytebpe.RankQueue(50000), {}
     for _ in range(3000):
-        item = rnd.randrange(50000), rnd.randrange(100)
-        want.append(item)
-        q.push(*item)
+        rank, pos = rnd.randrange(2000) * 25, rnd.randrange(100)
+        want.setdefault(rank, []).append(pos)
+        q.push(rank, [pos])
     got = []
     while q.top:
         got.append(q.pop())
-    assert got == sorted(want)
+    assert got == [(r, sorted(p)) for r, p in sorted(want.items())]
+
+
+def test_pieces_merged_side_by_side_do_not_meet(codec):
+    rnd = random.Random(4)
+    pieces = ["".join(rnd.choice("theanodris ") for _ in range(rnd.randrange(1, 14))).strip() or "a" for _ in range(3000)]
+    joined = codec.merge([p.encode() for p in pieces])
+    assert joined == [codec.merge([p.encode()])[0] for p in pieces]
 
 
 def test_table(make_docs, library):
