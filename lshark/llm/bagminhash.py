@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lshark.llm import hashing
-from lshark.llm.common import batch, id_back, id_key, ints, keyed_texts, ship, stage, text_bytes
+from lshark.llm.common import batch, id_back, id_key, in_task, ints, keyed_texts, ship, stage, text_bytes
 from lshark.llm.components import components
 from lshark.llm.hashing import U, mix
 
@@ -168,7 +168,7 @@ def signed_texts(texts: DataFrame, k: int = SHINGLE, bands: int = BANDS, m: int
                             [d[i:j], f[i:j], g1.view(np.int64), g2.view(np.int64), size,
                              one_bit(sig).view(np.int64), lists])
 
-    return texts.mapInArrow(run, "d long, f long, g1 long, g2 long, size long, bits long, bands array<long>")
+    return texts.mapInArrow(in_task(run), "d long, f long, g1 long, g2 long, size long, bits long, bands array<long>")
 
 
 def tokens(h: np.ndarray, text: np.ndarray, n_texts: int) -> list[np.ndarray]:
@@ -204,7 +204,7 @@ def token_table(texts: DataFrame, k: int) -> DataFrame:
                 found = tokens(*shingles(units, off, k), b.num_rows)
                 yield batch(["r", "tokens"], [b.column("r"), pa.array([t.tobytes() for t in found], pa.binary())])
 
-    return texts.select("r", "text").mapInArrow(run, "r long, tokens binary")
+    return texts.select("r", "text").mapInArrow(in_task(run), "r long, tokens binary")
 
 
 def verified(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
 
     one = pairs.join(known.select(F.col("r").alias("a"), F.col("tokens").alias("x")), "a")
     two = one.join(known.select(F.col("r").alias("b"), F.col("tokens").alias("y")), "b")
-    return two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return two.select("a", "b", "x", "y").mapInArrow(in_task(run), "a long, b long")
 
 
 class _Members:
@@ -269,7 +269,7 @@ def large_bucket_links(members: DataFrame, known: DataFrame, threshold: float) -
     cols = ["band", "v", "chunk", "role", "r", "component"]
     both = held.select(*cols).unionByName(pass_by.select(*cols)).join(known, "r")
     return (both.repartition("band", "v", "chunk").sortWithinPartitions("band", "v", "chunk", "role")
-            .select(*cols, "tokens").mapInArrow(run, "a long, b long"))
+            .select(*cols, "tokens").mapInArrow(in_task(run), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lshark.llm.common import ship, text_bytes
+from lshark.llm.common import end_task, in_task, ship, start_task, text_bytes
 from lshark.llm.quality import held_out
 
 WINDOW = 256
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # ids alone are ranked; their texts are then read by a semi-join with that bounded list
     chosen = known.select("d").distinct().orderBy(F.xxhash64("d"), "d").limit(max_train)
     rows = (known.join(F.broadcast(chosen), "d", "left_semi").select("d", "lang", "text")
-            .mapInArrow(run, "d string, lang string, place long, bytes binary").toArrow())
+            .mapInArrow(in_task(run), "d string, lang string, place long, bytes binary").toArrow())
     rows = rows.sort_by([("d", "ascending"), ("place", "ascending"), ("lang", "ascending"), ("bytes", "ascending")])
     langs = sorted(set(rows["lang"].to_pylist()))
     w = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(-1, WINDOW)
@@ -182,7 +182,9 @@ def identify(model: Model, text: Column) -> Column:
 
     @arrow_udf("lang string, score double")
     def found(v: pa.Array) -> pa.Array:
+        start_task(None)
         best, score = model.predict(*text_bytes(v))
+        end_task()
         names = [model.langs[k] if k >= 0 else UNKNOWN for k in best.tolist()]
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score)], names=["lang", "score"])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lshark.llm.common import batch, ints, ship, stage, text_bytes
+from lshark.llm.common import batch, in_task, ints, ship, stage
 
 TOP = 5
 PAGE = 256
@@ -202,7 +202,7 @@ def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: st
                                      F.lit(1).alias("role"), "id", "v")
     key = ["dim", "part", "qblock"]
     found = (kept.unionByName(asks).repartition(*key).sortWithinPartitions(*key, "role", "id")
-             .mapInArrow(_searcher(k), "query_id long, vec_id long, score long"))
+             .mapInArrow(in_task(_searcher(k)), "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

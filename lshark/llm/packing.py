@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lshark.llm.common import batch, id_back, keyed_texts, ship, stage, text_bytes
+from lshark.llm.common import batch, id_back, in_task, keyed_texts, remembered, ship, stage, text_bytes
 
 CAPACITY = 4096
 END_ID = 1
@@ -92,14 +92,9 @@ class WordTokenizer:
                 for ws, got, bad in zip(split, found, lacking, strict=True)]
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
 def token_ids(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
-    """Ids of each text and ``end_id``; the tokenizer lives as long as the Python worker."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path].encode(texts, end_id)
+    """Ids of each text and ``end_id``; words are remembered by the Python worker."""
+    return remembered(path, lambda: WordTokenizer(path)).encode(texts, end_id)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -125,7 +120,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                              pa.array(n, pa.int64()), pa.array(crc, pa.int64())])
 
     texts = keyed_texts(docs, id_col, text_col).select("d", "text")
-    return texts.mapInArrow(run, "d long, piece int, start long, length long, ids_crc32 long")
+    return texts.mapInArrow(in_task(run, tokenizer), "d long, piece int, start long, length long, ids_crc32 long")
 
 
 # ------------------------------------------------------------ packing of one group

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lshark.llm.common import batch, id_back, id_key, ints, ship, stage, text_bytes
+from lshark.llm.common import batch, id_back, id_key, in_task, ints, ship, stage, text_bytes
 from lshark.llm.components import components
 
 THRESHOLD = 0.93
@@ -234,7 +234,7 @@ def links(reps: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, chu
     ``(label, vec, rep, copies)``, and edges that connect what the links do."""
     turn = reps.sparkSession.sparkContext.broadcast(rotations(reps, ROTATION_SAMPLE))    # a matrix per dimension
     placed = reps.select("label", "vec", "rep", "copies").mapInArrow(
-        lambda it: _placed(it, turn.value, threshold, block), PLACED)
+        in_task(lambda it: _placed(it, turn.value, threshold, block)), PLACED)
     placed = stage(placed, "placed-vectors")
     cell = ["label", "dim", "block", "cell"]
     sizes = stage(placed.where("home").groupBy(*cell).agg(F.count("*").alias("n"))
@@ -250,7 +250,7 @@ def links(reps: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, chu
     met = (met.select(*[F.col(c).cast("bigint").alias(c) for c in key], F.col("role").cast("bigint").alias("role"),
                       "rep", "copies", "x")
            .repartition(*key).sortWithinPartitions(*key, "role"))
-    return met.mapInArrow(lambda it: _joiner(turn.value, threshold, block)(it), LINKS)
+    return met.mapInArrow(in_task(lambda it: _joiner(turn.value, threshold, block)(it)), LINKS)
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lshark.llm import hashing
-from lshark.llm.common import ship, text_bytes
+from lshark.llm.common import end_task, in_task, ship, start_task, text_bytes
 
 #: Labelled rows used to fit, at most; chosen by a hash of the id.
 MAX_TRAIN = 20_000
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("d"), F.col(text_col).cast("string").alias("text"))
     rows = (texts.join(F.broadcast(known), "d")               # at most max_train ids and labels
             .select(F.col("d").cast("string").alias("d"), F.col("y").cast("double").alias("y"), "text")
-            .mapInArrow(run, "d string, y double, x array<double>"))
+            .mapInArrow(in_task(run), "d string, y double, x array<double>"))
     table = rows.toArrow()
     x = np.array(table["x"].to_pylist(), float).reshape(-1, len(FEATURES))
     y, d = table["y"].to_numpy(), np.array(table["d"].to_pylist(), object)
@@ -261,6 +261,9 @@ def score(model: Model, text: Column) -> Column:
 
     @arrow_udf("double")
     def scored(v: pa.Array) -> pa.Array:
-        return pa.array(model.score(statistics(v)))
+        start_task(None)
+        out = pa.array(model.score(statistics(v)))
+        end_task()
+        return out
 
     return scored(F.coalesce(text.cast("string"), F.lit("")))

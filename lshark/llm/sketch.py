@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lshark.llm.common import in_task
 from lshark.llm.hashing import U, mix
 
 ROWS = 2
@@ -85,7 +86,7 @@ def merged(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarra
             yield _rows([(k[0], k[1], zlib.compress(np.packbits(v > 1, bitorder="little").tobytes(), 1))
                          for k, v in sums.items()])
 
-    parts = (df.mapInArrow(build, SCHEMA).repartition("line", "shard").mapInArrow(merge, SCHEMA))
+    parts = (df.mapInArrow(in_task(build), SCHEMA).repartition("line", "shard").mapInArrow(in_task(merge), SCHEMA))
     bits = [np.zeros(width // 8, np.uint8) for _ in range(ROWS)]
     for line, shard, data in parts.collect():
         bits[line][shard * size // 8:(shard + 1) * size // 8] = np.frombuffer(zlib.decompress(bytes(data)), np.uint8)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lshark.llm import hashing, sketch
-from lshark.llm.common import batch, id_back, ints, keyed_texts, ship, stage, text_bytes
+from lshark.llm.common import batch, id_back, in_task, ints, keyed_texts, ship, stage, text_bytes
 
 LENGTH = 20
 ANCHOR = 8
@@ -67,7 +67,7 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR) -> Da
                 yield batch(["d", "f", "pos", "n", "h", "c", "w"],
                             [d[row[k]], f[row[k]], pos[k], n[k], h[k].view(np.int64), c[k].view(np.int64), lists])
 
-    return texts.mapInArrow(emit, "d long, f long, pos long, n long, h long, c long, w array<long>")
+    return texts.mapInArrow(in_task(emit), "d long, f long, pos long, n long, h long, c long, w array<long>")
 
 
 def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR) -> DataFrame:
@@ -119,7 +119,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def apply(batches):
         for b in batches:
             found = b.column("spans").to_pylist()
-            buf, off = text_bytes(b.column("text"))
+            buf, off = text_bytes(b.column("row").field(text_col) if carry else b.column("text"))
             n_words, removed, kept = [], [], []
             for i, spans in enumerate(found):
                 ws = buf[off[i]:off[i + 1]].tobytes().split()
@@ -136,12 +136,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          pa.array(kept, pa.string()), *more])
 
     rows = keyed_texts(docs, id_col, text_col, carry)
-    joined = rows.join(spans, ["d", "f"], "left").drop("f")
+    joined = rows.drop("text" if carry else "row").join(spans, ["d", "f"], "left").drop("f")
     schema = T.StructType([T.StructField("d", T.LongType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     if carry:
         schema.add("row", rows.schema["row"].dataType)
-    out = joined.mapInArrow(apply, schema)
+    out = joined.mapInArrow(in_task(apply), schema)
     return out.withColumn("d", id_back(F.col("d"))).withColumnRenamed("d", id_col)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lshark.llm import hashing, sketch
-from lshark.llm.common import batch, id_back, ints, keyed_texts, ship, stage, text_bytes
+from lshark.llm.common import batch, id_back, in_task, ints, keyed_texts, ship, stage, text_bytes
 
 LENGTH = 200
 ANCHOR = 40
@@ -118,7 +118,7 @@ def repeated_runs(texts: DataFrame, length: int, q: int) -> DataFrame:
                     yield batch(["d", "f", "pos", "n", "h", "c", "o"],
                                 [d[row[k]], f[row[k]], pos[k], n[k], h[k].view(np.int64), c[k].view(np.int64), o[k]])
 
-    return texts.mapInArrow(emit, "d long, f long, pos long, n long, h long, c long, o long")
+    return texts.mapInArrow(in_task(emit), "d long, f long, pos long, n long, h long, c long, o long")
 
 
 PIECE = "d long, f long, pos long, h long, c long, n long, o long, bytes binary"
@@ -250,7 +250,7 @@ def _mixed(groups: DataFrame, name: str) -> DataFrame:
 def _sorted(pieces: DataFrame, length: int) -> DataFrame:
     """Spans from the suffix sort of the pieces, whole buckets in a task."""
     return (pieces.repartition("h").sortWithinPartitions("h")
-            .select("h", "c", "d", "f", "pos", "n", "bytes").mapInArrow(_sorter(length), SPAN))
+            .select("h", "c", "d", "f", "pos", "n", "bytes").mapInArrow(in_task(_sorter(length)), SPAN))
 
 
 def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR, bucket: int = BUCKET) -> DataFrame:
@@ -261,7 +261,7 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR, bucke
     sizes = _mixed(groups, "byte-buckets")
     wanted = (groups.join(sizes, "h").select("h", "c", "n", "o", "first.*")
               .groupBy("d", "f").agg(F.collect_list(F.struct("h", "c", "n", "pos", "o")).alias("wanted")))
-    pieces = texts.join(wanted, ["d", "f"]).select("d", "f", "text", "wanted").mapInArrow(_cut(length), PIECE)
+    pieces = texts.join(wanted, ["d", "f"]).select("d", "f", "text", "wanted").mapInArrow(in_task(_cut(length)), PIECE)
     pieces = stage(pieces, "byte-pieces")              # rows that repeat a document give equal pieces
     ranges, depth = [(0, length - q)], 0
     while True:
@@ -274,7 +274,7 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR, bucke
         for lo, hi in ranges:
             own = large if depth == 0 else large.where(F.col("low") == lo)
             if lo < hi:
-                half = own.select(*_PIECE, "bytes").mapInArrow(_halve(lo, hi, length, q), HALF)
+                half = own.select(*_PIECE, "bytes").mapInArrow(in_task(_halve(lo, hi, length, q)), HALF)
                 halves = half if halves is None else halves.unionByName(half)
         halves = stage(halves, "byte-halves")
         place = F.struct("d", "f", "pos")
@@ -335,7 +335,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          pa.array(kept, pa.binary())])
 
     joined = texts.join(spans, ["d", "f"], "left").select("d", "f", "text", "found")
-    out = joined.mapInArrow(apply, "d long, n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept binary")
+    out = joined.mapInArrow(in_task(apply), "d long, n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept binary")
     return out.withColumn("d", id_back(F.col("d"))).withColumnRenamed("d", id_col)
 
 

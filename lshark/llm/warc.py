@@ -23,7 +23,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lshark.llm.common import batch, id_back, id_key, ship, stage
+from lshark.llm.common import batch, id_back, id_key, in_task, ship, stage
 from lshark.session import checkpoint_dir
 
 LEVEL = 6
@@ -211,7 +211,7 @@ def write_archives(records: DataFrame, folder: str, level: int = LEVEL, file_byt
             out.close()
             yield batch(["file", "records"], [pa.array([name]), pa.array([count], pa.int64())])
 
-    return records.select("p", "url", "digest", "size", "refers", "html").mapInArrow(run, "file string, records long")
+    return records.select("p", "url", "digest", "size", "refers", "html").mapInArrow(in_task(run), "file string, records long")
 
 
 def _dealt(files: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ def normalise_archives(files: DataFrame, folder: str, level: int = LEVEL) -> Dat
                 yield batch(["file", "index", "records"],
                             [pa.array([f"{name}.warc.gz"]), pa.array([f"{name}.index"]), pa.array([n], pa.int64())])
 
-    return _dealt(files.select("file")).mapInArrow(run, "file string, index string, records long")
+    return _dealt(files.select("file")).mapInArrow(in_task(run), "file string, index string, records long")
 
 
 def read_archives(files: DataFrame) -> DataFrame:
@@ -272,7 +272,7 @@ def read_archives(files: DataFrame) -> DataFrame:
                      [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)])
 
     return _dealt(files.select("file", "index")).mapInArrow(
-        run, "p long, payload_bytes long, payload_digest string, record_type string, refers long")
+        in_task(run), "p long, payload_bytes long, payload_digest string, record_type string, refers long")
 
 
 def _lines(stream) -> Iterator[bytes]:
