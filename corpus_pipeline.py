@@ -31,9 +31,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter go, and those whose
-    text is certainly in another language than their ``lang`` says."""
-    found = langid.identify(langid.fit(docs), F.col("text"))
-    other = (found["lang"] != F.col("lang")) & (found["score"] >= CERTAIN)
+    text is certainly in another language than their ``lang`` says.  Where the
+    model has not learned ``lang``, it cannot tell, and the document stays."""
+    model = langid.fit(docs)
+    found = langid.identify(model, F.col("text"))
+    other = F.col("lang").isin(model.langs) & (found["lang"] != F.col("lang")) & (found["score"] >= CERTAIN)
     return docs.where((found["lang"] != langid.UNKNOWN) & ~F.coalesce(other, F.lit(False)))
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lshark.llm.common import end_task, in_task, ship, start_task, text_bytes
@@ -20,8 +20,11 @@ from lshark.llm.quality import held_out
 
 WINDOW = 256
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 6
-#: Documents and windows per document used to fit, at most; chosen by a hash of the id.
+#: Documents used to fit, shared out evenly over the languages, and windows per
+#: document; chosen by a hash of the id.  A language's share is at least ``SHARE``.
 MAX_TRAIN, WINDOWS_PER_TEXT = 8_000, 4
+SHARE = 200
+SHORTEST = 16                # bytes from which a window is learned
 EPOCHS, BATCH, STEP, DECAY = 4, 128, 0.01, 1e-5
 CHUNK = 128                  # windows convolved at once
 UNKNOWN = "und"
@@ -145,8 +148,11 @@ def fit_network(w: np.ndarray, y: np.ndarray, langs: list[str], seed: int = 7) -
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         max_train: int = MAX_TRAIN) -> Model:
-    """Fit on windows of at most ``max_train`` documents that are not held out
-    and have a language and a text.  Windows are spread over each text."""
+    """Fit on windows of documents that are not held out and have a language and
+    a text of at least ``SHORTEST`` bytes: of each language at most an even share
+    of ``max_train``, or ``SHARE`` where that is more, so a rare language is
+    learned however large the others are.  Windows are spread over each text;
+    those of languages with fewer than the average are repeated up to it."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -155,7 +161,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             rank = np.arange(len(text)) - np.searchsorted(text, text)
             n = np.bincount(text, minlength=b.num_rows)[text] if len(text) else text
             step = np.maximum(n // WINDOWS_PER_TEXT, 1)
-            k = np.flatnonzero((rank % step == 0) & (rank // step < WINDOWS_PER_TEXT) & (used >= 16))
+            k = np.flatnonzero((rank % step == 0) & (rank // step < WINDOWS_PER_TEXT) & (used >= SHORTEST))
             take = pa.array(text[k])
             yield pa.RecordBatch.from_arrays(
                 [b.column("d").take(take), b.column("lang").take(take), pa.array(rank[k]),
@@ -163,16 +169,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     known = docs.select(F.col(id_col).cast("string").alias("d"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).cast("string").alias("text"))
-    known = known.where(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("d")))
-    # ids alone are ranked; their texts are then read by a semi-join with that bounded list
-    chosen = known.select("d").distinct().orderBy(F.xxhash64("d"), "d").limit(max_train)
-    rows = (known.join(F.broadcast(chosen), "d", "left_semi").select("d", "lang", "text")
+    known = known.where(F.col("lang").isNotNull() & (F.octet_length("text") >= SHORTEST) & ~held_out(F.col("d")))
+    share = max(max_train // max(known.agg(F.count_distinct("lang")).first()[0], 1), SHARE)
+    # ids alone are ranked, at most ``share`` per task and language are shuffled; the
+    # texts are then read by a semi-join with that bounded list
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("d"), "d")
+    chosen = (known.select("lang", "d").distinct().withColumn("place", F.row_number().over(order))
+              .where(F.col("place") <= share).select("lang", "d"))
+    rows = (known.join(F.broadcast(chosen), ["lang", "d"], "left_semi").select("d", "lang", "text")
             .mapInArrow(in_task(run), "d string, lang string, place long, bytes binary").toArrow())
     rows = rows.sort_by([("d", "ascending"), ("place", "ascending"), ("lang", "ascending"), ("bytes", "ascending")])
     langs = sorted(set(rows["lang"].to_pylist()))
     w = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(-1, WINDOW)
     number = {x: k for k, x in enumerate(langs)}
-    return fit_network(w, np.array([number[x] for x in rows["lang"].to_pylist()], np.int64), langs)
+    y = np.array([number[x] for x in rows["lang"].to_pylist()], np.int64)
+    own = [np.flatnonzero(y == k) for k in range(len(langs))]
+    each = -(-len(y) // max(len(langs), 1))
+    take = np.concatenate([np.resize(k, max(len(k), each)) for k in own]) if own else y
+    return fit_network(w[take], y[take], langs)
 
 
 def identify(model: Model, text: Column) -> Column:

@@ -103,3 +103,19 @@ def test_all_windows_count():
     w, text, used = langid.windows(buf, np.array([0, 300, 300, 302]))
     assert text.tolist() == [0, 0, 2] and used.tolist() == [256, 44, 2]
     assert w[0].tobytes() == b"a" * 256 and w[2, :3].tobytes() == b"bc\0"
+
+
+def test_a_rare_language_is_learned_beside_large_ones(spark, make_docs):
+    rnd = random.Random(4)
+    words = {"en": "the quick brown fox jumps over lazy dogs with some water and bread".split(),
+             "de": "der schnelle braune fuchs springt über den faulen hund mit etwas wasser".split(),
+             "fi": "nopea ruskea kettu hyppää laiskan koiran yli veden ja leivän kanssa".split()}
+    rows = [(i, " ".join(rnd.choice(words["en" if i % 2 else "de"]) for _ in range(30)), "en" if i % 2 else "de")
+            for i in range(1500)]
+    rows += [(2000 + i, " ".join(rnd.choice(words["fi"]) for _ in range(30)), "fi") for i in range(10)]
+    docs = make_docs(rows)
+    model = langid.fit(docs, max_train=60)
+    assert model.langs == ["de", "en", "fi"]
+    got = {r.doc_id: r.x.lang for r in docs.select("doc_id", langid.identify(model, F.col("text")).alias("x")).collect()}
+    assert {got[d] for d in range(2000, 2010)} == {"fi"}
+    assert sum(got[d] == lang for d, _, lang in rows) > 0.98 * len(rows)

@@ -72,3 +72,13 @@ def test_packing_holds_every_document_once(steps):
 def test_run_on_documents(spark):
     assert corpus_pipeline.run(spark, SMALL).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id",
                                                          "offset"]
+
+
+def test_language_keeps_documents_of_a_language_that_is_not_learned(spark):
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    en, de = "the quick brown fox jumps over the lazy dog ", "der schnelle braune fuchs springt über den faulen hund "
+    rows = [(i, (en if i % 2 else de) * (1 + i % 3), "en" if i % 2 else "de", "s", 1) for i in range(800)]
+    rows += [(1000 + i, "the lazy fox", "xx", "s", 1) for i in range(20)]      # too short to learn from
+    rows += [(2002, en * 5, "de", "s", 1)]                                  # held out
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, spark.createDataFrame(rows, schema), SMALL).collect()}
+    assert kept >= {*range(1000, 1020)} and 2002 not in kept
