@@ -114,7 +114,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     ship(docs.sparkSession)
     spans = (removal_spans(keyed_texts(docs, id_col, text_col), length, q).groupBy("d", "f")
-             .agg(F.collect_list(F.struct("s", "e")).alias("spans")))       # at most one per word of a text
+             .agg(F.collect_set(F.struct("s", "e")).alias("spans")))        # once, however many rows repeat a text
 
     def apply(batches):
         for b in batches:

@@ -261,8 +261,10 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, q: int = ANCHOR, bucke
     sizes = _mixed(groups, "byte-buckets")
     wanted = (groups.join(sizes, "h").select("h", "c", "n", "o", "first.*")
               .groupBy("d", "f").agg(F.collect_list(F.struct("h", "c", "n", "pos", "o")).alias("wanted")))
-    pieces = texts.join(wanted, ["d", "f"]).select("d", "f", "text", "wanted").mapInArrow(in_task(_cut(length)), PIECE)
-    pieces = stage(pieces, "byte-pieces")              # rows that repeat a document give equal pieces
+    # rows that repeat a document count above, as copies; one of them is cut
+    pieces = (texts.dropDuplicates(["d", "f"]).join(wanted, ["d", "f"]).select("d", "f", "text", "wanted")
+              .mapInArrow(in_task(_cut(length)), PIECE))
+    pieces = stage(pieces, "byte-pieces")
     ranges, depth = [(0, length - q)], 0
     while True:
         big = stage(sizes.where(F.col("k") > bucket).select("h"), "byte-big")
@@ -312,7 +314,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(docs.sparkSession)
     texts = keyed_texts(docs, id_col, text_col)
     spans = (removal_spans(texts, length, q, bucket).groupBy("d", "f")
-             .agg(F.collect_list(F.struct("s", "e")).alias("found")))        # bounded by the text's length
+             .agg(F.collect_set(F.struct("s", "e")).alias("found")))         # once, however many rows repeat a text
 
     def apply(batches):
         for b in batches:

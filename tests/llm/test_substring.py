@@ -135,3 +135,39 @@ def test_long_texts_are_cut_into_overlapping_stretches(monkeypatch, make_docs):
             assert not new & seen
             seen |= new
     assert seen == {*range(931), *range(950, 981)}
+
+
+@pytest.mark.parametrize("remove,name", [(substring.remove_repeats, "spans"), (suffix.remove_repeats, "found")])
+def test_rows_that_repeat_a_document_multiply_nothing(spark, make_docs, monkeypatch, remove, name):
+    """Each of them gets the spans of one text, and one of them is cut and sorted."""
+    rnd = random.Random(9)
+    draw = lambda n: [rnd.choice("abcdefghij") * 3 + str(rnd.randrange(10 ** 6)) for _ in range(n)]
+    shared = draw(60)
+    a, b, c = (" ".join(draw(40) + shared + draw(40)) for _ in range(3))
+    rows = [(1, a)] + [(7, b)] * 30 + [(None, c)] * 30
+    lists, pieces, kind = [], [], type(make_docs(rows))
+    plain, staged = kind.mapInArrow, suffix.stage
+
+    def spy(self, *args, **kw):
+        if name in self.columns:
+            lists.append(self.select(name))
+        return plain(self, *args, **kw)
+
+    def spy_stage(df, label):
+        out = staged(df, label)
+        if label == "byte-pieces":
+            pieces.append(out)
+        return out
+
+    monkeypatch.setattr(kind, "mapInArrow", spy)
+    monkeypatch.setattr(suffix, "stage", spy_stage)
+    got = remove(make_docs(rows))
+    if name == "spans":
+        assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got.collect()), key=str) == brute_words(rows, 20)
+    else:
+        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got.collect()),
+                      key=str) == brute_bytes(rows, suffix.LENGTH)
+    found = [[tuple(x) for x in r[0]] for df in lists for r in df.collect() if r[0]]
+    assert found and all(len(x) == len(set(x)) for x in found)
+    for p in pieces:
+        assert p.count() == p.select("d", "f", "pos", "h", "c").distinct().count() > 0
