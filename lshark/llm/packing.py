@@ -245,8 +245,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
         n = max(1, -(-df.count() // group))
         return df.withColumn("pack_group", F.pmod(F.xxhash64(*by), F.lit(n)))
 
-    pieces = stage(pieces, "pieces")
-    first = stage(deal(pieces, "d", "piece", "start").groupBy("pack_group")
+    # dealt by a number of their own, written with them: rows that repeat an id,
+    # or have none, spread over all groups like others
+    pieces = stage(pieces.withColumn("own", F.monotonically_increasing_id()), "pieces")
+    first = stage(deal(pieces, "own").drop("own").groupBy("pack_group")
                   .applyInArrow(_packer(capacity, 1), PACKED), "packed")
     again = deal(first.where(F.col("free") >= UNDERFULL), "sequence_id")
     second = again.groupBy("pack_group").applyInArrow(_packer(capacity, 2), PACKED)

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from lshark.llm import packing
+from lshark.llm.common import NULL_ID
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -89,3 +90,15 @@ def test_groups_are_packed_again(spark):
     for r in got:
         fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
     assert max(fill.values()) <= 4096 and len(fill) <= 1.03 * sum(fill.values()) / 4096 + 1
+
+
+def test_rows_that_repeat_an_id_are_spread_over_groups(spark):
+    rows = [(NULL_ID if i % 3 else 5, 0, 0, 2048, i) for i in range(1200)]
+    pieces = spark.createDataFrame(rows, "d long, piece int, start long, length long, ids_crc32 long").repartition(4)
+    got = packing.pack_pieces(pieces, group=100).collect()
+    assert sorted(r.ids_crc32 for r in got) == list(range(1200))
+    groups = {}
+    for r in got:
+        groups[r.sequence_id >> 20] = groups.get(r.sequence_id >> 20, 0) + 1
+    assert len(groups) >= 12 and max(groups.values()) < 200
+    assert len({(r.sequence_id, r.offset) for r in got}) == 1200 and {r.offset for r in got} == {0, 2048}
