@@ -42,14 +42,14 @@ class WordTokenizer:
     """Ids of texts word by word.  The vocabulary's pre-tokens never cross ASCII
     white space, which it drops, so a text's ids are those of its words in
     order; words and their parts are encoded by the tokenizer once while they
-    are remembered."""
+    are remembered.  Words that hold the text of an added token are not split."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -58,7 +58,9 @@ class WordTokenizer:
         parts, known, new = {}, self.parts, set()
         for w in words:
             text = w.decode()
-            parts[w] = found = _PARTS.findall(text.lower()) if _PLAIN.fullmatch(text) else [text]
+            low = text.lower()
+            apart = _PLAIN.fullmatch(text) and not any(a in low for a in self.added)
+            parts[w] = found = _PARTS.findall(low) if apart else [text]
             for p in found:
                 if p not in known:
                     new.add(p)

@@ -102,3 +102,11 @@ def test_rows_that_repeat_an_id_are_spread_over_groups(spark):
         groups[r.sequence_id >> 20] = groups.get(r.sequence_id >> 20, 0) + 1
     assert len(groups) >= 12 and max(groups.values()) < 200
     assert len({(r.sequence_id, r.offset) for r in got}) == 1200 and {r.offset for r in got} == {0, 2048}
+
+
+def test_added_tokens_in_texts_are_those_of_the_untouched_tokenizer():
+    plain, rnd = Tokenizer.from_file(PATH), random.Random(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "endoftext", "ab", "É", "1", "'s", "́", " ", "\n"]
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y"] + ["".join(rnd.choices(parts, k=rnd.randrange(12))) for _ in range(1500)]
+    for s, ids in zip(texts, packing.token_ids([t.encode() for t in texts], PATH), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(s, add_special_tokens=False).ids + [1], repr(s)
