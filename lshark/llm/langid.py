@@ -176,7 +176,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     order = Window.partitionBy("lang").orderBy(F.xxhash64("d"), "d")
     chosen = (known.select("lang", "d").distinct().withColumn("place", F.row_number().over(order))
               .where(F.col("place") <= share).select("lang", "d"))
-    rows = (known.join(F.broadcast(chosen), ["lang", "d"], "left_semi").select("d", "lang", "text")
+    rows = (known.join(F.broadcast(chosen), ["lang", "d"], "left_semi")
+            .groupBy("d", "lang").agg(F.min("text").alias("text"))       # one row of each
             .mapInArrow(in_task(run), "d string, lang string, place long, bytes binary").toArrow())
     rows = rows.sort_by([("d", "ascending"), ("place", "ascending"), ("lang", "ascending"), ("bytes", "ascending")])
     langs = sorted(set(rows["lang"].to_pylist()))

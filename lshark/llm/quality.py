@@ -228,7 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on at most ``max_train`` labelled, not held-out documents.
 
     A document labelled more than once counts with the highest label; null
-    labels are left out.  Features are computed by the executors; at most
+    labels are left out; of rows that repeat an id, the smallest text counts.
+    Features are computed by the executors; at most
     ``max_train`` rows of :data:`FEATURES` reach the driver.
     """
     ship(docs.sparkSession)
@@ -246,6 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     texts = docs.select(F.col(id_col).alias("d"), F.col(text_col).cast("string").alias("text"))
     rows = (texts.join(F.broadcast(known), "d")               # at most max_train ids and labels
+            .groupBy("d", "y").agg(F.min("text").alias("text"))  # one text of each
             .select(F.col("d").cast("string").alias("d"), F.col("y").cast("double").alias("y"), "text")
             .mapInArrow(in_task(run), "d string, y double, x array<double>"))
     table = rows.toArrow()

@@ -119,3 +119,19 @@ def test_a_rare_language_is_learned_beside_large_ones(spark, make_docs):
     got = {r.doc_id: r.x.lang for r in docs.select("doc_id", langid.identify(model, F.col("text")).alias("x")).collect()}
     assert {got[d] for d in range(2000, 2010)} == {"fi"}
     assert sum(got[d] == lang for d, _, lang in rows) > 0.98 * len(rows)
+
+
+def test_rows_that_repeat_an_id_reach_the_driver_once(spark, make_docs, monkeypatch):
+    text = "the quick brown fox jumps over the lazy dog "
+    docs = make_docs([(1, text * (1 + i % 3)) for i in range(50)] + [(i, text) for i in range(2, 12)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)], "doc_id long, quality int")
+    sizes, plain = [], type(docs).toArrow
+
+    def spy(self):
+        sizes.append(plain(self))
+        return sizes[-1]
+
+    monkeypatch.setattr(type(docs), "toArrow", spy)
+    quality.fit(docs, labels)
+    langid.fit(docs)
+    assert len(sizes) == 2 and all(0 < t.num_rows == len(set(t["d"].to_pylist())) for t in sizes)
