@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline.
 
-Ten operators over ``documents``, ``embeddings`` and ``pages`` plus the shared
+Thirteen operators over ``documents``, ``benchmark``, ``embeddings`` and ``pages`` plus the shared
 helpers they need.  Nothing outside this folder imports it; the queries are in
 :mod:`lshark.llm.queries`, the pipeline in ``corpus_pipeline.py``.
 """

@@ -95,6 +95,25 @@ def op10_sql() -> str:
             "AS kept_sha256 FROM raw LEFT JOIN done ON done.doc_id = raw.doc_id LEFT JOIN front ON front.doc_id = raw.doc_id")
 
 
+def op12_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return (f"WITH it AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark), "
+            "win AS (SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(list_slice(w, i, i + 9), ' ') AS s FROM "
+            "(SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM it WHERE len(w) > 0)), "
+            f"doc AS (SELECT doc_id, {words} AS w FROM documents), "
+            "dw AS (SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s FROM "
+            "(SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM win))), "
+            "hit AS (SELECT doc_id, dw.k, i, item FROM dw JOIN win ON win.s = dw.s AND win.k = dw.k), "
+            "gone AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id), "
+            "found AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS t FROM "
+            "(SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id) "
+            "SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_hit, "
+            "CAST(coalesce(found.n, 0) AS BIGINT) AS n_items, sha256(coalesce(t, '')) AS items_sha256, "
+            "coalesce(gone.n, 0) > 0 AS contaminated FROM doc LEFT JOIN gone ON gone.doc_id = doc.doc_id "
+            "LEFT JOIN found ON found.doc_id = doc.doc_id")
+
+
 ORACLE = {
     "op4_minhash_dedup": op4_sql,
     "op5_topk_search": op5_sql,
@@ -102,4 +121,5 @@ ORACLE = {
     "op8_substring_dedup": op8_sql,
     "op9_embedding_dedup": op9_sql,
     "op10_suffix_dedup": op10_sql,
+    "op12_decontamination": op12_sql,
 }

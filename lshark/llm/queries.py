@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: each takes ``(spark, sf_dir)``,
+"""Registered queries of the thirteen operators: each takes ``(spark, sf_dir)``,
 applies one operator with production parameters to its whole table and
 returns the digest columns."""
 
@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lshark.llm import bagminhash, bytebpe, langid, mtree, packing, pigeonhole, quality, substring, suffix, warc
+from lshark.llm import (
+    bagminhash,
+    bytebpe,
+    fmindex,
+    langid,
+    mtree,
+    packing,
+    pigeonhole,
+    quality,
+    spelling,
+    substring,
+    suffix,
+    warc,
+    whitening,
+)
 from lshark.llm.oracle import ORACLE
 from lshark.sources.tables import spread
 
@@ -74,6 +88,18 @@ def op10_suffix_dedup(spark, base):
     return suffix.digest(suffix.remove_repeats(table(spark, base, "documents")))
 
 
+def op11_spelling_variants(spark, base):
+    return spelling.variants(table(spark, base, "documents"))
+
+
+def op12_decontamination(spark, base):
+    return fmindex.digest(fmindex.decontaminate(table(spark, base, "documents"), table(spark, base, "benchmark")))
+
+
+def op13_embedding_whitening(spark, base):
+    return whitening.digest(whitening.whiten(table(spark, base, "embeddings")))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -85,6 +111,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_decontamination": op12_decontamination,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 
