@@ -21,6 +21,7 @@ Design notes (scale):
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +36,8 @@ BIG_SET = 50_000               # sets larger than this are never gathered into o
 PAIRS_PER_PARTITION = 1_000_000  # target pair work per task in pair joins
 SMALL_SET = 16                 # pairs of sets this short are checked inside the pair join
 BROADCAST_ROWS = 2_000_000     # hot-group rows we allow to broadcast (3 longs each)
+INDEX_ROWS = 100_000           # group rows of a smaller side that we allow to broadcast (at most about 600 bytes each)
+EARLIER = 64                   # prefixes up to this length carry their earlier tokens, so pairs meet once
 _EPS = 1e-9
 
 
@@ -76,13 +79,22 @@ def buckets(sig: DataFrame, with_hashes: bool = False) -> DataFrame:
 
 # ------------------------------------------------- pairs inside equal groups
 
-def _size_bound(n_l: Column, n_r: Column, threshold: float | None) -> Column | None:
-    if threshold is None or threshold >= 1.0:
-        return None
-    return F.least(n_l, n_r).cast("double") >= F.lit(1.0 - threshold - _EPS) * F.greatest(n_l, n_r)
+def least_similarity(threshold: float) -> float:
+    """Similarity from which pairs of distance below ``threshold`` are found."""
+    return max(0.0, 1.0 - threshold - _EPS)
 
 
-def _positional_bound(threshold: float | None) -> Column | None:
+def _size_bound(n_l: Column, n_r: Column, t: Column) -> Column:
+    """Sets of similarity ``t`` or more have sizes within that ratio."""
+    return F.least(n_l, n_r).cast("double") >= (t - F.lit(_EPS)) * F.greatest(n_l, n_r)
+
+
+def _needed(t: Column) -> Column:
+    """Overlap that the sets ``l`` and ``r`` need for similarity ``t``."""
+    return F.ceil(t / (F.lit(1.0) + t) * (F.col("l.n") + F.col("r.n")).cast("double") - F.lit(1e-6))
+
+
+def _positional_bound(t: Column) -> Column:
     """PPJoin's positional filter for a pair meeting on a prefix token.
 
     At the pair's first common token (positions ``i``, ``j``, 1-based) the
@@ -91,12 +103,21 @@ def _positional_bound(threshold: float | None) -> Column | None:
     the bound, but the first one never does for a qualifying pair, so rows
     failing it can be dropped inside the join without losing a pair.
     """
-    if threshold is None or threshold >= 1.0:
-        return None
-    t = max(0.0, 1.0 - threshold - _EPS)
-    need = F.ceil(F.lit(t / (1.0 + t)) * (F.col("l.n") + F.col("r.n")).cast("double") - F.lit(1e-6))
-    have = F.lit(1) + F.least(F.col("l.n") - F.col("l.pos"), F.col("r.n") - F.col("r.pos"))
-    return have >= need
+    return F.lit(1) + F.least(F.col("l.n") - F.col("l.pos"), F.col("r.n") - F.col("r.pos")) >= _needed(t)
+
+
+def _short_sets_overlap(t: Column) -> Column:
+    """The exact overlap test of pairs whose sets ride along on the rows: false
+    candidates go inside the join, before any pair is shuffled."""
+    return (F.col("l.items").isNull() | F.col("r.items").isNull()
+            | (F.size(F.array_intersect(F.col("l.items"), F.col("r.items"))) >= _needed(t)))
+
+
+def _first_shared_token() -> Column:
+    """True unless two prefixes also meet on an earlier token: a pair is then
+    emitted once.  Prefixes too long to carry their earlier tokens (null) are
+    not told apart here."""
+    return F.coalesce(~F.arrays_overlap(F.col("l.pre"), F.col("r.pre")), F.lit(True))
 
 
 def group_stats(rows: DataFrame, keys: list[str], block_size: int = DEFAULT_BLOCK) -> tuple[int, int]:
@@ -139,10 +160,13 @@ def _first_shared_table(num_tables: int) -> Column:
 
 def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block_size: int,
                 carry: list[str], stats: tuple[int, int] | None = None,
-                num_tables: int = 0, out_cols: list[str] | None = None) -> DataFrame:
+                num_tables: int = 0, out_cols: list[str] | None = None, extra: list[Column] = (),
+                out_more: dict[str, Column] | None = None) -> DataFrame:
     """Self join of ``rows`` on ``keys``; every unordered pair of distinct
     members meets once per shared group.  Output ``a < b`` plus
     ``<c>_a`` / ``<c>_b`` for each carried column (``n`` always carried).
+    ``extra`` are more conditions and ``out_more`` more columns over the sides
+    ``l`` and ``r``.
 
     Groups above ``block_size`` members are cut into ``S`` hash blocks; a
     member of block ``p`` goes to block pairs ``(p, q>=p)`` on the left and
@@ -172,99 +196,142 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
         cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys + ["_p", "_q"]]
         cond.append(((F.col("l._p") < F.col("l._q")) & (F.col("l.u") != F.col("r.u")))
                     | (F.col("l.u") < F.col("r.u")))
-    bound = _size_bound(F.col("l.n"), F.col("r.n"), threshold)
-    if bound is not None:
-        cond.append(bound)
-    if "pos" in cols:
-        pos_bound = _positional_bound(threshold)
-        if pos_bound is not None:
-            cond.append(pos_bound)
     if "hashes" in cols and keys == ["tb", "hv"]:
         cond.append(_first_shared_table(num_tables))
-    if "items" in cols and threshold is not None and threshold < 1.0:
-        # short sets ride along: where both are there, the exact overlap test
-        # drops false candidates inside the join, before any pair is shuffled
-        t = max(0.0, 1.0 - threshold - _EPS)
-        need = F.ceil(F.lit(t / (1.0 + t)) * (F.col("l.n") + F.col("r.n")).cast("double") - F.lit(1e-6))
-        cond.append(F.col("l.items").isNull() | F.col("r.items").isNull()
-                    | (F.size(F.array_intersect(F.col("l.items"), F.col("r.items"))) >= need))
+    if threshold is not None and threshold < 1.0:
+        t = F.lit(least_similarity(threshold))
+        cond.append(_size_bound(F.col("l.n"), F.col("r.n"), t))
+        if "pos" in cols:
+            cond.append(_positional_bound(t))
+        if "items" in cols:
+            cond.append(_short_sets_overlap(t))
+    if "pre" in cols:
+        cond.append(_first_shared_token())
+    cond += extra
     lo = F.col("l.u") < F.col("r.u")
     out = [F.least("l.u", "r.u").alias("a"), F.greatest("l.u", "r.u").alias("b")]
     for c in (cols if out_cols is None else out_cols):
         out.append(F.when(lo, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")).alias(f"{c}_a"))
         out.append(F.when(lo, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(f"{c}_b"))
+    out += [c.alias(name) for name, c in (out_more or {}).items()]
     return l.join(r, reduce(lambda x, y: x & y, cond)).select(*out)
 
 
+def _distinct_pairs(found: DataFrame, all_once: bool) -> DataFrame:
+    """``(a, b)`` once each, of ``(a, b, once)``: only pairs that may have been
+    emitted more than once are deduplicated."""
+    if all_once:
+        return found.select("a", "b")
+    found = cut_lineage(found, "met-pairs")
+    return found.where("once").select("a", "b").unionByName(found.where("NOT once").select("a", "b").distinct())
+
+
 def pairs_in_groups(rows: DataFrame, keys: list[str], threshold: float | None = None,
                     block_size: int = DEFAULT_BLOCK, stats: tuple[int, int] | None = None,
-                    num_tables: int | None = None) -> DataFrame:
+                    num_tables: int | None = None, all_once: bool = False) -> DataFrame:
     """Distinct ``(a, b)``, ``a < b``, of members sharing a group (self join).
 
     ``rows`` has ``keys`` + ``u`` (member) + ``n`` (set size) and, for prefix
-    tokens, ``pos``; with a threshold the size bound (and the positional
-    bound when ``pos`` is given) is part of the join condition.  Bucket rows
-    carrying ``hashes`` emit each pair only at its first shared table, so no
-    dedupe shuffle is needed; other pairs are deduplicated.
+    tokens, ``pos`` and ``pre``; with a threshold the size bound (and the
+    positional bound when ``pos`` is given) is part of the join condition.
+    Bucket rows carrying ``hashes`` emit each pair only at its first shared
+    table and prefix rows carrying ``pre`` only at its first shared token, so
+    these need no dedupe shuffle; ``all_once`` says that all prefix rows do.
+    Other pairs are deduplicated.
     """
-    carry = [c for c in ("pos", "hashes", "items") if c in rows.columns]
+    carry = [c for c in ("pos", "pre", "hashes", "items") if c in rows.columns]
     first_only = "hashes" in carry and keys == ["tb", "hv"]
     tables = num_tables or 0
     if first_only and not tables:
         tables = rows.select(F.max(F.size("hashes"))).first()[0] or 0
     rows = rows.select(*keys, "u", "n", *carry)
     stats = stats if stats is not None else group_stats(rows, keys, block_size)
-    pairs = _group_join(rows, keys, threshold, block_size, carry, stats, tables,
-                        out_cols=["n"]).select("a", "b")
-    return pairs if first_only else pairs.distinct()
+    once = {"once": F.col("l.pre").isNotNull() & F.col("r.pre").isNotNull()} if "pre" in carry else None
+    pairs = _group_join(rows, keys, threshold, block_size, carry, stats, tables, out_cols=[], out_more=once)
+    if first_only:
+        return pairs.select("a", "b")
+    return _distinct_pairs(pairs, all_once) if once else pairs.distinct()
+
+
+def across_stats(lrows: DataFrame, rrows: DataFrame, keys: list[str], block_size: int = DEFAULT_BLOCK) -> dict:
+    """Pair work of a join between two tables of group rows: ``pairs``, the rows
+    of each side and the number of groups above ``block_size`` on a side
+    (scalars, one aggregation), and ``groups``, the counted groups."""
+    groups = (lrows.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+              .unionByName(rrows.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+              .groupBy(*keys).agg(F.sum("_l").alias("_ml"), F.sum("_r").alias("_mr")))
+    hot = (F.col("_ml") > block_size) | (F.col("_mr") > block_size)
+    st = groups.agg(F.sum(F.col("_ml") * F.col("_mr")).alias("p"), F.sum("_ml").alias("l"), F.sum("_mr").alias("r"),
+                    F.count(F.when(hot, 1)).alias("h")).first()
+    return {"pairs": int(st["p"] or 0), "left": int(st["l"] or 0), "right": int(st["r"] or 0), "hot": int(st["h"] or 0),
+            "groups": groups.where(hot)}
+
+
+def _across_join(lrows: DataFrame, rrows: DataFrame, keys: list[str], cond: list[Column], out: list[Column],
+                 block_size: int, stats: dict) -> DataFrame:
+    """Join two tables of group rows on ``keys`` under ``cond``, over the sides
+    ``l`` and ``r``.  A smaller side of counted size is sent to all tasks as an
+    index that the other side's rows probe where they are; otherwise groups
+    above ``block_size`` on a side are cut into blocks, and each left block
+    meets each right block in one task."""
+    spark = lrows.sparkSession
+    nparts = pair_partitions(spark, stats["pairs"])
+    if min(stats["left"], stats["right"]) <= INDEX_ROWS:
+        if stats["left"] <= stats["right"]:
+            l, r = F.broadcast(lrows).alias("l"), rrows.repartition(nparts).alias("r")
+        else:
+            l, r = lrows.repartition(nparts).alias("l"), F.broadcast(rrows).alias("r")
+        on = keys
+    elif stats["hot"] == 0:
+        l, r, on = lrows.repartition(nparts, *keys).alias("l"), rrows.repartition(nparts, *keys).alias("r"), keys
+    else:
+        cnt = stats["groups"].select(
+            *keys, F.greatest(F.ceil(F.col("_ml") / F.lit(block_size)), F.lit(1)).cast("int").alias("_SL"),
+            F.greatest(F.ceil(F.col("_mr") / F.lit(block_size)), F.lit(1)).cast("int").alias("_SR"))
+        hot = F.broadcast(cnt) if stats["hot"] <= BROADCAST_ROWS else cnt
+
+        def blocked(rows, own, other, mine, theirs):
+            rows = (rows.join(hot, keys, "left").withColumn(own, F.coalesce(own, F.lit(1)))
+                    .withColumn(other, F.coalesce(other, F.lit(1))))
+            return (rows.withColumn(mine, F.pmod(F.xxhash64("u"), F.col(own)).cast("int"))
+                    .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("_SL", "_SR"))
+
+        on = [*keys, "_p", "_q"]
+        l = blocked(lrows, "_SL", "_SR", "_p", "_q").repartition(nparts, *on).alias("l")
+        r = blocked(rrows, "_SR", "_SL", "_q", "_p").repartition(nparts, *on).alias("r")
+    equal = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on]
+    return l.join(r, reduce(lambda x, y: x & y, equal + cond)).select(*out)
 
 
 def pairs_across_groups(lrows: DataFrame, rrows: DataFrame, keys: list[str],
                         threshold: float | None = None, block_size: int = DEFAULT_BLOCK,
-                        num_tables: int = 0) -> DataFrame:
+                        num_tables: int = 0, stats: dict | None = None, all_once: bool = False) -> DataFrame:
     """Distinct ``(a, b)`` with ``a`` from ``lrows`` and ``b`` from ``rrows``
     sharing a group; bucket rows with ``hashes`` meet at their first shared
-    table only, others are deduplicated.  A side with more than ``block_size`` members in a group
-    is cut into blocks; each left block meets each right block in one task."""
+    table only, prefix rows with ``pre`` at their first shared token, others
+    are deduplicated."""
     first_only = bool(num_tables) and "hashes" in lrows.columns
-    carry = ["hashes"] if first_only else []
-    lrows = lrows.select(*keys, "u", "n", *carry)
-    rrows = rrows.select(*keys, "u", "n", *carry)
-    per_group = (lrows.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-                 .unionByName(rrows.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
-                 .groupBy(*keys).agg(F.sum("_l").alias("_ml"), F.sum("_r").alias("_mr")))
-    is_hot = (F.col("_ml") > block_size) | (F.col("_mr") > block_size)
-    st = per_group.agg(F.sum(F.col("_ml") * F.col("_mr")).alias("p"),
-                       F.count(F.when(is_hot, 1)).alias("h")).first()
-    n_hot, nparts = int(st["h"] or 0), pair_partitions(lrows.sparkSession, int(st["p"] or 0))
-    cond_extra = _size_bound(F.col("l.n"), F.col("r.n"), threshold)
-    if n_hot == 0:
-        l = lrows.repartition(nparts, *keys).alias("l")
-        r = rrows.repartition(nparts, *keys).alias("r")
-        cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
-    else:
-        cnt = per_group.where(is_hot).select(
-            *keys, F.ceil(F.col("_ml") / F.lit(block_size)).cast("int").alias("_SL"),
-            F.ceil(F.col("_mr") / F.lit(block_size)).cast("int").alias("_SR"))
-        hot = F.broadcast(cnt) if n_hot <= BROADCAST_ROWS else cnt
-
-        def blocked(rows):
-            return (rows.join(hot, keys, "left")
-                        .withColumn("_SL", F.greatest(F.coalesce("_SL", F.lit(1)), F.lit(1)))
-                        .withColumn("_SR", F.greatest(F.coalesce("_SR", F.lit(1)), F.lit(1))))
-        lb = blocked(lrows).withColumn("_p", F.pmod(F.xxhash64("u"), F.col("_SL")).cast("int"))
-        rb = blocked(rrows).withColumn("_q", F.pmod(F.xxhash64("u"), F.col("_SR")).cast("int"))
-        l = (lb.select(*keys, "u", "n", *carry, "_p", F.explode(F.sequence(F.lit(0), F.col("_SR") - 1)).alias("_q"))
-               .repartition(nparts, *keys, "_p", "_q").alias("l"))
-        r = (rb.select(*keys, "u", "n", *carry, "_q", F.explode(F.sequence(F.lit(0), F.col("_SL") - 1)).alias("_p"))
-               .repartition(nparts, *keys, "_p", "_q").alias("r"))
-        cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys + ["_p", "_q"]]
-    if cond_extra is not None:
-        cond.append(cond_extra)
+    carry = ["hashes"] if first_only else [c for c in ("pos", "pre", "items") if c in lrows.columns]
+    lrows, rrows = lrows.select(*keys, "u", "n", *carry), rrows.select(*keys, "u", "n", *carry)
+    stats = stats or across_stats(lrows, rrows, keys, block_size)
+    cond = []
     if first_only:
         cond.append(_first_shared_table(num_tables))
-    out = l.join(r, reduce(lambda x, y: x & y, cond)).select(F.col("l.u").alias("a"), F.col("r.u").alias("b"))
-    return out if first_only else out.distinct()
+    if threshold is not None and threshold < 1.0:
+        t = F.lit(least_similarity(threshold))
+        cond.append(_size_bound(F.col("l.n"), F.col("r.n"), t))
+        if "pos" in carry:
+            cond.append(_positional_bound(t))
+        if "items" in carry:
+            cond.append(_short_sets_overlap(t))
+    out = [F.col("l.u").alias("a"), F.col("r.u").alias("b")]
+    if "pre" in carry:
+        cond.append(_first_shared_token())
+        out.append((F.col("l.pre").isNotNull() & F.col("r.pre").isNotNull()).alias("once"))
+    found = _across_join(lrows, rrows, keys, cond, out, block_size, stats)
+    if first_only:
+        return found
+    return _distinct_pairs(found, all_once) if "pre" in carry else found.distinct()
 
 
 def candidates(bkt: DataFrame, threshold: float | None = None,
@@ -285,14 +352,29 @@ def big_entities(inter: DataFrame, big_set: int = BIG_SET) -> DataFrame:
                  .where(F.col("n") > big_set))
 
 
-def entity_stats(inter: DataFrame, big_set: int = BIG_SET) -> tuple[tuple[DataFrame, int], int]:
-    """``((big, n_big), smallest)`` from one aggregation of set sizes: the big
-    entities (broadcast when their count allows) and the smallest set's size."""
+def entity_stats(inter: DataFrame, big_set: int = BIG_SET) -> tuple[tuple[DataFrame, int], int, int]:
+    """``((big, n_big), smallest, largest)`` from one aggregation of set sizes:
+    the big entities (broadcast when their count allows), the smallest set's
+    size and the size of the largest set that is not big."""
     sizes = inter.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    r = sizes.agg(F.min("n").alias("mn"), F.count(F.when(F.col("n") > big_set, 1)).alias("nb")).first()
+    is_big = F.col("n") > big_set
+    r = sizes.agg(F.min("n").alias("mn"), F.max(F.when(~is_big, F.col("n"))).alias("mx"),
+                  F.count(F.when(is_big, 1)).alias("nb")).first()
     n_big = int(r["nb"] or 0)
-    big = sizes.where(F.col("n") > big_set)
-    return ((F.broadcast(big) if n_big <= BROADCAST_ROWS else big), n_big), int(r["mn"] or 0)
+    big = sizes.where(is_big)
+    return ((F.broadcast(big) if n_big <= BROADCAST_ROWS else big), n_big), int(r["mn"] or 0), int(r["mx"] or 0)
+
+
+def prefix_length(n, t):
+    """Tokens of a set of ``n`` that a set of similarity ``t`` must meet: columns or numbers."""
+    if isinstance(n, Column):
+        return n - F.ceil(n * t) + 1
+    return n - math.ceil(n * t) + 1
+
+
+def meets_once(threshold: float, largest: int, n_big: int) -> bool:
+    """Whether every prefix is short enough to carry its earlier tokens."""
+    return n_big == 0 and prefix_length(largest, least_similarity(threshold)) <= EARLIER
 
 
 def _with_short_sets(rows: DataFrame, inter: DataFrame, smallest: int) -> DataFrame:
@@ -312,37 +394,69 @@ def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, int]:
     return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
 
 
+def _prefixes(ranked: DataFrame, t) -> DataFrame:
+    """Prefix rows ``(tok, u, n, pos, pre, items)`` of ``(u, i, _w)``, tokens of
+    a set in the order ``(_w, i)``.  ``pre`` holds the tokens before ``pos``
+    where the prefix is no longer than :data:`EARLIER`, else null, ``items`` the
+    whole set up to :data:`SMALL_SET` tokens, else null.  Tokens of weight 0 are
+    in no other set and give no row; they do count as positions."""
+    sets = ranked.groupBy("u").agg(F.array_sort(F.collect_list(F.struct("_w", "i"))).alias("_s"))
+    sets = sets.withColumn("n", F.size("_s").cast("bigint"))
+    head = sets.select("u", "n", F.when(F.col("n") <= SMALL_SET, F.col("_s.i")).alias("items"),
+                       F.slice("_s", F.lit(1), prefix_length(F.col("n"), t).cast("int")).alias("_s"))
+    rows = head.select("u", "n", "items", F.col("_s.i").alias("_t"), F.posexplode("_s").alias("_k", "_x"))
+    pre = F.when(F.size("_t") <= EARLIER, F.slice("_t", F.lit(1), F.col("_k")))
+    return rows.where(F.col("_x._w") > 0).select(F.col("_x.i").alias("tok"), "u", "n", (F.col("_k") + 1).alias("pos"),
+                                                 pre.alias("pre"), "items")
+
+
+def _whole_sets(inter: DataFrame, big: DataFrame) -> DataFrame:
+    """All tokens of big sets as prefix rows."""
+    none = F.lit(None).cast("array<bigint>")
+    return inter.join(big, "u").select(F.col("i").alias("tok"), "u", "n", F.lit(1).alias("pos"),
+                                       none.alias("pre"), none.alias("items"))
+
+
 def prefix_tokens(inter: DataFrame, threshold: float, big_set: int = BIG_SET,
                   big: tuple[DataFrame, int] | None = None) -> DataFrame:
-    """Prefix of each set under the global rare-first order: ``(tok, u, n)``.
+    """Prefix of each set under the global rare-first order, as rows of :func:`_prefixes`.
 
     Two sets with Jaccard ``>= t`` share a token among their first
     ``n - ceil(t * n) + 1`` rarest tokens (prefix filtering); with
     ``t = 1 - threshold`` this keeps every pair with distance below the
-    threshold.  Token frequencies are one grouped count; the rank inside a
-    set is a window over that set's rows, used only for sets of at most
-    ``big_set`` elements.  Bigger sets index all their tokens: a longer
-    prefix is still exact (it only adds candidates) and needs no ranking;
-    their ``pos`` is 1, which switches the positional filter off for them.
+    threshold.  Token frequencies are one grouped count; sets of at most
+    ``big_set`` elements are gathered and sorted.  Bigger sets index all their
+    tokens: a longer prefix is still exact (it only adds candidates) and needs
+    no ranking; their ``pos`` is 1, which switches the positional filter off
+    for them.  A token of a single set meets nothing and gives no row.
     """
-    t = max(0.0, 1.0 - threshold - _EPS)
     big, n_big = big if big is not None else _bounded_broadcast(big_entities(inter, big_set))
     small = inter.join(big.select("u"), "u", "left_anti") if n_big else inter
     # written first: both sides of the join are then plain shuffles, and Spark
     # can split the partition of a token that most sets hold
-    freq = cut_lineage(small.groupBy("i").agg(F.count(F.lit(1)).alias("_df")), "frequencies")
-    ranked = small.join(freq, "i")
-    w_ord = Window.partitionBy("u").orderBy("_df", "i")
-    w_all = Window.partitionBy("u")
-    ranked = (ranked.withColumn("_pos", F.row_number().over(w_ord))
-                    .withColumn("n", F.count(F.lit(1)).over(w_all)))
-    plen = F.col("n") - F.ceil(F.col("n") * F.lit(t)) + 1
-    out = ranked.where(F.col("_pos") <= plen).select(
-        F.col("i").alias("tok"), "u", "n", F.col("_pos").cast("int").alias("pos"))
-    if n_big:
-        out = out.unionByName(inter.join(big, "u").select(
-            F.col("i").alias("tok"), "u", "n", F.lit(1).alias("pos")))
-    return out
+    freq = cut_lineage(inter.groupBy("i").agg((F.count(F.lit(1)) - 1).alias("_w")), "frequencies")
+    out = _prefixes(small.join(freq, "i"), F.lit(least_similarity(threshold)))
+    return out.unionByName(_whole_sets(inter, big)) if n_big else out
+
+
+def joint_prefixes(left: DataFrame, right: DataFrame, threshold: float, big_l: tuple[DataFrame, int],
+                   big_r: tuple[DataFrame, int]) -> tuple[DataFrame, DataFrame]:
+    """Prefix rows of two tables of sets under one token order.
+
+    Tokens come in the order of the pairs they would form, (sets of the left)
+    x (sets of the right): a token that only one table holds comes first, fills
+    the prefixes and forms none.
+    """
+    held = (left.select("i", F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+            .unionByName(right.select("i", F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
+    freq = cut_lineage(held.groupBy("i").agg((F.sum("_l") * F.sum("_r")).alias("_w")), "joint-frequencies")
+    t = F.lit(least_similarity(threshold))
+    out = []
+    for inter, (big, n_big) in ((left, big_l), (right, big_r)):
+        small = inter.join(big.select("u"), "u", "left_anti") if n_big else inter
+        rows = _prefixes(small.join(freq, "i"), t)
+        out.append(rows.unionByName(_whole_sets(inter, big)) if n_big else rows)
+    return out[0], out[1]
 
 
 # ------------------------------------------------------------ verification
@@ -516,7 +630,7 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
     """
     if materialize:
         inter = cut_lineage(inter)
-    big, smallest = entity_stats(inter, big_set)               # once per join
+    big, smallest, largest = entity_stats(inter, big_set)      # once per join
     if strategy == "auto":
         plan = choose_plan(inter, model, threshold, block_size, big_set, big)
     else:
@@ -535,22 +649,46 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
         stats = (plan["bucket_pairs"], plan["bucket_hot"]) if "bucket_hot" in plan else None
     else:
         raise ValueError(f"unknown strategy {plan['strategy']!r}")
-    if threshold is not None:
+    if threshold is not None and not check:
         rows = _with_short_sets(rows, inter, smallest)
-    pairs = pairs_in_groups(rows, keys, threshold, block_size, stats, model.num_tables)
+    once = check and meets_once(threshold, largest, big[1])
+    pairs = pairs_in_groups(rows, keys, threshold, block_size, stats, model.num_tables, once)
     return verify(pairs, inter, threshold, model, check_buckets=check, big_set=big_set, big=big)
 
 
 def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
                         threshold: float | None, block_size: int = DEFAULT_BLOCK,
-                        big_set: int = BIG_SET) -> DataFrame:
+                        big_set: int = BIG_SET, strategy: str = "auto") -> DataFrame:
     """Similarity join between two tables of sets (D5, A x B): ``a`` from
-    ``left``, ``b`` from ``right``, both long form ``(u, i)``."""
+    ``left``, ``b`` from ``right``, both long form ``(u, i)``.
+
+    ``strategy`` as in :func:`similarity_join`: ``'buckets'`` joins on (table,
+    hash), ``'prefix'`` on prefix tokens under a joint order and keeps pairs
+    whose signatures agree somewhere; ``'auto'`` counts the pairs that each
+    would form and takes the smaller number (thresholds up to
+    :data:`PREFIX_ALWAYS` always take prefixes).
+    """
+    if strategy not in ("auto", "buckets", "prefix"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "prefix" and threshold is None:
+        raise ValueError("prefix strategy needs a threshold")
     left, right = cut_lineage(left, "left"), cut_lineage(right, "right")
-    bl = cut_lineage(buckets(signatures(left, model), with_hashes=True), "left-buckets")
-    br = cut_lineage(buckets(signatures(right, model), with_hashes=True), "right-buckets")
-    pairs = pairs_across_groups(bl, br, ["tb", "hv"], threshold, block_size, model.num_tables)
-    return verify(pairs, left, threshold, model, inter_b=right, big_set=big_set)
+    prefix = threshold is not None and threshold < 1.0 and strategy != "buckets"
+    found, keys, stats, once = {}, {"buckets": ["tb", "hv"], "prefix": ["tok"]}, {}, False
+    if strategy != "prefix" and not (prefix and threshold <= PREFIX_ALWAYS):
+        found["buckets"] = [cut_lineage(buckets(signatures(x, model), with_hashes=True), f"{name}-buckets")
+                            for name, x in (("left", left), ("right", right))]
+    if prefix or strategy == "prefix":
+        big_l, _, most_l = entity_stats(left, big_set)
+        big_r, _, most_r = entity_stats(right, big_set)
+        found["prefix"] = [cut_lineage(x, "prefixes") for x in joint_prefixes(left, right, threshold, big_l, big_r)]
+        once = meets_once(threshold, most_l, big_l[1]) and meets_once(threshold, most_r, big_r[1])
+    for route, (l, r) in found.items():
+        stats[route] = across_stats(l, r, keys[route], block_size)
+    route = min(stats, key=lambda x: stats[x]["pairs"])
+    pairs = pairs_across_groups(*found[route], keys[route], threshold, block_size,
+                                model.num_tables if route == "buckets" else 0, stats[route], once)
+    return verify(pairs, left, threshold, model, inter_b=right, check_buckets=route == "prefix", big_set=big_set)
 
 
 def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_BLOCK,
@@ -559,11 +697,10 @@ def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_
     hashing: prefix-filtered candidates, then exact verification."""
     if materialize:
         inter = cut_lineage(inter)
-    big, smallest = entity_stats(inter, big_set)
-    pre = prefix_tokens(inter, threshold, big_set, big)
-    pre = _with_short_sets(pre, inter, smallest)
-    return verify(pairs_in_groups(pre, ["tok"], threshold, block_size), inter, threshold,
-                  big_set=big_set, big=big)
+    big, _, largest = entity_stats(inter, big_set)
+    pre = cut_lineage(prefix_tokens(inter, threshold, big_set, big), "prefixes")
+    pairs = pairs_in_groups(pre, ["tok"], threshold, block_size, all_once=meets_once(threshold, largest, big[1]))
+    return verify(pairs, inter, threshold, big_set=big_set, big=big)
 
 
 # ------------------------------------------------------ nearest neighbours

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lshark.functions.minhash import fit
-from lshark.operators import features, lsh, prep, recommend, text
+from lshark.operators import features, lsh, prep, recommend, text, topk
 from lshark.plans import oracle as O
 from lshark.session import checkpoint_dir, cut_lineage
 from lshark.sources import tables
@@ -198,16 +198,15 @@ def q_neighbors_sql():
             f"AS rank FROM r) WHERE rank <= {K_NEIGHBORS}")
 
 
-def _neighbour_pairs(spark, base, types=None):
+def _neighbours(spark, base, types=None):
     # one written copy of the interactions feeds signatures, sets, CF scores
     # and the seen-item filter
     inter = cut_lineage(event_interactions(spark, base, types), "interactions")
-    return inter, lsh.similarity_join(inter, MODEL, None, strategy="buckets", materialize=False)
+    return inter, topk.nearest(inter, MODEL, K_NEIGHBORS)
 
 
 def q_all_neighbors(spark, base):
-    _, pairs = _neighbour_pairs(spark, base)
-    return lsh.all_neighbors(pairs, K_NEIGHBORS)
+    return _neighbours(spark, base)[1]
 
 
 def _flag_cte(events=UP):
@@ -221,8 +220,8 @@ def q_all_neighbors_sql():
 # ---------------------------------------------------------------- E1-E4
 
 def _scores(spark, base):
-    inter, pairs = _neighbour_pairs(spark, base)
-    return inter, recommend.cf_scores(lsh.all_neighbors(pairs, K_NEIGHBORS), inter)
+    inter, neigh = _neighbours(spark, base)
+    return inter, recommend.cf_scores(neigh, inter)
 
 
 def q_cf_scores(spark, base):
@@ -254,8 +253,8 @@ def q_top_n_sql():
 
 def user_recommendations(spark: SparkSession, base: str) -> DataFrame:
     """Flagship: top-5 unseen items per user from the 10 nearest LSH neighbours."""
-    inter, pairs = _neighbour_pairs(spark, base, EVENT_TYPES)
-    return recommend.recommend(pairs, inter, K_NEIGHBORS, N_ITEMS)
+    inter, neigh = _neighbours(spark, base, EVENT_TYPES)
+    return recommend.recommend_from(neigh, inter, N_ITEMS)
 
 
 def user_recommendations_sql() -> str:
@@ -269,9 +268,9 @@ PART_ATTRS = ("p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 
 def q_similar_items(spark, base):
     inter = purchases(spark, base, "l_partkey", "o_custkey")
-    pairs = lsh.similarity_join(inter, MODEL, None, strategy="buckets")
+    neigh = topk.nearest(inter, MODEL, K_ITEMS)
     attrs = tables.load(spark, base, "part").select("p_partkey", *PART_ATTRS)
-    return recommend.similar_items(pairs, attrs, K_ITEMS, "p_partkey")
+    return recommend.with_attributes(neigh, attrs, "p_partkey")
 
 
 def q_similar_items_sql():
