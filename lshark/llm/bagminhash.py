@@ -272,9 +272,8 @@ def large_bucket_links(members: DataFrame, known: DataFrame, threshold: float) -
             .select(*cols, "tokens").mapInArrow(in_task(run), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-                    threshold: float = THRESHOLD, bands: int = BANDS, m: int = COMPONENTS) -> DataFrame:
-    """Class of every row: ``(id, class_id, kept)``.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """Class of every row: ``(id, class_id, kept)``; ``how`` as in :func:`classes`.
 
     ``class_id`` is the smallest id that links of similarity ``threshold`` or
     more reach, ``kept`` marks that document (of rows repeating that id with
@@ -282,15 +281,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty and word-free texts are in no group: each is its own class and kept.
     A null id comes before all others.  An empty table gives an empty result.
     """
-    out = classes(docs, id_col, text_col, k, threshold, bands, m)
+    out = classes(docs, id_col, text_col, **how)
     return out.select(id_back(F.col("d")).alias(id_col), id_back(F.col("class_id")).alias("class_id"),
                       ((F.col("d") == F.col("class_id")) & (F.col("turn") == 0)).alias("kept"))
 
 
+def bucket_members(reps: DataFrame) -> DataFrame:
+    """Members of buckets of two or more: ``(r, size, bits, degree, band, v,
+    n)``, ``n`` the bucket's members and ``degree`` their sum over the
+    buckets of ``r``; written as one row per text."""
+    rows = reps.select("r", "size", "bits", F.posexplode("bands").alias("band", "v"))
+    counts = stage(rows.groupBy("band", "v").agg(F.count("*").alias("n")).where("n > 1"), "bucket-counts")
+    each = (rows.join(counts, ["band", "v"]).groupBy("r", "size", "bits")          # at most one bucket per band
+            .agg(F.sum("n").alias("degree"), F.collect_list(F.struct("band", "v", "n")).alias("buckets")))
+    return stage(each, "bucket-members").select("r", "size", "bits", "degree", F.inline("buckets"))
+
+
+def stray_links(rows: DataFrame, found: DataFrame, known: DataFrame, threshold: float, near) -> DataFrame | None:
+    """Links ``(a, b)`` between members of one bucket that are still in
+    different components; None where there are none to compare."""
+    placed = stage(rows.join(found.withColumnRenamed("node", "r"), "r", "left").withColumn(
+        "component", F.coalesce("component", "r")), "placed")
+    sizes = placed.groupBy("band", "v", "component").agg(F.count("*").alias("k"))
+    main = (sizes.groupBy("band", "v").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts"))
+            .where("parts > 1").select("band", "v", F.col("top.component").alias("main")))
+    apart = stage(placed.join(stage(main, "bucket-main"), ["band", "v"]), "apart")
+    largest = apart.agg(F.max("n")).first()[0]
+    if largest is None:
+        return None
+    few = apart.where(F.col("n") <= PAIRED)
+    x, y = few.where("component != main").alias("x"), few.alias("y")
+    # strays against the largest component, and strays of different components once
+    differ = (F.col("x.component") != F.col("y.component")) & (
+        (F.col("y.component") == F.col("y.main")) | (F.col("x.component") < F.col("y.component")))
+    rest = stage(x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.v") == F.col("y.v")) & differ & near)
+                 .select(F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b")).distinct(), "stray-pairs")
+    more = verified(rest, known, threshold)
+    if largest > PAIRED:
+        members = apart.where(F.col("n") > PAIRED).select("band", "v", "r", "component", "main")
+        more = more.unionByName(large_bucket_links(members, known, threshold))
+    more = stage(more, "more-links")
+    return None if more.isEmpty() else more
+
+
 def classes(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, threshold: float = THRESHOLD,
-            bands: int = BANDS, m: int = COMPONENTS) -> DataFrame:
+            bands: int = BANDS, m: int = COMPONENTS, max_bits: int | None = MAX_BITS) -> DataFrame:
     """``(d, f, class_id, turn)`` per row; ``turn`` is 0 for the text that
-    represents its id (other texts of a repeated id have 1)."""
+    represents its id (other texts of a repeated id have 1).  Pairs whose
+    one-bit signatures differ in more than ``max_bits`` are not verified; None
+    verifies all."""
     ship(docs.sparkSession)
     texts = keyed_texts(docs, id_col, text_col)
     signed = stage(signed_texts(texts, k, bands, m), "signed")
@@ -302,47 +341,33 @@ def classes(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, thres
     reps = (worded.join(heads.select("g1", "g2", "head.*"), ["g1", "g2", "d", "f"])
             .dropDuplicates(["d", "f"]).select(F.xxhash64("d", "f").alias("r"), "d", "f", "size", "bits", "bands"))
     reps = stage(reps, "reps")
-    rows = reps.select("r", "size", "bits", F.posexplode("bands").alias("band", "v")).drop("d")
-    counts = stage(rows.groupBy("band", "v").agg(F.count("*").alias("n")).where("n > 1"), "bucket-counts")
-    rows = stage(rows.join(counts, ["band", "v"]), "bucket-rows")
+    rows = bucket_members(reps)
     # a bucket's centre is its member with the most bucket neighbours: copies of
     # one original meet it more often than each other
-    degree = stage(rows.groupBy("r").agg(F.sum("n").alias("degree")), "degrees")
-    ranked = rows.join(degree, "r")
-    centres = stage(ranked.groupBy("band", "v").agg(F.max(F.struct("degree", "r", "size", "bits")).alias("y")), "centres")
+    centres = stage(rows.groupBy("band", "v").agg(F.max(F.struct("degree", "r", "size", "bits")).alias("y")), "centres")
     known = texts.join(reps.select("d", "f", "r"), ["d", "f"]).dropDuplicates(["d", "f"])
-    known = stage(token_table(known.join(degree, "r", "left_semi"), k), "bucket-tokens")
+    known = stage(token_table(known.join(rows.select("r").distinct(), "r", "left_semi"), k), "bucket-tokens")
 
-    close = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= MAX_BITS
-    sized = F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size")
-    star = stage(rows.alias("x").join(centres, ["band", "v"]).where((F.col("x.r") != F.col("y.r")) & close & sized)
+    near = F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size")
+    if max_bits is not None:
+        near = near & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= max_bits)
+    star = stage(rows.alias("x").join(centres, ["band", "v"]).where((F.col("x.r") != F.col("y.r")) & near)
                  .select(F.col("y.r").alias("a"), F.col("x.r").alias("b")).distinct(), "star-pairs")
-    links = stage(verified(star, known, threshold), "links")
-    found = components(links)
-
-    # members of one bucket that are still apart
-    placed = rows.join(found.withColumnRenamed("node", "r"), "r", "left").withColumn(
-        "component", F.coalesce("component", "r"))
-    placed = stage(placed, "placed")
-    sizes = stage(placed.groupBy("band", "v", "component").agg(F.count("*").alias("k")), "bucket-sizes")
-    main = (sizes.groupBy("band", "v").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts"))
-            .where("parts > 1").select("band", "v", F.col("top.component").alias("main")))
-    apart = stage(placed.join(stage(main, "bucket-main"), ["band", "v"]), "apart")
-    few = apart.where(F.col("n") <= PAIRED)
-    x, y = few.where("component != main").alias("x"), few.alias("y")
-    # strays against the largest component, and strays of different components once
-    differ = (F.col("x.component") != F.col("y.component")) & (
-        (F.col("y.component") == F.col("y.main")) | (F.col("x.component") < F.col("y.component")))
-    rest = stage(x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.v") == F.col("y.v")) & differ & close & sized)
-                 .select(F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b")).distinct(), "stray-pairs")
-    many = large_bucket_links(apart.where(F.col("n") > PAIRED).select("band", "v", "r", "component", "main"), known, threshold)
-    more = stage(verified(rest, known, threshold).unionByName(many), "more-links")
-    joined = components(links.unionByName(more)) if not more.isEmpty() else found
+    joined = components(stage(verified(star, known, threshold), "links"))
+    more = stray_links(rows, joined, known, threshold, near)
+    if more is not None:                                    # they join components, so only these are gone through
+        name = joined.withColumnRenamed("component", "c")
+        for end in ("a", "b"):
+            more = (more.join(name.withColumnRenamed("node", end), end, "left")
+                    .withColumn(end, F.coalesce("c", end)).drop("c"))
+        top = components(stage(more, "component-links"))
+        all_nodes = joined.unionByName(top.select("node", F.col("node").alias("component"))
+                                       .join(joined.select("node"), "node", "left_anti"))
+        joined = (all_nodes.join(top.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
+                  .select("node", F.coalesce("c", "component").alias("component")))
 
     # back to documents: a component's class is its smallest member
-    lowest = (reps.join(joined.withColumnRenamed("node", "r"), "r")
-              .select("component", "d", "f", "r"))
-    lowest = stage(lowest, "component-members")
+    lowest = stage(reps.join(joined.withColumnRenamed("node", "r"), "r").select("component", "d", "f"), "component-members")
     best = stage(lowest.groupBy("component").agg(F.min(F.struct("d", "f")).alias("best")), "component-heads")
     moved = lowest.join(best, "component").select(F.struct("d", "f").alias("head"), "best")
     final = member.join(stage(moved, "moved"), "head", "left").withColumn("best", F.coalesce("best", "head"))
@@ -355,13 +380,12 @@ def classes(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, thres
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents with one of each group kept, all columns and their names
-    as they were.  Rows that repeat both the id and the text of a kept
-    document are dropped too, unless the text has no words."""
+    as they were.  Of rows that repeat both id and text one is kept.  Null,
+    empty and word-free texts are in no group; an empty table gives an empty
+    result."""
     found = classes(docs, id_col, text_col, **how).where("(d = class_id) and turn = 0")
     found = stage(found.select("d", "f").distinct(), "kept")
-    cols = docs.columns
-    d, f = "_key_d", "_key_f"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumn(d, id_key(F.col(id_col))).withColumn(f, F.xxhash64(text))
-    kept = keyed.join(found.select(F.col("d").alias(d), F.col("f").alias(f)), [d, f], "left_semi")
-    return kept.dropDuplicates([d, f]).select(*cols)
+    keyed = docs.select(id_key(F.col(id_col)).alias("d"), F.xxhash64(text).alias("f"), F.struct("*").alias("row"))
+    kept = keyed.join(found, ["d", "f"], "left_semi").dropDuplicates(["d", "f"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
