@@ -242,7 +242,7 @@ class _Members:
         return self.r[near[np.unique(self.component[near], return_index=True)[1]]]
 
 
-def large_bucket_links(members: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+def large_bucket_links(members: DataFrame, known: DataFrame, threshold: float, n: int) -> DataFrame:
     """Links ``(a, b)`` between components inside large buckets, from rows
     ``(band, v, r, component, main)``."""
     def run(batches):
@@ -261,7 +261,7 @@ def large_bucket_links(members: DataFrame, known: DataFrame, threshold: float) -
             if out:
                 yield batch(["a", "b"], [pa.array(x, pa.int64()) for x in zip(*out, strict=True)])
 
-    sizes = stage(members.groupBy("band", "v").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "chunks")
+    sizes = stage(members.groupBy("band", "v").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "chunks", n)
     rows = members.join(sizes, ["band", "v"])
     held = rows.withColumn("chunk", F.pmod(F.xxhash64("r"), F.col("chunks")).cast("int")).withColumn("role", F.lit(0))
     pass_by = (rows.where("component != main").withColumn("role", F.lit(1))
@@ -286,26 +286,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       ((F.col("d") == F.col("class_id")) & (F.col("turn") == 0)).alias("kept"))
 
 
-def bucket_members(reps: DataFrame) -> DataFrame:
+def bucket_members(reps: DataFrame, n: int) -> DataFrame:
     """Members of buckets of two or more: ``(r, size, bits, degree, band, v,
     n)``, ``n`` the bucket's members and ``degree`` their sum over the
-    buckets of ``r``; written as one row per text."""
+    buckets of ``r``; written as one row per text, of ``n`` at most."""
     rows = reps.select("r", "size", "bits", F.posexplode("bands").alias("band", "v"))
-    counts = stage(rows.groupBy("band", "v").agg(F.count("*").alias("n")).where("n > 1"), "bucket-counts")
+    counts = stage(rows.groupBy("band", "v").agg(F.count("*").alias("n")).where("n > 1"), "bucket-counts", n)
     each = (rows.join(counts, ["band", "v"]).groupBy("r", "size", "bits")          # at most one bucket per band
             .agg(F.sum("n").alias("degree"), F.collect_list(F.struct("band", "v", "n")).alias("buckets")))
-    return stage(each, "bucket-members").select("r", "size", "bits", "degree", F.inline("buckets"))
+    return stage(each, "bucket-members", n).select("r", "size", "bits", "degree", F.inline("buckets"))
 
 
-def stray_links(rows: DataFrame, found: DataFrame, known: DataFrame, threshold: float, near) -> DataFrame | None:
+def stray_links(rows: DataFrame, found: DataFrame, known: DataFrame, threshold: float, near, n: int) -> DataFrame | None:
     """Links ``(a, b)`` between members of one bucket that are still in
     different components; None where there are none to compare."""
     placed = stage(rows.join(found.withColumnRenamed("node", "r"), "r", "left").withColumn(
-        "component", F.coalesce("component", "r")), "placed")
+        "component", F.coalesce("component", "r")), "placed", n)
     sizes = placed.groupBy("band", "v", "component").agg(F.count("*").alias("k"))
     main = (sizes.groupBy("band", "v").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts"))
             .where("parts > 1").select("band", "v", F.col("top.component").alias("main")))
-    apart = stage(placed.join(stage(main, "bucket-main"), ["band", "v"]), "apart")
+    apart = stage(placed.join(stage(main, "bucket-main", n), ["band", "v"]), "apart", n)
     largest = apart.agg(F.max("n")).first()[0]
     if largest is None:
         return None
@@ -315,12 +315,12 @@ def stray_links(rows: DataFrame, found: DataFrame, known: DataFrame, threshold:
     differ = (F.col("x.component") != F.col("y.component")) & (
         (F.col("y.component") == F.col("y.main")) | (F.col("x.component") < F.col("y.component")))
     rest = stage(x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.v") == F.col("y.v")) & differ & near)
-                 .select(F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b")).distinct(), "stray-pairs")
+                 .select(F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b")).distinct(), "stray-pairs", n)
     more = verified(rest, known, threshold)
     if largest > PAIRED:
         members = apart.where(F.col("n") > PAIRED).select("band", "v", "r", "component", "main")
-        more = more.unionByName(large_bucket_links(members, known, threshold))
-    more = stage(more, "more-links")
+        more = more.unionByName(large_bucket_links(members, known, threshold, n))
+    more = stage(more, "more-links", n)
     return None if more.isEmpty() else more
 
 
@@ -333,44 +333,45 @@ def classes(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, thres
     ship(docs.sparkSession)
     texts = keyed_texts(docs, id_col, text_col)
     signed = stage(signed_texts(texts, k, bands, m), "signed")
+    n = signed.count()
     worded = signed.where("size > 0")
     # equal word sequences: one representative row (d, f) per class
-    heads = stage(worded.groupBy("g1", "g2").agg(F.min(F.struct("d", "f")).alias("head")), "heads")
+    heads = stage(worded.groupBy("g1", "g2").agg(F.min(F.struct("d", "f")).alias("head")), "heads", n)
     # a class's number: its smallest id, and for the case of one id with several texts the fingerprint
     member = worded.select("d", "f", "g1", "g2").join(heads, ["g1", "g2"]).select("d", "f", "head")
     reps = (worded.join(heads.select("g1", "g2", "head.*"), ["g1", "g2", "d", "f"])
             .dropDuplicates(["d", "f"]).select(F.xxhash64("d", "f").alias("r"), "d", "f", "size", "bits", "bands"))
-    reps = stage(reps, "reps")
-    rows = bucket_members(reps)
+    reps = stage(reps, "reps", n)
+    rows = bucket_members(reps, n)
     # a bucket's centre is its member with the most bucket neighbours: copies of
     # one original meet it more often than each other
-    centres = stage(rows.groupBy("band", "v").agg(F.max(F.struct("degree", "r", "size", "bits")).alias("y")), "centres")
+    centres = stage(rows.groupBy("band", "v").agg(F.max(F.struct("degree", "r", "size", "bits")).alias("y")), "centres", n)
     known = texts.join(reps.select("d", "f", "r"), ["d", "f"]).dropDuplicates(["d", "f"])
-    known = stage(token_table(known.join(rows.select("r").distinct(), "r", "left_semi"), k), "bucket-tokens")
+    known = stage(token_table(known.join(rows.select("r").distinct(), "r", "left_semi"), k), "bucket-tokens", n)
 
     near = F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size")
     if max_bits is not None:
         near = near & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= max_bits)
     star = stage(rows.alias("x").join(centres, ["band", "v"]).where((F.col("x.r") != F.col("y.r")) & near)
-                 .select(F.col("y.r").alias("a"), F.col("x.r").alias("b")).distinct(), "star-pairs")
-    joined = components(stage(verified(star, known, threshold), "links"))
-    more = stray_links(rows, joined, known, threshold, near)
+                 .select(F.col("y.r").alias("a"), F.col("x.r").alias("b")).distinct(), "star-pairs", n)
+    joined = components(stage(verified(star, known, threshold), "links", n))
+    more = stray_links(rows, joined, known, threshold, near, n)
     if more is not None:                                    # they join components, so only these are gone through
         name = joined.withColumnRenamed("component", "c")
         for end in ("a", "b"):
             more = (more.join(name.withColumnRenamed("node", end), end, "left")
                     .withColumn(end, F.coalesce("c", end)).drop("c"))
-        top = components(stage(more, "component-links"))
+        top = components(stage(more, "component-links", n))
         all_nodes = joined.unionByName(top.select("node", F.col("node").alias("component"))
                                        .join(joined.select("node"), "node", "left_anti"))
         joined = (all_nodes.join(top.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
                   .select("node", F.coalesce("c", "component").alias("component")))
 
     # back to documents: a component's class is its smallest member
-    lowest = stage(reps.join(joined.withColumnRenamed("node", "r"), "r").select("component", "d", "f"), "component-members")
-    best = stage(lowest.groupBy("component").agg(F.min(F.struct("d", "f")).alias("best")), "component-heads")
+    lowest = stage(reps.join(joined.withColumnRenamed("node", "r"), "r").select("component", "d", "f"), "component-members", n)
+    best = stage(lowest.groupBy("component").agg(F.min(F.struct("d", "f")).alias("best")), "component-heads", n)
     moved = lowest.join(best, "component").select(F.struct("d", "f").alias("head"), "best")
-    final = member.join(stage(moved, "moved"), "head", "left").withColumn("best", F.coalesce("best", "head"))
+    final = member.join(stage(moved, "moved", n), "head", "left").withColumn("best", F.coalesce("best", "head"))
     same = F.struct("d", "f") == F.col("best")
     out = final.select("d", "f", F.col("best.d").alias("class_id"),
                        F.when(same, 0).otherwise(1).alias("turn"))
@@ -384,7 +385,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     empty and word-free texts are in no group; an empty table gives an empty
     result."""
     found = classes(docs, id_col, text_col, **how).where("(d = class_id) and turn = 0")
-    found = stage(found.select("d", "f").distinct(), "kept")
+    found = stage(found.select("d", "f").distinct(), "kept", docs.count())
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(id_key(F.col(id_col)).alias("d"), F.xxhash64(text).alias("f"), F.struct("*").alias("row"))
     kept = keyed.join(found, ["d", "f"], "left_semi").dropDuplicates(["d", "f"])

@@ -41,8 +41,16 @@ def ship(spark: SparkSession) -> None:
     sc._lshark_shipped = True
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
+#: Rows of a written table that one task may write where their number is known.
+FILE_ROWS = 50_000
+
+
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.  With a
+    bound on its ``rows`` it is written by as few tasks as that many need, two a
+    core at least, however many partitions a shuffle has."""
+    if rows is not None:
+        df = df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     return cut_lineage(df, f"llm-{name}")
 
 

@@ -50,9 +50,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
     now = edges.where("a != b").select(low.alias("a"), high.alias("b"))
-    split = edges.count() > SPLIT
+    count = edges.count()
+    split = count > SPLIT
     while True:
-        now = stage(_small_star(_large_star(now, split), split), "stars")
+        now = stage(_small_star(_large_star(now, split), split), "stars", count)
         if _all_stars(now):
             break
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(

@@ -21,11 +21,12 @@ from lshark.llm.quality import held_out
 WINDOW = 256
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 6
 #: Documents used to fit, shared out evenly over the languages, and windows per
-#: document; chosen by a hash of the id.  A language's share is at least ``SHARE``.
+#: document; chosen by a hash of the id.  A language is learned from ``SHARE`` or more.
 MAX_TRAIN, WINDOWS_PER_TEXT = 8_000, 4
-SHARE = 200
+SHARE = 20
 SHORTEST = 16                # bytes from which a window is learned
 EPOCHS, BATCH, STEP, DECAY = 4, 128, 0.01, 1e-5
+LEAST_STEPS = 60             # few windows are gone through more often than EPOCHS times
 CHUNK = 128                  # windows convolved at once
 UNKNOWN = "und"
 
@@ -113,7 +114,8 @@ def fit_network(w: np.ndarray, y: np.ndarray, langs: list[str], seed: int = 7) -
     m.embed[0] = 0
     params = [m.embed, *m.filters, m.bias, m.out, m.out_bias]
     first, second, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    for _ in range(EPOCHS):
+    rounds = -(-len(w) // BATCH)
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // rounds)) if rounds else 0):
         order = rng.permutation(len(w))
         for k in range(0, len(w), BATCH):
             b = order[k:k + BATCH]
@@ -150,9 +152,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         max_train: int = MAX_TRAIN) -> Model:
     """Fit on windows of documents that are not held out and have a language and
     a text of at least ``SHORTEST`` bytes: of each language at most an even share
-    of ``max_train``, or ``SHARE`` where that is more, so a rare language is
-    learned however large the others are.  Windows are spread over each text;
-    those of languages with fewer than the average are repeated up to it."""
+    of ``max_train``, so a rare language is learned however large the others are.
+    A share is ``SHARE`` documents at least; of more languages than that allows
+    the largest are learned (of equals the first by name), and the others are
+    not among the model's ``langs``.  So at most ``max_train`` documents reach
+    the driver, with ``WINDOWS_PER_TEXT`` windows each.  Windows are spread over
+    each text; those of languages with fewer than the average are repeated up to
+    it.  Null texts, null languages and other columns are not learned from; rows
+    that repeat an id and a language count once.  Without a document to learn
+    from the model knows no language and answers ``und``."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -170,7 +178,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     known = docs.select(F.col(id_col).cast("string").alias("d"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).cast("string").alias("text"))
     known = known.where(F.col("lang").isNotNull() & (F.octet_length("text") >= SHORTEST) & ~held_out(F.col("d")))
-    share = max(max_train // max(known.agg(F.count_distinct("lang")).first()[0], 1), SHARE)
+    largest = [r["lang"] for r in known.groupBy("lang").agg(F.count("*").alias("n"))
+               .orderBy(F.desc("n"), "lang").limit(max(max_train // SHARE, 1)).collect()]
+    known = known.where(F.col("lang").isin(largest)) if largest else known.limit(0)
+    share = max_train // max(len(largest), 1)
     # ids alone are ranked, at most ``share`` per task and language are shuffled; the
     # texts are then read by a semi-join with that bounded list
     order = Window.partitionBy("lang").orderBy(F.xxhash64("d"), "d")

@@ -19,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lshark.llm.common import batch, in_task, ints, ship, stage
+from lshark.llm.common import batch, id_back, id_key, in_task, ints, ship, stage
 
 TOP = 5
 PAGE = 256
 PART_ROWS = (2048, 1 << 15)  # least and most rows of a part
 QUERY_ROWS = 1 << 16         # queries streamed through one build of a part's tree
-SCALE, LIMIT = 256, 1 << 26
+SCALE = 256
+LONG = 1 << 63
 
 
 class Node:
@@ -70,8 +71,10 @@ def build(x: np.ndarray, rows: np.ndarray, parent: np.ndarray | None = None, pag
 class Tree:
     """M-tree over integer vectors, searched by inner product."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE):
-        self.ids, self.exact = ids, vectors
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE, keys: np.ndarray | None = None):
+        """``vectors`` hold whole numbers, as longs or doubles; ``keys`` tell rows
+        apart that share an id."""
+        self.ids, self.keys = ids, ids if keys is None else keys
         x = vectors.astype(float)
         norm = (x * x).sum(axis=1)
         self.top = float(norm.max()) if len(norm) else 0.0
@@ -79,12 +82,21 @@ class Tree:
         self.x = np.column_stack((x, np.sqrt(np.maximum(self.top - norm, 0))))
         self.root = build(self.x, np.arange(len(ids)), page=page)
 
-    def search(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """The ``k`` best ``(score, id)`` other than the query's own id."""
+    def scores(self, points: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Exact inner products: as doubles where no sum rounds, as longs where
+        none wraps, else as whole numbers of any size."""
+        most = self.largest * float(np.abs(q).max(initial=0)) * len(q)
+        if most < 1 << 53:
+            return points @ q
+        if most < 1 << 62:
+            return points.astype(np.int64) @ q.astype(np.int64)
+        return np.array([sum(int(a) * int(b) for a, b in zip(p, q, strict=True)) for p in points.tolist()], object)
+
+    def search(self, query_key: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """The ``k`` best ``(score, id)`` other than the query's own row."""
         p = np.append(q.astype(float), 0.0)
         own = float((p * p).sum())
         real = p[:-1]
-        exact = self.largest * float(np.abs(real).max(initial=0)) * len(real) < 1 << 53   # sums are then exact as doubles
         margin = 1e-7 * (1 + np.sqrt(own + self.top)) ** 2    # on squared distances
         best: list[tuple[int, int]] = []                      # heap of (score, -id)
         limit = np.inf                                        # distance of the k-th best so far
@@ -104,16 +116,17 @@ class Tree:
                     points = points[keep]
             if node.radius is None:
                 rows = rows if keep is None else rows[keep]
-                score = points[:, :-1] @ real if exact else self.exact[rows] @ q
+                score = self.scores(points[:, :-1], real)
                 if len(best) == k:
                     worth = np.flatnonzero(score >= best[0][0])
-                elif len(score) > 4 * k:                      # with all ties of the k-th
+                elif len(score) > 4 * k and score.dtype != object:                      # with all ties of the k-th
                     worth = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1])
                 else:
                     worth = np.arange(len(score))
-                for s, i in zip(score[worth].tolist(), self.ids[rows[worth]].tolist(), strict=True):
+                worth, score = rows[worth], score[worth].tolist()
+                for s, i, key in zip(score, self.ids[worth].tolist(), self.keys[worth].tolist(), strict=True):
                     s = int(s)
-                    if i == query_id:
+                    if key == query_key:
                         continue
                     if len(best) < k:
                         heappush(best, (s, -i))
@@ -121,7 +134,7 @@ class Tree:
                         heappop(best)
                         heappush(best, (s, -i))
                 if len(best) == k:
-                    limit = np.sqrt(max(own + self.top - 2 * best[0][0], 0.0) + margin)
+                    limit = np.sqrt(max(own + self.top - 2.0 * float(best[0][0]), 0.0) + margin)
             else:
                 d = _distance(points, p)
                 keep = np.arange(len(points)) if keep is None else keep
@@ -133,12 +146,13 @@ class Tree:
 
 
 def quantised(vec: Column, scale: int = SCALE) -> Column:
-    """``floor(scale * x)`` of each component as a double; null for vectors
-    that are null or hold null or non-finite components.  Components are held
-    within ``LIMIT`` so that scores fit a long."""
+    """``floor(scale * x)`` of each component, as a double (which holds such a
+    whole number exactly); null for vectors that are null or hold null or
+    non-finite components."""
     fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    clamp = lambda x: F.greatest(F.least(x, F.lit(float(LIMIT))), F.lit(float(-LIMIT)))
-    return F.when(fine, F.transform(vec, lambda x: F.floor(clamp(x.cast("double") * scale)).cast("int")))
+    whole = F.transform(vec, lambda x: x.cast("double") * scale)
+    # a double of 2**53 or more is whole, and may be beyond what floor can return
+    return F.when(fine, F.transform(whole, lambda x: F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)))
 
 
 def _searcher(k: int):
@@ -146,7 +160,7 @@ def _searcher(k: int):
     def run(batches):
         key, tree, held = None, None, []
         for b in batches:
-            part, role, ids = (ints(b.column(c)) for c in ("part", "role", "id"))
+            part, role, ids, rows = (ints(b.column(c)) for c in ("part", "role", "id", "r"))
             dim, block = ints(b.column("dim")), ints(b.column("qblock"))
             flat = b.column("v").flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(dim)
@@ -158,17 +172,19 @@ def _searcher(k: int):
                 if here != key:
                     key, tree, held = here, None, []
                 if role[s] == 0:
-                    held.append((ids[s:e], v))
+                    held.append((ids[s:e], v, rows[s:e]))
                     continue
                 if tree is None:
                     if not held:
                         continue
-                    tree = Tree(np.concatenate([x[0] for x in held]),
-                                np.concatenate([x[1] for x in held]).astype(np.int64))
-                out = [(int(q), i, sc) for q, x in zip(ids[s:e], v.astype(np.int64), strict=True)
-                       for sc, i in tree.search(int(q), x, k)]
+                    tree = Tree(*(np.concatenate([x[c] for x in held]) for c in (0, 1)),
+                                keys=np.concatenate([x[2] for x in held]))
+                out = [(r, q, i, sc) for r, q, x in zip(rows[s:e].tolist(), ids[s:e].tolist(), v, strict=True)
+                       for sc, i in tree.search(r, x, k)]
+                if any(not -LONG <= x[3] < LONG for x in out):
+                    raise OverflowError("a score among the best does not fit a long")
                 if out:
-                    yield batch(["query_id", "vec_id", "score"], [pa.array(c, pa.int64()) for c in zip(*out, strict=True)])
+                    yield batch(["r", "query_id", "vec_id", "score"], [pa.array(c, pa.int64()) for c in zip(*out, strict=True)])
 
     return run
 
@@ -178,31 +194,33 @@ def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: st
     """Each query's ``k`` best rows by inner product: ``(query_id, rank,
     vec_id, score)``, ties to the smaller id, all rows if there are fewer.
 
-    ``is_query`` picks the queries among the rows.  Vectors that are null or
-    hold null or non-finite components, and rows without an id, take no part;
-    a query meets only vectors of its own number of dimensions.  Rows that
-    repeat an id and a vector count once.  An empty table gives an empty
-    result.  Queries are dealt to all parts in blocks; neither side is
+    ``is_query`` picks the queries among the rows.  Vectors that are null,
+    empty, or hold null or non-finite components take no part; a query meets
+    only vectors of its own number of dimensions, and every row but its own:
+    rows that repeat an id are rows of their own, as queries and as candidates,
+    and a null id comes before all others.  Scores are exact at any size; one
+    among the best that does not fit a long is an error.  An empty table gives
+    an empty result.  Queries are dealt to all parts in blocks; neither side is
     collected or broadcast.
     """
     ship(rows.sparkSession)
-    good = (rows.select(F.col(id_col).cast("bigint").alias("id"), quantised(F.col(vec_col)).alias("v"),
+    good = (rows.select(id_key(F.col(id_col)).alias("id"), quantised(F.col(vec_col)).alias("v"),
                         F.coalesce(is_query, F.lit(False)).alias("asks"))
-            .where("id is not null and v is not null and size(v) > 0").distinct()
-            .withColumn("dim", F.size("v").cast("bigint")))
-    good = stage(good, "quantised")
+            .where("v is not null and size(v) > 0")
+            .withColumn("dim", F.size("v").cast("bigint")).withColumn("r", F.monotonically_increasing_id()))
+    good = stage(good, "quantised")                            # row numbers hold from here on
     n, asked = good.agg(F.count("*"), F.count_if("asks")).first()
     parts = max(1, -(-n // min(max(n // 64, part_rows[0]), part_rows[1])))
     blocks = max(1, -(-asked // QUERY_ROWS))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    kept = good.select("dim", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
-                       every(blocks).alias("qblock"), F.lit(0).alias("role"), "id", "v")
+    kept = good.select("dim", F.pmod(F.xxhash64("r"), F.lit(parts)).cast("int").alias("part"),
+                       every(blocks).alias("qblock"), F.lit(0).alias("role"), "r", "id", "v")
     asks = good.where("asks").select("dim", every(parts).alias("part"),
-                                     F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("qblock"),
-                                     F.lit(1).alias("role"), "id", "v")
+                                     F.pmod(F.xxhash64("r", F.lit(1)), F.lit(blocks)).cast("int").alias("qblock"),
+                                     F.lit(1).alias("role"), "r", "id", "v")
     key = ["dim", "part", "qblock"]
     found = (kept.unionByName(asks).repartition(*key).sortWithinPartitions(*key, "role", "id")
-             .mapInArrow(in_task(_searcher(k)), "query_id long, vec_id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .mapInArrow(in_task(_searcher(k)), "r long, query_id long, vec_id long, score long"))
+    order = Window.partitionBy("r").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select(id_back(F.col("query_id")).alias("query_id"), "rank", id_back(F.col("vec_id")).alias("vec_id"), "score"))

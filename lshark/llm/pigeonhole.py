@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lshark.llm.common import batch, id_back, id_key, in_task, ints, ship, stage, text_bytes
 from lshark.llm.components import components
@@ -257,15 +258,19 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                     threshold: float = THRESHOLD, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """``(id, n_links, component_id, kept)`` per row.
 
-    Only vectors of one label and one number of dimensions are compared.
+    Only vectors of one label and one number of dimensions are compared; labels
+    may be of any type (those that are no whole numbers are told apart by 64
+    bits of hash).
     Vectors that are null, zero or hold null or non-finite components, and
     vectors without a label, link with nothing.  Rows repeating id, label and
     vector count as one vector; a null id comes before all others.  An empty
     table gives an empty result.
     """
     ship(rows.sparkSession)
-    rows = rows.select(id_key(F.col(id_col)).alias("id"), F.col(vec_col).alias("vec"),
-                       F.col(label_col).cast("bigint").alias("label"))
+    label = F.col(label_col)
+    if not isinstance(rows.schema[label_col].dataType, T.IntegralType):
+        label = F.when(label.isNotNull(), F.xxhash64(label))
+    rows = rows.select(id_key(F.col(id_col)).alias("id"), F.col(vec_col).alias("vec"), label.cast("bigint").alias("label"))
     fit = F.col("label").isNotNull() & usable("vec")
     good = rows.where(fit)
     vector = F.transform("vec", lambda x: x.cast("double")).alias("vec")

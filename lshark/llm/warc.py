@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lshark.llm.common import batch, id_back, id_key, in_task, ship, stage
-from lshark.session import checkpoint_dir
+from lshark.session import stage_path
 
 LEVEL = 6
 READ = 1 << 18
@@ -296,7 +296,7 @@ def archive_pages(pages: DataFrame, folder: str | None = None, id_col: str = "pa
     """
     spark = pages.sparkSession
     ship(spark)
-    folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/llm-warc-{uuid.uuid4().hex}"
+    folder = folder or stage_path(spark, "llm-warc")           # goes with the stage scope
     raw = stage(write_archives(typed(pages, id_col, url_col, html_col), folder, level), "archives")
     done = stage(normalise_archives(raw, folder, level), "normalised")
     out = read_archives(done)

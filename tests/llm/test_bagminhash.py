@@ -140,3 +140,16 @@ def test_components_of_chains_stars_and_loops(spark):
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
     want = {x: find(x) for x in root if any(x in e and e[0] != e[1] for e in edges)}
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    rows = [(1, "one two three four five six", 7, 8), (2, "one two three four five six", 9, 9), (3, None, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key_d long, f long")
+    got = bagminhash.keep_one(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
+
+
+def test_all_pairs_of_a_bucket_can_be_verified(make_docs):
+    rows = [(k, " ".join(f"w{(k // 4) * 100 + j if j % 9 else j + k}" for j in range(60))) for k in range(24)]
+    every = bagminhash.near_duplicates(make_docs(rows), max_bits=None).collect()
+    assert {(r.doc_id, r.class_id) for r in every} == {(r.doc_id, r.class_id) for r in bagminhash.near_duplicates(make_docs(rows)).collect()}

@@ -135,3 +135,30 @@ def test_rows_that_repeat_an_id_reach_the_driver_once(spark, make_docs, monkeypa
     quality.fit(docs, labels)
     langid.fit(docs)
     assert len(sizes) == 2 and all(0 < t.num_rows == len(set(t["d"].to_pylist())) for t in sizes)
+
+
+def test_training_rows_are_bounded_however_many_languages(spark, make_docs, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(langid, "fit_network", lambda w, y, langs: seen.update(n=len(w), langs=langs))
+    rows = [(k, f"document {k} has a text that is long enough", f"l{k % 2000:04d}") for k in range(6000)]
+    rows += [(10_000 + k, f"document {k} of a larger language, long enough", f"big{k % 3}") for k in range(90)]
+    langid.fit(make_docs(rows), max_train=60)
+    assert seen["langs"] == ["big0", "big1", "big2"] and seen["n"] <= 60 * langid.WINDOWS_PER_TEXT
+
+
+def test_network_matches_a_naive_convolution(spark):
+    """Scores of a small trained network, filter by filter and place by place."""
+    rnd = np.random.default_rng(0)
+    w = rnd.integers(97, 110, (40, langid.WINDOW)).astype(np.uint8)
+    m = langid.fit_network(w, np.arange(40) % 2, ["a", "b"])
+    got = m.log_probs(w[:5])
+    for row, x in enumerate(w[:5]):
+        e = m.embed[x].astype(float)
+        pooled = []
+        for width, f in zip(langid.WIDTHS, m.filters, strict=True):
+            f = f.astype(float)
+            pooled.append(np.max([[e[p:p + width].ravel() @ f[:, k] for k in range(f.shape[1])]
+                                  for p in range(len(x) - width + 1)], axis=0))
+        h = np.maximum(np.concatenate(pooled) + m.bias, 0)
+        z = h @ m.out + m.out_bias
+        assert np.allclose(got[row], z - np.log(np.exp(z - z.max()).sum()) - z.max(), atol=1e-3)

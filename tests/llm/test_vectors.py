@@ -1,5 +1,7 @@
 """Top-k search and embedding near-dedup against numpy."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -71,21 +73,75 @@ def test_top_k_matches_brute_force(spark, parts):
     rows = vectors(2)
     rows += [(12, rows[50][1], 3), (6, [0.5] * 16, 0)]            # another vector under a used id
     got = mtree.top_k(frame(spark, rows), F.col("vec_id") % 6 == 0, part_rows=parts).collect()
-    good = {(r[0], tuple(np.floor(256 * np.array(r[1], float)).astype(int))) for r in rows
-            if r[0] is not None and usable(r[1]) and r[1]}
+    assert lists(got) == sorted(merged(brute_top(rows, lambda i: i is not None and i % 6 == 0)))
+
+
+def brute_top(rows, asks, k=5):
+    """Sorted lists of ``(rank, id, score)`` per query id, one list per query row."""
+    good = [(r[0], [math.floor(256 * float(np.float32(c))) for c in r[1]]) for r in rows if usable(r[1]) and r[1]]
+    out = []
+    for n, (i, q) in enumerate(good):
+        if asks(i):
+            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), -1 if j is None else j)
+                            for m, (j, v) in enumerate(good) if m != n and len(v) == len(q))[:k]
+            out.append((i, [(rank, j, -s) for rank, (s, j) in enumerate(scored, 1)]))
+    return sorted(x for x in out if x[1])
+
+
+def lists(got):
+    """The same of a result; lists of equal ids are told apart by their order."""
     found = {}
     for r in got:
-        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    queries = {}
-    for i, v in good:
-        if i % 6 == 0:
-            queries.setdefault(i, []).append(v)
-    assert set(found) <= set(queries)
-    for i, qs in queries.items():
-        if len(qs) > 1:
-            continue
-        scored = sorted((-int(np.dot(qs[0], v)), j) for j, v in good if j != i and len(v) == len(qs[0]))[:5]
-        assert sorted(found.get(i, [])) == [(k + 1, j, -s) for k, (s, j) in enumerate(scored)], i
+        found.setdefault(r.query_id, {}).setdefault(r["rank"], []).append((r["rank"], -1 if r.vec_id is None else r.vec_id, r.score))
+    out = []
+    for i, ranks in found.items():
+        n = len(ranks[1])
+        assert n == 1 or all(len(x) == n for x in ranks.values())
+        if n == 1:
+            out.append((i, [ranks[k][0] for k in sorted(ranks)]))
+        else:
+            out.append((i, sorted(x for k in ranks for x in ranks[k])))
+    return sorted(merged(out))
+
+
+def merged(out):
+    """Lists of one id as one sorted list, where a result cannot tell them apart."""
+    by = {}
+    for i, x in out:
+        by.setdefault(i, []).append(x)
+    return [(i, x[0] if len(x) == 1 else sorted(y for z in x for y in z)) for i, x in by.items()]
+
+
+def test_repeated_and_null_ids_are_rows_of_their_own(spark):
+    rows = [(0, [1.0, 0.0], 0), (0, [0.0, 1.0], 0), (0, [1.0, 0.0], 0), (None, [3.0, 3.0], 0), (7, [2.0, 1.0], 0), (50, [0.5, 0.5], 0)]
+    got = mtree.top_k(frame(spark, rows), F.col("vec_id") % 50 == 0, k=3).collect()
+    assert lists(got) == sorted(merged(brute_top(rows, lambda i: i in (0, 50), 3)))
+    assert sum(r.vec_id is None and r["rank"] == 1 for r in got) == 4            # every query's best
+
+
+@pytest.mark.parametrize("scale", [1.0, 3e5, 1e9, 3e13])
+def test_scores_of_large_components_are_exact(spark, scale):
+    rnd = np.random.default_rng(4)
+    v = (rnd.normal(size=(40, 3)) * scale).astype(np.float32)
+    v[:, 2] *= 1e-9
+    rows = [(k, x.tolist(), 0) for k, x in enumerate(v)]
+    if scale > 1e13:
+        with pytest.raises(Exception, match="does not fit a long"):
+            mtree.top_k(frame(spark, rows), F.col("vec_id") % 5 == 0).collect()
+        return
+    got = mtree.top_k(frame(spark, rows), F.col("vec_id") % 5 == 0)
+    want = brute_top(rows, lambda i: i % 5 == 0)
+    if any(abs(s) >= 1 << 63 for _, x in want for _, _, s in x):
+        with pytest.raises(Exception, match="does not fit a long"):
+            got.collect()
+    else:
+        assert lists(got.collect()) == want
+
+
+def test_large_scores_are_told_apart(spark):
+    rows = [(0, [1.0], 0), (1, [300000.0], 0), (2, [400000.0], 0)]
+    got = mtree.top_k(frame(spark, rows), F.col("vec_id") == 0).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 2, 26214400000), (2, 1, 19660800000)]
 
 
 def test_fewer_rows_than_k_and_empty_tables(spark):
@@ -117,3 +173,12 @@ def test_tree_skips_distances_and_stays_exact():
 def test_tree_of_equal_vectors():
     x = np.full((500, 3), 7, np.int64)
     assert mtree.Tree(np.arange(500), x).search(3, x[0], 5) == [(147, i) for i in (0, 1, 2, 4, 5)]
+
+
+def test_labels_of_any_type(spark):
+    rows = [(0, [1.0, 0.0], "a"), (1, [1.0, 0.01], "a"), (2, [1.0, 0.0], "b"), (3, [1.0, 0.0], None), (4, [1.0, 0.02], "b")]
+    got = pigeonhole.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(0, 1, 0), (1, 1, 0), (2, 1, 2), (3, 0, 3), (4, 1, 2)]
+    rows = [(0, [1.0, 0.0], 1.2), (1, [1.0, 0.0], 1.7), (2, [1.0, 0.0], 1.2)]
+    got = pigeonhole.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label double")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(0, 1, 0), (1, 0, 1), (2, 1, 0)]
