@@ -60,10 +60,11 @@ def coefficients(num_tables: int, seed: int) -> list[tuple[int, int]]:
 
 @dataclass(frozen=True)
 class MinHashModel:
-    """A fitted MinHash LSH model: ``num_tables`` (a, b) pairs and their seed."""
+    """A fitted MinHash LSH model: ``num_tables`` (a, b) pairs and their seed
+    (None where a loaded model does not tell)."""
 
     num_tables: int
-    seed: int
+    seed: int | None
     coeffs: tuple[tuple[int, int], ...] = field(default=())
 
     def hash_col(self, item: Column, t: int) -> Column:
@@ -78,6 +79,10 @@ class MinHashModel:
         p = F.lit(HASH_PRIME)
         return F.pmod(F.pmod(F.pmod(item.cast("bigint"), p) + F.lit(1), p) * F.lit(a) + F.lit(b), p)
 
+    def signature(self, items) -> list[int]:
+        """Signature of one small set outside a query (a probe of an index)."""
+        return [min(((1 + x % HASH_PRIME) % HASH_PRIME * a + b) % HASH_PRIME for x in items) for a, b in self.coeffs]
+
 
 def fit(num_tables: int = 5, seed: int = 42) -> MinHashModel:
     """Draw the coefficients for ``num_tables`` tables (D1).

@@ -7,6 +7,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lshark.operators.features import dense_index, lookup
 from lshark.session import cut_lineage
 
 MOST_ITEMS = 50_000            # elements of a set gathered into one row
@@ -28,6 +29,32 @@ def interactions(df: DataFrame, user: str | Column, item: str | Column,
               .distinct())
 
 
+def keyed_interactions(df: DataFrame, user: str | Column, item: str | Column,
+                       where: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(inter, users, items)`` for keys of any type (B1): distinct ``(u, i)``
+    of their dense numbers and the two written dictionaries ``(value, idx)``.
+    Numbers follow the keys' order, so ties by number are ties by key;
+    :func:`named` brings the keys back."""
+    df = df if where is None else df.where(where)
+    u = F.col(user) if isinstance(user, str) else user
+    i = F.col(item) if isinstance(item, str) else item
+    rows = cut_lineage(df.select(u.alias("_u"), i.alias("_i")).where("_u IS NOT NULL AND _i IS NOT NULL").distinct(), "keys")
+    users = cut_lineage(dense_index(rows, "_u"), "user-keys")
+    items = cut_lineage(dense_index(rows, "_i"), "item-keys")
+    inter = lookup(lookup(rows, users, "_u", "u"), items, "_i", "i")
+    return inter.select("u", "i"), users, items
+
+
+def named(df: DataFrame, **keys: DataFrame) -> DataFrame:
+    """``df`` with the numbers in the named columns replaced by their keys:
+    ``named(result, u=users, v=users, i=items)``."""
+    cols = df.columns
+    for col, index in keys.items():
+        back = index.select(F.col("idx").alias(col), F.col("value").alias("_key"))
+        df = df.join(back, col).drop(col).withColumnRenamed("_key", col)
+    return df.select(*cols)
+
+
 def event_item(props: str = "props") -> Column:
     """Item key of an event: ``props.k``."""
     return F.get_json_object(F.col(props), "$.k").cast("bigint")

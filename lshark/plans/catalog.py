@@ -8,16 +8,13 @@ Parameters are fixed here and shared by both sides: seed 42, 5 hash tables,
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lshark.functions.minhash import fit
-from lshark.operators import features, lsh, prep, recommend, text, topk
+from lshark.operators import features, index, lsh, prep, recommend, text, topk
 from lshark.plans import oracle as O
-from lshark.session import checkpoint_dir, cut_lineage
+from lshark.session import cut_lineage, stage_path
 from lshark.sources import tables
 
 SEED = 42
@@ -198,11 +195,20 @@ def q_neighbors_sql():
             f"AS rank FROM r) WHERE rank <= {K_NEIGHBORS}")
 
 
+def q_index_neighbors(spark, base):
+    """The same probe against a written bucket index: it reads one folder per table."""
+    inter = cut_lineage(event_interactions(spark, base), "interactions")
+    where = _scratch(spark, "bucket-index")
+    index.write_index(inter, MODEL, where)
+    key = inter.agg(F.min("u")).first()[0]
+    return index.neighbors(spark, index.open_index(spark, where), key, K_NEIGHBORS)
+
+
 def _neighbours(spark, base, types=None):
     # one written copy of the interactions feeds signatures, sets, CF scores
     # and the seen-item filter
     inter = cut_lineage(event_interactions(spark, base, types), "interactions")
-    return inter, topk.nearest(inter, MODEL, K_NEIGHBORS)
+    return inter, topk.nearest(inter, MODEL, K_NEIGHBORS, materialize=False)
 
 
 def q_all_neighbors(spark, base):
@@ -263,6 +269,37 @@ def user_recommendations_sql() -> str:
             f"WHERE rank <= {N_ITEMS}")
 
 
+def q_unseen_scores(spark, base):
+    """Scores of unseen items, seen ones dropped before the sum: as ``exclude_seen``."""
+    inter, neigh = _neighbours(spark, base)
+    return recommend.unseen_scores(neigh, inter)
+
+
+def q_named_recommendations(spark, base):
+    """The flagship over string keys: customers by name, parts by name."""
+    li = tables.load(spark, base, "lineitem").select("l_orderkey", "l_partkey")
+    od = tables.load(spark, base, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    cu = tables.load(spark, base, "customer").select("c_custkey", "c_name")
+    pa = tables.load(spark, base, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    bought = li.join(od, "l_orderkey").join(cu, "c_custkey").join(pa, "l_partkey")
+    inter, users, items = prep.keyed_interactions(bought, "c_name", "p_name")
+    inter = cut_lineage(inter, "interactions")
+    found = recommend.recommend_from(topk.nearest(inter, MODEL, K_NEIGHBORS, materialize=False), inter, N_ITEMS)
+    return prep.named(found, u=users, i=items)
+
+
+def q_named_recommendations_sql():
+    return (f"WITH b AS (SELECT DISTINCT c_name, p_name FROM lineitem JOIN orders ON o_orderkey = l_orderkey "
+            f"JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey "
+            f"WHERE c_name IS NOT NULL AND p_name IS NOT NULL), "
+            f"num AS (SELECT *, dense_rank() OVER (ORDER BY c_name) - 1 AS u, dense_rank() OVER (ORDER BY p_name) - 1 AS i FROM b), "
+            f"up AS (SELECT u, i FROM num),{O.lsh_cte(MODEL, 'up')},{O.neighbors_cte(K_NEIGHBORS)},{O.scores_cte('up')}, "
+            f"best AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, i) AS rank FROM unseen) "
+            f"SELECT c.c_name AS u, p.p_name AS i, score, CAST(rank AS BIGINT) AS rank FROM best "
+            f"JOIN (SELECT DISTINCT u, c_name FROM num) c ON c.u = best.u JOIN (SELECT DISTINCT i, p_name FROM num) p ON p.i = best.i "
+            f"WHERE rank <= {N_ITEMS}")
+
+
 PART_ATTRS = ("p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 
 
@@ -300,6 +337,23 @@ def q_element_index_sql():
             "CAST('0x' || substr(md5(token), 1, 15) AS BIGINT) AS hidx FROM t")
 
 
+def q_growing_index(spark, base):
+    """The vocabulary of the benchmark, then that of the documents appended."""
+    def words(df):
+        return df.select(F.explode(text.tokens(F.col("text"))).alias("token"))
+
+    old = cut_lineage(features.dense_index(words(tables.load(spark, base, "benchmark")), "token"), "vocabulary")
+    return features.extend_index(old, words(load_documents(spark, base, "text")), "token").withColumnRenamed("value", "token")
+
+
+def q_growing_index_sql():
+    return ("WITH w1 AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM benchmark), "
+            "w2 AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM documents), "
+            "fresh AS (SELECT token FROM w2 ANTI JOIN w1 USING (token)) "
+            "SELECT token, CAST(dense_rank() OVER (ORDER BY token) - 1 AS BIGINT) AS idx FROM w1 UNION ALL "
+            "SELECT token, CAST((SELECT count(*) FROM w1) + dense_rank() OVER (ORDER BY token) - 1 AS BIGINT) AS idx FROM fresh")
+
+
 PART_CATEGORICAL = ("p_brand", "p_type", "p_size")
 
 
@@ -458,6 +512,27 @@ def q_document_near_copies_sql():
             f"WHERE 1.0 - CAST(m AS DOUBLE) / CAST(p.n + q.n - m AS DOUBLE) < {DOC_THRESHOLD!r}")
 
 
+COPIED_SOURCE = "src0"
+
+
+def q_source_copies(spark, base):
+    """Near copies of one source's documents in all other sources, by the prefix
+    route of the two-table join."""
+    docs = text.tokenize(load_documents(spark, base, "doc_id", "text", "source"))
+    own = F.col("source") == COPIED_SOURCE
+    return lsh.similarity_join_two(text.token_sets(docs.where(own), "doc_id"), text.token_sets(docs.where(~own), "doc_id"),
+                                   MODEL, DOC_THRESHOLD)
+
+
+def q_source_copies_sql():
+    def sets(name, cond):
+        return (f"{name} AS (SELECT u, CAST('0x' || substr(md5(w), 1, 15) AS BIGINT) AS i FROM "
+                f"(SELECT DISTINCT doc_id AS u, unnest({_TOK_SQL}) AS w FROM documents WHERE source {cond} '{COPIED_SOURCE}'))")
+
+    return (f"WITH {sets('own', '=')}, {sets('rest', '<>')},"
+            f"{O.lsh_cte(MODEL, 'own', DOC_THRESHOLD, src_b='rest')} SELECT * FROM sim")
+
+
 # ---------------------------------------------------------------- A2-A4
 
 def q_subset(spark, base):
@@ -470,7 +545,8 @@ def q_subset_sql():
 
 
 def _scratch(spark, what: str) -> str:
-    return os.path.join(checkpoint_dir(spark), f"{what}-{uuid.uuid4().hex}")
+    """A new folder in the checkpoint folder, deleted with the stage scope."""
+    return stage_path(spark, what)
 
 
 def q_csv_read(spark, base):
@@ -495,6 +571,13 @@ def q_model_roundtrip(spark, base):
     return _sig_cols(lsh.signatures(event_interactions(spark, base), model), model.num_tables)
 
 
+def q_ml_model_roundtrip(spark, base):
+    """The model through a Spark ML model directory."""
+    path = tables.save_ml_model(spark, MODEL, _scratch(spark, "ml-model"))
+    model = tables.load_model(spark, path)
+    return _sig_cols(lsh.signatures(event_interactions(spark, base), model), model.num_tables)
+
+
 # ---------------------------------------------------------------- registry
 
 QUERIES = {
@@ -509,6 +592,7 @@ QUERIES = {
     "exact_jaccard": q_exact_jaccard,
     "lsh_report": q_lsh_report,
     "neighbors": q_neighbors,
+    "index_neighbors": q_index_neighbors,
     "all_neighbors": q_all_neighbors,
     "cf_scores": q_cf_scores,
     "exclude_seen": q_exclude_seen,
@@ -529,6 +613,11 @@ QUERIES = {
     "csv_read": q_csv_read,
     "preprocessed_roundtrip": q_preprocessed_roundtrip,
     "model_roundtrip": q_model_roundtrip,
+    "ml_model_roundtrip": q_ml_model_roundtrip,
+    "growing_index": q_growing_index,
+    "unseen_scores": q_unseen_scores,
+    "named_recommendations": q_named_recommendations,
+    "source_copies": q_source_copies,
 }
 
 ORACLE = {
@@ -543,6 +632,7 @@ ORACLE = {
     "exact_jaccard": q_exact_jaccard_sql,
     "lsh_report": q_lsh_report_sql,
     "neighbors": q_neighbors_sql,
+    "index_neighbors": q_neighbors_sql,
     "all_neighbors": q_all_neighbors_sql,
     "cf_scores": q_cf_scores_sql,
     "exclude_seen": q_exclude_seen_sql,
@@ -563,6 +653,11 @@ ORACLE = {
     "csv_read": q_csv_read_sql,
     "preprocessed_roundtrip": q_interactions_sql,
     "model_roundtrip": q_minhash_signature_sql,
+    "ml_model_roundtrip": q_minhash_signature_sql,
+    "growing_index": q_growing_index_sql,
+    "unseen_scores": q_exclude_seen_sql,
+    "named_recommendations": q_named_recommendations_sql,
+    "source_copies": q_source_copies_sql,
 }
 
 

@@ -75,12 +75,18 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     (``Dataset.checkpoint`` would recompute the plan and Java-serialise rows.)
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = stage_path(spark, name)
     df.write.parquet(path)
-    _SCOPES.get()[-1].append(path)
     return spark.read.parquet(path)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder that goes with the innermost open scope."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _SCOPES.get()[-1].append(path)
+    return path
+
+
 #: Paths of stage tables, one list per open scope of this thread of control.
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("lshark_stages", default=([],))
 

@@ -3,6 +3,10 @@ table (A3) and the fitted model (A4)."""
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -97,7 +101,7 @@ def read_preprocessed(spark: SparkSession, path: str, schema: T.StructType | Non
 
 MODEL_SCHEMA = T.StructType([
     T.StructField("num_tables", T.IntegerType(), False),
-    T.StructField("seed", T.LongType(), False),
+    T.StructField("seed", T.LongType(), True),
     T.StructField("coeffs", T.ArrayType(T.StructType([
         T.StructField("a", T.LongType(), False), T.StructField("b", T.LongType(), False)])), False),
 ])
@@ -111,7 +115,12 @@ def save_model(spark: SparkSession, model: MinHashModel, path: str) -> str:
 
 
 def load_model(spark: SparkSession, path: str) -> MinHashModel:
-    """Read a saved model back; the row is tiny (num_tables pairs)."""
+    """Read a saved model back, from our own format or from a Spark ML model
+    directory; the row is tiny (num_tables pairs)."""
+    if not _exists(spark, path):
+        raise FileNotFoundError(f"there is no model at {path}")
+    if _exists(spark, f"{path}/metadata"):
+        return load_ml_model(spark, path)
     rows = spark.read.schema(MODEL_SCHEMA).parquet(path).limit(2).collect()
     if len(rows) != 1:
         raise ValueError(f"expected one model row at {path}, found {len(rows)}")
@@ -119,7 +128,50 @@ def load_model(spark: SparkSession, path: str) -> MinHashModel:
     coeffs = tuple((int(c["a"]), int(c["b"])) for c in r["coeffs"])
     if len(coeffs) != r["num_tables"]:
         raise ValueError("model row is inconsistent: coefficient count != num_tables")
-    return MinHashModel(int(r["num_tables"]), int(r["seed"]), coeffs)
+    return MinHashModel(int(r["num_tables"]), r["seed"], coeffs)
+
+
+#: Fixed value: the class that Spark ML names in a model directory.
+ML_CLASS = "org.apache.spark.ml.feature.MinHashLSHModel"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def save_ml_model(spark: SparkSession, model: MinHashModel, path: str, input_col: str = "features",
+                  output_col: str = "hashes") -> str:
+    """Write ``model`` as a Spark ML model directory (A4): one line of JSON under
+    ``metadata``, one row of coefficients under ``data``.
+    ``MinHashLSHModel.load`` reads it."""
+    uid = f"MinHashLSH_{uuid.uuid4().hex[:12]}"
+    meta = {"class": ML_CLASS, "timestamp": int(time.time() * 1000), "sparkVersion": spark.version, "uid": uid,
+            "paramMap": {"inputCol": input_col, "outputCol": output_col, "numHashTables": model.num_tables},
+            "defaultParamMap": {"numHashTables": 1, "outputCol": f"{uid}__output"}}
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+    flat = [x for pair in model.coeffs for x in pair]
+    spark.createDataFrame([(flat,)], "randCoefficients array<int>").coalesce(1).write.mode("overwrite").parquet(f"{path}/data")
+    return path
+
+
+def load_ml_model(spark: SparkSession, path: str) -> MinHashModel:
+    """Read a model directory as Spark ML writes it.  Such a directory keeps the
+    coefficients, not the seed they came from."""
+    for part in ("metadata", "data"):
+        if not _exists(spark, f"{path}/{part}"):
+            raise FileNotFoundError(f"{path} is no complete model directory: it has no {part}/")
+    lines = [r["value"] for r in spark.read.text(f"{path}/metadata").limit(2).collect()]
+    meta = json.loads(lines[0]) if len(lines) == 1 else {}
+    if meta.get("class") != ML_CLASS:
+        raise ValueError(f"{path} holds {meta.get('class') or 'no readable metadata'}, not {ML_CLASS}")
+    rows = spark.read.schema("randCoefficients array<int>").parquet(f"{path}/data").limit(2).collect()
+    flat = rows[0]["randCoefficients"] if len(rows) == 1 else None
+    params = meta.get("defaultParamMap", {}) | meta.get("paramMap", {})
+    tables = int(params.get("numHashTables", 1))
+    if not flat or len(flat) != 2 * tables:
+        raise ValueError(f"{path} is inconsistent: {len(flat or [])} coefficients for {tables} hash tables")
+    return MinHashModel(tables, params.get("seed"), tuple(zip(flat[::2], flat[1::2], strict=True)))
 
 
 def to_ml_model(spark: SparkSession, model: MinHashModel, input_col: str = "features",
@@ -140,4 +192,4 @@ def to_ml_model(spark: SparkSession, model: MinHashModel, input_col: str = "feat
 
 
 __all__ = ["SCHEMAS", "load", "spread", "write_preprocessed", "read_preprocessed", "save_model",
-           "load_model", "to_ml_model"]
+           "load_model", "save_ml_model", "load_ml_model", "to_ml_model"]
