@@ -82,3 +82,30 @@ def test_language_keeps_documents_of_a_language_that_is_not_learned(spark):
     rows += [(2002, en * 5, "de", "s", 1)]                                  # held out
     kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, spark.createDataFrame(rows, schema), SMALL).collect()}
     assert kept >= {*range(1000, 1020)} and 2002 not in kept
+
+
+FILTERS = corpus_pipeline.STAGES[:-1]
+
+
+@pytest.mark.parametrize("name,f", FILTERS, ids=[n for n, _ in FILTERS])
+def test_stages_take_any_table(spark, name, f):
+    """Empty tables, extra columns of clashing names, nulls in every column, very long texts, repeated rows."""
+    base = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = base.withColumns({c: F.lit(k).cast("long") for k, c in enumerate(
+        ("d", "f", "row", "kept", "n_removed", "n_words", "score", "_key_d", "found", "held_out", "spans"))})
+    empty = f(spark, docs.limit(0), SMALL)
+    assert empty.columns == docs.columns and empty.collect() == []
+    long = " ".join(f"word{k % 977} the of and" for k in range(60_000))
+    odd = [(None, None, None, None, None), (1, None, None, None, None), (70_000, long, "en", None, None), (70_001, "", None, "s", 0),
+           (70_002, "the words of a text", "en", "s", 19), (70_002, "the words of a text", "en", "s", 19)]
+    odd = spark.createDataFrame(odd, base.schema).withColumns({c: F.lit(5).cast("long") for c in docs.columns[5:]})
+    got = f(spark, stage(docs.unionByName(odd), "odd-docs"), SMALL)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert {r.d for r in rows} <= {0, 5} and {r["_key_d"] for r in rows} <= {7, 5}
+
+
+def test_packing_of_empty_and_odd_tables(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("piece", F.lit("x")).withColumn("sequence_id", F.lit("y"))
+    assert corpus_pipeline.packing_stage(spark, docs.limit(0), SMALL).collect() == []
+    assert corpus_pipeline.packing_stage(spark, docs, SMALL).where("piece = 0").count() == docs.count()
