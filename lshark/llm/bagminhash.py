@@ -287,14 +287,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def bucket_members(reps: DataFrame, n: int) -> DataFrame:
-    """Members of buckets of two or more: ``(r, size, bits, degree, band, v,
-    n)``, ``n`` the bucket's members and ``degree`` their sum over the
-    buckets of ``r``; written as one row per text, of ``n`` at most."""
-    rows = reps.select("r", "size", "bits", F.posexplode("bands").alias("band", "v"))
+    """Texts in buckets of two or more: ``(r, d, f, size, bits, degree,
+    buckets)``, ``buckets`` their ``(band, v, n)`` with ``n`` members and
+    ``degree`` the sum of these; a row per text, of ``n`` at most."""
+    rows = reps.select("r", "d", "f", "size", "bits", F.posexplode("bands").alias("band", "v"))
     counts = stage(rows.groupBy("band", "v").agg(F.count("*").alias("n")).where("n > 1"), "bucket-counts", n)
-    each = (rows.join(counts, ["band", "v"]).groupBy("r", "size", "bits")          # at most one bucket per band
+    each = (rows.join(counts, ["band", "v"]).groupBy("r", "d", "f", "size", "bits")          # at most one bucket per band
             .agg(F.sum("n").alias("degree"), F.collect_list(F.struct("band", "v", "n")).alias("buckets")))
-    return stage(each, "bucket-members", n).select("r", "size", "bits", "degree", F.inline("buckets"))
+    return stage(each, "bucket-members", n)
 
 
 def stray_links(rows: DataFrame, found: DataFrame, known: DataFrame, threshold: float, near, n: int) -> DataFrame | None:
@@ -342,12 +342,13 @@ def classes(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, thres
     reps = (worded.join(heads.select("g1", "g2", "head.*"), ["g1", "g2", "d", "f"])
             .dropDuplicates(["d", "f"]).select(F.xxhash64("d", "f").alias("r"), "d", "f", "size", "bits", "bands"))
     reps = stage(reps, "reps", n)
-    rows = bucket_members(reps, n)
+    members = bucket_members(reps, n)
+    rows = members.select("r", "size", "bits", "degree", F.inline("buckets"))
     # a bucket's centre is its member with the most bucket neighbours: copies of
     # one original meet it more often than each other
     centres = stage(rows.groupBy("band", "v").agg(F.max(F.struct("degree", "r", "size", "bits")).alias("y")), "centres", n)
-    known = texts.join(reps.select("d", "f", "r"), ["d", "f"]).dropDuplicates(["d", "f"])
-    known = stage(token_table(known.join(rows.select("r").distinct(), "r", "left_semi"), k), "bucket-tokens", n)
+    known = texts.join(members.select("d", "f", "r"), ["d", "f"]).dropDuplicates(["d", "f"])   # texts move once
+    known = stage(token_table(known, k), "bucket-tokens", n)
 
     near = F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size")
     if max_bits is not None:
