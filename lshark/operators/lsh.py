@@ -34,6 +34,7 @@ DEFAULT_BLOCK = 2048           # members per block when a group is split
 PREFIX_ALWAYS = 0.5            # distance thresholds up to this use prefix filtering
 BIG_SET = 50_000               # sets larger than this are never gathered into one row
 PAIRS_PER_PARTITION = 1_000_000  # target pair work per task in pair joins
+PLAN_PAIRS = 5_000_000         # bucket pairs of two tables from which the other route is counted as well
 SMALL_SET = 16                 # pairs of sets this short are checked inside the pair join
 BROADCAST_ROWS = 2_000_000     # hot-group rows we allow to broadcast (3 longs each)
 INDEX_ROWS = 100_000           # group rows of a smaller side that we allow to broadcast (at most about 600 bytes each)
@@ -666,7 +667,8 @@ def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
     hash), ``'prefix'`` on prefix tokens under a joint order and keeps pairs
     whose signatures agree somewhere; ``'auto'`` counts the pairs that each
     would form and takes the smaller number (thresholds up to
-    :data:`PREFIX_ALWAYS` always take prefixes).
+    :data:`PREFIX_ALWAYS` always take prefixes, and up to :data:`PLAN_PAIRS`
+    bucket pairs prefixes are not counted).
     """
     if strategy not in ("auto", "buckets", "prefix"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -674,19 +676,21 @@ def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
         raise ValueError("prefix strategy needs a threshold")
     left, right = cut_lineage(left, "left"), cut_lineage(right, "right")
     prefix = threshold is not None and threshold < 1.0 and strategy != "buckets"
-    found, keys, stats, once = {}, {"buckets": ["tb", "hv"], "prefix": ["tok"]}, {}, False
+    found, stats, once = {}, {}, False
     if strategy != "prefix" and not (prefix and threshold <= PREFIX_ALWAYS):
         found["buckets"] = [cut_lineage(buckets(signatures(x, model), with_hashes=True), f"{name}-buckets")
                             for name, x in (("left", left), ("right", right))]
-    if prefix or strategy == "prefix":
+        stats["buckets"] = across_stats(*found["buckets"], ["tb", "hv"], block_size)
+    few = "buckets" in stats and stats["buckets"]["pairs"] <= PLAN_PAIRS       # not worth a second count
+    if strategy == "prefix" or prefix and not few:
         big_l, _, most_l = entity_stats(left, big_set)
         big_r, _, most_r = entity_stats(right, big_set)
         found["prefix"] = [cut_lineage(x, "prefixes") for x in joint_prefixes(left, right, threshold, big_l, big_r)]
         once = meets_once(threshold, most_l, big_l[1]) and meets_once(threshold, most_r, big_r[1])
-    for route, (l, r) in found.items():
-        stats[route] = across_stats(l, r, keys[route], block_size)
+        stats["prefix"] = across_stats(*found["prefix"], ["tok"], block_size)
     route = min(stats, key=lambda x: stats[x]["pairs"])
-    pairs = pairs_across_groups(*found[route], keys[route], threshold, block_size,
+    keys = ["tb", "hv"] if route == "buckets" else ["tok"]
+    pairs = pairs_across_groups(*found[route], keys, threshold, block_size,
                                 model.num_tables if route == "buckets" else 0, stats[route], once)
     return verify(pairs, left, threshold, model, inter_b=right, check_buckets=route == "prefix", big_set=big_set)
 

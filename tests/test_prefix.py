@@ -39,6 +39,19 @@ def test_two_tables_by_either_route(make_inter, left, right, threshold):
         assert pairs(lsh.similarity_join_two(l, r, M, threshold, strategy=strategy)) == want, strategy
 
 
+def test_both_routes_are_counted_where_buckets_form_many_pairs(make_inter, monkeypatch):
+    sets = near_copies(9, 30)
+    counted = []
+    real = lsh.across_stats
+    monkeypatch.setattr(lsh, "across_stats", lambda l, r, keys, block: counted.append(keys[0]) or real(l, r, keys, block))
+    want = two_sided(sets, sets, 0.7)
+    for least, routes in ((5_000_000, ["tb"]), (0, ["tb", "tok"])):
+        monkeypatch.setattr(lsh, "PLAN_PAIRS", least)
+        counted.clear()
+        assert pairs(lsh.similarity_join_two(make_inter(sets), make_inter(sets), M, 0.7)) == want
+        assert counted == routes
+
+
 def near_copies(seed, n=60):
     rnd = random.Random(seed)
     base = [set(rnd.sample(range(200), rnd.randint(10, 30))) for _ in range(8)]
