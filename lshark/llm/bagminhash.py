@@ -217,8 +217,9 @@ def verified(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
                         zip(_blobs(b.column("x")), _blobs(b.column("y")), strict=True)]
                 yield batch(["a", "b"], [b.column("a"), b.column("b")]).filter(pa.array(good, pa.bool_()))
 
-    one = pairs.join(known.select(F.col("r").alias("a"), F.col("tokens").alias("x")), "a")
-    two = one.join(known.select(F.col("r").alias("b"), F.col("tokens").alias("y")), "b")
+    # the same plan at every size: tokens and pairs are shuffled, none is a broadcast side
+    one = pairs.join(known.select(F.col("r").alias("a"), F.col("tokens").alias("x")).hint("merge"), "a")
+    two = one.join(known.select(F.col("r").alias("b"), F.col("tokens").alias("y")).hint("merge"), "b")
     return two.select("a", "b", "x", "y").mapInArrow(in_task(run), "a long, b long")
 
 
@@ -347,7 +348,8 @@ def classes(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, thres
     # a bucket's centre is its member with the most bucket neighbours: copies of
     # one original meet it more often than each other
     centres = stage(rows.groupBy("band", "v").agg(F.max(F.struct("degree", "r", "size", "bits")).alias("y")), "centres", n)
-    known = texts.join(members.select("d", "f", "r"), ["d", "f"]).dropDuplicates(["d", "f"])   # texts move once
+    # texts are shuffled once, at every size
+    known = texts.join(members.select("d", "f", "r").hint("merge"), ["d", "f"]).dropDuplicates(["d", "f"])
     known = stage(token_table(known, k), "bucket-tokens", n)
 
     near = F.least("x.size", "y.size") >= threshold * F.greatest("x.size", "y.size")
