@@ -14,6 +14,9 @@ Design notes (scale):
   only after its row count has been checked.
 * A distance threshold adds the lossless size bound
   ``min(n_a, n_b) / max(n_a, n_b) >= 1 - threshold`` to the join condition.
+* Sets over few distinct elements share groups with nearly all others; where the
+  counted pairs of the groups cost more, two sets are met block by block as rows
+  of bits (:mod:`lshark.operators.dense`).
 * With a threshold, candidates may come from exact prefix filtering instead
   of buckets; pairs that share no bucket are then dropped by comparing the two
   signatures position by position, so the result is exactly the LSH answer.
@@ -28,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lshark.functions.minhash import MinHashModel
+from lshark.operators import dense
 from lshark.session import cut_lineage
 
 DEFAULT_BLOCK = 2048           # members per block when a group is split
@@ -171,7 +175,7 @@ def _group_join(rows: DataFrame, keys: list[str], threshold: float | None, block
 
     Groups above ``block_size`` members are cut into ``S`` hash blocks; a
     member of block ``p`` goes to block pairs ``(p, q>=p)`` on the left and
-    ``(q<=p, p)`` on the right, so no task squares a whole hot group.
+    ``(q<=p, p)`` on the right, so no task squares a whole hot group. 
     ``stats`` is ``group_stats(rows, keys, block_size)`` when already known.
     """
     cols = list(dict.fromkeys(["n"] + carry))
@@ -618,6 +622,34 @@ def choose_plan(inter: DataFrame, model: MinHashModel, threshold: float | None,
     return plan
 
 
+def _block_pairs(left: DataFrame, right: DataFrame | None, threshold: float | None, model: MinHashModel | None,
+                 block_size: int) -> DataFrame | None:
+    """The verified pairs of sets over few distinct elements, block by block;
+    None where the groups' pairs cost less.  Without a model: all pairs, no
+    signatures, and the work of the prefixes is told from the set sizes."""
+    sides = [left] if right is None else [left, right]
+    items = dense.elements(*sides)
+    if not items:
+        return None
+    sets = [dense.bit_sets(s, items, model) for s in sides]
+    n = [s.count() for s in sets]
+    all_pairs = n[0] * (n[0] - 1) / 2 if right is None else n[0] * n[1]
+    if not dense.cheaper(all_pairs, all_pairs * len(items), len(items)):
+        return None
+    least = 0.0 if threshold is None else least_similarity(threshold)
+    # a prefix row meets on average the share of rows that the most even spread over all elements gives
+    rows = [s.agg(F.sum(prefix_length(F.col("n"), F.lit(least)))).first()[0] or 0 for s in sets]
+    work = (rows[0] * (rows[0] - 1) / 2 if right is None else rows[0] * rows[1]) / len(items)
+    if model is not None and (threshold is None or threshold > PREFIX_ALWAYS):
+        met = [buckets(s) for s in sets]
+        met = group_stats(met[0], ["tb", "hv"], block_size)[0] if right is None else across_stats(*met, ["tb", "hv"], block_size)["pairs"]
+        work = met if threshold is None or threshold >= 1.0 else min(met, work)
+    if not dense.cheaper(all_pairs, work, len(items)):
+        return None
+    found = dense.pairs(sets[0], n[0], None if right is None else sets[1], n[-1], len(items), least, model is not None)
+    return _scored(found, threshold)
+
+
 def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | None = None,
                     strategy: str = "auto", block_size: int = DEFAULT_BLOCK,
                     materialize: bool = True, big_set: int = BIG_SET) -> DataFrame:
@@ -627,10 +659,14 @@ def similarity_join(inter: DataFrame, model: MinHashModel, threshold: float | No
 
     ``strategy``: ``'buckets'`` joins on (table, hash); ``'prefix'`` finds
     the exact pairs by prefix filtering and keeps those whose signatures agree
-    somewhere — the same pair set.  ``'auto'`` picks by :func:`choose_plan`.
+    somewhere — the same pair set.  ``'auto'`` picks by :func:`choose_plan`, or
+    takes blocks where the sets draw on few elements.
     """
     if materialize:
         inter = cut_lineage(inter)
+    by_blocks = _block_pairs(inter, None, threshold, model, block_size) if strategy == "auto" else None
+    if by_blocks is not None:
+        return by_blocks
     big, smallest, largest = entity_stats(inter, big_set)      # once per join
     if strategy == "auto":
         plan = choose_plan(inter, model, threshold, block_size, big_set, big)
@@ -668,7 +704,8 @@ def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
     whose signatures agree somewhere; ``'auto'`` counts the pairs that each
     would form and takes the smaller number (thresholds up to
     :data:`PREFIX_ALWAYS` always take prefixes, and up to :data:`PLAN_PAIRS`
-    bucket pairs prefixes are not counted).
+    bucket pairs prefixes are not counted), or blocks where the sets draw on few
+    elements.
     """
     if strategy not in ("auto", "buckets", "prefix"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -698,7 +735,8 @@ def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
 def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_BLOCK,
                   materialize: bool = True, big_set: int = BIG_SET) -> DataFrame:
     """All pairs with Jaccard distance strictly below ``threshold`` (D8), no
-    hashing: prefix-filtered candidates, then exact verification."""
+    hashing: prefix-filtered candidates, then exact verification, or blocks
+    where the sets draw on few elements."""
     if materialize:
         inter = cut_lineage(inter)
     big, _, largest = entity_stats(inter, big_set)
