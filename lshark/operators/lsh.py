@@ -739,6 +739,9 @@ def exact_jaccard(inter: DataFrame, threshold: float, block_size: int = DEFAULT_
     where the sets draw on few elements."""
     if materialize:
         inter = cut_lineage(inter)
+    by_blocks = _block_pairs(inter, None, threshold, None, block_size)
+    if by_blocks is not None:
+        return by_blocks
     big, _, largest = entity_stats(inter, big_set)
     pre = cut_lineage(prefix_tokens(inter, threshold, big_set, big), "prefixes")
     pairs = pairs_in_groups(pre, ["tok"], threshold, block_size, all_once=meets_once(threshold, largest, big[1]))

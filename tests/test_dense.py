@@ -38,6 +38,13 @@ def by_blocks(monkeypatch, name):
     return calls
 
 
+@pytest.mark.parametrize("threshold", [0.2, 0.6, 1.0])
+def test_exact_jaccard_by_blocks(make_inter, monkeypatch, threshold):
+    sets, calls = sets_of(1), by_blocks(monkeypatch, "pairs")
+    assert sims(lsh.exact_jaccard(make_inter(sets), threshold)) == pytest.approx(exact_pairs(sets, threshold))
+    assert calls
+
+
 @pytest.mark.parametrize("threshold", [None, 0.3, 0.6, 1.0])
 def test_similarity_join_by_blocks(make_inter, monkeypatch, threshold):
     sets, calls = sets_of(2), by_blocks(monkeypatch, "pairs")
@@ -57,3 +64,10 @@ def test_other_keys_and_many_elements_take_the_other_route(spark, make_inter, mo
     monkeypatch.setattr(dense, "ITEMS", 2)
     assert dense.elements(inter) is None
 
+
+def test_few_pairs_in_groups_are_cheaper_than_blocks(make_inter, monkeypatch):
+    calls = by_blocks(monkeypatch, "pairs")
+    monkeypatch.setattr(dense, "GROUP_COST", 30)
+    sets = {u: {u % 300} for u in range(600)}
+    lsh.exact_jaccard(make_inter(sets), 0.5).collect()
+    assert not calls
