@@ -712,6 +712,9 @@ def similarity_join_two(left: DataFrame, right: DataFrame, model: MinHashModel,
     if strategy == "prefix" and threshold is None:
         raise ValueError("prefix strategy needs a threshold")
     left, right = cut_lineage(left, "left"), cut_lineage(right, "right")
+    by_blocks = _block_pairs(left, right, threshold, model, block_size) if strategy == "auto" else None
+    if by_blocks is not None:
+        return by_blocks
     prefix = threshold is not None and threshold < 1.0 and strategy != "buckets"
     found, stats, once = {}, {}, False
     if strategy != "prefix" and not (prefix and threshold <= PREFIX_ALWAYS):

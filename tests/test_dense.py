@@ -55,6 +55,15 @@ def test_similarity_join_by_blocks(make_inter, monkeypatch, threshold):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("threshold", [None, 0.3, 0.8])
+def test_two_tables_by_blocks(make_inter, monkeypatch, threshold):
+    left, right, calls = make_inter(sets_of(3)), make_inter(sets_of(4, 40, 50)), by_blocks(monkeypatch, "pairs")
+    got = lsh.similarity_join_two(left, right, M, threshold)
+    want = lsh.similarity_join_two(left, right, M, threshold, strategy="buckets")
+    assert calls and got.dtypes == want.dtypes
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_other_keys_and_many_elements_take_the_other_route(spark, make_inter, monkeypatch):
     inter = make_inter({1: {1, 2}, 2: {1, 3}})
     assert dense.elements(inter) == [1, 2, 3]
