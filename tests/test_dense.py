@@ -64,6 +64,28 @@ def test_two_tables_by_blocks(make_inter, monkeypatch, threshold):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("k", [1, 4, 200])
+def test_nearest_by_blocks(make_inter, monkeypatch, k):
+    sets, calls = sets_of(5), by_blocks(monkeypatch, "nearest_pairs")
+    monkeypatch.setattr(dense, "FIRST", 2)
+    got = topk.nearest(make_inter(sets), M, k)
+    near = {}
+    for (a, b), sim in lsh_pairs(sets, M).items():
+        near.setdefault(a, []).append((-sim, b))
+        near.setdefault(b, []).append((-sim, a))
+    want = {(u, v): (pytest.approx(-s), r) for u, vs in near.items() for r, (s, v) in enumerate(sorted(vs)[:k], 1)}
+    assert calls and {(r.u, r.v): (r.sim, r.rank) for r in got.collect()} == want
+
+
+def test_ties_of_equal_sets_do_not_leave_their_task(make_inter, monkeypatch):
+    monkeypatch.setattr(dense, "FIRST", 4)
+    inter = make_inter({u: {1, 2, 3} for u in range(200)})
+    sets = dense.bit_sets(inter, dense.elements(inter), M)
+    assert dense.nearest_pairs(sets, 200, 3, 3).count() <= 200 * 3 * 4
+    got = topk.nearest(inter, M, 3).where("u = 100").select("v").collect()
+    assert [r.v for r in got] == [0, 1, 2]
+
+
 def test_other_keys_and_many_elements_take_the_other_route(spark, make_inter, monkeypatch):
     inter = make_inter({1: {1, 2}, 2: {1, 3}})
     assert dense.elements(inter) == [1, 2, 3]
