@@ -314,3 +314,17 @@ def test_long_entity_sets_come_in_bounded_rows(make_inter):
     assert all(len(r.items) < 40 and list(r.items) == sorted(r.items) for r in got)
     assert sorted(i for r in got if r.u == 1 for i in r.items) == list(range(100))
     assert [(r.n, r.part, list(r.items)) for r in got if r.u == 2] == [(5, 0, [0, 1, 2, 3, 4])]
+
+
+def test_copies_of_a_hot_group_are_bounded(make_inter, monkeypatch):
+    """A group is cut into no more than MOST_BLOCKS blocks, and tasks are bounded."""
+    sets = {u: {1, 2 + u % 3} for u in range(60)}
+    inter = make_inter(sets)
+    want = _pairs(lsh.similarity_join(inter, M, None, strategy="buckets"))
+    monkeypatch.setattr(lsh, "MOST_BLOCKS", 3)
+    bkt = lsh.buckets(lsh.signatures(inter, M), with_hashes=True)
+    got = lsh.candidates(bkt, block_size=4)
+    assert {(r.a, r.b) for r in got.collect()} >= set(want)
+    two = lsh.similarity_join_two(inter, inter, M, None, block_size=4, strategy="buckets")
+    assert {(a, b) for a, b in _pairs(two) if a < b} == set(want)
+    assert lsh.pair_partitions(inter.sparkSession, 10 ** 15) == lsh.MOST_PARTITIONS
