@@ -1,6 +1,9 @@
 """Sets over few distinct elements, met block by block."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from brute import exact_pairs, lsh_pairs
@@ -10,6 +13,7 @@ from lshark.functions.minhash import fit
 from lshark.operators import dense, lsh, topk
 
 M = fit(5, 42)
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(autouse=True)
@@ -102,3 +106,31 @@ def test_few_pairs_in_groups_are_cheaper_than_blocks(make_inter, monkeypatch):
     sets = {u: {u % 300} for u in range(600)}
     lsh.exact_jaccard(make_inter(sets), 0.5).collect()
     assert not calls
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_candidates_by_blocks(make_inter, monkeypatch, seed):
+    sets, calls = sets_of(seed), by_blocks(monkeypatch, "sharing_pairs")
+    bkt = lsh.buckets(lsh.signatures(make_inter(sets), M), with_hashes=True)
+    want = lsh.pairs_in_groups(bkt, ["tb", "hv"], num_tables=5)
+    assert sorted(lsh.candidates(bkt).collect()) == sorted(want.collect()) and calls
+    part, calls[:] = bkt.where("tb != 1"), []                  # rows of some tables only: the other route
+    assert sorted(lsh.candidates(part).collect()) == sorted(lsh.pairs_in_groups(part, ["tb", "hv"], num_tables=5).collect())
+    assert not calls
+
+
+def test_tasks_find_the_package_without_a_path(tmp_path):
+    """Python tasks import the package where only the driver has it on its path."""
+    code = f"""
+import sys; sys.path.insert(0, {ROOT!r})
+from lshark.functions.minhash import fit
+from lshark.operators import dense, topk
+from lshark.session import get_session
+dense.FROM_PAIRS, dense.GROUP_COST = 1, 1e9
+spark = get_session("local[2]", 2, extra={{"spark.checkpoint.dir": {str(tmp_path)!r}, "spark.driver.host": "127.0.0.1"}})
+inter = spark.createDataFrame([(u, i) for u in range(4) for i in range(3)], "u bigint, i bigint")
+print("rows", topk.nearest(inter, fit(5, 42), 2).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "rows 8" in got.stdout, got.stderr[-2000:]
