@@ -88,3 +88,44 @@ def test_no_dedupe_exchange_where_all_prefixes_carry_their_tokens(make_inter):
     pre = lsh.prefix_tokens(make_inter(near_copies(1)), 0.5)
     plan = lsh.pairs_in_groups(pre, ["tok"], 0.5, stats=(1, 0), all_once=True)._jdf.queryExecution().toString()
     assert plan.count("Aggregate [a") == 0 and "Deduplicate" not in plan
+
+
+def multiples(seed, first=0):
+    """Sets of which many are equal, so that groups of copies are as large as a block of 4 and more."""
+    rnd = random.Random(seed)
+    base = [set(rnd.sample(range(60), rnd.randint(5, 20))) for _ in range(5)]
+    return {first + u: base[u % 5] ^ ({60} if u % 2 else set()) for u in range(50)}
+
+
+def test_equal_sets_are_verified_once(make_inter, monkeypatch):
+    sets, met, was = multiples(3), [], lsh.verify
+    monkeypatch.setattr(lsh, "verify", lambda pairs, *x, **y: met.append(pairs.count()) or was(pairs, *x, **y))
+    inter = make_inter(sets)
+    got = lsh.similarity_join(inter, M, 0.4, block_size=4)
+    want = lsh.similarity_join(inter, M, 0.4, strategy="buckets")
+    assert got.dtypes == want.dtypes and sorted(got.collect()) == sorted(want.collect())
+    kinds = len({frozenset(s) for s in sets.values()})
+    assert met[0] <= kinds * (kinds + 1) / 2 < met[1]
+
+
+def test_equal_sets_of_two_tables_are_verified_once(make_inter, monkeypatch):
+    left, right, met, was = multiples(4), multiples(4, 100), [], lsh.verify
+    monkeypatch.setattr(lsh, "verify", lambda pairs, *x, **y: met.append(pairs.count()) or was(pairs, *x, **y))
+    got = lsh.similarity_join_two(make_inter(left), make_inter(right), M, 0.4, block_size=4)
+    want = lsh.similarity_join_two(make_inter(left), make_inter(right), M, 0.4, strategy="buckets")
+    assert got.dtypes == want.dtypes and sorted(got.collect()) == sorted(want.collect())
+    assert met[0] <= len({frozenset(s) for s in left.values()}) ** 2 < met[1]
+
+
+def test_repeated_rows_and_nulls_do_not_make_sets_equal(spark):
+    rows = [(1, 1), (1, 1), (1, 2), (2, 2), (2, 3), (2, 3), (3, 1), (3, 1), (3, 2), (None, 1), (4, None), (5, None)]
+    inter = spark.createDataFrame(rows, "u bigint, i bigint")
+    _, members = lsh._copies(inter)
+    assert sorted((r.rep, r.u) for r in members.collect()) == [(1, 1), (1, 3), (4, 4), (4, 5)]
+
+
+def test_more_tokens_than_are_sent_to_the_tasks(make_inter, monkeypatch):
+    monkeypatch.setattr(lsh, "BROADCAST_ROWS", 12)
+    inter = make_inter(multiples(5))
+    want = lsh.similarity_join(inter, M, 0.4, strategy="buckets")
+    assert sorted(lsh.similarity_join(inter, M, 0.4).collect()) == sorted(want.collect())
