@@ -7,6 +7,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from brute import exact_pairs, jaccard, signature
 from lshark.functions.minhash import fit
 from lshark.operators import lsh
@@ -129,3 +131,16 @@ def test_more_tokens_than_are_sent_to_the_tasks(make_inter, monkeypatch):
     inter = make_inter(multiples(5))
     want = lsh.similarity_join(inter, M, 0.4, strategy="buckets")
     assert sorted(lsh.similarity_join(inter, M, 0.4).collect()) == sorted(want.collect())
+
+
+def test_far_pairs_go_before_their_sets_are_fetched(make_inter, monkeypatch):
+    rnd = random.Random(8)
+    sets = {u: set(rnd.sample(range(300), 40)) for u in range(40)} | {u: set(range(400, 440)) - {u + 360} for u in range(40, 60)}
+    inter, model = make_inter(sets), fit(60, 1)                # so many tables that all pairs share a bucket
+    pairs = inter.select("u").distinct().alias("x").join(inter.select("u").distinct().alias("y"), F.expr("x.u < y.u"))
+    pairs = pairs.select(F.col("x.u").alias("a"), F.col("y.u").alias("b"))
+    left = {(r.a, r.b) for r in lsh._plausible(pairs, inter, inter, 0.3, model).collect()}
+    near = {p for p, s in exact_pairs(sets, 0.3).items()}
+    assert near <= left and len(left) < 2 * len(near) < pairs.count()
+    got = lsh.verify(pairs, inter, 0.3, model, check_buckets=True)
+    assert {(r.a, r.b) for r in got.collect()} == near
