@@ -134,3 +134,19 @@ print("rows", topk.nearest(inter, fit(5, 42), 2).count())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "rows 8" in got.stdout, got.stderr[-2000:]
+
+
+def test_nearest_over_groups_of_elements_goes_by_blocks(make_inter, monkeypatch):
+    """Sets of six groups without a common element: a sixth of the pairs share a bucket,
+    and counting those one by one costs more than all pairs by blocks."""
+    monkeypatch.setattr(dense, "GROUP_COST", 30)
+    rnd, calls = random.Random(8), by_blocks(monkeypatch, "nearest_pairs")
+    sets = {40 * g + u: {64 * g + x for x in rnd.sample(range(64), 29)} for g in range(6) for u in range(40)}
+    got = topk.nearest(make_inter(sets), M, 3)
+    near = {}
+    for (a, b), sim in lsh_pairs(sets, M).items():
+        near.setdefault(a, []).append((-sim, b))
+        near.setdefault(b, []).append((-sim, a))
+    want = {(u, v): (pytest.approx(-s), r) for u, vs in near.items() for r, (s, v) in enumerate(sorted(vs)[:3], 1)}
+    assert {(r.u, r.v): (r.sim, r.rank) for r in got.collect()} == want
+    assert calls
