@@ -30,6 +30,7 @@ GROUP = 2000                 # pieces packed together by one task
 UNDERFULL = 64               # free tokens from which a bin is packed again
 WORDS, PARTS = 1_000_000, 800_000     # remembered at most by a Python worker
 LONGEST_CACHED = 48          # bytes
+TOGETHER = 256               # parts of words encoded as one text
 
 #: Words of these characters fall apart into letters and marks that the
 #: vocabulary's splitting pattern also keeps apart, and lower-casing them is
@@ -53,45 +54,70 @@ class WordTokenizer:
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def _coded(self, plain: list[str], others: list[str]) -> dict[str, bytes]:
+        """Ids of parts of plain words and of other words.  A part of a plain word
+        is one pre-token, so many are encoded at once and told apart by it."""
+        out = {}
+        for lo in range(0, len(plain), TOGETHER):
+            some = plain[lo:lo + TOGETHER]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, of = np.array(found.ids, np.uint32), np.array(found.word_ids, np.int64)
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            if np.array_equal(of[first], np.arange(len(some))):
+                ids, ends = ids.tobytes(), (4 * np.append(first, len(of))).tolist()
+                out.update(zip(some, map(ids.__getitem__, map(slice, ends, ends[1:])), strict=True))
+            else:
+                others = others + some
+        coded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else []
+        out.update((p, array("I", x.ids).tobytes()) for p, x in zip(others, coded, strict=True))
+        return out
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not remembered."""
-        parts, known, new = {}, self.parts, set()
-        for w in words:
-            text = w.decode()
-            low = text.lower()
-            apart = _PLAIN.fullmatch(text) and not any(a in low for a in self.added)
-            parts[w] = found = _PARTS.findall(low) if apart else [text]
+        known, texts = self.parts, b"\n".join(words).decode().split("\n")
+        low = "\n".join(texts).lower()
+        special, low = any(a in low for a in self.added), low.split("\n")
+        parts, plain, others = [], set(), set()
+        for text, lower in zip(texts, low, strict=True):
+            if text.isascii() and text.isalpha():  # one part
+                parts.append([lower])
+                if lower not in known:
+                    plain.add(lower)
+                continue
+            apart = _PLAIN.fullmatch(text) and not (special and any(a in lower for a in self.added))
+            parts.append(found := _PARTS.findall(lower) if apart else [text])
             for p in found:
                 if p not in known:
-                    new.add(p)
-        fresh = {}
-        if new:
-            new = list(new)
-            coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            fresh = dict(zip(new, [array("I", x.ids).tobytes() for x in coded], strict=True))
-        ids_of = lambda p: fresh[p] if p in fresh else known[p]
-        out = {w: ids_of(found[0]) if len(found) == 1 else b"".join([ids_of(p) for p in found])
-               for w, found in parts.items()}
+                    (plain if apart else others).add(p)
+        fresh = self._coded(list(plain), list(others - plain))
         if len(known) < PARTS:
-            known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST_CACHED)
-        if len(self.words) < WORDS:
-            self.words.update((w, ids) for w, ids in out.items() if len(w) <= LONGEST_CACHED)
+            known.update(fresh)
+            ids_of = known.__getitem__
+        else:
+            ids_of = lambda p: fresh[p] if p in fresh else known[p]
+        out = {w: ids_of(found[0]) if len(found) == 1 else b"".join(map(ids_of, found))
+               for w, found in zip(words, parts, strict=True)}
+        for p in [p for p in fresh if len(p) > LONGEST_CACHED]:
+            known.pop(p, None)
         return out
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Ids of each text and ``end_id``, as unsigned 32-bit bytes."""
-        get, end = self.words.get, array("I", [end_id]).tobytes()
+        words, end = self.words, array("I", [end_id]).tobytes()
         split = [t.split() for t in texts]
-        found = [list(map(get, ws)) for ws in split]
-        lacking = [None in got for got in found]
-        unknown = {w for ws, got, bad in zip(split, found, lacking, strict=True) if bad
-                   for w, g in zip(ws, got, strict=True) if g is None}
-        if len(self.words) >= WORDS and 2 * len(unknown) > sum(map(len, split)):
-            self.words.clear()                     # the texts have become others: start afresh
+        unknown = list(set().union(*split).difference(words))
+        if len(words) >= WORDS and 2 * len(unknown) > sum(map(len, split)):
+            words.clear()                          # the texts have become others: start afresh
             self.parts.clear()
-        local = self._learn(unknown)
-        return [b"".join([local[w] if g is None else g for w, g in zip(ws, got, strict=True)] if bad else got) + end
-                for ws, got, bad in zip(split, found, lacking, strict=True)]
+            unknown = list(set().union(*split))
+        full = len(words) >= WORDS
+        if unknown:
+            words.update(self._learn(unknown))
+        out = [b"".join(map(words.__getitem__, ws)) + end for ws in split]
+        for w in unknown:
+            if full or len(w) > LONGEST_CACHED:
+                del words[w]
+        return out
 
 
 def token_ids(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:

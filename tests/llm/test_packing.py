@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -110,3 +111,38 @@ def test_added_tokens_in_texts_are_those_of_the_untouched_tokenizer():
     texts = ["a <|endoftext|> b", "x<|endoftext|>y"] + ["".join(rnd.choices(parts, k=rnd.randrange(12))) for _ in range(1500)]
     for s, ids in zip(texts, packing.token_ids([t.encode() for t in texts], PATH), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(s, add_special_tokens=False).ids + [1], repr(s)
+
+
+def test_parts_of_plain_words_are_encoded_together(monkeypatch):
+    """Ids stay those of the whole text, though hundreds of words go to the tokenizer as one."""
+    own, texts = [], []
+    words = packing.WordTokenizer(PATH)
+
+    class Spy:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode(self, text, **kw):
+            own.append(text)
+            return self.inner.encode(text, **kw)
+
+        def encode_batch_fast(self, some, **kw):
+            own.extend(some)
+            return self.inner.encode_batch_fast(some, **kw)
+
+    words.tokenizer = Spy(words.tokenizer)
+    rnd = random.Random(3)
+    plain = ["".join(rnd.choices("abcXYZ\u00e9\u00df\u00c4", k=rnd.randint(1, 60))) + rnd.choice(["", ".", "!!", "-x"])
+             for _ in range(900)]
+    odd = ["it's", "4x4", "\u0130x", "<|endoftext|>y", "\u03a3\u03a3", "e\u0301", "\u4e2d"]
+    for lo in range(0, len(plain), 300):
+        texts.append(" ".join(plain[lo:lo + 300] + odd))
+    want = [Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    raw = [t.encode() for t in texts]
+    assert [list(array("I", x)) for x in words.encode(raw, 1)] == want
+    assert len(own) < 50
+    assert max(map(len, words.words)) <= packing.LONGEST_CACHED
+    monkeypatch.setattr(packing, "WORDS", 0)                  # nothing more is remembered
+    held = len(words.words)
+    assert [list(array("I", x)) for x in words.encode([b"new words here"] + raw, 1)][1:] == want
+    assert len(words.words) <= held
