@@ -115,6 +115,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(docs.sparkSession)
     spans = (removal_spans(keyed_texts(docs, id_col, text_col), length, q).groupBy("d", "f")
              .agg(F.collect_set(F.struct("s", "e")).alias("spans")))        # once, however many rows repeat a text
+    spans = stage(spans, "spans")                 # the runs' shuffles are gone before texts are shuffled
 
     def apply(batches):
         for b in batches:

@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "lshark", extra: dict | None = None) -> SparkSession:
@@ -95,10 +97,24 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.parquet(path)
+    with _own_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+@contextmanager
+def _own_shuffles(spark: SparkSession) -> Iterator[None]:
+    """A table written inside takes its shuffle files along when it is done;
+    else they lie on the disks until the driver happens to collect its garbage.
+    A write plans its query anew, so no other query reads them."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new folder in the shared checkpoint folder that goes with the innermost open scope."""
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")

@@ -4,6 +4,8 @@ import os
 import pytest
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
 from lshark import session
 from lshark.functions.minhash import fit
 from lshark.operators import lsh, prep
@@ -97,3 +99,15 @@ def test_a_scope_leaves_no_stage_table(spark):
         assert {str(f.getPath()) for f in files.listStatus(folder)} > before
     assert {str(f.getPath()) for f in files.listStatus(folder)} == before
     assert rows > 0 and kept.count() == 3
+
+
+def test_written_stage_leaves_no_shuffle_files(spark):
+    """Shuffle files of a stage go with its write, and the session's own setting stays."""
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    a = spark.range(3000).select("id", (F.col("id") % 100).alias("k"))
+    sums = a.groupBy("k").agg(F.sum("id").alias("n"))
+    before, setting = tracker.shuffleStatuses().size(), spark.conf.get(session.SHUFFLES_GO, None)
+    written = session.cut_lineage(a.repartition(3, "k").join(sums, "k"), "t")
+    assert tracker.shuffleStatuses().size() <= before
+    assert spark.conf.get(session.SHUFFLES_GO, None) == setting
+    assert written.count() == 3000 and written.agg(F.sum("n")).first()[0] == 30 * sums.agg(F.sum("n")).first()[0]
