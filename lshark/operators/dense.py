@@ -205,21 +205,30 @@ def _nearest_in(l: _Side, r: _Side, k: int) -> tuple[np.ndarray, np.ndarray, np.
     """``(u, v, sim)``: the ``k`` best candidates in ``r`` of every set of ``l``.
 
     Candidates come by rising ``v``, so one that only equals the ``k``-th best so
-    far loses the tie: a set must beat it, and many equal sets stay cheap."""
+    far loses the tie: a set must beat it, and many equal sets stay cheap.
+
+    The product itself takes off the overlap that the ``k``-th best asks for,
+    ``share * (n_u + n_v)``, by two more columns.  Shares are cut to whole steps so
+    small that every sum of the product is exact in single precision; cutting only
+    lets more through, and what beats the ``k``-th best is at least twice ``beyond``."""
     out = []
+    most = max(l.n.max(), r.n.max(), 1)
+    step, beyond = 2.0 ** (int(most - 1).bit_length() - 24), np.float32(1.0 / (4 * most))
+    right = np.concatenate([r.rows, r.size[:, None], np.ones((len(r.u), 1), np.float32)], axis=1)
     for i in range(0, len(l.u), TILE):
-        n, size, m = l.n[i:i + TILE], l.size[i:i + TILE], len(l.u[i:i + TILE])
+        n, m = l.n[i:i + TILE], len(l.u[i:i + TILE])
         best, who = np.zeros((m, k)), np.full((m, k), -1, np.int64)
+        left = np.concatenate([l.rows[i:i + TILE], np.zeros((m, 2), np.float32)], axis=1)
         j, width = 0, FIRST
         while j < len(r.u):
             y_to = min(j + width, len(r.u))
-            overlap = l.rows[i:i + TILE] @ r.rows[j:y_to].T
-            share = (best[:, -1] / (1.0 + best[:, -1])).astype(np.float32)
-            # overlaps that equal the bound fall short of it by half the smallest step there is
-            need = share[:, None] * (size[:, None] + r.size[None, j:y_to]) + np.float32(1.0 / (8 * ITEMS))
-            x, y = np.divmod(np.flatnonzero(overlap > need), y_to - j)
-            common = overlap[x, y].astype(np.int64)
+            share = np.floor(best[:, -1] / (1.0 + best[:, -1]) / step) * step
+            left[:, -2], left[:, -1] = -share, -share * n
+            spare = left @ right[j:y_to].T
+            x, y = np.divmod(np.flatnonzero(spare > beyond), y_to - j)
+            spare = spare[x, y]
             y += j
+            common = (spare + share[x] * (n[x] + r.n[y])).astype(np.int64)
             sim = common.astype(np.float64) / (n[x] + r.n[y] - common).astype(np.float64)
             keep = (sim > best[x, -1]) & (l.u[x + i] != r.u[y]) & _shares(l, r, x + i, y)
             x, y, sim = x[keep], y[keep], sim[keep]

@@ -4,7 +4,9 @@ import os
 import random
 import subprocess
 import sys
+import tracemalloc
 
+import numpy as np
 import pytest
 from brute import exact_pairs, lsh_pairs
 from pyspark.sql import functions as F
@@ -150,3 +152,39 @@ def test_nearest_over_groups_of_elements_goes_by_blocks(make_inter, monkeypatch)
     want = {(u, v): (pytest.approx(-s), r) for u, vs in near.items() for r, (s, v) in enumerate(sorted(vs)[:3], 1)}
     assert {(r.u, r.v): (r.sim, r.rank) for r in got.collect()} == want
     assert calls
+
+
+def block_of(seed, count, items, share, first=0):
+    """A block as a task unpacks it: sets of random size around ``share`` of the elements."""
+    rnd = np.random.default_rng(seed)
+    rows = rnd.random((count, items)) < share * rnd.uniform(0.5, 1.0, (count, 1))
+    rows[np.arange(count), rnd.integers(0, items, count)] = True
+    words = np.packbits(np.pad(rows, ((0, 0), (0, -items % 64))), axis=1, bitorder="little")
+    row = {"l_u": np.arange(first, first + count, dtype=np.int64), "l_n": rows.sum(axis=1).astype(np.int64),
+           "l_hashes": rnd.integers(0, 2, (count, 2)), "l_bits": words}
+    return dense._Side({c: v.tobytes() for c, v in row.items()}, "l", items)
+
+
+def test_a_tile_of_a_top_k_is_held_once():
+    l, r = block_of(1, dense.TILE, 100, 0.6), block_of(2, 4 * dense.WIDE, 100, 0.6, first=10_000)
+    tracemalloc.start()
+    try:
+        dense._nearest_in(l, r, 1)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # the last product is let go only after the next; no table of bounds lies beside them
+    assert most < 2.5 * 4 * dense.TILE * dense.WIDE + 2 * r.rows.nbytes
+
+
+@pytest.mark.parametrize("items, share", [(3, 0.9), (70, 0.1), (300, 1.0), (512, 1.0), (512, 0.02)])
+def test_nearest_in_two_blocks_against_all_pairs(items, share):
+    l, r = block_of(3, 60, items, share), block_of(4, 300, items, share, first=30)
+    got = sorted(zip(*(c.tolist() for c in dense._nearest_in(l, r, 4)), strict=True))
+    want = []
+    for x in range(60):
+        common = [int((l.rows[x] * r.rows[y]).sum()) for y in range(300)]
+        near = [(-c / int(l.n[x] + r.n[y] - c), int(r.u[y])) for y, c in enumerate(common)
+                if c and l.u[x] != r.u[y] and (l.hashes[x] == r.hashes[y]).any()]
+        want += [(int(l.u[x]), v, -s) for s, v in sorted(near)[:4]]
+    assert got == sorted(want)
