@@ -4,13 +4,16 @@ Unit vectors of cosine ``c`` are at squared distance ``2 - 2c``.  Vectors are
 rotated to their principal axes and cut into low-dimensional blocks; every
 block gets a share of that squared distance in proportion to its variance.
 Two near vectors are then within the share in at least one block, so a range
-join per block finds all of them: a grid on the block's first axis puts
-partners into the same or the next cell.  Each candidate is verified by its
-full cosine, and a pair is counted in the first block that admits it only.
-
-Equal vectors are joined beforehand.  A cell's vectors are compared in chunks
-of bounded size against a stream, and a task returns link counts and a
-spanning forest, never pairs.
+join per block finds all of them: vectors in the order of the block's first
+axis meet those within the share's root of them.  Each candidate is verified
+by its full cosine, and a pair is counted in the first block that admits it
+only.
+
+Equal vectors are joined beforehand.  A label's vectors are dealt into chunks
+of bounded size and each two chunks meet once, in a task that joins them in
+all blocks: a vector is sent once per chunk of its label, whatever the number
+of blocks and cells.  A task returns link counts and a spanning forest, never
+pairs.
 """
 
 from __future__ import annotations
@@ -21,12 +24,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lshark.llm.common import batch, id_back, id_key, in_task, ints, ship, stage, text_bytes
+from lshark.llm.common import batch, id_back, id_key, in_task, ints, ship, stage
 from lshark.llm.components import components
 
 THRESHOLD = 0.93
 BLOCK = 8                    # coordinates of a block
-CHUNK = 1024                 # vectors of a cell held at once
+CHUNK = 65_536               # vectors of a chunk, at most
+LEAST_CHUNK = 1024           # vectors of a chunk where more chunks only serve more tasks
+COORDINATES = 1 << 22        # coordinates of a chunk, at most, from LEAST_CHUNK vectors on
+TASKS = 32                   # meetings of chunks to aim at, so that few labels keep a cluster busy
+MOST_TASKS = 2000
+TILE, WIDE = 512, 4096       # vectors compared at a time
 #: Vectors the rotation is fitted on, at most, chosen by a hash; it only affects speed.
 ROTATION_SAMPLE = 5_000
 SLACK = 1 + 1e-6             # rounding of distances; verification is exact
@@ -63,169 +71,128 @@ def layout(dim: int, variance: np.ndarray, threshold: float, block: int) -> list
     return [(np.arange(j, dim, m), (2 - 2 * threshold) * SLACK * variance[j::m].sum() / total) for j in range(m)]
 
 
-def _placed(batches, turn, threshold, block):
-    """Rows per vector and block: its own cell, and the next lower cell as a visitor."""
-    for b in batches:
-        rep, copies, label = ints(b.column("rep")), ints(b.column("copies")), ints(b.column("label"))
-        out = {k: [] for k in ("label", "dim", "block", "cell", "home", "rep", "copies", "x")}
-        vecs = b.column("vec")
-        flat, n = vecs.flatten().to_numpy(zero_copy_only=False).astype(float), ints(vecs.value_lengths())
-        ends = np.cumsum(n)
-        for dim in np.unique(n):
-            k = np.flatnonzero(n == dim)
-            x = flat[(ends[k] - dim)[:, None] + np.arange(dim)]
-            x /= np.abs(x).max(axis=1, keepdims=True)
-            x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
-            axes, variance = turn.get(int(dim)) or (np.eye(dim), np.ones(dim))
-            x = x @ axes
-            blobs = [r.tobytes() for r in x]
-            for j, (cols, budget) in enumerate(layout(int(dim), variance, threshold, block)):
-                # a cell is a little wider than the budget's root: neighbours stay within one step
-                cell = np.floor(x[:, cols[0]] / (np.sqrt(budget) * (1 + 1e-9))).astype(np.int64)
-                for home in (True, False):
-                    out["label"].append(label[k])
-                    out["dim"].append(np.full(len(k), int(dim)))
-                    out["block"].append(np.full(len(k), j))
-                    out["cell"].append(cell if home else cell - 1)
-                    out["home"].append(np.full(len(k), home))
-                    out["rep"].append(rep[k])
-                    out["copies"].append(copies[k])
-                    out["x"] += blobs
-        if out["x"]:
-            cols = {c: pa.array(np.concatenate(v)) for c, v in out.items() if c != "x"}
-            yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(out["x"], pa.binary())], names=[*cols, "x"])
-
-
-PLACED = "label long, dim long, block long, cell long, home boolean, rep long, copies long, x binary"
-
-
-class _Cell:
-    """One chunk of a cell: its vectors, their link counts and forest."""
-
-    def __init__(self, dim, block, turn, threshold, width):
-        self.threshold, self.block = threshold, block
-        _, variance = turn.get(dim) or (None, np.ones(dim))
-        self.blocks = layout(dim, variance, threshold, width)
-        self.rep, self.copies, self.x = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, dim))
-        self.links, self.root = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def load(self, rep, copies, x):
-        self.rep, self.copies, self.x = (np.concatenate(p) for p in ((self.rep, rep), (self.copies, copies), (self.x, x)))
-        self.links = np.zeros(len(self.rep), np.int64)
-        self.root = np.arange(len(self.rep))
-
-    def find(self, i):
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = self.root[i]
-        return i
-
-    def near(self, x, lower: int):
-        """Verified pairs ``(home, row of x)``; of the home vectors only those
-        before row ``lower + row`` when comparing a chunk with itself."""
-        cols, budget = self.blocks[self.block]
-        h, v = self.x[:, cols], x[:, cols]
-        d = (h * h).sum(axis=1)[:, None] + (v * v).sum(axis=1) - 2 * h @ v.T
-        i, j = np.nonzero(d <= budget + 1e-9)
-        if lower >= 0:
-            i, j = i[i < j + lower], j[i < j + lower]
-        out = []
-        for k in range(0, len(i), 1 << 15):
-            a, b = self.x[i[k:k + (1 << 15)]], x[j[k:k + (1 << 15)]]
-            good = np.einsum("ij,ij->i", a, b) >= self.threshold
-            diff = (a - b) ** 2
-            ahead = np.zeros(len(a), bool)           # admitted by an earlier block already
-            for c, limit in self.blocks[:self.block]:
-                ahead |= diff[:, c].sum(axis=1) <= limit
-            good &= ~ahead & (diff[:, cols].sum(axis=1) <= budget)
-            out.append(np.column_stack((i[k:k + (1 << 15)], j[k:k + (1 << 15)]))[good])
-        return np.concatenate(out) if out else np.empty((0, 2), np.int64)
-
-    def inside(self):
-        for k in range(0, len(self.rep), 256):
-            for i, j in _forest(self._count(self.near(self.x[k:k + 256], k) + [0, k])):
-                self._join(i, j)
-
-    def _count(self, pairs):
-        np.add.at(self.links, pairs[:, 0], self.copies[pairs[:, 1]])
-        np.add.at(self.links, pairs[:, 1], self.copies[pairs[:, 0]])
-        return pairs
-
-    def _join(self, i, j):
-        i, j = self.find(i), self.find(j)
-        if i != j:
-            self.root[max(i, j)] = min(i, j)
-
-    def visit(self, rep, copies, x):
-        """Compare a batch of other vectors; returns their rows ``(rep, links, root)``."""
-        pairs = self.near(x, -1)
-        if not len(pairs):
-            return None
-        np.add.at(self.links, pairs[:, 0], copies[pairs[:, 1]])
-        links = np.bincount(pairs[:, 1], self.copies[pairs[:, 0]], len(rep)).astype(np.int64)
-        order = np.argsort(pairs[:, 1], kind="stable")
-        home, who = pairs[order, 0], pairs[order, 1]
-        first = np.searchsorted(who, who)
-        for i, j in np.unique(np.column_stack((home[first], home)), axis=0):   # all homes of one visitor
-            self._join(i, j)
-        seen = np.unique(who)
-        return rep[seen], links[seen], self.rep[home[np.searchsorted(who, seen)]]
-
-    def done(self):
-        k = np.flatnonzero(self.links)
-        return self.rep[k], self.links[k], self.rep[[self.find(i) for i in k]]
+def _turned(flat: np.ndarray, dim: int, turn) -> np.ndarray:
+    """Unit vectors in rotated coordinates."""
+    x = flat.reshape(-1, dim).astype(float)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    return x @ turn[dim][0] if dim in turn else x
+
+
+def _within(h: np.ndarray, left: np.ndarray, right: np.ndarray | None, budget: float):
+    """Pairs ``(i, j)`` that may be within ``budget`` in the coordinates ``h`` of
+    a block, tile by tile: of ``left`` and ``right``, or each two of ``left``."""
+    reach = np.sqrt(budget) * (1 + 1e-9)
+    left = left[np.argsort(h[left, 0], kind="stable")]
+    right, same = (left, True) if right is None else (right[np.argsort(h[right, 0], kind="stable")], False)
+    # the squared distance as one product; what single precision rounds is told apart afterwards
+    square, one = (h * h).sum(axis=1, keepdims=True), np.ones((len(h), 1))
+    l = np.concatenate((-2 * h, square, one), axis=1)[left].astype(np.float32)
+    r = np.concatenate((h, one, square), axis=1)[right].astype(np.float32)
+    first, limit = h[right, 0], np.float32(budget + 1e-5)
+    for k in range(0, len(left), TILE):
+        t = min(k + TILE, len(left))
+        end = np.searchsorted(first, h[left[t - 1], 0] + reach, "right")
+        start = k if same else np.searchsorted(first, h[left[k], 0] - reach, "left")
+        for s in range(start, end, WIDE):
+            e = min(s + WIDE, end)
+            i, j = np.divmod(np.flatnonzero(l[k:t] @ r[s:e].T <= limit), e - s)
+            if same:
+                ahead = i + k < j + s
+                i, j = i[ahead], j[ahead]
+            if len(i):
+                yield left[i + k], right[j + s]
+
+
+def _near(x: np.ndarray, n_left: int, blocks: list, threshold: float):
+    """Verified pairs of rows of ``x``, once each, in the first block that admits
+    them: the first ``n_left`` rows with the others, or with one another if they are all."""
+    left, right = np.arange(n_left), np.arange(n_left, len(x)) if n_left < len(x) else None
+    for number, (cols, budget) in enumerate(blocks):
+        for i, j in _within(x[:, cols], left, right, budget):
+            for k in range(0, len(i), 1 << 15):
+                home, who = i[k:k + (1 << 15)], j[k:k + (1 << 15)]
+                a, b = x[home], x[who]
+                good = np.einsum("ij,ij->i", a, b) >= threshold
+                diff = (a - b) ** 2
+                for c, limit in blocks[:number]:                # admitted by an earlier block already
+                    good &= diff[:, c].sum(axis=1) > limit
+                good &= diff[:, cols].sum(axis=1) <= budget
+                if good.any():
+                    yield np.column_stack((home[good], who[good]))
 
 
 def _forest(pairs):
     """Enough of the pairs to connect what they connect: per later vector its first partner, per
     partner pair of one vector a link between the partners."""
-    if not len(pairs):
-        return pairs
     order = np.argsort(pairs[:, 1], kind="stable")
     home, who = pairs[order, 0], pairs[order, 1]
     first = home[np.searchsorted(who, who)]
     return np.unique(np.concatenate((np.column_stack((first, home)), np.column_stack((first, who)))), axis=0)
 
 
+def _join(root: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The roots of all rows after joining the ends of ``pairs``; every row points at its root."""
+    ends = root[pairs]
+    ends = ends[ends[:, 0] != ends[:, 1]]
+    if not len(ends):
+        return root
+    for i, j in _forest(ends).tolist():
+        while root[i] != i:
+            i = root[i]
+        while root[j] != j:
+            j = root[j]
+        root[max(i, j)] = min(i, j)
+    while not np.array_equal(up := root[root], root):
+        root = up
+    return root
+
+
+def _met(dim: int, sides: list, turn, threshold: float, width: int):
+    """``(rep, links, root)`` of the linked vectors of two chunks, or of one."""
+    rep, copies, flat = (np.concatenate([p[c] for side in sides for p in side]) for c in range(3))
+    x, n_left = _turned(flat, dim, turn), sum(len(p[0]) for p in sides[0])
+    blocks = layout(dim, turn[dim][1] if dim in turn else np.ones(dim), threshold, width)
+    links, root = np.zeros(len(rep), np.int64), np.arange(len(rep))
+    for pairs in _near(x, n_left, blocks, threshold):
+        np.add.at(links, pairs[:, 0], copies[pairs[:, 1]])
+        np.add.at(links, pairs[:, 1], copies[pairs[:, 0]])
+        root = _join(root, pairs)
+    k = np.flatnonzero(links)
+    return rep[k], links[k], rep[root[k]]
+
+
 LINKS = "rep long, links long, root long"
 
 
 def _joiner(turn, threshold, width):
-    """Joins rows sorted by cell and chunk, homes of the chunk first."""
-    def rows(found):
-        return batch(["rep", "links", "root"], [np.ascontiguousarray(x) for x in found])
+    """Joins rows sorted by the two chunks that meet, those of the first chunk first."""
+    def rows(key, sides):
+        if sides[0] and (sides[1] or key[2] == key[3] and sum(len(p[0]) for p in sides[0]) > 1):
+            found = _met(key[1], sides, turn, threshold, width)
+            if len(found[0]):
+                yield batch(["rep", "links", "root"], list(found))
 
     def run(batches):
-        key, cell, open_ = None, None, False
+        key, sides = None, [[], []]
         for b in batches:
-            cols = [ints(b.column(c)) for c in ("label", "dim", "block", "cell", "chunk")]
-            role, rep, copies = ints(b.column("role")), ints(b.column("rep")), ints(b.column("copies"))
-            buf, off = text_bytes(b.column("x"))
-            keys = np.column_stack([*cols, role])
+            keys = np.column_stack([ints(b.column(c)) for c in ("label", "dim", "p", "q", "side")])
+            rep, copies = ints(b.column("rep")), ints(b.column("copies"))
+            vecs = b.column("vec")
+            flat = vecs.flatten().to_numpy(zero_copy_only=False)
+            off = np.concatenate(([0], np.cumsum(keys[:, 1])))
             edge = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]))
             for s, e in zip(edge[:-1], edge[1:], strict=True):
-                here, dim = tuple(keys[s, :5]), int(keys[s, 1])
-                x = np.frombuffer(buf[off[s]:off[e]].tobytes(), float).reshape(-1, dim)
-                if here != key:
-                    if cell is not None:
-                        if open_:
-                            cell.inside()
-                        yield rows(cell.done())
-                    key, cell, open_ = here, _Cell(dim, int(keys[s, 2]), turn, threshold, width), True
-                if role[s] == 0:
-                    cell.load(rep[s:e], copies[s:e], x)
+                if s == e:
                     continue
-                if open_:
-                    cell.inside()
-                    open_ = False
-                for k in range(s, e, 512):
-                    t = min(k + 512, e)
-                    if found := cell.visit(rep[k:t], copies[k:t], x[k - s:t - s]):
-                        yield rows(found)
-        if cell is not None:
-            if open_:
-                cell.inside()
-            yield rows(cell.done())
+                here = tuple(keys[s, :4].tolist())
+                if here != key:
+                    if key is not None:
+                        yield from rows(key, sides)
+                    key, sides = here, [[], []]
+                sides[keys[s, 4]].append((rep[s:e].copy(), copies[s:e].copy(), flat[off[s]:off[e]].copy()))
+        if key is not None:
+            yield from rows(key, sides)
 
     return run
 
@@ -233,24 +200,27 @@ def _joiner(turn, threshold, width):
 def links(reps: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """``(rep, links, root)``: parts of the link counts of distinct vectors
     ``(label, vec, rep, copies)``, and edges that connect what the links do."""
-    turn = reps.sparkSession.sparkContext.broadcast(rotations(reps, ROTATION_SAMPLE))    # a matrix per dimension
-    placed = reps.select("label", "vec", "rep", "copies").mapInArrow(
-        in_task(lambda it: _placed(it, turn.value, threshold, block)), PLACED)
-    placed = stage(placed, "placed-vectors")
-    cell = ["label", "dim", "block", "cell"]
-    sizes = stage(placed.where("home").groupBy(*cell).agg(F.count("*").alias("n"))
-                  .withColumn("chunks", F.ceil(F.col("n") / chunk)).select(*cell, "chunks"), "cell-sizes")
-    own = F.pmod(F.xxhash64("rep"), F.col("chunks"))
-    # a vector is at home in one chunk and visits the cell's other chunks; a pair of chunks meets once
-    met = (placed.join(sizes, cell)
-           .withColumn("own", F.when(F.col("home"), own).otherwise(F.lit(-1)))
-           .withColumn("chunk", F.explode(F.when(F.col("home"), F.sequence(F.lit(0), F.col("own").cast("int")))
-                                          .otherwise(F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int")))))
-           .withColumn("role", F.when(F.col("own") == F.col("chunk"), 0).otherwise(1)))
-    key = [*cell, "chunk"]
-    met = (met.select(*[F.col(c).cast("bigint").alias(c) for c in key], F.col("role").cast("bigint").alias("role"),
-                      "rep", "copies", "x")
-           .repartition(*key).sortWithinPartitions(*key, "role"))
+    spark = reps.sparkSession
+    turn = spark.sparkContext.broadcast(rotations(reps, ROTATION_SAMPLE))    # a matrix per dimension
+    reps = reps.select("label", F.size("vec").cast("bigint").alias("dim"), "rep", "copies", "vec")
+    sizes = reps.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    total = max(reps.count(), 1)
+    held = F.least(F.lit(chunk), F.greatest(F.lit(LEAST_CHUNK), F.floor(F.lit(COORDINATES) / F.col("dim"))))
+    spread = F.least(F.ceil(F.sqrt(F.lit(2.0 * TASKS / total) * F.col("n"))), F.ceil(F.col("n") / F.least(held, F.lit(LEAST_CHUNK))))
+    chunks = F.greatest(F.ceil(F.col("n") / held), spread)
+    # at most 2 * TASKS + total / chunk labels have more than one chunk
+    sizes = stage(sizes.withColumn("chunks", chunks).where("chunks > 1").select("label", "dim", "chunks"), "chunk-counts")
+    meetings = sizes.agg(F.sum(F.col("chunks") * (F.col("chunks") + 1) / 2)).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(2 * int(meetings), MOST_TASKS))
+    # a vector of chunk ``own`` goes to its meeting with each chunk, its own included
+    dealt = (reps.join(F.broadcast(sizes), ["label", "dim"], "left")
+             .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+             .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))))
+    met = dealt.select("label", "dim", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                       (F.col("other") < F.col("own")).cast("bigint").alias("side"), "rep", "copies", "vec")
+    key = ["label", "dim", "p", "q"]
+    met = met.repartition(parts, *key).sortWithinPartitions(*key, "side")
     return met.mapInArrow(in_task(lambda it: _joiner(turn.value, threshold, block)(it)), LINKS)
 
 
@@ -272,22 +242,25 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         label = F.when(label.isNotNull(), F.xxhash64(label))
     rows = rows.select(id_key(F.col(id_col)).alias("id"), F.col(vec_col).alias("vec"), label.cast("bigint").alias("label"))
     fit = F.col("label").isNotNull() & usable("vec")
-    good = rows.where(fit)
-    vector = F.transform("vec", lambda x: x.cast("double")).alias("vec")
-    reps = stage(good.distinct().groupBy("label", vector)
-                 .agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "vectors")
+    # single precision stays as it is: half the bytes, and the same numbers in a task
+    single = rows.schema["vec"].dataType.elementType == T.FloatType()
+    vector = F.col("vec") if single else F.transform("vec", lambda x: x.cast("double")).alias("vec")
+    good = rows.where(fit).select("id", "label", vector)
+    # 128 bits stand for label and vector wherever a vector's coordinates are not needed
+    mark = [F.xxhash64("label", "vec").alias("h"), F.xxhash64(F.lit(1), "label", "vec").alias("g")]
+    reps = stage(good.distinct().groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+                 .select("label", "vec", "rep", "copies", *mark, F.xxhash64("rep", "label", "vec").alias("node")), "vectors")
     reps = reps.where("rep is not null")
-    found = stage(links(reps.select("label", "vec", F.xxhash64("rep", "label", "vec").alias("rep"), "copies"),
-                        threshold, block, chunk), "links")
-    numbered = reps.select("label", "vec", "rep", "copies", F.xxhash64("rep", "label", "vec").alias("node"))
+    found = stage(links(reps.select("label", "vec", F.col("node").alias("rep"), "copies"), threshold, block, chunk), "links")
+    numbered = reps.select("h", "g", "rep", "copies", "node")
     counts = found.groupBy(F.col("rep").alias("node")).agg(F.sum("links").alias("links"))
     place = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     known = stage(numbered.join(counts, "node", "left").join(place, "node", "left"), "known")
     lowest = stage(known.where("component is not null").groupBy("component").agg(F.min("rep").alias("low")), "lowest")
     known = stage(known.join(lowest, "component", "left")
-                  .select("label", "vec", "copies", F.coalesce("links", F.lit(0)).alias("links"),
+                  .select("h", "g", "copies", F.coalesce("links", F.lit(0)).alias("links"),
                           F.coalesce("low", "rep").alias("low")), "known-lowest")
-    linked = (good.select("id", "label", vector).join(known, ["label", "vec"])
+    linked = (good.select("id", *mark).join(known, ["h", "g"])
               .select("id", (F.col("copies") - 1 + F.col("links")).alias("n_links"), F.col("low").alias("component")))
     alone = rows.where(~fit).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component"))
     return linked.unionByName(alone).select(

@@ -1,11 +1,13 @@
 """Top-k search and embedding near-dedup against numpy."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lshark import session
 from lshark.llm import mtree, pigeonhole
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rep string, score string"
@@ -68,6 +70,20 @@ def test_near_vectors_match_brute_force(spark, chunk, block):
         assert r.kept == (k == component)
 
 
+def test_stage_tables_hold_each_vector_once(spark):
+    x = np.random.default_rng(5).normal(size=(2000, 64)).astype(np.float32)
+    x[1000:1200] = x[0] + x[1000:1200] / 50
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(x)]
+    with session.stage_scope(spark):
+        got = pigeonhole.near_duplicates(frame(spark, rows)).collect()
+        stages = [Path(p.removeprefix("file:")) for p in session._SCOPES.get()[-1]]
+        written = sum(f.stat().st_size for s in stages for f in s.rglob("*.parquet"))
+    u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = (u @ u.T >= 0.93) & (np.arange(2000)[:, None] % 2 == np.arange(2000) % 2)
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate((near.sum(axis=1) - 1).tolist()))
+    assert written < 2 * x.nbytes                    # not one copy per block of coordinates and cell
+
+
 @pytest.mark.parametrize("parts", [(1024, 1 << 15), (16, 32)])
 def test_top_k_matches_brute_force(spark, parts):
     rows = vectors(2)
