@@ -144,3 +144,27 @@ def test_far_pairs_go_before_their_sets_are_fetched(make_inter, monkeypatch):
     assert near <= left and len(left) < 2 * len(near) < pairs.count()
     got = lsh.verify(pairs, inter, 0.3, model, check_buckets=True)
     assert {(r.a, r.b) for r in got.collect()} == near
+
+
+def test_token_weights_go_as_a_table_of_bytes(spark, monkeypatch):
+    """No join on the token sends a row per token through the driver, and the order stays rare first."""
+    sets = {u: {7, 1000 + u % 2, 2000 + u} for u in range(40)}
+    inter = spark.createDataFrame([(u, i) for u, s in sets.items() for i in s], "u bigint, i bigint")
+    rows = lsh.prefix_tokens(inter, 0.6)
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.tok, r.u, r.n, r.pos) for r in rows.collect()}
+    assert {r for r in got if r[0] < 2000} == {(1000 + u % 2, u, 3, 2) for u in sets}      # 2 of 3 tokens, 7 comes last
+    freq = spark.createDataFrame([(i, i % 3) for i in range(-1000, 1000)], "i bigint, _w bigint")
+    monkeypatch.setattr(lsh, "SLOT_BITS", (16, 16))
+    assert lsh._weight_classes(freq).value.nbytes == 1 << 16
+
+
+def test_only_sets_of_plausible_pairs_are_gathered(make_inter, monkeypatch):
+    rnd = random.Random(3)
+    sets = {u: set(rnd.sample(range(5000), 40)) for u in range(100)} | {u: set(range(40)) - {u % 40} for u in range(100, 106)}
+    gathered, was = [], lsh.profiles
+    monkeypatch.setattr(lsh, "profiles", lambda inter, *x: gathered.append(inter.select("u").distinct().count()) or was(inter, *x))
+    got = pairs(lsh.similarity_join(make_inter(sets), M, 0.2, strategy="prefix"))
+    assert set(got) == {(a, b) for a in range(100, 106) for b in range(a + 1, 106)}
+    assert pairs(lsh.similarity_join_two(make_inter(sets), make_inter(sets), M, 0.2, strategy="prefix")).keys() >= got.keys()
+    assert gathered[0] == 6 and len(gathered) == 3 and max(gathered) < len(sets) * 2
