@@ -14,6 +14,7 @@ the product; what a bound in floating point lets through is tested on them again
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,15 @@ class _Side:
         self.rows = flags.astype(np.float32)
         self.size = self.n.astype(np.float32)
 
+    def part(self, second: int, hashes: int, split: int, items: int) -> _Side:
+        """The first or second of two tables' sets that :func:`common_counts` packed into one block."""
+        one = object.__new__(_Side)
+        one.u, one.n = self.u, self.hashes[:, 0] if second else self.n
+        one.hashes = self.hashes[:, 1 + hashes:] if second else self.hashes[:, 1:1 + hashes]
+        one.rows = np.ascontiguousarray(self.rows[:, split:split + items] if second else self.rows[:, :items])
+        one.size = one.n.astype(np.float32)
+        return one
+
 
 def _blocks_met(batches: Iterator[pa.RecordBatch], items: int) -> Iterator[tuple[_Side, _Side, bool]]:
     for batch in batches:
@@ -135,27 +145,56 @@ def _shares(l: _Side, r: _Side, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return found
 
 
+class Met(NamedTuple):
+    """What a table of pairs of one table's sets comes from, so that a report can
+    count the pairs tile by tile where they are found: without ``least`` they
+    agree on an entry of their signatures, else they are those of :func:`pairs`
+    with a distance below ``threshold``."""
+    sets: DataFrame
+    count: int
+    items: int = 0
+    least: float | None = None
+    check: bool = True
+    threshold: float | None = None
+
+
+def noted(found: DataFrame, met: Met) -> DataFrame:
+    found.__dict__["_lshark_met"] = met
+    return found
+
+
+def met_of(found: DataFrame) -> Met | None:
+    return found.__dict__.get("_lshark_met")
+
+
+def _near_tile(overlap: np.ndarray, l: _Side, r: _Side, i: int, j: int, least: float, check: bool,
+               ordered: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(x, y, overlap)`` of the pairs of a tile that reach the similarity ``least`` (and a few below)."""
+    share = least / (1.0 + least)
+    need = share * l.size[i:i + TILE, None] + share * r.size[None, j:j + WIDE] - np.float32(0.01)
+    x, y = np.divmod(np.flatnonzero(overlap >= np.maximum(need, np.float32(0.5), out=need)), overlap.shape[1])
+    known = overlap[x, y].astype(np.int32)
+    x, y = x + i, y + j
+    keep = _shares(l, r, x, y) if check else np.ones(len(x), bool)
+    if ordered:
+        keep &= l.u[x] < r.u[y]
+    return x[keep], y[keep], known[keep]
+
+
 def pairs(left: DataFrame, n_left: int, right: DataFrame | None, n_right: int, items: int, least: float,
           check: bool) -> DataFrame:
     """``(a, b, inter, n_a, n_b)`` of the pairs of similarity ``least`` or more
     (and a few below) with a common element, from :func:`bit_sets` over ``items``
     elements: ``a < b`` of one table, or ``a`` of the left and ``b`` of the right.
     With ``check`` the two agree on an entry of their signatures."""
-    same, share = right is None, least / (1.0 + least)
+    same = right is None
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for l, r, diagonal in _blocks_met(batches, items):
             for i in range(0, len(l.u), TILE):
                 for j in range(0, len(r.u), WIDE):
                     overlap = l.rows[i:i + TILE] @ r.rows[j:j + WIDE].T
-                    need = share * l.size[i:i + TILE, None] + share * r.size[None, j:j + WIDE] - np.float32(0.01)
-                    x, y = np.divmod(np.flatnonzero(overlap >= np.maximum(need, np.float32(0.5), out=need)), overlap.shape[1])
-                    known = overlap[x, y].astype(np.int32)
-                    x, y = x + i, y + j
-                    keep = _shares(l, r, x, y) if check else np.ones(len(x), bool)
-                    if same and diagonal:
-                        keep &= l.u[x] < r.u[y]
-                    x, y, known = x[keep], y[keep], known[keep]
+                    x, y, known = _near_tile(overlap, l, r, i, j, least, check, same and diagonal)
                     a, b, n_a, n_b = l.u[x], r.u[y], l.n[x], r.n[y]
                     if same:
                         turn = a > b
@@ -174,31 +213,108 @@ def pairs(left: DataFrame, n_left: int, right: DataFrame | None, n_right: int, i
     return found.select("a", "b", *[F.col(c).cast("bigint").alias(c) for c in ("inter", "n_a", "n_b")])
 
 
+def _agreeing(l: _Side, r: _Side, diagonal: bool) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The tiles ``(i, j, flags)`` of two blocks: which sets agree on an entry of their signatures."""
+    for i in range(0, len(l.u), TILE):
+        for j in range(0, len(r.u), WIDE):
+            x, y = l.hashes[i:i + TILE], r.hashes[j:j + WIDE]
+            agree = np.zeros((len(x), len(y)), bool)
+            for t in range(x.shape[1]):
+                agree |= x[:, t][:, None] == y[:, t][None, :]
+            if diagonal:
+                agree &= l.u[i:i + TILE, None] < r.u[None, j:j + WIDE]
+            yield i, j, agree
+
+
+def _one_grid(sets: DataFrame, count: int) -> DataFrame:
+    n = _count(count, LEAST_BLOCK, MOST_LEFT, 16)
+    one = blocks(sets, n)
+    return _grid(one, one, n, n, True)
+
+
+def _signed(sets: DataFrame) -> DataFrame:
+    return sets.select("u", "n", "hashes", F.array().cast("array<bigint>").alias("bits"))
+
+
 def sharing_pairs(sets: DataFrame, count: int) -> DataFrame:
     """``(a, b)``, ``a < b``, of the ``count`` sets ``(u, n, hashes)`` that agree on an entry of their signatures."""
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for l, r, diagonal in _blocks_met(batches, 0):
-            for i in range(0, len(l.u), TILE):
-                for j in range(0, len(r.u), WIDE):
-                    x, y = l.hashes[i:i + TILE], r.hashes[j:j + WIDE]
-                    agree = np.zeros((len(x), len(y)), bool)
-                    for t in range(x.shape[1]):
-                        agree |= x[:, t][:, None] == y[:, t][None, :]
-                    if diagonal:
-                        agree &= l.u[i:i + TILE, None] < r.u[None, j:j + WIDE]
-                    y = np.nonzero(agree)[1]
-                    if len(y):
-                        ends = np.concatenate([[0], np.cumsum(agree.sum(axis=1))]).astype(np.int32)
-                        near = pa.ListArray.from_arrays(pa.array(ends), pa.array(r.u[y + j]))
-                        yield pa.RecordBatch.from_arrays([pa.array(l.u[i:i + TILE]), near], ["u", "near"])
+            for i, j, agree in _agreeing(l, r, diagonal):
+                y = np.nonzero(agree)[1]
+                if len(y):
+                    ends = np.concatenate([[0], np.cumsum(agree.sum(axis=1))]).astype(np.int32)
+                    near = pa.ListArray.from_arrays(pa.array(ends), pa.array(r.u[y + j]))
+                    yield pa.RecordBatch.from_arrays([pa.array(l.u[i:i + TILE]), near], ["u", "near"])
 
-    n = _count(count, LEAST_BLOCK, MOST_LEFT, 16)
-    one = blocks(sets.select("u", "n", "hashes", F.array().cast("array<bigint>").alias("bits")), n)
     # a list per set and tile: Spark takes over a row of Arrow at a much higher price than an element
-    found = _grid(one, one, n, n, True).mapInArrow(met, "u bigint, near array<bigint>")
+    found = _one_grid(_signed(sets), count).mapInArrow(met, "u bigint, near array<bigint>")
     found = found.select("u", F.explode("near").alias("v"))
-    return found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+    return noted(found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")), Met(sets, count))
+
+
+def sharing_count(met: Met) -> DataFrame:
+    """``n``: the number of :func:`sharing_pairs`, a row per two blocks; the pairs are met but not written out."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for l, r, diagonal in _blocks_met(batches, 0):
+            n = sum(int(np.count_nonzero(agree)) for _, _, agree in _agreeing(l, r, diagonal))
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    return _one_grid(_signed(met.sets), met.count).mapInArrow(counted, "n bigint")
+
+
+def common_counts(exact: Met, approx: Met) -> DataFrame:
+    """``(exact_pairs, found_pairs, true_pairs)``: the pairs of two tables of
+    pairs and those in both, a row per two blocks.  Each table's pairs are found
+    from its own sets as :func:`pairs` finds them and meet in the tile where both
+    lie, so no pair is shuffled."""
+    words, split = [-(-m.items // 64) for m in (exact, approx)], 64 * -(-exact.items // 64)
+
+    def sides(m: Met, x: str) -> DataFrame:
+        return m.sets.select("u", *[F.col(c).alias(f"{x}_{c}") for c in ("n", "hashes", "bits")])
+
+    def zeros(k: int):
+        return F.array_repeat(F.lit(0).cast("bigint"), k)
+
+    # a set of one table only is empty in the other: it meets nothing there
+    width = len(approx.sets.select("hashes").first()[0]) if approx.check else 0
+    wide = len(exact.sets.select("hashes").first()[0]) if exact.check else 0
+    both = sides(exact, "e").join(sides(approx, "x"), "u", "full_outer").select(
+        "u", F.coalesce("e_n", F.lit(0).cast("bigint")).alias("n"),
+        F.concat(F.array(F.coalesce("x_n", F.lit(0).cast("bigint"))), F.coalesce("e_hashes", zeros(wide)),
+                 F.coalesce("x_hashes", zeros(width))).alias("hashes"),
+        F.concat(F.coalesce("e_bits", zeros(words[0])), F.coalesce("x_bits", zeros(words[1]))).alias("bits"))
+    both = cut_lineage(both, "both-sets")
+    tests = [(m.items, m.least, m.check, m.threshold) for m in (exact, approx)]
+
+    def near(overlap, l, r, i, j, diagonal, least, check, threshold):
+        x, y, known = _near_tile(overlap, l, r, i, j, least, check, diagonal)
+        if threshold is None:
+            return x - i, y - j
+        keep = 1.0 - known.astype(np.float64) / (l.n[x] + r.n[y] - known).astype(np.float64) < threshold
+        return x[keep] - i, y[keep] - j
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for l, r, diagonal in _blocks_met(batches, split + 64 * words[1]):
+            halves = [tuple(s.part(k, wide, split, tests[k][0]) for s in (l, r)) for k in (0, 1)]
+            same = tests[0][0] == tests[1][0] and all(np.array_equal(halves[0][k].rows, halves[1][k].rows) for k in (0, 1))
+            n = np.zeros(3, np.int64)
+            for i in range(0, len(l.u), TILE):
+                for j in range(0, len(r.u), WIDE):
+                    found, overlap = [], None
+                    for (a, b), (_, *test) in zip(halves, tests, strict=True):
+                        if overlap is None or not same:
+                            overlap = a.rows[i:i + TILE] @ b.rows[j:j + WIDE].T
+                        found.append(near(overlap, a, b, i, j, diagonal, *test))
+                    at = np.zeros(overlap.shape, bool)
+                    at[found[0]] = True
+                    n += (len(found[0][0]), len(found[1][0]), int(np.count_nonzero(at[found[1]])))
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()) for k in n.tolist()], names)
+
+    names = ["exact_pairs", "found_pairs", "true_pairs"]
+    return _one_grid(both, both.count()).mapInArrow(counted, ", ".join(f"{c} bigint" for c in names))
 
 
 def _nearest_in(l: _Side, r: _Side, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

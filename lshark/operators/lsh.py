@@ -787,7 +787,9 @@ def _block_pairs(left: DataFrame, right: DataFrame | None, threshold: float | No
     if not dense.cheaper(all_pairs, work, len(items)):
         return None
     found = dense.pairs(sets[0], n[0], None if right is None else sets[1], n[-1], len(items), least, model is not None)
-    return _scored(found, threshold)
+    found = _scored(found, threshold)
+    return found if right is not None else dense.noted(
+        found, dense.Met(sets[0], n[0], len(items), least, model is not None, threshold))
 
 
 def _copies(inter: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -1038,28 +1040,32 @@ def grouped_neighbors(inter: DataFrame, model: MinHashModel, threshold: float, k
 
 # ------------------------------------------------------------------ report
 
+def _common_counts(exact: DataFrame, approx: DataFrame) -> DataFrame:
+    """``(exact_pairs, found_pairs, true_pairs)``; the rows are to be summed.  Pairs
+    that both come block by block are counted where they meet."""
+    met = dense.met_of(exact), dense.met_of(approx)
+    if None not in met:
+        return dense.common_counts(*met)
+    e = exact.select("a", "b").withColumn("_e", F.lit(1))
+    a = approx.select("a", "b").withColumn("_x", F.lit(1))
+    return e.join(a, ["a", "b"], "full_outer").agg(
+        F.count("_e").alias("exact_pairs"), F.count("_x").alias("found_pairs"),
+        F.count(F.when(F.col("_e").isNotNull() & F.col("_x").isNotNull(), 1)).alias("true_pairs"))
+
+
 def lsh_report(approx: DataFrame, exact: DataFrame, cands: DataFrame, n_entities: DataFrame) -> DataFrame:
     """One row: exact / found / true pairs, recall, precision, candidate ratio (D9).
 
     ``n_entities`` is a one-row DataFrame with column ``n``.
     """
-    e = exact.select("a", "b").withColumn("_e", F.lit(1))
-    a = approx.select("a", "b").withColumn("_x", F.lit(1))
-    flags = (e.join(a, ["a", "b"], "full_outer")
-              .select(F.col("_e"), F.col("_x"), F.lit(None).cast("int").alias("_c"),
-                      F.lit(None).cast("bigint").alias("_n")))
-    flags = flags.unionByName(cands.select(F.lit(None).cast("int").alias("_e"),
-                                           F.lit(None).cast("int").alias("_x"),
-                                           F.lit(1).alias("_c"), F.lit(None).cast("bigint").alias("_n")))
-    flags = flags.unionByName(n_entities.select(F.lit(None).cast("int").alias("_e"),
-                                                F.lit(None).cast("int").alias("_x"),
-                                                F.lit(None).cast("int").alias("_c"),
-                                                F.col("n").cast("bigint").alias("_n")))
-    row = flags.agg(
-        F.count("_e").alias("exact_pairs"), F.count("_x").alias("found_pairs"),
-        F.count(F.when(F.col("_e").isNotNull() & F.col("_x").isNotNull(), 1)).alias("true_pairs"),
-        F.count("_c").alias("candidate_pairs"),
-        (F.max("_n") * (F.max("_n") - 1) / 2).cast("bigint").alias("all_pairs"))
+    met = dense.met_of(cands)
+    counted = _common_counts(exact, approx)
+    counted = counted.unionByName(cands.agg(F.count(F.lit(1)).alias("candidate_pairs")) if met is None else
+                                  dense.sharing_count(met).select(F.col("n").alias("candidate_pairs")), True)
+    counted = counted.unionByName(n_entities.select(F.col("n").cast("bigint").alias("n")), True)
+    sums = [F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c)
+            for c in ("exact_pairs", "found_pairs", "true_pairs", "candidate_pairs")]
+    row = counted.agg(*sums, (F.max("n") * (F.max("n") - 1) / 2).cast("bigint").alias("all_pairs"))
     return row.select(
         "exact_pairs", "found_pairs", "true_pairs",
         F.round(F.when(F.col("exact_pairs") > 0, F.col("true_pairs") / F.col("exact_pairs")), 6).alias("recall"),

@@ -188,3 +188,19 @@ def test_nearest_in_two_blocks_against_all_pairs(items, share):
                 if c and l.u[x] != r.u[y] and (l.hashes[x] == r.hashes[y]).any()]
         want += [(int(l.u[x]), v, -s) for s, v in sorted(near)[:4]]
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6])
+def test_report_counts_pairs_where_they_meet(make_inter, threshold):
+    """Also where the two tables of pairs come from different sets and elements."""
+    sets, other = sets_of(11), {u: s | {200 + u % 2} for u, s in sets_of(11).items() if u % 7}
+    inter = make_inter(sets)
+    exact, n = lsh.exact_jaccard(inter, threshold), inter.agg(F.countDistinct("u").alias("n"))
+    cands = lsh.candidates(lsh.buckets(lsh.signatures(inter, M), with_hashes=True))
+    for source in (inter, make_inter(other)):
+        approx = lsh.similarity_join(source, M, threshold)
+        got = lsh.lsh_report(approx, exact, cands, n)
+        assert "FullOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
+        want = lsh.lsh_report(*[x.select("a", "b") for x in (approx, exact, cands)], n)
+        assert got.dtypes == want.dtypes and got.collect() == want.collect()
+        assert 0 < got.first().true_pairs < got.first().candidate_pairs
