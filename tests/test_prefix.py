@@ -168,3 +168,14 @@ def test_only_sets_of_plausible_pairs_are_gathered(make_inter, monkeypatch):
     assert set(got) == {(a, b) for a in range(100, 106) for b in range(a + 1, 106)}
     assert pairs(lsh.similarity_join_two(make_inter(sets), make_inter(sets), M, 0.2, strategy="prefix")).keys() >= got.keys()
     assert gathered[0] == 6 and len(gathered) == 3 and max(gathered) < len(sets) * 2
+
+
+def test_sets_are_sent_along_with_slices_of_the_pairs(make_inter, monkeypatch):
+    monkeypatch.setattr(lsh, "SLICE_BYTES", 1)
+    written, was = [], lsh.cut_lineage
+    monkeypatch.setattr(lsh, "cut_lineage", lambda df, name="stage": written.append(name) or was(df, name))
+    sets = near_copies(4)
+    got = lsh.similarity_join(make_inter(sets), M, 0.4, strategy="prefix").collect()
+    assert written.count("near-pairs") > 1 and written.count("verified") > 1
+    want = lsh.similarity_join(make_inter(sets), M, 0.4, strategy="buckets")
+    assert sorted(got) == sorted(want.collect())
